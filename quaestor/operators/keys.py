@@ -99,3 +99,9 @@ def resolve_optional_key(df: DataFrame, key_col: str, default_col: str | None =
     if default_col:
         k = F.coalesce(k, F.col(default_col))
     return df.withColumn(key_col, k)
+
+
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate (max key, date bounds, totals)
+    to every row: a broadcast of exactly one row, evaluated inside each task."""
+    return df.join(F.broadcast(one_row), how="inner")

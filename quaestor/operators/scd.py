@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaestor.functions.hashing import change_hash
-from quaestor.operators.keys import bounded, sequential_key
+from quaestor.operators.keys import attach_scalars, sequential_key
 
 OPEN_END = None  # valid_to of a current version is NULL (open)
 
@@ -81,7 +81,7 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
     kept = out.where(~F.col("__new")).drop("__new")
     fresh = out.where(F.col("__new")).drop("__new", key_col)
     max_key = current.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("__max"))
-    fresh = sequential_key(fresh.crossJoin(bounded(max_key)), keys, key_col, offset=F.col("__max"))
+    fresh = sequential_key(attach_scalars(fresh, max_key), keys, key_col, offset=F.col("__max"))
     fresh = fresh.drop("__max").withColumn(key_col, F.col(key_col).cast(current.schema[key_col].dataType))
     return hist.unionByName(kept).unionByName(fresh.select(*dim_cols))
 
