@@ -24,3 +24,234 @@ SELECT tax_type_code, CAST(year(period_date) * 10 + quarter(period_date) AS INTE
 FROM filings GROUP BY 1, 2""")
 def q_filing_compliance_summary(spark, sf_dir):
     return M.filing_compliance_summary(B.filings(B.tables(spark, sf_dir)))
+
+
+from quaestor.functions.numeric import MONEY, money, pct as _pct, safe_ratio, avg_money  # noqa: E402
+from quaestor.functions.dates import date_key, year_month_key  # noqa: E402
+from quaestor.plans import facts as FCT, snapshots as SNAP  # noqa: E402
+from quaestor.operators import ledger as LED, windows as WIN, aggregates as AGG  # noqa: E402
+
+_AS_OF = B.AS_OF_ORDERS
+
+
+# ---------------------------------------------------------------- M02 / D01 / D03
+@register("revenue_by_type_month", with_("payments") + f"""
+SELECT tax_type_code, CAST(year(payment_date) * 100 + month(payment_date) AS INTEGER) AS year_month,
+       SUM(payment_amount) AS collected_amount, COUNT(DISTINCT party_id) AS taxpayers, COUNT(*) AS payments,
+       {sql_ratio('SUM(payment_amount)', 'COUNT(*)', 2)} AS avg_payment
+FROM payments GROUP BY 1, 2""")
+def q_revenue_by_type_month(spark, sf_dir):
+    p = B.payments(B.tables(spark, sf_dir))
+    return (p.groupBy("tax_type_code", year_month_key("payment_date").alias("year_month"))
+            .agg(F.sum("payment_amount").alias("collected_amount"), F.countDistinct("party_id").alias("taxpayers"),
+                 F.count(F.lit(1)).alias("payments"))
+            .withColumn("avg_payment", avg_money("collected_amount", "payments")))
+
+
+# ---------------------------------------------------------------- M03 / D11
+@register("revenue_yoy", with_("payments") + f"""
+SELECT CAST(month(payment_date) AS INTEGER) AS month,
+       COALESCE(SUM(CASE WHEN year(payment_date) = 2000 THEN payment_amount END), 0) AS current_year,
+       COALESCE(SUM(CASE WHEN year(payment_date) = 1999 THEN payment_amount END), 0) AS previous_year,
+       {sql_pct('COALESCE(SUM(CASE WHEN year(payment_date) = 2000 THEN payment_amount END), 0) - COALESCE(SUM(CASE WHEN year(payment_date) = 1999 THEN payment_amount END), 0)',
+                'COALESCE(SUM(CASE WHEN year(payment_date) = 1999 THEN payment_amount END), 0)')} AS growth_pct
+FROM payments WHERE year(payment_date) IN (2000, 1999) GROUP BY 1""")
+def q_revenue_yoy(spark, sf_dir):
+    return AGG.yoy_compare(B.payments(B.tables(spark, sf_dir)), "payment_date", "payment_amount", 2000)
+
+
+# ---------------------------------------------------------------- I20
+@register("fact_filing", with_("filings") + """
+SELECT return_id, party_id, tax_type_code, CAST(year(period_date) * 100 + month(period_date) AS INTEGER) AS period_key,
+       CAST(strftime(filing_date, '%Y%m%d') AS INTEGER) AS filing_date_key,
+       CAST(strftime(due_date, '%Y%m%d') AS INTEGER) AS due_date_key,
+       CAST(COALESCE(declared_amount, 0) AS DECIMAL(19,2)) AS declared_amount,
+       CAST(CASE WHEN COALESCE(declared_amount, 0) > 0 THEN COALESCE(declared_amount, 0) * 10 ELSE 0 END AS DECIMAL(19,2)) AS tax_base_amount,
+       date_diff('day', filing_date, last_ship_date) AS processing_days,
+       is_late, COALESCE(days_late, 0) AS days_late, 0 AS is_electronic,
+       CASE WHEN COALESCE(declared_amount, 0) = 0 THEN 1 ELSE 0 END AS is_nil_return,
+       CASE WHEN status = 'F' THEN 1 ELSE 0 END AS is_auto_accepted, is_filed
+FROM filings""")
+def q_fact_filing(spark, sf_dir):
+    return FCT.build_fact_filing(B.filings(B.tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- I21 / I35 / M30
+_LATE_MONTHS = "CASE WHEN date_diff('day', due_date, filing_date) > 0 THEN FLOOR(date_diff('day', due_date, filing_date) / 30) + 1 ELSE 0 END"
+_PEN = sql_round(f"CAST(assessed_amount AS DOUBLE) * LEAST(({_LATE_MONTHS}) * 0.02, 0.5)", 2, 19)
+_INT = sql_round(f"CAST(assessed_amount AS DOUBLE) * ({_LATE_MONTHS}) * 0.01", 2, 19)
+
+
+@register("fact_assessment", with_("filings") + f"""
+SELECT return_id, party_id, tax_type_code, CAST(strftime(period_date, '%Y%m%d') AS INTEGER) AS assessment_date_key,
+       assessed_amount AS assessed_tax_amount, CAST(COALESCE({_LATE_MONTHS}, 0) AS INTEGER) AS late_months,
+       COALESCE({_PEN}, 0) AS penalty_amount, COALESCE({_INT}, 0) AS interest_amount,
+       CAST(COALESCE(paid_amount, 0) AS DECIMAL(19,2)) AS amount_paid, 'SELF' AS assessment_type_code, status,
+       CAST(assessed_amount + COALESCE({_PEN}, 0) + COALESCE({_INT}, 0) AS DECIMAL(19,2)) AS total_due_amount,
+       CAST(assessed_amount + COALESCE({_PEN}, 0) + COALESCE({_INT}, 0) - COALESCE(paid_amount, 0) AS DECIMAL(19,2)) AS outstanding_amount,
+       1 AS is_self, 0 AS is_administrative, 0 AS is_audit, 0 AS is_best_judgment, 0 AS is_amended,
+       CASE WHEN status = 'F' THEN 1 ELSE 0 END AS is_final,
+       CASE WHEN assessed_amount + COALESCE({_PEN}, 0) + COALESCE({_INT}, 0) - COALESCE(paid_amount, 0) < 0 THEN 1 ELSE 0 END AS is_refund
+FROM filings""")
+def q_fact_assessment(spark, sf_dir):
+    return FCT.build_fact_assessment(B.filings(B.tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- E16 allocation waterfall
+_ALLOC_SQL = """
+d AS (SELECT party_id, return_id, assessed_amount AS amt,
+             SUM(assessed_amount) OVER (PARTITION BY party_id ORDER BY due_date, return_id ROWS UNBOUNDED PRECEDING) AS dend
+      FROM returns WHERE assessed_amount > 0),
+s AS (SELECT party_id, payment_id, payment_amount AS amt,
+             SUM(payment_amount) OVER (PARTITION BY party_id ORDER BY payment_date, payment_id ROWS UNBOUNDED PRECEDING) AS send
+      FROM payments WHERE payment_amount > 0),
+alloc AS (SELECT d.party_id, d.return_id, s.payment_id,
+             CAST(LEAST(d.dend, s.send) - GREATEST(d.dend - d.amt, s.send - s.amt) AS DECIMAL(19,2)) AS allocated_amount
+      FROM d JOIN s ON d.party_id = s.party_id AND d.dend - d.amt < s.send AND s.send - s.amt < d.dend)"""
+
+
+def _allocations(t):
+    r, p = B.returns(t), B.payments(t)
+    return LED.allocate(r, p, ["party_id"], "return_id", ["due_date"], "assessed_amount",
+                        "payment_id", ["payment_date"], "payment_amount")
+
+
+@register("payment_allocation_waterfall", with_("returns", "payments") + "," + _ALLOC_SQL.strip() + """
+SELECT party_id, return_id, payment_id, allocated_amount FROM alloc WHERE allocated_amount > 0""")
+def q_payment_allocation_waterfall(spark, sf_dir):
+    return _allocations(B.tables(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- I22 / I36
+@register("fact_payment", with_("returns", "payments") + "," + _ALLOC_SQL.strip() + """,
+a AS (SELECT payment_id, COUNT(*) AS allocation_count, SUM(allocated_amount) AS allocated_amount
+      FROM alloc WHERE allocated_amount > 0 GROUP BY payment_id)
+SELECT p.payment_id, p.party_id, CAST(strftime(p.payment_date, '%Y%m%d') AS INTEGER) AS payment_date_key,
+       p.payment_amount, COALESCE(a.allocation_count, 0) AS allocation_count,
+       CAST(COALESCE(a.allocated_amount, 0) AS DECIMAL(19,2)) AS allocated_amount,
+       CAST(p.payment_amount - COALESCE(a.allocated_amount, 0) AS DECIMAL(19,2)) AS unallocated_amount,
+       CASE WHEN COALESCE(a.allocation_count, 0) > 1 THEN 1 ELSE 0 END AS is_partial,
+       CASE WHEN p.payment_amount - COALESCE(a.allocated_amount, 0) > 0 THEN 1 ELSE 0 END AS is_overpayment,
+       0 AS is_electronic
+FROM payments p LEFT JOIN a ON a.payment_id = p.payment_id""")
+def q_fact_payment(spark, sf_dir):
+    t = B.tables(spark, sf_dir)
+    return FCT.build_fact_payment(B.payments(t), _allocations(t))
+
+
+# ---------------------------------------------------------------- I38 / I23 / E13
+@register("account_balances", with_("ledger") + """,
+g AS (SELECT account_id, last_day(txn_date) AS period_end,
+             CAST(COALESCE(SUM(CASE WHEN amount > 0 THEN amount END), 0) AS DECIMAL(38,2)) AS debit_amount,
+             CAST(COALESCE(-SUM(CASE WHEN amount < 0 THEN amount END), 0) AS DECIMAL(38,2)) AS credit_amount
+      FROM ledger GROUP BY 1, 2),
+r AS (SELECT *, CAST(SUM(debit_amount - credit_amount) OVER (PARTITION BY account_id ORDER BY period_end ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS closing_balance FROM g)
+SELECT account_id, CAST(strftime(period_end, '%Y%m%d') AS INTEGER) AS snapshot_date_key, period_end,
+       CAST(closing_balance - (debit_amount - credit_amount) AS DECIMAL(38,2)) AS opening_balance,
+       debit_amount, credit_amount, debit_amount - credit_amount AS net_activity, closing_balance,
+       GREATEST(closing_balance, 0) AS arrears_amount,
+       CASE WHEN closing_balance > 0 THEN 1 ELSE 0 END AS is_in_arrears,
+       CASE WHEN closing_balance < 0 THEN 1 ELSE 0 END AS is_in_credit,
+       CASE WHEN closing_balance = 0 THEN 1 ELSE 0 END AS is_zero_balance
+FROM r""")
+def q_account_balances(spark, sf_dir):
+    led = B.ledger(B.tables(spark, sf_dir)).withColumn("period_end", F.last_day("txn_date"))
+    bal = LED.account_balances(led, ["account_id"], "period_end", "amount")
+    return FCT.build_fact_account_balance(bal)
+
+
+# ---------------------------------------------------------------- E14 running balance
+@register("running_balance", with_("ledger") + """
+SELECT account_id, txn_date, txn_type, ref_id, ref_line, amount,
+       CAST(SUM(amount) OVER (PARTITION BY account_id ORDER BY txn_date, txn_type, ref_id, ref_line, amount ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS balance_after
+FROM ledger""")
+def q_running_balance(spark, sf_dir):
+    led = B.ledger(B.tables(spark, sf_dir))
+    return LED.running_balance(led, ["account_id"], ["txn_date", "txn_type", "ref_id", "ref_line", "amount"], "amount",
+                               chunk=F.trunc("txn_date", "month"))
+
+
+# ---------------------------------------------------------------- I29 taxpayer activity
+_SNAPS = """snaps AS (SELECT CAST(last_day(CAST(latest AS DATE) - to_months(k)) AS DATE) AS snapshot_date
+   FROM (SELECT CASE WHEN last_day(DATE '{a}') = DATE '{a}' THEN DATE '{a}' ELSE last_day(DATE '{a}' - INTERVAL 1 MONTH) END AS latest) x,
+        range(0, 6) t(k))""".format(a=_AS_OF)
+
+
+@register("taxpayer_activity", with_("party", "filings", "payments", "ledger") + "," + _SNAPS + """,
+grid AS (SELECT p.party_id, s.snapshot_date FROM party p, snaps s),
+f AS (SELECT g.party_id, g.snapshot_date, COUNT(x.return_id) AS filings_count, COALESCE(SUM(x.is_on_time), 0) AS on_time_filings,
+             CAST(COALESCE(SUM(x.assessed_amount), 0) AS DECIMAL(38,2)) AS assessed_amount
+      FROM grid g LEFT JOIN filings x ON x.party_id = g.party_id AND x.period_date <= g.snapshot_date GROUP BY 1, 2),
+p AS (SELECT g.party_id, g.snapshot_date, COUNT(x.payment_id) AS payments_count,
+             CAST(COALESCE(SUM(x.payment_amount), 0) AS DECIMAL(38,2)) AS paid_amount
+      FROM grid g LEFT JOIN payments x ON x.party_id = g.party_id AND x.payment_date <= g.snapshot_date GROUP BY 1, 2),
+b AS (SELECT g.party_id, g.snapshot_date, CAST(COALESCE(SUM(x.amount), 0) AS DECIMAL(38,2)) AS balance_amount
+      FROM grid g LEFT JOIN ledger x ON x.account_id = g.party_id AND x.txn_date <= g.snapshot_date GROUP BY 1, 2),
+m AS (SELECT f.*, p.payments_count, p.paid_amount, b.balance_amount,
+             """ + sql_pct("f.on_time_filings", "f.filings_count") + """ AS filing_rate,
+             LEAST(""" + sql_pct("p.paid_amount", "f.assessed_amount") + """, 100) AS payment_rate
+      FROM f JOIN p USING (party_id, snapshot_date) JOIN b USING (party_id, snapshot_date))
+SELECT party_id, snapshot_date, filings_count, on_time_filings, assessed_amount, payments_count, paid_amount,
+       balance_amount, filing_rate, payment_rate,
+       """ + sql_round("(CAST(COALESCE(filing_rate, 0) AS DOUBLE) + CAST(COALESCE(payment_rate, 0) AS DOUBLE)) / 2", 2) + """ AS overall_compliance,
+       CASE WHEN """ + sql_round("(CAST(COALESCE(filing_rate, 0) AS DOUBLE) + CAST(COALESCE(payment_rate, 0) AS DOUBLE)) / 2", 2) + """ >= 80 THEN 1 ELSE 0 END AS is_compliant,
+       CAST(strftime(snapshot_date, '%Y%m%d') AS INTEGER) AS snapshot_date_key
+FROM m""")
+def q_taxpayer_activity(spark, sf_dir):
+    t = B.tables(spark, sf_dir)
+    return SNAP.build_taxpayer_activity(B.party(t), B.filings(t), B.payments(t), B.ledger(t), _AS_OF)
+
+
+# ---------------------------------------------------------------- I30 account snapshot
+@register("account_snapshot", with_("ledger") + f"""
+, g AS (SELECT account_id, last_day(txn_date) AS month_end,
+        CAST(COALESCE(SUM(CASE WHEN txn_type = 'ASSESSMENT' THEN amount END), 0) AS DECIMAL(38,2)) AS assessed_in_period,
+        CAST(COALESCE(-SUM(CASE WHEN txn_type = 'PAYMENT' THEN amount END), 0) AS DECIMAL(38,2)) AS paid_in_period,
+        COUNT(*) AS transaction_count FROM ledger GROUP BY 1, 2),
+r AS (SELECT *, CAST(SUM(assessed_in_period - paid_in_period) OVER (PARTITION BY account_id ORDER BY month_end ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS closing_balance FROM g)
+SELECT account_id, month_end, assessed_in_period, paid_in_period, transaction_count, closing_balance,
+       CAST(closing_balance - (assessed_in_period - paid_in_period) AS DECIMAL(38,2)) AS opening_balance,
+       CAST(strftime(month_end, '%Y%m%d') AS INTEGER) AS snapshot_date_key,
+       CASE WHEN closing_balance > 0 THEN
+         CASE WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 0 THEN 'current'
+              WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 30 THEN '1-30'
+              WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 60 THEN '31-60'
+              WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 90 THEN '61-90'
+              WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 180 THEN '91-180'
+              WHEN date_diff('day', month_end, DATE '{_AS_OF}') <= 365 THEN '181-365'
+              ELSE '365+' END END AS aging_bucket
+FROM r""")
+def q_account_snapshot(spark, sf_dir):
+    return SNAP.build_account_snapshot(B.ledger(B.tables(spark, sf_dir)), _AS_OF)
+
+
+# ---------------------------------------------------------------- I33 / E10
+@register("fact_compliance_event", with_("ev") + """
+SELECT event_id, party_id, event_type, CAST(strftime(event_ts, '%Y%m%d') AS INTEGER) AS event_date_key, 1 AS event_count,
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY party_id, event_type ORDER BY event_ts, event_id) > 1 THEN 1 ELSE 0 END AS is_repeat
+FROM ev""")
+def q_fact_compliance_event(spark, sf_dir):
+    return FCT.build_fact_compliance_event(B.events(B.tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- E05 cumulative MTD
+@register("daily_mtd_events", with_("ev") + """
+, d AS (SELECT event_type, event_date, SUM(event_value) AS daily_amount FROM ev GROUP BY 1, 2)
+SELECT event_type, event_date, daily_amount,
+       SUM(daily_amount) OVER (PARTITION BY event_type, year(event_date), month(event_date) ORDER BY event_date ROWS UNBOUNDED PRECEDING) AS mtd_amount
+FROM d""")
+def q_daily_mtd_events(spark, sf_dir):
+    return WIN.cumulative_mtd(B.events(B.tables(spark, sf_dir)), "event_date", "event_value", ["event_type"])
+
+
+# ---------------------------------------------------------------- E21 year to date
+@register("year_to_date_assessed", with_("returns") + """
+, m AS (SELECT party_id, CAST(date_trunc('month', period_date) AS DATE) AS period_month, SUM(assessed_amount) AS assessed FROM returns GROUP BY 1, 2)
+SELECT party_id, period_month, assessed,
+       SUM(assessed) OVER (PARTITION BY party_id, year(period_month) ORDER BY period_month ROWS UNBOUNDED PRECEDING) AS ytd_assessed
+FROM m""")
+def q_year_to_date_assessed(spark, sf_dir):
+    r = B.returns(B.tables(spark, sf_dir))
+    m = r.groupBy("party_id", F.trunc("period_date", "month").alias("period_month")).agg(
+        F.sum("assessed_amount").alias("assessed"))
+    return WIN.year_to_date(m, ["party_id"], "period_month", ["assessed"])
