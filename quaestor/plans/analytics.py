@@ -28,3 +28,131 @@ def filing_compliance_summary(filings: DataFrame, type_col: str = "tax_type_code
     return (out.withColumn("not_filed", F.col("filings") - F.col("filed"))
             .withColumn("compliance_rate", pct("on_time", "filings"))
             .withColumn("avg_days_late", safe_ratio("total_days_late", "late", 2)))
+
+
+# ---------------------------------------------------------------- risk / balances
+
+def risk_profiles(filings: DataFrame, ledger: DataFrame, events: DataFrame | None, as_of: str) -> DataFrame:
+    """Per party risk profile (input of I28 / M04 / M05 / M35): overall score =
+    share of late filings among filed returns (0-100), arrears = ledger
+    balance at as_of, third-party discrepancies = 'error' events."""
+    f = filings.groupBy("party_id").agg(F.count(F.lit(1)).alias("return_count"),
+                                        F.sum("is_late").cast("bigint").alias("late_filing_count"),
+                                        F.sum("is_filed").cast("bigint").alias("filed_count"),
+                                        F.sum("assessed_amount").alias("total_assessed"))
+    a = F.lit(as_of).cast("date")
+    b = ledger.where(F.col("txn_date") <= a).groupBy(F.col("account_id").alias("party_id")).agg(
+        F.sum("amount").alias("current_arrears_amount"))
+    out = f.join(b, "party_id", "left")
+    if events is not None:
+        e = events.where(F.col("event_type") == "error").groupBy("party_id").agg(
+            F.count(F.lit(1)).alias("third_party_discrepancy_count"))
+        out = out.join(e, "party_id", "left")
+    else:
+        out = out.withColumn("third_party_discrepancy_count", F.lit(0))
+    return out.select(
+        "party_id", "return_count", "late_filing_count", "total_assessed",
+        F.coalesce(pct("late_filing_count", "filed_count"), F.lit(0).cast("decimal(18,2)")).cast("decimal(5,2)")
+        .alias("overall_risk_score"),
+        F.coalesce(F.col("current_arrears_amount"), F.lit(0)).cast("decimal(38,2)").alias("current_arrears_amount"),
+        F.lit(0).cast(MONEY).alias("audit_adjustment_history"),
+        F.coalesce(F.col("third_party_discrepancy_count"), F.lit(0)).cast("bigint").alias("third_party_discrepancy_count"),
+        a.alias("profile_date"))
+
+
+def high_risk_taxpayers(parties: DataFrame, balances: DataFrame, risk: DataFrame, threshold: float = 60) -> DataFrame:
+    """Parties with a HIGH risk rating, arrears at the table's latest
+    snapshot (C11), or a risk score above the threshold."""
+    from quaestor.operators.windows import global_latest
+    latest = global_latest(balances, "period_end").groupBy(F.col("account_id").alias("party_id")).agg(
+        F.sum("closing_balance").alias("outstanding_balance"), F.sum("arrears_amount").alias("arrears_amount"),
+        F.max("is_in_arrears").alias("has_arrears"))
+    j = parties.join(latest, "party_id", "left").join(risk.select("party_id", "overall_risk_score"), "party_id", "left")
+    return j.where((F.col("risk_rating") == "HIGH") | (F.col("has_arrears") == 1) | (F.col("overall_risk_score") > threshold))
+
+
+def segment_analysis(parties: DataFrame, ledger: DataFrame, as_of: str) -> DataFrame:
+    """Taxpayers, balance (semi-additive: each account's balance at
+    as_of, then summed across the segment), average, arrears count and rate."""
+    a = F.lit(as_of).cast("date")
+    bal = ledger.where(F.col("txn_date") <= a).groupBy(F.col("account_id").alias("party_id")).agg(
+        F.sum("amount").alias("balance"))
+    j = parties.join(bal, "party_id", "left").withColumn("balance", F.coalesce("balance", F.lit(0)).cast("decimal(38,2)"))
+    g = j.groupBy("party_segment").agg(F.countDistinct("party_id").alias("taxpayer_count"),
+                                       F.sum("balance").alias("total_balance"),
+                                       F.count_if(F.col("balance") > 0).alias("taxpayers_with_arrears"))
+    return (g.withColumn("avg_balance", avg_money("total_balance", "taxpayer_count"))
+            .withColumn("arrears_rate", pct("taxpayers_with_arrears", "taxpayer_count")))
+
+
+def unpaid_assessments(returns: DataFrame, allocations: DataFrame, as_of: str) -> DataFrame:
+    """outstanding = assessed - allocated, days overdue at as_of, and the
+    collection classification by bands (priority, case type, enforcement)."""
+    from quaestor.functions.codes import band
+    al = allocations.groupBy("return_id").agg(F.sum("allocated_amount").alias("allocated"))
+    j = returns.join(al, "return_id", "left")
+    out = j.select("return_id", "party_id", "tax_type_code", "due_date", money("assessed_amount").alias("assessed_amount"),
+                   (money("assessed_amount") - F.coalesce(F.col("allocated"), F.lit(0))).cast(MONEY).alias("outstanding_amount"),
+                   F.datediff(F.lit(as_of).cast("date"), "due_date").alias("days_overdue"))
+    out = out.where((F.col("outstanding_amount") > 0) & (F.col("days_overdue") > 0))
+    return (out.withColumn("priority", band("outstanding_amount", [(10000, "LOW"), (100000, "MEDIUM"), (None, "HIGH")]))
+            .withColumn("case_type", band("days_overdue", [(90, "SOFT"), (365, "STANDARD"), (None, "LEGAL")]))
+            .withColumn("enforcement_level", band("days_overdue", [(30, 1), (180, 2), (None, 3)])))
+
+
+def overpayments(returns: DataFrame, payments: DataFrame) -> DataFrame:
+    """Returns whose payments exceed the assessed amount."""
+    p = payments.groupBy("return_id").agg(F.sum("payment_amount").alias("total_paid"))
+    j = returns.join(p, "return_id")
+    return (j.where(F.col("total_paid") > F.col("assessed_amount"))
+            .select("return_id", "party_id", "assessed_amount", "total_paid",
+                    (F.col("total_paid") - F.col("assessed_amount")).alias("overpaid_amount")))
+
+
+def audit_candidates_by_history(returns: DataFrame, min_returns: int = 2, k: int = 12) -> DataFrame:
+    """Parties with >= min_returns, ranked by total assessed, top k,
+    stepped score 85 - 5 x (rank - 1) floored at 40."""
+    from quaestor.operators.select import top_k
+    g = returns.groupBy("party_id").agg(F.count(F.lit(1)).alias("return_count"),
+                                        F.sum("assessed_amount").alias("total_assessed"))
+    g = g.where(F.col("return_count") >= min_returns)
+    top = top_k(g, [F.col("total_assessed").desc(), F.col("party_id").asc()], k)
+    from pyspark.sql import Window
+    w = Window.orderBy(F.col("total_assessed").desc(), F.col("party_id").asc())  # k rows only
+    top = top.withColumn("candidate_rank", F.row_number().over(w))
+    return top.withColumn("risk_score", F.greatest(F.lit(85) - 5 * (F.col("candidate_rank") - 1), F.lit(40)))
+
+
+def multi_country_filing(filings: DataFrame, parties: DataFrame, nations: DataFrame) -> DataFrame:
+    """Counts, on-time, average days late by country x tax type x year."""
+    j = filings.join(parties.select("party_id", "nation_key"), "party_id").join(
+        F.broadcast(nations.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("country_name"))),
+        "nation_key")
+    g = j.groupBy("country_name", "tax_type_code", F.year("period_date").alias("filing_year")).agg(
+        F.count(F.lit(1)).alias("filings"), F.sum("is_on_time").cast("bigint").alias("on_time"),
+        F.sum("days_late").cast("bigint").alias("total_days_late"), F.sum("is_late").cast("bigint").alias("late"))
+    return g.withColumn("on_time_rate", pct("on_time", "filings")).withColumn(
+        "avg_days_late", safe_ratio("total_days_late", "late", 2))
+
+
+def outstanding_aging(assessments: DataFrame, as_of: str) -> DataFrame:
+    """Aging of unpaid assessments by tax type."""
+    from quaestor.functions.codes import band
+    d = F.datediff(F.lit(as_of).cast("date"), "due_date")
+    b = band(d, [(30, "0-30 days"), (90, "31-90 days"), (180, "91-180 days"), (365, "181-365 days"),
+                 (None, "Over 1 year")])
+    return (assessments.where(F.col("outstanding_amount") > 0)
+            .groupBy("tax_type_code", b.alias("aging_bucket"))
+            .agg(F.count(F.lit(1)).alias("assessment_count"), F.sum("outstanding_amount").alias("outstanding_amount")))
+
+
+def compliance_event_analytics(events: DataFrame, parties: DataFrame, repeat_threshold: int = 20) -> DataFrame:
+    """Per event type: events, parties affected, coverage % of all
+    parties, repeat offenders (parties with >= threshold events of the type)."""
+    per = events.groupBy("event_type", "party_id").agg(F.count(F.lit(1)).alias("n"))
+    total = parties.agg(F.count(F.lit(1)).alias("__parties"))
+    g = per.groupBy("event_type").agg(F.sum("n").cast("bigint").alias("event_count"),
+                                      F.count(F.lit(1)).alias("parties_affected"),
+                                      F.count_if(F.col("n") >= repeat_threshold).alias("repeat_offenders"))
+    from quaestor.operators.keys import attach_scalars
+    return attach_scalars(g, total).withColumn("coverage_pct", pct("parties_affected", "__parties")).drop("__parties")
