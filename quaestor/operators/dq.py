@@ -55,9 +55,13 @@ def fails_pattern(c: Column, pattern: str) -> Column:
     return c.isNotNull() & ~regex_prefix_match(c.cast("string"), pattern)
 
 
-def fails_range(c: Column, lo=None, hi=None) -> Column:
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def fails_range(c: Column, lo=None, hi=None, dtype: str | None = None) -> Column:
     """Inclusive bounds; NULL and non-numeric values pass."""
-    v = c.cast("string").try_cast("double")
+    numeric = dtype is not None and (dtype in _NUMERIC or dtype.startswith("decimal"))
+    v = c.cast("double") if numeric else c.cast("string").try_cast("double")
     bad = F.lit(False)
     if lo is not None:
         bad = bad | (v < F.lit(float(lo)))
@@ -89,10 +93,13 @@ def _date_bound(b, as_of) -> Column:
     return F.lit(s).cast("date")
 
 
-def fails_date_range(c: Column, lo=None, hi=None, as_of: str = "2001-08-01") -> Column:
+def fails_date_range(c: Column, lo=None, hi=None, as_of: str = "2001-08-01", dtype: str | None = None) -> Column:
     """Non-date fails; bounds may be literals, CURRENT_DATE or CURRENT_DATE
     +/- INTERVAL (evaluated at ``as_of``) (L05)."""
-    d = F.coalesce(c.try_cast("date"), F.try_to_date(c.cast("string")))
+    if dtype is not None and (dtype == "date" or dtype.startswith("timestamp")):
+        d = c.cast("date")
+    else:
+        d = F.coalesce(c.try_cast("date"), F.try_to_date(c.cast("string")))
     bad = c.isNotNull() & d.isNull()
     lb, ub = _date_bound(lo, as_of), _date_bound(hi, as_of)
     if lb is not None:
@@ -107,7 +114,7 @@ def fails_allowed(c: Column, values: Sequence) -> Column:
     return c.isNotNull() & ~c.cast("string").isin([str(v) for v in values])
 
 
-def _row_check(r: Rule, as_of: str) -> list[tuple[str, Column]]:
+def _row_check(r: Rule, as_of: str, dtypes: Mapping[str, str] | None = None) -> list[tuple[str, Column]]:
     t = r.rule_type.upper()
     p = r.params or {}
     out = []
@@ -118,11 +125,11 @@ def _row_check(r: Rule, as_of: str) -> list[tuple[str, Column]]:
         elif t == "PATTERN":
             f = fails_pattern(c, p["pattern"])
         elif t == "RANGE":
-            f = fails_range(c, p.get("min"), p.get("max"))
+            f = fails_range(c, p.get("min"), p.get("max"), (dtypes or {}).get(cname))
         elif t == "LENGTH":
             f = fails_length(c, p.get("min"), p.get("max"))
         elif t == "DATE_RANGE":
-            f = fails_date_range(c, p.get("min"), p.get("max"), as_of)
+            f = fails_date_range(c, p.get("min"), p.get("max"), as_of, (dtypes or {}).get(cname))
         elif t in ("ALLOWED_VALUES", "CODELIST"):
             f = fails_allowed(c, p["values"])
         elif t == "CUSTOM":
@@ -162,7 +169,7 @@ def apply_rules(df: DataFrame, rules: Sequence, as_of: str = "2001-08-01",
             fails = [(r.columns[0], F.col(r.columns[0]).isNotNull() & F.col(f"__hit{i}").isNull(),
                       F.col(r.columns[0]).cast("string"))]
         else:
-            fails = [(cn, f, F.col(cn).cast("string")) for cn, f in _row_check(r, as_of)]
+            fails = [(cn, f, F.col(cn).cast("string")) for cn, f in _row_check(r, as_of, dict(df.dtypes))]
         for cn, f, val in fails:
             msg = r.message or f"{r.rule_type} check failed"
             viols.append(F.when(f, F.struct(F.lit(r.rule_code).alias("rule_code"), F.lit(t).alias("rule_type"),

@@ -49,27 +49,29 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
                     "__damt", "__dend", "sum")
     s = running_agg(s, keys, [*[F.col(c) if isinstance(c, str) else c for c in supply_order], F.col("__sid")],
                     "__samt", "__send", "sum")
-    d = d.select(*keys, "__did", (F.col("__dend") - F.col("__damt")).alias("__dstart"), "__dend")
-    s = s.select(*keys, "__sid", (F.col("__send") - F.col("__samt")).alias("__sstart"), "__send")
-    dv_t = d.select(F.struct(F.col("__dstart").alias("p"), F.col("__did").alias("id")).alias("x")).schema["x"].dataType
-    sv_t = s.select(F.struct(F.col("__sstart").alias("p"), F.col("__sid").alias("id")).alias("x")).schema["x"].dataType
-    pts = (d.select(*keys, F.col("__dstart").cast(WIDE).alias("__pos"), F.lit(0).alias("__kind"),
-                    F.struct(F.col("__dstart").alias("p"), F.col("__did").alias("id")).alias("__dv"),
+    d = d.select(*keys, F.struct((F.col("__dend") - F.col("__damt")).cast(WIDE).alias("p"), F.col("__did").alias("id"),
+                                 F.col("__dend").cast(WIDE).alias("e")).alias("__dv"))
+    s = s.select(*keys, F.struct((F.col("__send") - F.col("__samt")).cast(WIDE).alias("p"), F.col("__sid").alias("id"),
+                                 F.col("__send").cast(WIDE).alias("e")).alias("__sv"))
+    dv_t, sv_t = d.schema["__dv"].dataType, s.schema["__sv"].dataType
+    # One row per interval start; demand rows sort before supply rows at the same position.
+    pts = (d.select(*keys, F.col("__dv.p").alias("__pos"), F.lit(0).alias("__kind"), "__dv",
                     F.lit(None).cast(sv_t).alias("__sv"))
-           .unionByName(s.select(*keys, F.col("__sstart").cast(WIDE).alias("__pos"), F.lit(1).alias("__kind"),
-                                 F.lit(None).cast(dv_t).alias("__dv"),
-                                 F.struct(F.col("__sstart").alias("p"), F.col("__sid").alias("id")).alias("__sv"))))
+           .unionByName(s.select(*keys, F.col("__sv.p").alias("__pos"), F.lit(1).alias("__kind"),
+                                 F.lit(None).cast(dv_t).alias("__dv"), "__sv")))
     chunk = F.floor(F.col("__pos") / F.lit(chunk_width)) if chunk_width else None
     order = [F.col("__pos"), F.col("__kind")]
+    # Forward fill: the demand and the supply interval current at each start
+    # (running max of structs ordered by their start position).
     pts = running_agg(pts, keys, order, "__dv", "__cd", "max", chunk=chunk)
     pts = running_agg(pts, keys, order, "__sv", "__cs", "max", chunk=chunk)
-    pairs = (pts.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
-             .select(*keys, F.col("__cd.id").alias("__did"), F.col("__cs.id").alias("__sid")).distinct())
-    j = pairs.join(d, [*keys, "__did"]).join(s, [*keys, "__sid"])
-    amt = F.least(F.col("__dend"), F.col("__send")) - F.greatest(F.col("__dstart"), F.col("__sstart"))
-    return (j.select(*keys, F.col("__did").alias(demand_id), F.col("__sid").alias(supply_id),
-                     amt.cast(MONEY).alias("allocated_amount"), F.col("__dstart").alias("__o"))
-            .where(F.col("allocated_amount") > 0).drop("__o"))
+    # Each overlapping (demand, supply) pair is current at exactly one start
+    # row (the later of the two starts), so no de-duplication is needed.
+    amt = F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p"))
+    return (pts.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
+            .select(*keys, F.col("__cd.id").alias(demand_id), F.col("__cs.id").alias(supply_id),
+                    amt.cast(MONEY).alias("allocated_amount"))
+            .where(F.col("allocated_amount") > 0))
 
 
 def allocation_summary(supply: DataFrame, allocations: DataFrame, keys: Sequence[str], supply_id: str,

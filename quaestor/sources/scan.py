@@ -40,8 +40,34 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     return r.load()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_bytes: int = 1 << 20) -> DataFrame:
+    """Read ``<sf_dir>/<name>.parquet``.
+
+    A parquet file with a single row group is read by one task whatever its
+    size.  When such a source (>= ``spread_bytes``) yields fewer scan
+    partitions than the cluster has cores, it is spread round-robin so the
+    per-row work after the scan uses every core.  On a large data set the
+    scan already has many partitions and nothing changes.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread_if_underpartitioned(df, path, spread_bytes)
+
+
+def spread_if_underpartitioned(df: DataFrame, path: str, spread_bytes: int = 1 << 20) -> DataFrame:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    except Exception:  # noqa: BLE001 - size unknown: leave the scan alone
+        return df
+    if size < spread_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def scan_table(df: DataFrame, columns: Sequence[str] | None = None, where: str | None = None,
