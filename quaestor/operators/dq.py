@@ -133,7 +133,7 @@ def _row_check(r: Rule, as_of: str, dtypes: Mapping[str, str] | None = None) ->
         elif t in ("ALLOWED_VALUES", "CODELIST"):
             f = fails_allowed(c, p["values"])
         elif t == "CUSTOM":
-            # predicate that must hold; NULL result passes
+            # A SQL predicate that must hold; NULL result passes
             f = ~F.coalesce(F.expr(p["expression"]), F.lit(True))
         else:
             continue

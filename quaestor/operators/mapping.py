@@ -92,13 +92,19 @@ def map_lookup(c: Column, mapping: Mapping[str, str], fallback: str | None = Non
 
 
 def apply_mapping(df: DataFrame, mappings: Sequence, lookup_tables: Mapping[str, DataFrame] | None = None,
-                  bounded_lookups: bool = True, track_errors: bool = True, passthrough: Sequence[str] = ()) -> DataFrame:
+                  bounded_lookups: Sequence[str] = (), track_errors: bool = True, passthrough: Sequence[str] = ()) -> DataFrame:
     """Source rows -> target columns.
 
-    Order per column: transformation (DIRECT / EXPRESSION / LOOKUP /
-    LOOKUP_TABLE / LOOKUP_QUERY / FUNCTION; unknown types fall back to
-    DIRECT), then default when NULL (B08), then cast (B09).  Output: mapped
+    Order per column: transformation - DIRECT (B02), EXPRESSION over
+    ``{source_column}`` (B03), LOOKUP inline map (B04), LOOKUP_TABLE (B05)
+    and LOOKUP_QUERY (B06) as left joins to a lookup frame, FUNCTION from the
+    registry (B07, K01); unknown types fall back to DIRECT - then default
+    when NULL (B08), then cast (B09).  Output: mapped
     target columns (B10), ``passthrough`` columns and ``_errors``.
+
+    Only lookup tables named in ``bounded_lookups`` (code lists, reference
+    tables) are broadcast; key-resolution lookups against tables that grow
+    with the data (e.g. TIN -> party) are left to AQE.
     """
     ms = [_mk(m) for m in mappings]
     src = df
@@ -108,7 +114,7 @@ def apply_mapping(df: DataFrame, mappings: Sequence, lookup_tables: Mapping[str,
             lk = lookup_tables[m.lookup_table].select(F.col(m.lookup_key).alias(f"__lk{i}"),
                                                       F.col(m.lookup_value).alias(f"__lv{i}"))
             lk = lk.dropDuplicates([f"__lk{i}"])
-            if bounded_lookups:
+            if m.lookup_table in bounded_lookups:
                 lk = bounded(lk)
             src = src.join(lk, F.col(m.source_column) == F.col(f"__lk{i}"), "left")
     outs, errs = [], []

@@ -156,3 +156,104 @@ def compliance_event_analytics(events: DataFrame, parties: DataFrame, repeat_thr
                                       F.count_if(F.col("n") >= repeat_threshold).alias("repeat_offenders"))
     from quaestor.operators.keys import attach_scalars
     return attach_scalars(g, total).withColumn("coverage_pct", pct("parties_affected", "__parties")).drop("__parties")
+
+
+def audit_effectiveness(audits: DataFrame) -> DataFrame:
+    """Completed audits per tax type and year: assessed vs collected,
+    collection rate and average duration.  audits: tax_type_code,
+    start_date, completion_date, assessed_amount, collected_amount, is_completed."""
+    a = audits.where(F.col("is_completed") == 1)
+    g = a.groupBy("tax_type_code", F.year("start_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("total_audits"), F.sum(money("assessed_amount")).alias("total_assessed"),
+        F.sum(money("collected_amount")).alias("total_collected"),
+        F.sum(F.datediff("completion_date", "start_date")).alias("__days"))
+    return (g.withColumn("collection_rate", pct("total_collected", "total_assessed"))
+            .withColumn("avg_audit_days", safe_ratio("__days", "total_audits", 2)).drop("__days"))
+
+
+def current_taxpayers(dim_party: DataFrame, current_col: str = "is_current") -> DataFrame:
+    """Current-version projection of a versioned party dimension."""
+    return dim_party.where(F.col(current_col) == 1).drop(current_col, "valid_to")
+
+
+def registrations_by_type(registrations: DataFrame, type_col: str = "party_type") -> DataFrame:
+    """Registrations by party type and tax type with distinct taxpayers."""
+    return registrations.groupBy(type_col, "tax_type_code").agg(
+        F.count(F.lit(1)).alias("registrations"), F.countDistinct("party_id").alias("taxpayers"))
+
+
+def registration_trend(registrations: DataFrame, date_col: str = "registration_date") -> DataFrame:
+    """Registrations by quarter with the tax types seen (bounded list)."""
+    return registrations.groupBy(year_quarter_key(date_col).alias("year_quarter")).agg(
+        F.count(F.lit(1)).alias("registrations"),
+        F.array_join(F.array_sort(F.collect_set("tax_type_code")), ", ").alias("tax_types"))
+
+
+def office_workload(filings: DataFrame, parties: DataFrame, places: DataFrame) -> DataFrame:
+    """Filings handled per office (nation) and region."""
+    j = filings.join(parties.select("party_id", "nation_key"), "party_id").join(F.broadcast(places), "nation_key")
+    return j.groupBy("region_name", "nation_name").agg(F.count(F.lit(1)).alias("filings"),
+                                                       F.countDistinct("party_id").alias("taxpayers"))
+
+
+def tax_gap_by_category(assessments: DataFrame, categories: DataFrame, gap_rate_col: str = "gap_rate") -> DataFrame:
+    """Estimated gap = assessed tax x gap % / 100 by risk/tax category
+    (``gap_rate_col`` holds the fraction as an exact decimal)."""
+    j = assessments.join(F.broadcast(categories), "tax_type_code")
+    g = j.groupBy("tax_category").agg(F.sum(money("assessed_amount")).alias("assessed_amount"),
+                                      F.sum(money(money("assessed_amount") * F.col(gap_rate_col))).alias("estimated_gap"))
+    return g.withColumn("gap_rate", pct("estimated_gap", "assessed_amount"))
+
+
+def registrations_by_region(registrations: DataFrame, parties: DataFrame, places: DataFrame,
+                            region_filter: Sequence[str] | None = None) -> DataFrame:
+    """Distinct registrations per region, optionally only some regions."""
+    j = registrations.join(parties.select("party_id", "nation_key"), "party_id").join(F.broadcast(places), "nation_key")
+    if region_filter:
+        j = j.where(F.col("region_name").isin(*region_filter))
+    return j.groupBy("region_name").agg(F.countDistinct("party_id", "tax_type_code").alias("registrations"))
+
+
+def party_identifier_lookup(bridge: DataFrame, id_type: str | None = None, value: str | None = None) -> DataFrame:
+    """Identifiers of parties, filtered by type and/or normalised value;
+    ``is_primary`` marks the primary tax id per party."""
+    out = bridge
+    if id_type:
+        out = out.where(F.col("identifier_type") == id_type)
+    if value:
+        out = out.where(F.col("normalized_value") == F.upper(F.replace(F.lit(value), F.lit(" "), F.lit(""))))
+    return out
+
+
+def customs_analytics(declarations: DataFrame) -> DataFrame:
+    """Per trade flow and transport mode: declarations, customs value,
+    duty revenue, median value (D10), preference rate; transport mode labels
+    (H12); origin falls back to dispatch country (C16)."""
+    from quaestor.functions.codes import code_label
+    mode = code_label("transport_mode", {"1": "SEA", "2": "RAIL", "3": "ROAD", "4": "AIR", "5": "POST"}, "OTHER")
+    d = declarations.withColumn("transport", mode).withColumn(
+        "origin_country", F.coalesce("origin_country", "dispatch_country"))
+    return (d.groupBy("flow", "transport").agg(
+        F.count(F.lit(1)).alias("declarations"), F.sum(money("customs_value")).alias("customs_value"),
+        F.sum(money("duty_amount")).alias("duty_revenue"),
+        F.percentile(F.col("customs_value").cast("double"), F.lit(0.5)).alias("median_value"),
+        F.count_if(F.col("preference_code").isNotNull()).alias("__pref"))
+        .withColumn("preference_rate", pct("__pref", "declarations")).drop("__pref"))
+
+
+def tax_scheme_views(schemes: DataFrame, as_of: str) -> DataFrame:
+    """Active schemes at as_of with a scheme-type label and default flag."""
+    from quaestor.functions.codes import code_label
+    a = F.lit(as_of).cast("date")
+    act = schemes.where((F.col("valid_from") <= a) & (F.col("valid_to").isNull() | (F.col("valid_to") > a)))
+    return act.withColumn("scheme_type_label", code_label("scheme_type", {"STD": "Standard", "SME": "Small business",
+                                                                          "FLAT": "Flat rate", "EXEMPT": "Exempt"},
+                                                          "Other"))
+
+
+def objection_candidates(audits: DataFrame) -> DataFrame:
+    """Finalised audits not agreed by the taxpayer with an amount > 0,
+    largest first."""
+    return (audits.where((F.col("case_status_code") == "FINALIZED") & (F.col("taxpayer_agreed") == 0)
+                         & (money("total_amount_assessed") > 0))
+            .orderBy(F.col("total_amount_assessed").desc(), F.col("audit_case_id")))

@@ -100,3 +100,16 @@ def build_dim_registration(sources: Mapping[str, DataFrame]) -> DataFrame:
     """I14 first step: one registration frame from several sources with a
     type tag (G05); SCD2 is applied with ``operators.scd.scd2_merge``."""
     return union_sources(sources, "registration_source")
+
+
+def build_dim_tax_scheme(schemes: DataFrame, countries: DataFrame, types: DataFrame, current: DataFrame | None,
+                         as_of: str, tracked: Sequence[str]) -> DataFrame:
+    """Resolve country and tax-type keys (C03, bounded dimensions,
+    broadcast) and apply the snapshot as an SCD2 load (I04)."""
+    from quaestor.operators.keys import resolve_dimension_key
+    from quaestor.operators.scd import initial_scd2, scd2_merge
+    s = resolve_dimension_key(schemes, countries, {"country_code": "country_code"}, "country_key", broadcast_dim=True)
+    s = resolve_dimension_key(s, types, {"tax_type_code": "tax_type_code"}, "tax_type_key", broadcast_dim=True)
+    if current is None:
+        return initial_scd2(s, ["scheme_code"], as_of, "scheme_key")
+    return scd2_merge(current, s, ["scheme_code"], tracked, as_of, key_col="scheme_key")

@@ -49,7 +49,7 @@ FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def q_ingest_customer_mapping(spark, sf_dir):
     t = B.tables(spark, sf_dir)
     src = t.customer.withColumn("c_phone", F.lit(None).cast("string"))
-    mapped = MAP.apply_mapping(src, CUSTOMER_MAPPING, {"nation": t.nation})
+    mapped = MAP.apply_mapping(src, CUSTOMER_MAPPING, {"nation": t.nation}, bounded_lookups=("nation",))
     out = mapped.withColumn("error_count", F.size("_errors")).drop("_errors")
     return MAP.with_row_identifier(out, ["party_id"])
 
