@@ -139,16 +139,19 @@ def rule_sum_reconciles(parent: DataFrame, child: DataFrame, key: str, parent_am
 
 
 def rule_no_overlap(df: DataFrame, group_cols: Sequence[str], start: str, end: str, id_col: str,
-                    check_gaps: bool = False) -> DataFrame:
-    """Overlapping (and optionally non-contiguous) intervals per group (Q6, L26),
-    each interval compared with its neighbour (lead), not every pair."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*group_cols).orderBy(start, id_col)
-    n = df.withColumn("next_start", F.lead(start).over(w)).withColumn("next_id", F.lead(id_col).over(w))
-    bad = F.col("next_start").isNotNull() & (F.col("next_start") < F.col(end))
+                    check_gaps: bool = False, chunk: Column | str | None = None) -> DataFrame:
+    """Intervals that overlap an earlier interval of their group, or (with
+    ``check_gaps``) start more than one day after every earlier interval
+    ended (Q6, L26).  Compared with the running maximum of the earlier ends
+    - the neighbour test of the rule, never every pair - and chunkable (e.g.
+    by start year) so a hot group is not sorted in one task."""
+    from quaestor.operators.windows import running_agg
+    out = running_agg(df, group_cols, [F.col(start), F.col(id_col)], F.col(end), "max_prior_end", "max",
+                      inclusive=False, chunk=chunk)
+    bad = F.col("max_prior_end").isNotNull() & (F.col(start) < F.col("max_prior_end"))
     if check_gaps:
-        bad = bad | (F.col("next_start").isNotNull() & (F.col("next_start") > F.date_add(F.col(end), 1)))
-    return n.where(bad)
+        bad = bad | (F.col("max_prior_end").isNotNull() & (F.col(start) > F.date_add(F.col("max_prior_end"), 1)))
+    return out.where(bad)
 
 
 def rule_timeliness(df: DataFrame, date_col: str, as_of, sla_days: int, where: str | Column | None = None) -> DataFrame:

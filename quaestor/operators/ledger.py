@@ -33,22 +33,31 @@ def running_balance(ledger: DataFrame, account_cols: Sequence[str], order_cols:
 
 def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_id: str, demand_order: Sequence,
              demand_amount: str, supply_id: str, supply_order: Sequence, supply_amount: str,
-             chunk_width: float | None = None) -> DataFrame:
+             chunk_width: float | None = None, demand_chunk: Column | None = None,
+             supply_chunk: Column | None = None) -> DataFrame:
     """FIFO allocation of supply over demand per key.
 
     Returns one row per (keys, demand_id, supply_id) with ``allocated_amount``
     > 0.  ``demand_order`` sets the priority (e.g. charge-type rank, then
     period); ``supply_order`` the order supplies are consumed.
+
+    Skew: ``demand_chunk`` / ``supply_chunk`` (coarse expressions monotonic in
+    the respective order, e.g. the month) and ``chunk_width`` (a money width
+    for the scan over positions) split a hot account over many tasks.
     """
     keys = list(keys)
     d = demand.select(*keys, F.col(demand_id).alias("__did"), *[F.col(c) if isinstance(c, str) else c for c in demand_order],
                       money(demand_amount).alias("__damt")).where(F.col("__damt") > 0)
     s = supply.select(*keys, F.col(supply_id).alias("__sid"), *[F.col(c) if isinstance(c, str) else c for c in supply_order],
                       money(supply_amount).alias("__samt")).where(F.col("__samt") > 0)
+    if demand_chunk is not None:
+        d = d.withColumn("__dch", demand_chunk)
+    if supply_chunk is not None:
+        s = s.withColumn("__sch", supply_chunk)
     d = running_agg(d, keys, [*[F.col(c) if isinstance(c, str) else c for c in demand_order], F.col("__did")],
-                    "__damt", "__dend", "sum")
+                    "__damt", "__dend", "sum", chunk="__dch" if demand_chunk is not None else None)
     s = running_agg(s, keys, [*[F.col(c) if isinstance(c, str) else c for c in supply_order], F.col("__sid")],
-                    "__samt", "__send", "sum")
+                    "__samt", "__send", "sum", chunk="__sch" if supply_chunk is not None else None)
     d = d.select(*keys, F.struct((F.col("__dend") - F.col("__damt")).cast(WIDE).alias("p"), F.col("__did").alias("id"),
                                  F.col("__dend").cast(WIDE).alias("e")).alias("__dv"))
     s = s.select(*keys, F.struct((F.col("__send") - F.col("__samt")).cast(WIDE).alias("p"), F.col("__sid").alias("id"),

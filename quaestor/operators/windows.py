@@ -58,9 +58,13 @@ def running_agg(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
             .drop("__chunk", "__v", "__local", "__prior"))
 
 
-def row_number_per_group(df: DataFrame, keys: Sequence[str], order_cols: Sequence, out_col: str = "line_seq") -> DataFrame:
-    """Line sequence per parent (E02); groups are parents with few lines."""
-    return df.withColumn(out_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+def row_number_per_group(df: DataFrame, keys: Sequence[str], order_cols: Sequence, out_col: str = "line_seq",
+                         chunk: Column | str | None = None) -> DataFrame:
+    """Line sequence per parent (E02).  With ``chunk`` it is a chunked running
+    count, so a parent with a huge number of lines is numbered by many tasks."""
+    if chunk is None:
+        return df.withColumn(out_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    return running_agg(df, keys, order_cols, F.lit(1), out_col, "count", chunk=chunk)
 
 
 def first_on_or_after(targets: DataFrame, target_col: str, candidates: DataFrame, cand_col: str,
@@ -181,12 +185,12 @@ def overlap_flags(df: DataFrame, group_cols: Sequence[str], start: str, end: str
 
 
 def gaps_and_islands(df: DataFrame, keys: Sequence[str], period_index: str, cond: Column,
-                     min_length: int, out_col: str = "run_length") -> DataFrame:
+                     min_length: int, out_col: str = "run_length", chunk: Column | str | None = None) -> DataFrame:
     """Runs of consecutive periods meeting ``cond`` of length >= min_length.
 
     island id = period_index - (running count of qualifying periods)."""
     q = df.where(cond)
-    q = running_agg(q, keys, [F.col(period_index)], F.lit(1), "__rc", "count")
+    q = running_agg(q, keys, [F.col(period_index)], F.lit(1), "__rc", "count", chunk=chunk)
     q = q.withColumn("__island", F.col(period_index) - F.col("__rc"))
     runs = q.groupBy(*keys, "__island").agg(F.min(period_index).alias("run_start"), F.max(period_index).alias("run_end"),
                                             F.count(F.lit(1)).alias(out_col))

@@ -112,8 +112,10 @@ alloc AS (SELECT d.party_id, d.return_id, s.payment_id,
 
 def _allocations(t):
     r, p = B.returns(t), B.payments(t)
+    # month chunks and a 1,000,000 position width split a hot party's scans
     return LED.allocate(r, p, ["party_id"], "return_id", ["due_date"], "assessed_amount",
-                        "payment_id", ["payment_date"], "payment_amount")
+                        "payment_id", ["payment_date"], "payment_amount", chunk_width=1_000_000.0,
+                        demand_chunk=F.trunc("due_date", "month"), supply_chunk=F.trunc("payment_date", "month"))
 
 
 @register("payment_allocation_waterfall", with_("returns", "payments") + "," + _ALLOC_SQL.strip() + """

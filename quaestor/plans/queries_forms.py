@@ -140,7 +140,8 @@ def q_loss_utilization(spark, sf_dir):
     profits = m.select("party_id", F.col("period_month").alias("profit_period"), "profit")
     # Losses (supply) are used oldest first against later profits (demand).
     return LED.allocate(profits, losses, ["party_id"], "profit_period", ["profit_period"], "profit",
-                        "loss_period", ["loss_period"], "loss").select("party_id", "loss_period", "profit_period",
+                        "loss_period", ["loss_period"], "loss", chunk_width=1_000_000.0,
+                        demand_chunk=F.year("profit_period"), supply_chunk=F.year("loss_period")).select("party_id", "loss_period", "profit_period",
                                                                        "allocated_amount")
 
 
@@ -166,7 +167,8 @@ def q_refund_offsets(spark, sf_dir):
                                                      (-F.col("balance")).alias("amount"))
     debts = bal.where(F.col("balance") > 0).select("party_id", F.col("return_id").alias("debt_id"), "due_date",
                                                    F.col("balance").alias("amount"))
-    out = LED.allocate(debts, refunds, ["party_id"], "debt_id", ["due_date"], "amount", "refund_id", ["due_date"], "amount")
+    out = LED.allocate(debts, refunds, ["party_id"], "debt_id", ["due_date"], "amount", "refund_id", ["due_date"], "amount",
+                       chunk_width=1_000_000.0, demand_chunk=F.year("due_date"), supply_chunk=F.year("due_date"))
     return out.withColumnRenamed("allocated_amount", "offset_amount")
 
 
