@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quaestor.functions.numeric import MONEY, money, round_half_up
-from quaestor.operators.windows import running_agg
+from quaestor.operators.windows import running_agg, running_aggs
 
 WIDE = DecimalType(38, 2)
 
@@ -72,8 +72,7 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     order = [F.col("__pos"), F.col("__kind")]
     # Forward fill: the demand and the supply interval current at each start
     # (running max of structs ordered by their start position).
-    pts = running_agg(pts, keys, order, "__dv", "__cd", "max", chunk=chunk)
-    pts = running_agg(pts, keys, order, "__sv", "__cs", "max", chunk=chunk)
+    pts = running_aggs(pts, keys, order, {"__cd": ("__dv", "max"), "__cs": ("__sv", "max")}, chunk=chunk)
     # Each overlapping (demand, supply) pair is current at exactly one start
     # row (the later of the two starts), so no de-duplication is needed.
     amt = F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p"))

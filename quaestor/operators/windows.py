@@ -58,6 +58,32 @@ def running_agg(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
             .drop("__chunk", "__v", "__local", "__prior"))
 
 
+def running_aggs(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence,
+                 specs: dict, inclusive: bool = True, chunk: Column | str | None = None) -> DataFrame:
+    """Several running aggregates over the same partition/order in one pass:
+    ``specs`` maps output column -> (value, fn).  With ``chunk`` the local
+    window, the chunk-total aggregate, the prefix window and the join are
+    each done once for all outputs."""
+    frame_end = 0 if inclusive else -1
+    if chunk is None:
+        w = Window.partitionBy(*partition_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+        return df.select("*", *[_AGG[fn](col(v)).over(w).alias(out) for out, (v, fn) in specs.items()])
+    names = list(specs)
+    d = df.withColumn("__chunk", col(chunk))
+    for i, out in enumerate(names):
+        d = d.withColumn(f"__v{i}", col(specs[out][0]))
+    wl = Window.partitionBy(*partition_cols, "__chunk").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+    d = d.select("*", *[_AGG[specs[o][1]](f"__v{i}").over(wl).alias(f"__l{i}") for i, o in enumerate(names)])
+    totals = d.groupBy(*partition_cols, "__chunk").agg(*[_AGG[specs[o][1]](f"__v{i}").alias(f"__t{i}")
+                                                         for i, o in enumerate(names)])
+    wc = Window.partitionBy(*partition_cols).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    prior = totals.select(*partition_cols, "__chunk", *[_AGG[specs[o][1]](f"__t{i}").over(wc).alias(f"__p{i}")
+                                                        for i, o in enumerate(names)])
+    out = d.join(prior, [*partition_cols, "__chunk"], "inner")
+    out = out.select("*", *[_combine(specs[o][1], F.col(f"__p{i}"), F.col(f"__l{i}")).alias(o) for i, o in enumerate(names)])
+    return out.drop("__chunk", *[f"__{k}{i}" for i in range(len(names)) for k in ("v", "l", "p")])
+
+
 def row_number_per_group(df: DataFrame, keys: Sequence[str], order_cols: Sequence, out_col: str = "line_seq",
                          chunk: Column | str | None = None) -> DataFrame:
     """Line sequence per parent (E02).  With ``chunk`` it is a chunked running

@@ -19,7 +19,7 @@ from quaestor.functions.codes import aging_bucket
 from quaestor.functions.dates import date_key, year_month_key
 from quaestor.functions.numeric import MONEY, money, pct, round_half_up
 from quaestor.operators.keys import attach_scalars
-from quaestor.operators.windows import running_agg
+from quaestor.operators.windows import running_agg, running_aggs
 
 WIDE = DecimalType(38, 2)
 
@@ -63,10 +63,13 @@ def build_taxpayer_activity(parties: DataFrame, filings: DataFrame, payments: Da
                     [F.sum(money("amount")).alias("b_net")])
     g = grid.join(f, ["party_id", "snapshot_date"], "left").join(p, ["party_id", "snapshot_date"], "left") \
         .join(led, ["party_id", "snapshot_date"], "left")
-    for c, out, t in (("f_n", "filings_count", "bigint"), ("f_on_time", "on_time_filings", "bigint"),
-                      ("f_assessed", "assessed_amount", WIDE), ("p_n", "payments_count", "bigint"),
-                      ("p_amount", "paid_amount", WIDE), ("b_net", "balance_amount", WIDE)):
-        g = running_agg(g, ["party_id"], [F.col("snapshot_date")], F.coalesce(F.col(c), F.lit(0)), out, "sum")
+    measures = (("f_n", "filings_count", "bigint"), ("f_on_time", "on_time_filings", "bigint"),
+                ("f_assessed", "assessed_amount", WIDE), ("p_n", "payments_count", "bigint"),
+                ("p_amount", "paid_amount", WIDE), ("b_net", "balance_amount", WIDE))
+    # all six cumulative measures in one window pass over the (few) snapshots of a party
+    g = running_aggs(g, ["party_id"], [F.col("snapshot_date")],
+                     {out: (F.coalesce(F.col(c), F.lit(0)), "sum") for c, out, _ in measures})
+    for _, out, t in measures:
         g = g.withColumn(out, F.col(out).cast(t))
     g = g.drop("f_n", "f_on_time", "f_assessed", "p_n", "p_amount", "b_net")
     fr = pct("on_time_filings", "filings_count")
