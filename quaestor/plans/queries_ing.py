@@ -326,7 +326,7 @@ def q_scheme_eligibility(spark, sf_dir):
 @register("stream_upsert_returns", with_("returns") + """
 SELECT return_id, party_id, tax_type_code, period_date, assessed_amount, status FROM returns""")
 def q_stream_upsert_returns(spark, sf_dir):
-    from quaestor.streaming.incremental import incremental_upsert_stream, scratch
+    from quaestor.streaming.incremental import incremental_merge_on_read_stream, scratch
     t = B.tables(spark, sf_dir)
     schema = t.orders.schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
@@ -334,9 +334,10 @@ def q_stream_upsert_returns(spark, sf_dir):
                    F.col("o_orderpriority").alias("tax_type_code"), F.col("o_orderdate").cast("date").alias("period_date"),
                    money("o_totalprice").alias("assessed_amount"), F.col("o_orderstatus").alias("status")))
     root = scratch(spark, f"stream-upsert-{uuid.uuid4().hex[:8]}")
-    q, table = incremental_upsert_stream(spark, src, f"{root}/target", ["return_id"], ["period_date"],
-                                         checkpoint=f"{root}/ckpt")
+    q, table = incremental_merge_on_read_stream(spark, src, f"{root}/target", ["return_id"], ["period_date"],
+                                                checkpoint=f"{root}/ckpt")
     q.awaitTermination()
+    table.compact()
     return table.read()
 
 

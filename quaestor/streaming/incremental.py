@@ -6,7 +6,10 @@ source with a checkpoint in the shared ``spark.checkpoint.dir``:
 
 * J01 ``incremental_upsert_stream``: ``readStream`` -> ``foreachBatch``
   keyed upsert into a versioned parquet target (new path per batch, pointer
-  file swapped), so a retried batch is idempotent.
+  file swapped), so a retried batch is idempotent.  This copy-on-write form
+  rewrites the target per batch; for very large targets
+  ``incremental_merge_on_read_stream`` appends each batch (cost = batch
+  size), resolves the latest row per key on read and compacts periodically.
 * J02 ``late_lookback``: event-time watermark + ``dropDuplicatesWithinWatermark``.
 * J03 ``running_summary_stream``: per-key count/sum/max states in update mode,
   merged into the target by ``foreachBatch`` (mergeable states, D15).
@@ -102,6 +105,84 @@ def incremental_upsert_stream(spark: SparkSession, source: DataFrame, target_roo
     return w.start(), table
 
 
+class MergeOnReadTable:
+    """Keyed table maintained by appends: ``<root>/changes/batch=<id>`` holds
+    each micro-batch (overwritten on a retry of the same batch id, so it is
+    idempotent), ``<root>/base/v=<n>`` a compacted version named by a pointer
+    file together with the last batch id it contains.
+
+    Writing a batch costs only the batch; reading resolves the latest row per
+    key over base + newer changes with a partially combined aggregate;
+    ``compact`` folds the changes into a new base version (a batch job run
+    outside the stream, e.g. nightly)."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], order_cols: Sequence[str] = ()):
+        self.spark, self.root, self.keys, self.order = spark, root.rstrip("/"), list(keys), list(order_cols)
+
+    @property
+    def pointer(self) -> str:
+        return f"{self.root}/_BASE"
+
+    def _base(self) -> tuple[str | None, int]:
+        txt = _read_text(self.spark, self.pointer)
+        if not txt:
+            return None, -1
+        path, last = txt.rsplit(" ", 1)
+        return path, int(last)
+
+    def append_batch(self, batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch_id", F.lit(batch_id).cast("long")) \
+            .write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id:010d}")
+
+    def _changes(self, after: int) -> DataFrame | None:
+        fs, p = _fs(self.spark, f"{self.root}/changes")
+        if not fs.exists(p):
+            return None
+        ch = self.spark.read.option("basePath", f"{self.root}/changes").parquet(f"{self.root}/changes")
+        return ch.drop("batch").where(F.col("_batch_id") > after)
+
+    def read(self) -> DataFrame | None:
+        base_path, last = self._base()
+        parts = []
+        if base_path:
+            parts.append(self.spark.read.parquet(base_path))
+        ch = self._changes(last)
+        if ch is not None:
+            parts.append(ch)
+        if not parts:
+            return None
+        allrows = parts[0]
+        for x in parts[1:]:
+            allrows = allrows.unionByName(x)
+        return latest_per_key(allrows, self.keys, ["_batch_id", *self.order]).drop("_batch_id")
+
+    def compact(self) -> str | None:
+        base_path, last = self._base()
+        merged_all = self.spark.read.parquet(base_path) if base_path else None
+        ch = self._changes(last)
+        if ch is None:
+            return base_path
+        top = ch.agg(F.max("_batch_id")).first()[0]  # one scalar: the newest batch folded in
+        parts = ([merged_all] if merged_all is not None else []) + [ch.where(F.col("_batch_id") <= top)]
+        allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        merged = latest_per_key(allrows, self.keys, ["_batch_id", *self.order])
+        path = f"{self.root}/base/v={top:010d}"
+        merged.write.mode("overwrite").parquet(path)
+        _write_text(self.spark, self.pointer, f"{path} {top}")
+        return path
+
+
+def incremental_merge_on_read_stream(spark: SparkSession, source: DataFrame, root: str, keys: Sequence[str],
+                                     order_cols: Sequence[str] = (), checkpoint: str | None = None,
+                                     name: str = "mor", available_now: bool = True):
+    """J01 for very large targets: each micro-batch costs only its own size."""
+    table = MergeOnReadTable(spark, root, keys, order_cols)
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
+    w = source.writeStream.foreachBatch(table.append_batch).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start(), table
+
+
 def late_lookback(stream: DataFrame, ts_col: str, keys: Sequence[str], lookback: str = "24 hours") -> DataFrame:
     """Tolerate rows up to ``lookback`` late; duplicates of a key inside
     the watermark are dropped (state is bounded by the lookback)."""
