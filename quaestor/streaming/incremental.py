@@ -11,8 +11,8 @@ source with a checkpoint in the shared ``spark.checkpoint.dir``:
   ``incremental_merge_on_read_stream`` appends each batch (cost = batch
   size), resolves the latest row per key on read and compacts periodically.
 * J02 ``late_lookback``: event-time watermark + ``dropDuplicatesWithinWatermark``.
-* J03 ``running_summary_stream``: per-key count/sum/max states in update mode,
-  merged into the target by ``foreachBatch`` (mergeable states, D15).
+* J03 ``running_summary_stream``: per-key count/sum/max partial states
+  written per micro-batch, merged on read (mergeable states, D15).
 * J04 ``monthly_rollup_stream``: month-bucket aggregate appended once the
   watermark passes the month.
 * J05 daily flag refresh: ``plans.calendar.refresh_relative_flags``.
@@ -189,19 +189,36 @@ def late_lookback(stream: DataFrame, ts_col: str, keys: Sequence[str], lookback:
     return stream.withWatermark(ts_col, lookback).dropDuplicatesWithinWatermark(list(keys))
 
 
+class StateTable:
+    """Mergeable per-key states (count, sum, max) appended per micro-batch to
+    ``<root>/batch=<id>`` (overwritten on retry: idempotent); reading merges
+    all batches with one partially combined aggregate (D15)."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
+        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
+
+    def append(self, states: DataFrame, batch_id: int) -> None:
+        states.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id:010d}")
+
+    def read(self) -> DataFrame | None:
+        fs, p = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return None
+        s = self.spark.read.option("basePath", self.root).parquet(self.root).drop("batch")
+        return merge_states(s.select(*self.keys, "state_count", "state_sum", "state_max"), self.keys)
+
+
 def running_summary_stream(spark: SparkSession, stream: DataFrame, keys: Sequence[str], value: str,
                            target_root: str, name: str = "summary", checkpoint: str | None = None,
                            available_now: bool = True):
-    """Per-key count/sum/max maintained as mergeable states."""
+    """Per-key count/sum/max maintained as mergeable states; each
+    micro-batch writes only its own partial states."""
     from quaestor.operators.aggregates import partial_state
-    table = VersionedTable(spark, target_root)
+    table = StateTable(spark, target_root, keys)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        states = partial_state(batch, keys, value)
-        cur = table.read()
-        both = states if cur is None else cur.select(*keys, "state_count", "state_sum", "state_max").unionByName(states)
-        table.commit(merge_states(both, keys), f"{batch_id:08d}")
+        table.append(partial_state(batch, keys, value), batch_id)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
