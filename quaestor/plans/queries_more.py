@@ -123,3 +123,41 @@ WHERE rg.r_name IN ('EUROPE', 'ASIA') GROUP BY 1""")
 def q_registrations_by_region(spark, sf_dir):
     t = B.tables(spark, sf_dir)
     return M.registrations_by_region(_registrations(t), B.party(t), _geo(t), ["EUROPE", "ASIA"])
+
+
+# ---------------------------------------------------------------- C06 role-playing date dimension
+from quaestor.operators import joins as JN  # noqa: E402
+from quaestor.plans.queries_wh import _SPINE2_SQL, _cal2, _HOL_SQL  # noqa: E402,F401
+
+
+@register("filing_date_roles", with_("filings") + ", " + _SPINE2_SQL + """
+SELECT f.return_id, fd.day_name AS filed_day_name, fd.is_business_day AS filed_is_business_day,
+  dd.day_name AS due_day_name, dd.is_business_day AS due_is_business_day
+FROM filings f
+LEFT JOIN (SELECT full_date, dayname(full_date) AS day_name, is_business_day FROM cal) fd ON fd.full_date = f.filing_date
+LEFT JOIN (SELECT full_date, dayname(full_date) AS day_name, is_business_day FROM cal) dd ON dd.full_date = f.due_date""")
+def q_filing_date_roles(spark, sf_dir):
+    f = B.filings(B.tables(spark, sf_dir))
+    cal = _cal2(f)
+    out = JN.join_role_playing(f.select("return_id", "filing_date", "due_date"), cal, "full_date",
+                               {"filing_date": "filed_", "due_date": "due_"}, ["day_name", "is_business_day"])
+    return out.select("return_id", "filed_day_name", "filed_is_business_day", "due_day_name", "due_is_business_day")
+
+
+# ---------------------------------------------------------------- C05 / C18 current version + scalar subquery
+@register("urgent_returns_current_party", _SCD_SQL + """,
+tt AS (SELECT tax_type_code, ROW_NUMBER() OVER (ORDER BY tax_type_code) AS tax_type_key
+       FROM (SELECT DISTINCT o_orderpriority AS tax_type_code FROM orders)),
+r AS (SELECT o_orderkey AS return_id, o_custkey AS party_id, o_orderpriority AS tax_type_code FROM orders),
+rk AS (SELECT r.*, tt.tax_type_key FROM r JOIN tt USING (tax_type_code))
+SELECT rk.return_id, rk.party_id, m.segment, m.version_number
+FROM rk LEFT JOIN (SELECT party_id, segment, version_number FROM merged WHERE is_current = 1) m USING (party_id)
+WHERE rk.tax_type_key = (SELECT tax_type_key FROM tt WHERE tax_type_code = '1-URGENT')""")
+def q_urgent_returns_current_party(spark, sf_dir):
+    t = B.tables(spark, sf_dir)
+    types = DIM.build_dim_tax_type(t.orders, "o_orderpriority", TYPE_CATEGORIES, {})
+    r = B.returns(t).select("return_id", "party_id", "tax_type_code").join(
+        F.broadcast(types.select("tax_type_code", "tax_type_key")), "tax_type_code")
+    r = JN.scalar_subquery_filter(r, "tax_type_key", types, "tax_type_code", "1-URGENT", "tax_type_key")
+    dim = _scd(t).select("party_id", "segment", "version_number", "is_current")
+    return JN.join_composite_current(r, dim, ["party_id"]).select("return_id", "party_id", "segment", "version_number")

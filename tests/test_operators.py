@@ -197,3 +197,34 @@ def test_chunked_allocation_equals_plain(spark):
         td = sum(x[3] for x in dem if x[0] == a)
         ts = sum(x[3] for x in sup if x[0] == a)
         assert float(tot[a]) == min(td, ts)
+
+
+def test_join_patterns(spark):
+    from quaestor.operators import joins as JN
+    decl = spark.createDataFrame([(1, None, "DE"), (2, "CN", "US")], "id int, origin string, dispatch string")
+    ctry = spark.createDataFrame([("DE", "Germany"), ("CN", "China")], "code string, name string")
+    out = {r.id: r.name for r in JN.join_coalesced_key(decl, ctry, ["origin", "dispatch"], "code").collect()}
+    assert out == {1: "Germany", 2: "China"}
+    a = spark.createDataFrame([(1, None), (2, "VAT")], "k int, t string")
+    b = spark.createDataFrame([(1, None, "x"), (2, "VAT", "y")], "k2 int, t2 string, v string")
+    assert JN.join_null_safe(a, b, {"k": "k2", "t": "t2"}, "inner").count() == 2
+    ids = spark.createDataFrame([("TIN", "MLT", "123"), ("TIN", "LKA", "9")], "id_type string, country string, value string")
+    fmt = spark.createDataFrame([("TIN", None, "generic"), ("TIN", "MLT", "malta")], "id_type string, country string, rule string")
+    got = sorted((r.country, r.rule) for r in JN.join_universal_or_specific(ids, fmt, ["id_type"], "country").collect())
+    assert got == [("LKA", "generic"), ("MLT", "generic"), ("MLT", "malta")]
+    rows = spark.createDataFrame([(1, "A,B"), (2, "C")], "id int, codes string")
+    ref = spark.createDataFrame([("A",), ("C",)], "code string")
+    assert [(r.id, r.code) for r in JN.join_anti_array(rows, "codes", "id", ref, "code").collect()] == [(1, "B")]
+
+
+def test_select_helpers(spark):
+    from quaestor.operators import select as SEL
+    ref = spark.createDataFrame([("A", None, "univ"), ("A", "MLT", "mt"), ("B", None, "univB")],
+                                "code string, country string, label string")
+    got = sorted((r.code, r.label) for r in SEL.effective_code_lookup(ref, "code", "country", "MLT").collect())
+    assert got == [("A", "mt"), ("B", "univB")]
+    tr = spark.createDataFrame([("TT", 1, "name", "en", "Income"), ("TT", 1, "name", "mt", "Dħul"), ("TT", 2, "name", "en", "VAT")],
+                               "object_type string, key int, attribute_name string, language_code string, translated_value string")
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    lab = {r.k: r.label for r in SEL.localized_value(df, tr, {"k": "key"}, "name", "mt").collect()}
+    assert lab == {1: "Dħul", 2: "VAT"}
