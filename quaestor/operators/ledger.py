@@ -46,10 +46,13 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     for the scan over positions) split a hot account over many tasks.
     """
     keys = list(keys)
+    # Positions are exact integer cents (long): running sums and struct
+    # comparisons stay on compact longs instead of 38-digit decimals.
+    cents = lambda c: (money(c) * 100).cast("long")
     d = demand.select(*keys, F.col(demand_id).alias("__did"), *[F.col(c) if isinstance(c, str) else c for c in demand_order],
-                      money(demand_amount).alias("__damt")).where(F.col("__damt") > 0)
+                      cents(demand_amount).alias("__damt")).where(F.col("__damt") > 0)
     s = supply.select(*keys, F.col(supply_id).alias("__sid"), *[F.col(c) if isinstance(c, str) else c for c in supply_order],
-                      money(supply_amount).alias("__samt")).where(F.col("__samt") > 0)
+                      cents(supply_amount).alias("__samt")).where(F.col("__samt") > 0)
     if demand_chunk is not None:
         d = d.withColumn("__dch", demand_chunk)
     if supply_chunk is not None:
@@ -58,17 +61,17 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
                     "__damt", "__dend", "sum", chunk="__dch" if demand_chunk is not None else None)
     s = running_agg(s, keys, [*[F.col(c) if isinstance(c, str) else c for c in supply_order], F.col("__sid")],
                     "__samt", "__send", "sum", chunk="__sch" if supply_chunk is not None else None)
-    d = d.select(*keys, F.struct((F.col("__dend") - F.col("__damt")).cast(WIDE).alias("p"), F.col("__did").alias("id"),
-                                 F.col("__dend").cast(WIDE).alias("e")).alias("__dv"))
-    s = s.select(*keys, F.struct((F.col("__send") - F.col("__samt")).cast(WIDE).alias("p"), F.col("__sid").alias("id"),
-                                 F.col("__send").cast(WIDE).alias("e")).alias("__sv"))
+    d = d.select(*keys, F.struct((F.col("__dend") - F.col("__damt")).alias("p"), F.col("__did").alias("id"),
+                                 F.col("__dend").alias("e")).alias("__dv"))
+    s = s.select(*keys, F.struct((F.col("__send") - F.col("__samt")).alias("p"), F.col("__sid").alias("id"),
+                                 F.col("__send").alias("e")).alias("__sv"))
     dv_t, sv_t = d.schema["__dv"].dataType, s.schema["__sv"].dataType
     # One row per interval start; demand rows sort before supply rows at the same position.
     pts = (d.select(*keys, F.col("__dv.p").alias("__pos"), F.lit(0).alias("__kind"), "__dv",
                     F.lit(None).cast(sv_t).alias("__sv"))
            .unionByName(s.select(*keys, F.col("__sv.p").alias("__pos"), F.lit(1).alias("__kind"),
                                  F.lit(None).cast(dv_t).alias("__dv"), "__sv")))
-    chunk = F.floor(F.col("__pos") / F.lit(chunk_width)) if chunk_width else None
+    chunk = F.floor(F.col("__pos") / F.lit(chunk_width * 100)) if chunk_width else None
     order = [F.col("__pos"), F.col("__kind")]
     # Forward fill: the demand and the supply interval current at each start
     # (running max of structs ordered by their start position).
@@ -77,9 +80,10 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     # row (the later of the two starts), so no de-duplication is needed.
     amt = F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p"))
     return (pts.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
-            .select(*keys, F.col("__cd.id").alias(demand_id), F.col("__cs.id").alias(supply_id),
-                    amt.cast(MONEY).alias("allocated_amount"))
-            .where(F.col("allocated_amount") > 0))
+            .select(*keys, F.col("__cd.id").alias(demand_id), F.col("__cs.id").alias(supply_id), amt.alias("__c"))
+            .where(F.col("__c") > 0)
+            .select(*keys, demand_id, supply_id, (F.col("__c").cast("decimal(20,0)") / 100).cast(MONEY)
+                    .alias("allocated_amount")))
 
 
 def allocation_summary(supply: DataFrame, allocations: DataFrame, keys: Sequence[str], supply_id: str,

@@ -112,10 +112,11 @@ alloc AS (SELECT d.party_id, d.return_id, s.payment_id,
 
 def _allocations(t):
     r, p = B.returns(t), B.payments(t)
-    # month chunks and a 1,000,000 position width split a hot party's scans
+    # year chunks and a 1,000,000 position width split a hot party's scans
+    # (finer chunks, e.g. months, for heavier skew cost more stages on normal keys)
     return LED.allocate(r, p, ["party_id"], "return_id", ["due_date"], "assessed_amount",
                         "payment_id", ["payment_date"], "payment_amount", chunk_width=1_000_000.0,
-                        demand_chunk=F.trunc("due_date", "month"), supply_chunk=F.trunc("payment_date", "month"))
+                        demand_chunk=F.year("due_date"), supply_chunk=F.year("payment_date"))
 
 
 @register("payment_allocation_waterfall", with_("returns", "payments") + "," + _ALLOC_SQL.strip() + """
