@@ -54,9 +54,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_bytes: int = 1 <<
     return spread_if_underpartitioned(df, path, spread_bytes)
 
 
+_SPREAD: dict[tuple[str, int], bool] = {}
+
+
 def spread_if_underpartitioned(df: DataFrame, path: str, spread_bytes: int = 1 << 20) -> DataFrame:
+    """The decision depends only on the file layout, so it is taken once per
+    path and session (a stale decision can only cost speed, never change a
+    result)."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    key = (path, cores)
+    if key in _SPREAD:
+        return df.repartition(cores) if _SPREAD[key] else df
+    _SPREAD[key] = False
     try:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -67,6 +77,7 @@ def spread_if_underpartitioned(df: DataFrame, path: str, spread_bytes: int = 1 <
         return df
     if df.rdd.getNumPartitions() >= cores:
         return df
+    _SPREAD[key] = True
     return df.repartition(cores)
 
 

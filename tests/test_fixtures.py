@@ -155,3 +155,26 @@ def test_merge_on_read_equals_upsert(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [(1, "e"), (2, "c"), (3, "d")]
     t.compact()
     assert sorted(map(tuple, t.read().collect())) == [(1, "e"), (2, "c"), (3, "d")]
+
+
+def test_writers_purge_and_registry(spark):
+    from quaestor.operators import mapping as MAP
+    from quaestor.sources import scan as SC
+    base = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-03-01 00:00:00")], "id int, loaded_at string") \
+        .withColumn("loaded_at", F.col("loaded_at").cast("timestamp"))
+    SNK.write_staging(df, base)
+    SNK.append_staging(df, base)
+    back = spark.read.parquet(base)
+    assert back.count() == 4
+    assert SNK.purge_staging(back, "loaded_at", "2024-03-10", 30).count() == 2
+    assert SC.high_watermark(back, "id").first()[0] == 2
+    assert SC.row_count(back, "id = 1").first()[0] == 2
+    assert SC.scan_table(back, ["id"], "id > 1", ["id"], 1).count() == 1
+    prof = {r.column_name: r for r in SC.profile_table(df, exact=False).collect()}
+    assert prof["id"].is_key_candidate == 1 and prof["id"].null_count == 0
+    MAP.register_transform("reverse_text", lambda c: F.reverse(c))
+    out = MAP.apply_mapping(spark.createDataFrame([("abc",)], "s string"),
+                            [{"source_column": "s", "target_column": "r", "transformation_type": "FUNCTION",
+                              "function": "reverse_text"}]).first()
+    assert out.r == "cba"
