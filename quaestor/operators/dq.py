@@ -134,7 +134,8 @@ def _row_check(r: Rule, as_of: str, dtypes: Mapping[str, str] | None = None) ->
             f = fails_allowed(c, p["values"])
         elif t == "CUSTOM":
             # A SQL predicate that must hold; NULL result passes
-            f = ~F.coalesce(F.expr(p["expression"]), F.lit(True))
+            e = p["expression"]
+            f = ~F.coalesce(F.expr(e) if isinstance(e, str) else e, F.lit(True))
         else:
             continue
         out.append((cname, f))

@@ -83,11 +83,19 @@ def form_calc_check(df: DataFrame, submitted: str, recomputed: str | Column, tol
     return df.withColumn(out_col, money(submitted) - money(r)).where(F.abs(F.col(out_col)) > F.lit(tolerance))
 
 
-def form_rules(df: DataFrame, rules: Sequence[Mapping], as_of: str) -> DataFrame:
-    """Run a form's validation rules.  Rule types range / pattern /
-    codelist / uniqueness / required map to the DQ engine; cross_field,
-    conditional, date_logic and comparison rules carry a Spark SQL predicate
-    that must hold (CUSTOM).  Returns the annotated frame."""
+def form_rules(df: DataFrame, rules: Sequence[Mapping], as_of: str,
+               references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Run a form's validation rules (the rule types of the form
+    specifications).  Returns the frame annotated with ``_violations``.
+
+    range, pattern, codelist / allowed_values, required, format (length),
+    date_range, uniqueness and lookup (existence in a reference frame) map to
+    the DQ engine; cross_field, conditional, conditional_required,
+    date_logic, comparison, date, minimum and calculation carry a Spark SQL
+    predicate that must hold; iban is the ISO 7064 mod-97 check.  VIES
+    validation needs an external service and is not built.
+    """
+    from quaestor.functions.identifiers import mod97_valid
     mapped = []
     for r in rules:
         t = r["type"].lower()
@@ -103,9 +111,23 @@ def form_rules(df: DataFrame, rules: Sequence[Mapping], as_of: str) -> DataFrame
             mapped.append({**base, "rule_type": "UNIQUE", "columns": list(r["fields"])})
         elif t == "required":
             mapped.append({**base, "rule_type": "NOT_NULL", "columns": [r["field"]]})
-        elif t in ("cross_field", "conditional", "date_logic", "comparison"):
+        elif t == "format":
+            mapped.append({**base, "rule_type": "LENGTH", "columns": [r["field"]],
+                           "params": {"min": r.get("min"), "max": r.get("max")}})
+        elif t == "date_range":
+            mapped.append({**base, "rule_type": "DATE_RANGE", "columns": [r["field"]],
+                           "params": {"min": r.get("min"), "max": r.get("max")}})
+        elif t == "lookup":
+            mapped.append({**base, "rule_type": "REFERENTIAL", "columns": [r["field"]],
+                           "params": {"reference": r["reference"], "reference_column": r["reference_column"]}})
+        elif t == "iban":
+            c = F.col(r["field"])
+            mapped.append({**base, "rule_type": "CUSTOM", "columns": [r["field"]],
+                           "params": {"expression": c.isNull() | mod97_valid(c)}})
+        elif t in ("cross_field", "conditional", "conditional_required", "date_logic", "comparison", "date",
+                   "minimum", "calculation"):
             mapped.append({**base, "rule_type": "CUSTOM", "columns": [r.get("field", "")],
                            "params": {"expression": r["expression"]}})
         else:
-            raise ValueError(f"unknown form rule type {t}")
-    return DQ.apply_rules(df, mapped, as_of)
+            raise ValueError(f"unknown or unsupported form rule type {t}")
+    return DQ.apply_rules(df, mapped, as_of, references)

@@ -434,3 +434,30 @@ def q_current_tax_periods(spark, sf_dir):
     cur = p.where((F.col("period_start_date") <= a) & (F.col("period_end_date") >= a))
     return cur.select("tax_type_code", "period_start_date", "period_end_date", "filing_due_date",
                       F.datediff("filing_due_date", a).alias("days_to_deadline"))
+
+
+# ---------------------------------------------------------------- L32 rule pack from YAML (Appendix A as data)
+@register("yaml_rule_pack", with_("returns", "return_lines", "filings", "party") + f""",
+lt AS (SELECT return_id, SUM(line_amount) AS s, COUNT(*) AS n FROM return_lines GROUP BY 1),
+per AS (SELECT party_id, tax_type_code, return_id, period_date AS start_date, CAST(period_date + 30 AS DATE) AS end_date,
+          MAX(CAST(period_date + 30 AS DATE)) OVER (PARTITION BY party_id, tax_type_code ORDER BY period_date, return_id
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mpe FROM returns),
+counts AS (
+  SELECT 'BR_RET_001' AS rule_code, 'returns' AS table_name, 'ERROR' AS severity, (SELECT COUNT(*) FROM returns WHERE assessed_amount < 0) AS n
+  UNION ALL SELECT 'BR_RET_002', 'return_lines', 'WARNING', (SELECT COUNT(*) FROM (SELECT 1 FROM return_lines GROUP BY return_id, line_number HAVING COUNT(*) > 1))
+  UNION ALL SELECT 'BR_RET_003', 'returns', 'ERROR', (SELECT COUNT(*) FROM returns r WHERE party_id IS NOT NULL AND party_id NOT IN (SELECT party_id FROM party WHERE party_id IS NOT NULL))
+  UNION ALL SELECT 'BR_RET_004', 'returns', 'WARNING', (SELECT COUNT(*) FROM returns r LEFT JOIN lt USING (return_id) WHERE ABS(r.assessed_amount - COALESCE(lt.s, 0)) > 0.01)
+  UNION ALL SELECT 'BR_RET_005', 'periods', 'WARNING', (SELECT COUNT(*) FROM per WHERE mpe IS NOT NULL AND start_date < mpe)
+  UNION ALL SELECT 'BR_RET_006', 'filings', 'WARNING', (SELECT COUNT(*) FROM filings WHERE is_filed = 0 AND date_diff('day', due_date, DATE '{_AS_OF}') > 90)
+  UNION ALL SELECT 'BR_RET_007', 'returns', 'ERROR', (SELECT COUNT(*) FROM returns WHERE tax_type_code IS NOT NULL AND NOT regexp_matches(tax_type_code, '^(?:[1-5]-[A-Z ]+)$'))
+  UNION ALL SELECT 'BR_RET_008', 'returns', 'WARNING', (SELECT COUNT(*) FROM returns r LEFT JOIN lt USING (return_id) WHERE COALESCE(lt.n, 0) < 1))
+SELECT rule_code, table_name, severity, n AS violation_count,
+  CASE WHEN n = 0 THEN 'PASS' WHEN severity IN ('ERROR', 'CRITICAL') THEN 'FAIL' ELSE 'WARNING' END AS status FROM counts""")
+def q_yaml_rule_pack(spark, sf_dir):
+    from quaestor.operators.rulepack import load_pack, run_pack
+    t = B.tables(spark, sf_dir)
+    r = B.returns(t)
+    frames = {"returns": r, "return_lines": B.return_lines(t), "filings": B.filings(t), "party": B.party(t),
+              "periods": r.select("party_id", "tax_type_code", "return_id", F.col("period_date").alias("start_date"),
+                                  F.date_add("period_date", 30).alias("end_date"))}
+    return run_pack(load_pack("warehouse_rules"), frames, _AS_OF)

@@ -178,3 +178,19 @@ def test_writers_purge_and_registry(spark):
                             [{"source_column": "s", "target_column": "r", "transformation_type": "FUNCTION",
                               "function": "reverse_text"}]).first()
     assert out.r == "cba"
+
+
+def test_form_rule_types(spark):
+    from quaestor.plans import forms as FRM
+    form = spark.createDataFrame([(1, "123456789", "GB82 WEST 1234 5698 7654 32", 10.0, 4.0, 6.0, "short"),
+                                  (2, "12345", "GB82 WEST 1234 5698 7654 33", 10.0, 4.0, 7.0, "long enough text")],
+                                 "id int, tin string, iban string, total double, a double, b double, descr string")
+    reg = spark.createDataFrame([("123456789",)], "tin string")
+    rules = [{"code": "P", "type": "pattern", "field": "tin", "pattern": r"[0-9]{9}$"},
+             {"code": "L", "type": "lookup", "field": "tin", "reference": "register", "reference_column": "tin"},
+             {"code": "I", "type": "iban", "field": "iban"},
+             {"code": "C", "type": "calculation", "field": "total", "expression": "abs(total - (a + b)) <= 0.01"},
+             {"code": "F", "type": "format", "field": "descr", "min": 10}]
+    ann = FRM.form_rules(form, rules, "2024-01-01", {"register": reg})
+    bad = {r.id: sorted(v.rule_code for v in r._violations) for r in ann.collect()}
+    assert bad == {1: ["F"], 2: ["C", "I", "L", "P"]}
