@@ -17,12 +17,12 @@ def hash_input(*cols) -> Column:
 
 
 def surrogate_hash(*cols) -> Column:
-    """MD5 over the ordered key columns (staging surrogate key)."""
+    """MD5 over the ordered key columns (staging surrogate key)."""
     return F.md5(hash_input(*cols))
 
 
 def change_hash(*cols) -> Column:
-    """SHA-256 over the tracked attribute columns (SCD2 change test)."""
+    """SHA-256 over the tracked attribute columns (SCD2 change test)."""
     return F.sha2(hash_input(*cols), 256)
 
 

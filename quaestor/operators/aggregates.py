@@ -150,3 +150,18 @@ def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     out = states.groupBy(*keys).agg(F.sum("state_count").alias("state_count"),
                                     F.sum("state_sum").alias("state_sum"), F.max("state_max").alias("state_max"))
     return out.withColumn("state_avg", safe_ratio("state_sum", "state_count", 2))
+
+
+def run_summary(run_log: DataFrame, dq_log: DataFrame | None = None) -> DataFrame:
+    """Per mapping: runs, successful runs, average run seconds, rows
+    extracted / rejected / loaded; with the DQ log, violations per mapping."""
+    secs = F.unix_timestamp("ended_at") - F.unix_timestamp("started_at")
+    out = run_log.groupBy("mapping_code").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "SUCCESS").alias("successful_runs"),
+        F.sum(secs).alias("__secs"), F.sum("rows_extracted").alias("rows_extracted"),
+        F.sum("rows_rejected").alias("rows_rejected"), F.sum("rows_loaded").alias("rows_loaded"))
+    out = out.withColumn("avg_run_seconds", safe_ratio("__secs", "runs", 2)).drop("__secs")
+    if dq_log is not None:
+        v = dq_log.groupBy("mapping_code").agg(F.count(F.lit(1)).alias("violations"))
+        out = out.join(v, "mapping_code", "left").fillna(0, ["violations"])
+    return out

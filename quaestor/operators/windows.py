@@ -158,11 +158,14 @@ def shifted_join(cur: DataFrame, keys: Sequence[str], period_col: str, shift_mon
                  prefix: str = "prior_") -> DataFrame:
     """Join each row to the same key ``shift_months`` earlier.
 
-    Gap-aware: a missing prior period gives NULL, unlike LAG."""
-    prev = cur.select(*keys, F.add_months(F.col(period_col), shift_months).alias("__p"),
+    Gap-aware: a missing prior period gives NULL, unlike LAG.  The prior side
+    is a projection of the same frame, so its key columns are renamed before
+    the equi-join (a self-join on shared attributes would be ambiguous)."""
+    prev = cur.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                      F.add_months(F.col(period_col), shift_months).alias("__p"),
                       *[F.col(v).alias(prefix + v) for v in value_cols])
-    return cur.join(prev, [*[cur[k] == prev[k] for k in keys], cur[period_col] == prev["__p"]], "left") \
-        .drop(*[prev[k] for k in keys]).drop("__p")
+    cond = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + [F.col(period_col) == F.col("__p")]
+    return cur.join(prev, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))], "__p")
 
 
 def percentile_rank(df: DataFrame, partition_cols: Sequence[str], score: str, out_col: str = "percentile_rank",
@@ -255,10 +258,11 @@ def link_prior_periods(periods: DataFrame, group_cols: Sequence[str], start_col:
     year (start - 12 months) (E08).  Period tables are small per series."""
     w = Window.partitionBy(*group_cols).orderBy(start_col)
     out = periods.withColumn("prior_period_key", F.lag(key_col).over(w))
-    prev = periods.select(*group_cols, F.add_months(F.col(start_col), 12).alias("__s"),
+    prev = periods.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)],
+                          F.add_months(F.col(start_col), 12).alias("__s"),
                           F.col(key_col).alias("same_period_prior_year_key"))
-    return out.join(prev, [*[out[g] == prev[g] for g in group_cols], out[start_col] == prev["__s"]], "left") \
-        .drop(*[prev[g] for g in group_cols]).drop("__s")
+    cond = [F.col(g) == F.col(f"__g{i}") for i, g in enumerate(group_cols)] + [F.col(start_col) == F.col("__s")]
+    return out.join(prev, cond, "left").drop(*[f"__g{i}" for i in range(len(group_cols))], "__s")
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + ["date_key"]

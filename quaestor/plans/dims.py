@@ -113,3 +113,47 @@ def build_dim_tax_scheme(schemes: DataFrame, countries: DataFrame, types: DataFr
     if current is None:
         return initial_scd2(s, ["scheme_code"], as_of, "scheme_key")
     return scd2_merge(current, s, ["scheme_code"], tracked, as_of, key_col="scheme_key")
+
+
+def build_dim_tax_period(periods: DataFrame, types: DataFrame, as_of: str) -> DataFrame:
+    """Periods joined to their (bounded) tax-type dimension; status from
+    the as-of date when the source has none; closed = CLOSED/LOCKED, current
+    = OPEN; quarter from the month when monthly, from the period number
+    (1-4) when quarterly, else NULL."""
+    a = F.lit(as_of).cast("date")
+    p = periods.join(bounded(types.select("tax_type_code", "tax_type_key")), "tax_type_code", "left")
+    status = F.coalesce(F.col("period_status") if "period_status" in periods.columns else F.lit(None).cast("string"),
+                        F.when(F.col("period_end_date") < a, F.lit("CLOSED"))
+                        .when(F.col("period_start_date") > a, F.lit("FUTURE")).otherwise(F.lit("OPEN")))
+    q = (F.when(F.col("frequency") == "MONTHLY", F.quarter("period_start_date"))
+         .when((F.col("frequency") == "QUARTERLY") & F.col("period_number").between(1, 4), F.col("period_number")))
+    return (p.withColumn("period_status", status)
+            .withColumn("is_closed", F.col("period_status").isin("CLOSED", "LOCKED").cast("int"))
+            .withColumn("is_current", (F.col("period_status") == "OPEN").cast("int"))
+            .withColumn("period_quarter", q.cast("int")))
+
+
+def build_dim_country(spark, countries: Sequence[Mapping]) -> DataFrame:
+    """Country configuration rows (currency, fiscal start, year offset,
+    label pattern, membership flags) as a dimension; full refresh."""
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("country_code", T.StringType()), T.StructField("currency_code", T.StringType()),
+                           T.StructField("fiscal_start_month", T.IntegerType()),
+                           T.StructField("fiscal_year_offset", T.IntegerType()),
+                           T.StructField("label_pattern", T.StringType()), T.StructField("is_eu_member", T.IntegerType())])
+    rows = [(c["country_code"], c.get("currency_code"), int(c.get("fiscal_start_month", 1)),
+             int(c.get("fiscal_year_offset", 0)), c.get("label_pattern", "{YEAR}"), int(c.get("is_eu_member", 0)))
+            for c in countries]
+    out = spark.createDataFrame(rows, schema)
+    return sequential_key(out, ["country_code"], "country_key", method="window")
+
+
+def build_dim_account_subtype(subtypes: DataFrame, countries: DataFrame, types: DataFrame) -> DataFrame:
+    """Rates given as fractions become decimal percentages; country and
+    tax-type keys resolved against bounded dimensions."""
+    from quaestor.operators.keys import resolve_dimension_key
+    s = subtypes.withColumn("rate_pct", (F.col("rate_fraction").cast("decimal(12,8)") * 100).cast("decimal(7,4)"))
+    s = resolve_dimension_key(s, countries, {"country_code": "country_code"}, "country_key", on_missing="unknown",
+                              broadcast_dim=True)
+    return resolve_dimension_key(s, types, {"tax_type_code": "tax_type_code"}, "tax_type_key", on_missing="unknown",
+                                 broadcast_dim=True)

@@ -238,3 +238,25 @@ def build_fact_customs(headers: DataFrame, duties: DataFrame, duty_codes: Sequen
     from quaestor.operators.aggregates import pivot_codes
     p = pivot_codes(duties, ["declaration_id"], "duty_code", "duty_amount", duty_codes, prefix="duty_")
     return headers.join(p, "declaration_id", "left")
+
+
+def build_fact_risk_score(scores: DataFrame, high: float = 61.0) -> DataFrame:
+    """Quarterly risk-score snapshot with change from the prior quarter
+    and from the same quarter a year ago (gap-aware equi-joins on the shifted
+    quarter, not LAG) and derived flags.  scores: party_id, quarter_start,
+    risk_score."""
+    from quaestor.operators.windows import shifted_join
+    s = shifted_join(scores, ["party_id"], "quarter_start", 3, ["risk_score"], "prior_q_")
+    s = shifted_join(s, ["party_id"], "quarter_start", 12, ["risk_score"], "prior_y_")
+    d_q = F.col("risk_score") - F.col("prior_q_risk_score")
+    d_y = F.col("risk_score") - F.col("prior_y_risk_score")
+    return (s.withColumn("score_change_qoq", d_q).withColumn("score_change_yoy", d_y)
+            .withColumn("is_high_risk", (F.col("risk_score") >= high).cast("int"))
+            .withColumn("is_new_high_risk", ((F.col("risk_score") >= high)
+                                             & (F.coalesce(F.col("prior_q_risk_score"), F.lit(0)) < high)).cast("int"))
+            .withColumn("is_increasing", (d_q > 0).cast("int"))
+            .withColumn("is_decreasing", (d_q < 0).cast("int"))
+            .withColumn("is_first_assessment", F.col("prior_q_risk_score").isNull().cast("int"))
+            .withColumn("is_large_increase", (d_q >= 20).cast("int"))
+            .withColumn("is_improved_yoy", (d_y < 0).cast("int"))
+            .withColumn("is_zero_risk", (F.col("risk_score") == 0).cast("int")))

@@ -9,7 +9,7 @@ from quaestor.functions.strings import normalize_identifier
 from quaestor.operators.windows import flag_primary
 from quaestor.plans import analytics as M, bindings as B, dims as DIM
 from quaestor.plans.catalog import register, sql_pct
-from quaestor.plans.queries_wh import _SCD_SQL, _geo, _scd, TYPE_CATEGORIES
+from quaestor.plans.queries_wh import _SCD_SQL, _geo, _scd, TYPE_CATEGORIES, TYPE_FREQUENCIES
 from quaestor.plans.sqlbind import with_
 
 
@@ -161,3 +161,58 @@ def q_urgent_returns_current_party(spark, sf_dir):
     r = JN.scalar_subquery_filter(r, "tax_type_key", types, "tax_type_code", "1-URGENT", "tax_type_key")
     dim = _scd(t).select("party_id", "segment", "version_number", "is_current")
     return JN.join_composite_current(r, dim, ["party_id"]).select("return_id", "party_id", "segment", "version_number")
+
+
+# ---------------------------------------------------------------- I31 quarterly risk score snapshot
+@register("fact_risk_score", with_("filings") + """,
+s AS (SELECT party_id, CAST(date_trunc('quarter', period_date) AS DATE) AS quarter_start,
+        """ + sql_pct("SUM(is_late)", "COUNT(*)") + """ AS risk_score FROM filings GROUP BY 1, 2),
+j AS (SELECT s.*, q.risk_score AS prior_q_risk_score, y.risk_score AS prior_y_risk_score FROM s
+      LEFT JOIN s q ON q.party_id = s.party_id AND CAST(q.quarter_start + INTERVAL 3 MONTH AS DATE) = s.quarter_start
+      LEFT JOIN s y ON y.party_id = s.party_id AND CAST(y.quarter_start + INTERVAL 12 MONTH AS DATE) = s.quarter_start)
+SELECT *, risk_score - prior_q_risk_score AS score_change_qoq, risk_score - prior_y_risk_score AS score_change_yoy,
+  CASE WHEN risk_score >= 61 THEN 1 ELSE 0 END AS is_high_risk,
+  CASE WHEN risk_score >= 61 AND COALESCE(prior_q_risk_score, 0) < 61 THEN 1 ELSE 0 END AS is_new_high_risk,
+  CAST(risk_score - prior_q_risk_score > 0 AS INTEGER) AS is_increasing,
+  CAST(risk_score - prior_q_risk_score < 0 AS INTEGER) AS is_decreasing,
+  CASE WHEN prior_q_risk_score IS NULL THEN 1 ELSE 0 END AS is_first_assessment,
+  CAST(risk_score - prior_q_risk_score >= 20 AS INTEGER) AS is_large_increase,
+  CAST(risk_score - prior_y_risk_score < 0 AS INTEGER) AS is_improved_yoy,
+  CASE WHEN risk_score = 0 THEN 1 ELSE 0 END AS is_zero_risk
+FROM j""")
+def q_fact_risk_score(spark, sf_dir):
+    from quaestor.functions.numeric import pct
+    from quaestor.plans import facts as FCT
+    f = B.filings(B.tables(spark, sf_dir))
+    s = f.groupBy("party_id", F.trunc("period_date", "quarter").alias("quarter_start")).agg(
+        pct(F.sum("is_late"), F.count(F.lit(1))).alias("risk_score"))
+    return FCT.build_fact_risk_score(s)
+
+
+# ---------------------------------------------------------------- I08 tax period dimension
+@register("dim_tax_period", """
+WITH t AS (SELECT DISTINCT o_orderpriority AS tax_type_code, """ + " CASE " + " ".join(
+    f"WHEN o_orderpriority = '{k}' THEN '{v}'" for k, v in TYPE_FREQUENCIES.items()) + """ ELSE 'ANNUAL' END AS frequency FROM orders),
+tk AS (SELECT tax_type_code, ROW_NUMBER() OVER (ORDER BY tax_type_code) AS tax_type_key FROM t),
+y AS (SELECT CAST(unnest(range(MIN(year(o_orderdate)), MAX(year(o_orderdate)) + 1)) AS INTEGER) AS year FROM orders),
+p AS (SELECT t.*, y.year, CAST(unnest(range(1, CASE frequency WHEN 'MONTHLY' THEN 12 WHEN 'QUARTERLY' THEN 4 ELSE 1 END + 1)) AS INTEGER) AS period_number FROM t, y),
+q AS (SELECT *, CASE frequency WHEN 'MONTHLY' THEN make_date(year, period_number, 1)
+                  WHEN 'QUARTERLY' THEN make_date(year, (period_number - 1) * 3 + 1, 1) ELSE make_date(year, 4, 1) END AS period_start_date,
+               CASE frequency WHEN 'MONTHLY' THEN 1 WHEN 'QUARTERLY' THEN 3 ELSE 12 END AS months FROM p),
+r AS (SELECT tax_type_code, frequency, year, period_number, period_start_date,
+        CAST(period_start_date + to_months(months) - INTERVAL 1 DAY AS DATE) AS period_end_date FROM q)
+SELECT r.tax_type_code, r.frequency, r.year, r.period_number, r.period_start_date, r.period_end_date, tk.tax_type_key,
+  CASE WHEN r.period_end_date < DATE '2001-08-01' THEN 'CLOSED' WHEN r.period_start_date > DATE '2001-08-01' THEN 'FUTURE' ELSE 'OPEN' END AS period_status,
+  CASE WHEN r.period_end_date < DATE '2001-08-01' THEN 1 ELSE 0 END AS is_closed,
+  CASE WHEN r.period_end_date >= DATE '2001-08-01' AND r.period_start_date <= DATE '2001-08-01' THEN 1 ELSE 0 END AS is_current,
+  CAST(CASE WHEN r.frequency = 'MONTHLY' THEN quarter(r.period_start_date)
+            WHEN r.frequency = 'QUARTERLY' AND r.period_number BETWEEN 1 AND 4 THEN r.period_number END AS INTEGER) AS period_quarter
+FROM r LEFT JOIN tk USING (tax_type_code)""")
+def q_dim_tax_period(spark, sf_dir):
+    from quaestor.plans import calendar as CAL
+    from quaestor.plans.queries_wh import TYPE_FREQUENCIES as TF
+    t = B.tables(spark, sf_dir)
+    types = DIM.build_dim_tax_type(t.orders, "o_orderpriority", TYPE_CATEGORIES, TF)
+    years = t.orders.select(F.year("o_orderdate").alias("year"))
+    periods = CAL.generate_tax_periods(types, years).drop("period_code", "filing_due_date")
+    return DIM.build_dim_tax_period(periods, types, B.AS_OF_ORDERS)

@@ -194,3 +194,27 @@ def test_form_rule_types(spark):
     ann = FRM.form_rules(form, rules, "2024-01-01", {"register": reg})
     bad = {r.id: sorted(v.rule_code for v in r._violations) for r in ann.collect()}
     assert bad == {1: ["F"], 2: ["C", "I", "L", "P"]}
+
+
+def test_country_subtype_and_run_summary(spark):
+    from quaestor.operators.aggregates import run_summary
+    from quaestor.operators.windows import link_prior_periods
+    c = DIM.build_dim_country(spark, [{"country_code": "MLT", "currency_code": "EUR", "fiscal_start_month": 1,
+                                       "fiscal_year_offset": 1, "is_eu_member": 1},
+                                      {"country_code": "LKA", "currency_code": "LKR", "fiscal_start_month": 4}])
+    assert [(r.country_code, r.country_key) for r in c.orderBy("country_key").collect()] == [("LKA", 1), ("MLT", 2)]
+    types = spark.createDataFrame([("VAT", 7)], "tax_type_code string, tax_type_key int")
+    sub = spark.createDataFrame([("S1", "MLT", "VAT", 0.05), ("S2", "XXX", "VAT", 0.18)],
+                                "subtype_code string, country_code string, tax_type_code string, rate_fraction double")
+    out = {r.subtype_code: r for r in DIM.build_dim_account_subtype(sub, c, types).collect()}
+    assert out["S1"].rate_pct == Decimal("5.0000") and out["S1"].country_key == 2 and out["S2"].country_key == -1
+    rec = SNK.run_record(spark, "r1", "MAP1", dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 1, 0, 30),
+                         {"extracted": 10, "rejected": 1, "loaded": 9}) \
+        .unionByName(SNK.run_record(spark, "r2", "MAP1", dt.datetime(2024, 1, 2, 1), dt.datetime(2024, 1, 2, 1, 1, 30),
+                                    {"extracted": 5, "loaded": 5}, status="FAILED"))
+    s = run_summary(rec).first()
+    assert (s.runs, s.successful_runs, s.rows_loaded, s.avg_run_seconds) == (2, 1, 14, Decimal("60.00"))
+    per = spark.createDataFrame([("VAT", "2023-01-01", 1), ("VAT", "2023-02-01", 2), ("VAT", "2024-01-01", 3),
+                                 ("PIT", "2024-01-01", 4)], "t string, s string, k int").withColumn("s", F.col("s").cast("date"))
+    links = {r.k: (r.prior_period_key, r.same_period_prior_year_key) for r in link_prior_periods(per, ["t"], "s", "k").collect()}
+    assert links == {1: (None, None), 2: (1, None), 3: (2, 1), 4: (None, None)}
