@@ -31,9 +31,11 @@ def join_composite_current(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
 
 
 def join_role_playing(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
-                      attrs: Sequence[str], bounded_dim: bool = True) -> DataFrame:
+                      attrs: Sequence[str], bounded_dim: bool = False) -> DataFrame:
     """The same dimension joined once per role (C06): ``roles`` maps fact key
-    column -> output prefix; dimension attributes come out prefixed."""
+    column -> output prefix; dimension attributes come out prefixed.  Set
+    ``bounded_dim`` for dimensions bounded by construction (calendars,
+    countries) to broadcast them."""
     out = fact
     for fk, prefix in roles.items():
         d = dim.select(F.col(dim_key).alias(f"__{prefix}k"), *[F.col(a).alias(f"{prefix}{a}") for a in attrs])

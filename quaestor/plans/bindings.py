@@ -111,7 +111,8 @@ def payments(t: Tables) -> DataFrame:
     r = t.orders.select(F.col("o_orderkey").alias("return_id"), F.col("o_custkey").alias("party_id"),
                         F.col("o_orderpriority").alias("tax_type_code"))
     return lines.join(r, "return_id").select(
-        F.concat_ws("-", "return_id", "line_number", "part_id", "supplier_id").alias("payment_id"),
+        F.concat_ws("-", "return_id", "line_number", "part_id", "supplier_id",
+                    F.date_format("ship_date", "yyyyMMdd")).alias("payment_id"),
         "return_id", "line_number", "party_id", "tax_type_code",
         F.col("ship_date").alias("payment_date"), F.col("payment_amount"),
         F.col("charge_type_code"), F.col("line_status"))

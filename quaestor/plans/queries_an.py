@@ -342,8 +342,9 @@ RATE_PERIODS = [("1990-01-01", "2000-01-01", 12.0), ("2000-01-01", None, 9.0)]
 
 def _interest_sql(principal, start, end):
     p1 = (f"GREATEST(date_diff('day', GREATEST({start}, DATE '1990-01-01'), LEAST({end}, DATE '2000-01-01')), 0) * "
-          f"{12.0 / 100.0 / 365.0!r}")
-    p2 = f"GREATEST(date_diff('day', GREATEST({start}, DATE '2000-01-01'), {end}), 0) * {9.0 / 100.0 / 365.0!r}"
+          f"CAST({12.0 / 100.0 / 365.0!r} AS DOUBLE)")
+    p2 = (f"GREATEST(date_diff('day', GREATEST({start}, DATE '2000-01-01'), {end}), 0) * "
+          f"CAST({9.0 / 100.0 / 365.0!r} AS DOUBLE)")
     return sql_round(f"CAST({principal} AS DOUBLE) * ({p1} + {p2})", 2, 19)
 
 

@@ -174,7 +174,10 @@ def q_dq_violation_log(spark, sf_dir):
 
 
 @register("dq_error_budget", _VIOL_SQL + """,
-rej AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM v WHERE severity IN ('ERROR', 'CRITICAL') AND action = 'REJECT'))
+rej AS (SELECT COUNT(*) AS n FROM lineitem l WHERE EXISTS (SELECT 1 FROM v WHERE v.severity IN ('ERROR', 'CRITICAL') AND v.action = 'REJECT'
+          AND v.l_orderkey = l.l_orderkey AND v.l_linenumber = l.l_linenumber AND v.l_partkey = l.l_partkey AND v.l_suppkey = l.l_suppkey
+          AND v.l_quantity = l.l_quantity AND v.l_extendedprice = l.l_extendedprice AND v.l_discount = l.l_discount AND v.l_tax = l.l_tax
+          AND v.l_returnflag = l.l_returnflag AND v.l_linestatus = l.l_linestatus AND v.l_shipdate = l.l_shipdate))
 SELECT (SELECT COUNT(*) FROM lineitem) AS total_rows, rej.n AS rejected_rows,
   """ + sql_pct("rej.n", "(SELECT COUNT(*) FROM lineitem)") + """ AS reject_pct,
   CASE WHEN """ + sql_pct("rej.n", "(SELECT COUNT(*) FROM lineitem)") + """ > 5 THEN 'FAIL' ELSE 'PASS' END AS status FROM rej""")
@@ -185,7 +188,10 @@ def q_dq_error_budget(spark, sf_dir):
 @register("dq_valid_rows", _VIOL_SQL + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem l
 WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.l_orderkey = l.l_orderkey AND v.l_linenumber = l.l_linenumber AND v.l_partkey = l.l_partkey
-                  AND v.l_suppkey = l.l_suppkey AND v.severity IN ('ERROR', 'CRITICAL') AND v.action = 'REJECT')""")
+                  AND v.l_suppkey = l.l_suppkey AND v.l_shipdate = l.l_shipdate AND v.l_extendedprice = l.l_extendedprice
+                  AND v.l_quantity = l.l_quantity AND v.l_discount = l.l_discount AND v.l_tax = l.l_tax
+                  AND v.l_returnflag = l.l_returnflag AND v.l_linestatus = l.l_linestatus
+                  AND v.severity IN ('ERROR', 'CRITICAL') AND v.action = 'REJECT')""")
 def q_dq_valid_rows(spark, sf_dir):
     return DQ.valid_rows(_annotated(B.tables(spark, sf_dir))).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 

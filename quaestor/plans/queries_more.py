@@ -140,7 +140,8 @@ def q_filing_date_roles(spark, sf_dir):
     f = B.filings(B.tables(spark, sf_dir))
     cal = _cal2(f)
     out = JN.join_role_playing(f.select("return_id", "filing_date", "due_date"), cal, "full_date",
-                               {"filing_date": "filed_", "due_date": "due_"}, ["day_name", "is_business_day"])
+                               {"filing_date": "filed_", "due_date": "due_"}, ["day_name", "is_business_day"],
+                               bounded_dim=True)
     return out.select("return_id", "filed_day_name", "filed_is_business_day", "due_day_name", "due_is_business_day")
 
 

@@ -29,7 +29,7 @@ CTES = {
         CASE WHEN t.first_ship_date IS NOT NULL AND t.first_ship_date <= r.due_date THEN 1 ELSE 0 END AS is_on_time,
         CASE WHEN t.first_ship_date IS NOT NULL THEN GREATEST(date_diff('day', r.due_date, t.first_ship_date), 0) END AS days_late
         FROM returns r LEFT JOIN line_totals t ON t.return_id = r.return_id""",
-    "payments": """SELECT concat_ws('-', l.return_id, l.line_number, l.part_id, l.supplier_id) AS payment_id, l.return_id, l.line_number, o.o_custkey AS party_id, o.o_orderpriority AS tax_type_code,
+    "payments": """SELECT concat_ws('-', l.return_id, l.line_number, l.part_id, l.supplier_id, strftime(l.ship_date, '%Y%m%d')) AS payment_id, l.return_id, l.line_number, o.o_custkey AS party_id, o.o_orderpriority AS tax_type_code,
         l.ship_date AS payment_date, l.payment_amount, l.charge_type_code, l.line_status
         FROM return_lines l JOIN orders o ON o.o_orderkey = l.return_id""",
     "ledger": f"""SELECT party_id AS account_id, period_date AS txn_date, 'ASSESSMENT' AS txn_type,
