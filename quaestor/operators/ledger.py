@@ -100,13 +100,19 @@ def allocation_summary(supply: DataFrame, allocations: DataFrame, keys: Sequence
 def installment_split(df: DataFrame, amount: str, n_col: str, share: float = 0.4,
                       out_amount: str = "installment_amount") -> DataFrame:
     """Partial payments: each installment pays ``share`` of what remains, the
-    last one the remainder (E17).  Closed form: remaining_i = A*(1-share)^(i-1)."""
+    last one the remainder (E17).  Closed form: remaining before installment
+    i = A * (1 - share)^(i-1), rounded half-up to cents; the installment is
+    the difference of consecutive remainders, so the parts sum to A."""
     out = df.withColumn("installment_no", F.explode(F.sequence(F.lit(1), F.col(n_col))))
-    rem_before = money(F.col(amount).cast("double") * F.pow(F.lit(1.0 - share), F.col("installment_no") - 1))
-    paid_before = money(F.col(amount)) - rem_before
-    part = round_half_up(rem_before * F.lit(share), 2, 19)
-    last = (money(F.col(amount)) - F.when(F.col("installment_no") > 1, paid_before + F.lit(0)).otherwise(F.lit(0)))
-    return out.withColumn(out_amount, F.when(F.col("installment_no") == F.col(n_col), last).otherwise(part).cast(MONEY))
+    a = money(F.col(amount))
+
+    def remaining(k):
+        return round_half_up(a.cast("double") * F.pow(F.lit(1.0 - share), k), 2, 19)
+
+    i = F.col("installment_no")
+    part = remaining(i - 1) - remaining(i)
+    last = remaining(i - 1)
+    return out.withColumn(out_amount, F.when(i == F.col(n_col), last).otherwise(part).cast(MONEY))
 
 
 def installment_schedule(plans: DataFrame, total: str, n_col: str, start_col: str, months_between: int | str = 1,
@@ -239,3 +245,16 @@ def create_account_periods(accounts: DataFrame, periods: DataFrame, existing: Da
     type and frequency, where not present yet (I39): equi-join + anti-join."""
     cand = accounts.join(periods, list(match_cols))
     return cand.join(existing.select(*key_cols), list(key_cols), "left_anti")
+
+
+def open_account_periods(accounts: DataFrame, start_col: str, end_col: str, existing: DataFrame,
+                         key_cols: Sequence[str], period_col: str = "period_month",
+                         step: str = "INTERVAL 1 MONTH") -> DataFrame:
+    """I39 for a continuous calendar: each account's periods from its start to
+    ``end_col`` by ``explode(sequence)`` (linear in the output, no join), minus
+    the account-periods that already exist (anti join)."""
+    keys = list(key_cols)
+    acct_keys = [k for k in keys if k != period_col]
+    cand = accounts.select(*acct_keys, F.explode(F.sequence(F.col(start_col), F.col(end_col), F.expr(step)))
+                           .alias(period_col))
+    return cand.join(existing.select(*keys), keys, "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quaestor.functions.strings import normalize_identifier
 from quaestor.operators.windows import flag_primary
 from quaestor.plans import analytics as M, bindings as B, dims as DIM
-from quaestor.plans.catalog import register, sql_pct
+from quaestor.plans.catalog import register, sql_pct, sql_round
 from quaestor.plans.queries_wh import _SCD_SQL, _geo, _scd, TYPE_CATEGORIES, TYPE_FREQUENCIES
 from quaestor.plans.sqlbind import with_
 
@@ -217,3 +217,71 @@ def q_dim_tax_period(spark, sf_dir):
     years = t.orders.select(F.year("o_orderdate").alias("year"))
     periods = CAL.generate_tax_periods(types, years).drop("period_code", "filing_due_date")
     return DIM.build_dim_tax_period(periods, types, B.AS_OF_ORDERS)
+
+
+# ---------------------------------------------------------------- I39 account periods (missing filings)
+@register("missing_account_periods", _REG_SQL + """,
+months AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', MIN(period_date)) AS DATE),
+                                               CAST(date_trunc('month', MAX(period_date)) AS DATE), INTERVAL 1 MONTH)) AS DATE) AS period_month
+           FROM returns),
+cand AS (SELECT r.party_id, r.tax_type_code, m.period_month FROM reg r JOIN months m ON m.period_month >= CAST(date_trunc('month', r.registration_date) AS DATE)),
+have AS (SELECT DISTINCT party_id, tax_type_code, CAST(date_trunc('month', period_date) AS DATE) AS period_month FROM returns)
+SELECT c.party_id, c.tax_type_code, c.period_month FROM cand c
+WHERE c.tax_type_code IN ('1-URGENT', '2-HIGH')
+  AND NOT EXISTS (SELECT 1 FROM have h WHERE h.party_id = c.party_id AND h.tax_type_code = c.tax_type_code AND h.period_month = c.period_month)""")
+def q_missing_account_periods(spark, sf_dir):
+    from quaestor.operators.keys import attach_scalars
+    from quaestor.operators.ledger import open_account_periods
+    t = B.tables(spark, sf_dir)
+    r = B.returns(t)
+    hi = r.agg(F.trunc(F.max("period_date"), "month").alias("hi_month"))
+    # monthly filers: every registered account has a period each month from registration on
+    accounts = attach_scalars(_registrations(t).where(F.col("tax_type_code").isin("1-URGENT", "2-HIGH")), hi) \
+        .withColumn("reg_month", F.trunc("registration_date", "month"))
+    existing = r.select("party_id", "tax_type_code", F.trunc("period_date", "month").alias("period_month"))
+    return open_account_periods(accounts, "reg_month", "hi_month", existing,
+                                ["party_id", "tax_type_code", "period_month"])
+
+
+# ---------------------------------------------------------------- E17 installment split
+@register("installment_split", with_("returns") + f""",
+x AS (SELECT return_id, assessed_amount, 3 AS n, CAST(unnest(range(1, 4)) AS INTEGER) AS installment_no FROM returns),
+y AS (SELECT *, {sql_round('CAST(assessed_amount AS DOUBLE) * pow(0.6, installment_no - 1)', 2, 19)} AS rem_before,
+             {sql_round('CAST(assessed_amount AS DOUBLE) * pow(0.6, installment_no)', 2, 19)} AS rem_after FROM x)
+SELECT return_id, assessed_amount, n, installment_no,
+  CAST(CASE WHEN installment_no = n THEN rem_before ELSE rem_before - rem_after END AS DECIMAL(19,2)) AS installment_amount
+FROM y""")
+def q_installment_split(spark, sf_dir):
+    from quaestor.operators.ledger import installment_split
+    r = B.returns(B.tables(spark, sf_dir)).select("return_id", "assessed_amount", F.lit(3).alias("n"))
+    return installment_split(r, "assessed_amount", "n")
+
+
+# ---------------------------------------------------------------- I37 ledger postings
+from quaestor.plans.queries import _ALLOC_SQL, _allocations, _PEN, _INT  # noqa: E402
+
+
+@register("ledger_postings", with_("filings", "payments") + "," + _ALLOC_SQL.strip().replace("FROM returns", "FROM filings") + f""",
+comp AS (SELECT return_id, party_id, period_date, assessed_amount AS principal,
+           COALESCE({_PEN}, 0) AS penalty, COALESCE({_INT}, 0) AS interest FROM filings),
+deb AS (SELECT CAST(return_id AS VARCHAR) AS source_id, party_id AS account_id, period_date AS txn_date, 'PRINCIPAL' AS charge_type_code,
+          CAST(principal AS DECIMAL(19,2)) AS amount, 'DEBIT' AS txn_type FROM comp WHERE principal > 0
+        UNION ALL SELECT CAST(return_id AS VARCHAR), party_id, period_date, 'PENALTY', CAST(penalty AS DECIMAL(19,2)), 'DEBIT' FROM comp WHERE penalty > 0
+        UNION ALL SELECT CAST(return_id AS VARCHAR), party_id, period_date, 'INTEREST', CAST(interest AS DECIMAL(19,2)), 'DEBIT' FROM comp WHERE interest > 0),
+cred AS (SELECT a.payment_id || '/' || CAST(a.return_id AS VARCHAR) AS source_id, a.party_id AS account_id, p.payment_date AS txn_date,
+           'PRINCIPAL' AS charge_type_code, CAST(-a.allocated_amount AS DECIMAL(19,2)) AS amount, 'CREDIT' AS txn_type
+         FROM alloc a JOIN payments p ON p.payment_id = a.payment_id WHERE a.allocated_amount > 0)
+SELECT * FROM deb UNION ALL SELECT * FROM cred""")
+def q_ledger_postings(spark, sf_dir):
+    from quaestor.operators.ledger import ledger_postings
+    from quaestor.plans import facts as FCT
+    t = B.tables(spark, sf_dir)
+    a = FCT.build_fact_assessment(B.filings(t)).join(B.returns(t).select("return_id", "period_date"), "return_id")
+    alloc = _allocations(t).join(B.payments(t).select("payment_id", "payment_date"), "payment_id").select(
+        F.concat_ws("/", "payment_id", F.col("return_id").cast("string")).alias("allocation_id"),
+        F.col("party_id").alias("account_id"), F.col("payment_date").alias("txn_date"),
+        F.lit("PRINCIPAL").alias("charge_type_code"), "allocated_amount")
+    out = ledger_postings(a.withColumn("source_id", F.col("return_id").cast("string")), "source_id", "party_id",
+                          "period_date", {"PRINCIPAL": "assessed_tax_amount", "PENALTY": "penalty_amount",
+                                          "INTEREST": "interest_amount"}, alloc)
+    return out.select("source_id", "account_id", "txn_date", "charge_type_code", "amount", "txn_type")
