@@ -218,3 +218,34 @@ def test_country_subtype_and_run_summary(spark):
                                  ("PIT", "2024-01-01", 4)], "t string, s string, k int").withColumn("s", F.col("s").cast("date"))
     links = {r.k: (r.prior_period_key, r.same_period_prior_year_key) for r in link_prior_periods(per, ["t"], "s", "k").collect()}
     assert links == {1: (None, None), 2: (1, None), 3: (2, 1), 4: (None, None)}
+
+
+def test_collection_refund_registration_facts(spark):
+    actions = spark.createDataFrame([(1, 10, "GARNISHMENT", 300.0), (2, 10, "REMINDER", 0.0)],
+                                    "action_id int, case_id int, action_type_code string, action_collected double")
+    cases = spark.createDataFrame([(10, 7, "2024-01-01", 1000.0)], "case_id int, account_id int, case_opened_date string, "
+                                  "current_debt_amount double").withColumn("case_opened_date", F.col("case_opened_date").cast("date"))
+    dues = spark.createDataFrame([(7, "2023-12-15"), (7, "2023-11-15")], "account_id int, due_date string") \
+        .withColumn("due_date", F.col("due_date").cast("date"))
+    c = {r.action_id: r for r in FCT.build_fact_collection(actions, cases, dues, "2024-03-01").collect()}
+    assert c[1].effectiveness_ratio == Decimal("0.3000") and c[1].is_escalated == 1 and c[2].is_successful == 0
+    assert c[1].days_since_opened == 60 and c[1].debt_due_date == dt.date(2023, 11, 15)
+    ref = spark.createDataFrame([(1, 7, "2024-01-01", 500.0, 100.0, "2024-01-10", None)],
+                                "refund_id int, party_id int, claim_date string, gross_refund_amount double, "
+                                "offset_amount double, approval_date string, refund_date string")
+    for col in ("claim_date", "approval_date", "refund_date"):
+        ref = ref.withColumn(col, F.col(col).cast("date"))
+    r = FCT.build_fact_refund(ref).first()
+    assert (r.net_refund_amount, r.is_approved, r.is_disbursed, r.processing_days, r.approval_days) == \
+        (Decimal("400.00"), 1, 0, 0, 9)
+    acc = spark.createDataFrame([(1, "VAT", "2024-01-01"), (2, None, "2024-01-01")],
+                                "party_id int, tax_type_code string, registration_date string") \
+        .withColumn("registration_date", F.col("registration_date").cast("date"))
+    assert FCT.build_fact_registration(acc).count() == 1
+    m = spark.createDataFrame([(100.0, 20.0, 30.0, 5.0, 2.0, 50.0, 10.0, 70.0, 40.0, 10.0, 5.0)],
+                              "gross_income double, deductions double, tax_liability double, tax_credits double, "
+                              "tax_withheld double, output_vat double, input_vat double, payment_amount double, "
+                              "tax_paid double, penalty_paid double, interest_paid double")
+    f = FCT.derive_payment_measures(FCT.derive_filing_measures(m)).first()
+    assert (f.taxable_income, f.tax_payable, f.vat_net, f.unallocated_amount) == \
+        (Decimal("80.00"), Decimal("23.00"), Decimal("40.00"), Decimal("15.00"))
