@@ -22,38 +22,42 @@ def date_key(c) -> Column:
 
 
 def year_month_key(c) -> Column:
+    """year * 100 + month."""
     d = as_date(c)
     return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
 def year_quarter_key(c) -> Column:
+    """year * 10 + quarter."""
     d = as_date(c)
     return (F.year(d) * 10 + F.quarter(d)).cast("int")
 
 
 def iso_year(c) -> Column:
-    """ISO-8601 week-numbering year: the year of the Thursday of the week."""
+    """(H06) ISO-8601 week-numbering year: the year of the Thursday of the week."""
     d = as_date(c)
     return F.year(F.date_add(d, 3 - F.weekday(d)))
 
 
 def iso_weekday(c) -> Column:
-    """Monday = 1 .. Sunday = 7."""
+    """Monday = 1 .. Sunday = 7."""
     return (F.weekday(as_date(c)) + 1).cast("int")
 
 
 def year_week_key(c) -> Column:
+    """ISO year * 100 + ISO week."""
     d = as_date(c)
     return (iso_year(d) * 100 + F.weekofyear(d)).cast("int")
 
 
 def quarter_label(c, sep: str = "Q") -> Column:
-    """``2024Q3`` (sep 'Q') or ``2024-Q3`` (sep '-Q')."""
+    """(H10) ``2024Q3`` (sep 'Q') or ``2024-Q3`` (sep '-Q')."""
     d = as_date(c)
     return F.concat(F.year(d).cast("string"), F.lit(sep), F.quarter(d).cast("string"))
 
 
 def days_in_month(c) -> Column:
+    """Days in the month."""
     return F.dayofmonth(F.last_day(as_date(c)))
 
 
@@ -100,7 +104,7 @@ def week_start(c) -> Column:
 # ---- fiscal calendar (H09) -------------------------------------------------
 
 def fiscal_year(c, start_month: int = 1, offset: int = 0) -> Column:
-    """Fiscal year labelled by its starting calendar year, plus ``offset``.
+    """(H09) Fiscal year labelled by its starting calendar year, plus ``offset``.
 
     Start month 4 -> Apr 2024..Mar 2025 is fiscal year 2024.
     """
@@ -120,7 +124,7 @@ def fiscal_quarter(c, start_month: int = 1) -> Column:
 
 
 def fiscal_year_label(fy, pattern) -> Column:
-    """Fill a label pattern: {YEAR}, {NEXT_YEAR}, {YEAR_SHORT}, {NEXT_YEAR_SHORT}.
+    """(H09) Fill a label pattern: {YEAR}, {NEXT_YEAR}, {YEAR_SHORT}, {NEXT_YEAR_SHORT}.
 
     ``pattern`` may be a literal string or a column (per-country patterns).
     """
@@ -139,6 +143,7 @@ def fiscal_year_label(fy, pattern) -> Column:
 # ---- arithmetic (H04, H07, H08, E09) --------------------------------------
 
 def date_diff_days(end, start, clamp_zero: bool = False) -> Column:
+    """DATEDIFF in days, optionally clamped at 0."""
     v = F.datediff(as_date(end), as_date(start))
     return F.greatest(v, F.lit(0)) if clamp_zero else v
 

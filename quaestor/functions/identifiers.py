@@ -26,11 +26,12 @@ def _day_ok(day: Column) -> Column:
 
 
 def valid_tin(c) -> Column:
+    """9-digit TIN."""
     return F.coalesce(col(c).rlike(TIN_PATTERN), F.lit(False))
 
 
 def valid_nic(c, as_of_year) -> Column:
-    """Old ``\\d{9}V`` or new 12-digit national id with a valid day-of-year."""
+    """(H19) Old ``\\d{9}V`` or new 12-digit national id with a valid day-of-year."""
     x = col(c)
     old = x.rlike(NIC_OLD_PATTERN) & _day_ok(F.substring(x, 3, 3).cast("int"))
     yr = F.substring(x, 1, 4).cast("int")

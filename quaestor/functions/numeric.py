@@ -29,14 +29,14 @@ def zero_money() -> Column:
 
 
 def round_half_up(x, k: int = 2, precision: int = 18) -> Column:
-    """Half-up rounding to ``k`` places, returned as decimal(precision, k)."""
+    """(H11) Half-up rounding to ``k`` places, returned as decimal(precision, k)."""
     scale = float(10 ** k)
     v = F.floor(col(x).cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
     return v.cast(DecimalType(precision, k))
 
 
 def safe_ratio(num, den, k: int = 4, multiplier: float = 1.0, precision: int = 18) -> Column:
-    """``round(multiplier * num / nullif(den, 0), k)``; NULL when den is 0 or NULL."""
+    """(H11, D07) ``round(multiplier * num / nullif(den, 0), k)``; NULL when den is 0 or NULL."""
     d = col(den).cast("double")
     v = F.lit(float(multiplier)) * col(num).cast("double") / F.nullif(d, F.lit(0.0))
     return round_half_up(v, k, precision)
@@ -53,6 +53,7 @@ def avg_money(sum_col, count_col, k: int = 2) -> Column:
 
 
 def clamp(x, lo=None, hi=None) -> Column:
+    """least/greatest caps."""
     c = col(x)
     if lo is not None:
         c = F.greatest(c, F.lit(lo))

@@ -19,6 +19,7 @@ I18N_MAP = T.MapType(T.StringType(), T.StringType())
 
 
 def json_field(c, path: str, cast: str | None = None) -> Column:
+    """get_json_object with an optional cast."""
     v = F.get_json_object(col(c), path)
     return v.cast(cast) if cast else v
 
@@ -28,7 +29,7 @@ def json_map(c, value_type: T.DataType = T.StringType()) -> Column:
 
 
 def json_range_lookup(value, table_json) -> Column:
-    """Value from a JSON range table ``[{"from":..,"to":..,"value":..}]``: the
+    """(H14) Value from a JSON range table ``[{"from":..,"to":..,"value":..}]``: the
     first entry with from <= v < to (open 'to' when NULL)."""
     arr = F.from_json(col(table_json), RANGE_TABLE)
     v = col(value).cast("double")
@@ -42,8 +43,10 @@ def localized(c, lang: str, fallback: str = "en") -> Column:
 
 
 def split_codes(c, sep: str = ",") -> Column:
+    """Comma-separated codes -> trimmed array."""
     return F.filter(F.transform(F.split(col(c), sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def any_code_in(c, codes, sep: str = ",") -> Column:
+    """Any of the codes present in a code list."""
     return F.arrays_overlap(split_codes(c, sep), F.array(*[F.lit(x) for x in codes]))

@@ -9,7 +9,7 @@ from quaestor.functions.numeric import col
 
 
 def blank_to_null(c) -> Column:
-    """'' or whitespace-only -> NULL."""
+    """'' or whitespace-only -> NULL."""
     x = col(c)
     return F.when(F.trim(x.cast("string")) != "", x)
 
@@ -35,6 +35,7 @@ def normalize_identifier(value, source_normalized=None) -> Column:
 
 
 def right(c, n: int) -> Column:
+    """RIGHT(c, n)."""
     x = col(c).cast("string")
     return F.when(F.length(x) <= n, x).otherwise(F.substring(x, -n, n))
 

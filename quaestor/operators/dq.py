@@ -146,7 +146,8 @@ def _row_check(r: Rule, as_of: str, dtypes: Mapping[str, str] | None = None) ->
 
 def apply_rules(df: DataFrame, rules: Sequence, as_of: str = "2001-08-01",
                 references: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Annotate every row with ``_violations`` (L09 first half).
+    """Annotate every row with ``_violations`` (L09 first half).  CUSTOM rules
+    (K02) are Spark SQL predicates (or Columns) that must hold.
 
     UNIQUE (L06): duplicates found by an aggregate on the key columns joined
     back.  REFERENTIAL (L07): left join to the distinct reference keys.

@@ -24,7 +24,8 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
                as_of: str, key_col: str = "surrogate_key", valid_from: str = "valid_from",
                valid_to: str = "valid_to", is_current: str = "is_current",
                version: str = "version_number") -> DataFrame:
-    """Full new dimension after applying ``incoming`` as of ``as_of``.
+    """SCD type 2 merge (I04): the full new dimension after applying
+    ``incoming`` as of ``as_of``.
 
     * new natural key -> version 1, valid from as_of
     * tracked attributes changed -> old version closed (is_current 0,
@@ -88,7 +89,7 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
 
 def initial_scd2(incoming: DataFrame, keys: Sequence[str], as_of: str, key_col: str = "surrogate_key",
                  start_key: int = 0) -> DataFrame:
-    """First load: every row version 1, current, open ended."""
+    """First SCD2 load (I04): every row version 1, current, open ended."""
     out = (incoming.withColumn("valid_from", F.lit(as_of).cast("date"))
            .withColumn("valid_to", F.lit(None).cast("date"))
            .withColumn("is_current", F.lit(1))
