@@ -48,7 +48,23 @@ def main():
         for i in ids:
             if i in impl:
                 impl[i].append(f"{mod.split('.', 1)[1]}.{name}")
-    queries = {(mod, name): seg for (mod, name), (_, seg) in fns.items() if name.startswith("q_")}
+    helpers = {name: seg for (mod, name), (_, seg) in fns.items() if name.startswith("_")}
+
+    def expand(seg, depth=3):
+        """query source plus the module helpers (``_name``) it calls, transitively."""
+        out, seen, todo = seg, set(), [seg]
+        for _ in range(depth):
+            nxt = []
+            for src in todo:
+                for h in re.findall(r"\b(_[a-z][a-z0-9_]*)\(", src):
+                    if h in helpers and h not in seen:
+                        seen.add(h)
+                        out += "\n" + helpers[h]
+                        nxt.append(helpers[h])
+            todo = nxt
+        return out
+
+    queries = {(mod, name): expand(seg) for (mod, name), (_, seg) in fns.items() if name.startswith("q_")}
     reg = {(mod, name): name[2:] for (mod, name) in queries}
     # ops composed directly in a query: cited in the comment line above @register
     for f in glob.glob(os.path.join(ROOT, "quaestor", "plans", "queries*.py")):
