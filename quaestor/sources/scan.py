@@ -50,8 +50,27 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_bytes: int = 1 <<
     scan already has many partitions and nothing changes.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread_if_underpartitioned(df, path, spread_bytes)
+    return spread_if_underpartitioned(read_parquet_cached_schema(spark, path), path, spread_bytes)
+
+
+_SCHEMAS: dict = {}
+
+
+def read_parquet_cached_schema(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` that infers the schema (footer read) once per
+    path and modification time, then passes it explicitly."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stamp = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+    except Exception:  # noqa: BLE001 - no stamp: plain read
+        return spark.read.parquet(path)
+    key = (path, stamp)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 _SPREAD: dict[tuple[str, int], bool] = {}
