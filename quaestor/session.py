@@ -72,3 +72,27 @@ def _count():
 
 
 _counter = _count()
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of parquet.
+
+    * scan splits of ``target_partition_bytes`` (maxPartitionBytes), so a task
+      reads ~256 MB whatever the file layout;
+    * initial shuffle partitions = input / target (at least 2 x cores), AQE
+      then coalesces small ones to the advisory size and splits skewed ones;
+    * broadcast threshold stays small (64 MB): only bounded frames are hinted,
+      everything else is left to AQE's runtime sizes.
+    For 100 TB and 256 MB partitions this gives ~400,000 initial shuffle
+    partitions, coalesced at runtime.
+    """
+    parts = max(2 * executor_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
