@@ -11,6 +11,7 @@ cost is linear in the rows of an account.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -158,7 +159,7 @@ def accrue_interest(principal, start, end, rate_periods: Sequence[tuple[str, str
         days = F.greatest(F.datediff(b, a), F.lit(0))
         part = days * F.lit(rate / 100.0 / 365.0)
         simple = part if simple is None else simple + part
-        lg = days * F.lit(__import__("math").log1p(rate / 100.0 / 365.0))
+        lg = days * F.lit(math.log1p(rate / 100.0 / 365.0))
         log_growth = lg if log_growth is None else log_growth + lg
     factor = (F.exp(log_growth) - 1) if compound else simple
     interest = p.cast("double") * factor

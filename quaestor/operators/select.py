@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaestor.functions.strings import whole_word_match
-from quaestor.operators.keys import bounded
 from quaestor.operators.scd import point_in_time  # noqa: F401  (B23)
 
 
@@ -90,6 +89,9 @@ def top_k(df: DataFrame, order_cols: Sequence[Column], k: int) -> DataFrame:
 
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], k: int,
                     rank_col: str = "rank_in_group") -> DataFrame:
+    """Top k rows per group.  ``row_number() <= k`` lets Spark insert a
+    partial group limit before the shuffle (WindowGroupLimit), so each task
+    ships at most k rows per group even for a hot group."""
     from pyspark.sql import Window
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)

@@ -9,7 +9,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaestor.functions.dates import year_quarter_key, year_month_key
+from quaestor.functions.dates import year_quarter_key
 from quaestor.functions.numeric import MONEY, count_if, money, pct, safe_ratio, avg_money
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quaestor.functions.numeric import MONEY, money, pct
-from quaestor.operators import aggregates as AGG, joins as JN, ledger as LED, windows as WIN
+from quaestor.functions.numeric import money, pct
+from quaestor.operators import aggregates as AGG, ledger as LED, windows as WIN
 from quaestor.plans import analytics as M, bindings as B, dims as DIM, facts as FCT
 from quaestor.plans.catalog import register, sql_pct, sql_ratio, sql_round
 from quaestor.plans.queries import _ALLOC_SQL, _allocations

@@ -6,9 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quaestor.functions.numeric import MONEY, money, pct
+from quaestor.functions.numeric import money, pct
 from quaestor.functions.semistructured import json_field
-from quaestor.operators import checks as CHK, dq as DQ, joins as JN, ledger as LED, windows as WIN
+from quaestor.operators import checks as CHK, dq as DQ, joins as JN, ledger as LED
 from quaestor.operators.hierarchy import derive_hierarchy_level
 from quaestor.plans import bindings as B, forms as FRM, snapshots as SNAP
 from quaestor.plans.catalog import register, sql_pct, sql_ratio, sql_round

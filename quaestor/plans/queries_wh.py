@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quaestor.functions.numeric import money
-from quaestor.operators import checks as CHK, dq as DQ, merge as MRG, scd as SCD
+from quaestor.operators import checks as CHK, merge as MRG, scd as SCD
 from quaestor.operators.hierarchy import walk_hierarchy
-from quaestor.operators.keys import attach_scalars
 from quaestor.plans import bindings as B, calendar as CAL, dims as DIM
-from quaestor.plans.catalog import register, sql_pct, sql_round
+from quaestor.plans.catalog import register
 from quaestor.plans.sqlbind import with_
 
 _AS_OF = B.AS_OF_ORDERS
