@@ -182,11 +182,14 @@ def prior_date_key(c, unit: str, lower: str | None = None) -> Column:
     return k
 
 
-def due_date_after(c, months_after: int = 1, due_day: int = 15) -> Column:
+def due_date_after(c, months_after=1, due_day=15) -> Column:
     """Day ``due_day`` of the month ``months_after`` months after c's month,
-    capped at the last day of that month (M41)."""
-    m = F.add_months(month_start(c), months_after)
-    return F.least(F.date_add(m, due_day - 1), F.last_day(m))
+    capped at the last day of that month (M41).  Both rules may be ints or
+    per-row Columns (rules looked up per tax type or scheme)."""
+    ma = F.lit(months_after) if isinstance(months_after, int) else months_after
+    dd = F.lit(due_day) if isinstance(due_day, int) else due_day
+    m = F.add_months(month_start(c), ma)
+    return F.least(F.date_add(m, dd - 1), F.last_day(m))
 
 
 def easter_sunday(year) -> Column:

@@ -436,10 +436,9 @@ x AS (SELECT return_id, tax_type_code, period_date,
 y AS (SELECT *, CAST(date_trunc('month', period_date) + to_months(months_after) AS DATE) AS m FROM x)
 SELECT return_id, tax_type_code, period_date, LEAST(CAST(m + (due_day - 1) AS DATE), last_day(m)) AS scheme_due_date FROM y""")
 def q_filing_due_dates(spark, sf_dir):
-    from quaestor.functions.dates import month_start
+    from quaestor.functions.dates import due_date_after
     r = B.returns(B.tables(spark, sf_dir))
     ma = F.create_map(*[x for k, v in DUE_RULES.items() for x in (F.lit(k), F.lit(v[0]))])
     dd = F.create_map(*[x for k, v in DUE_RULES.items() for x in (F.lit(k), F.lit(v[1]))])
-    m = F.add_months(month_start("period_date"), F.element_at(ma, F.col("tax_type_code")))
-    due = F.least(F.date_add(m, F.element_at(dd, F.col("tax_type_code")) - 1), F.last_day(m))
+    due = due_date_after("period_date", F.element_at(ma, F.col("tax_type_code")), F.element_at(dd, F.col("tax_type_code")))
     return r.select("return_id", "tax_type_code", "period_date", due.alias("scheme_due_date"))
