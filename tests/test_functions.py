@@ -81,3 +81,11 @@ def test_strings_and_codes(spark):
 def test_hashes_are_stable(spark):
     assert one(spark, H.surrogate_hash(F.lit("a"), F.lit(None))) == "3eb893f5340c62378e60083b1035aba6"
     assert one(spark, H.row_identifier(F.lit(1), F.lit(2))) == "1:2"
+
+
+def test_cluster_conf_sizes_partitions():
+    from quaestor.session import cluster_conf
+    c = cluster_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
+    assert int(cluster_conf(10 * 2**20, 64)["spark.sql.shuffle.partitions"]) == 128  # at least 2 x cores
