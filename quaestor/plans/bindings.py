@@ -106,7 +106,12 @@ def filings(t: Tables) -> DataFrame:
 
 
 def payments(t: Tables) -> DataFrame:
-    """Payments (one per line) with the paying party resolved via the return."""
+    """Payments (one per line) with the paying party resolved via the return.
+
+    The test lineitem has no unique key: (order, line) repeats, and at
+    sf0.001 even (order, line, part, supplier) does, so a payment is
+    identified by (order, line, part, supplier, ship date) - unique at every
+    scale, and a total order for the allocation scans."""
     lines = return_lines(t)
     r = t.orders.select(F.col("o_orderkey").alias("return_id"), F.col("o_custkey").alias("party_id"),
                         F.col("o_orderpriority").alias("tax_type_code"))
