@@ -13,6 +13,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _LOADED: dict = {}
 _BLANKS = re.compile(r" (?=\s)")
@@ -42,7 +44,7 @@ class PieceEncoder:
     at spaces and newlines, which never belong to a word or a special token.
     """
 
-    CACHED, LONGEST = 150_000, 64
+    CACHED, MOST_IDS = 1_500_000, 16_000_000
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,44 +54,65 @@ class PieceEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.kind = kind
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
         self._bytes = None
-
-    def pieces(self, text: str) -> list[str]:
-        if self.kind == "word":
-            return text.replace("\n", " ").split(" ")
-        if _BLANKS.search(text) or text.endswith(" "):
-            return [text]
-        head, *rest = text.split(" ")
-        return [head, *[" " + x for x in rest]]
+        self._forget()
+
+    def _forget(self) -> None:
+        self._index: dict[str | tuple[str], int] = {}
+        self._ids, self._starts, self._used = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64), 0
+
+    def _add(self, pieces: list[str], keys: list) -> None:
+        """Encodes ``pieces`` and keeps their ids under ``keys``."""
+        found = [array("I", e.ids) for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        n, new = len(self._index), self._used + int(sizes.sum())
+        while new > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        while n + len(keys) + 1 > len(self._starts):
+            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
+        self._ids[self._used:new] = np.frombuffer(b"".join(a.tobytes() for a in found), np.uint32)
+        self._starts[n + 1:n + 1 + len(keys)] = self._used + np.cumsum(sizes)
+        self._used = new
+        self._index.update(zip(keys, range(n, n + len(keys))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """ids of each text; call with about a million characters at once."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.new) > self.CACHED:
-            self.old, self.new = self.new, {"": b""}
-        new, old = self.new, self.old
-        absent = set().union(*cut).difference(new) if cut else set()
-        fresh = []
-        for p in absent:
-            ids = old.get(p)
-            if ids is None:
-                fresh.append(p)
-            else:
-                new[p] = ids
-        for p, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False)):
-            new[p] = array("I", e.ids).tobytes()
-        out = [b"".join(map(new.__getitem__, ps)) for ps in cut]
-        for p in fresh:
-            if len(p) > self.LONGEST:
-                del new[p]
+        """ids of each text; call with some million characters at once."""
+        if len(self._index) > self.CACHED or self._used > self.MOST_IDS:
+            self._forget()
+        if self.kind == "word":
+            whole = {}
+            cut = pa.array([t.replace("\n", " ") for t in texts], pa.large_string())
+        else:
+            whole = {i: t for i, t in enumerate(texts) if _BLANKS.search(t) or t.endswith(" ")}
+            cut = pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string())
+        lists = pc.split_pattern(cut, " ")
+        edges = lists.offsets.to_numpy()
+        words = lists.flatten().dictionary_encode()
+        known = words.dictionary.to_pylist()
+        place = np.fromiter((self._index.get(w, -1) for w in known), np.int64, len(known))
+        fresh = np.flatnonzero(place < 0)
+        if len(fresh):
+            new = [known[i] for i in fresh.tolist()]
+            place[fresh] = np.arange(len(self._index), len(self._index) + len(new))
+            # an empty key stands for nothing: blanks at a text's end, or doubled
+            self._add([" " + w if w and self.kind == "byte" else w for w in new], new)
+        word = place[words.indices.to_numpy()]
+        if self.kind == "byte":  # a text's first word has no space before it
+            heads = np.flatnonzero(edges[1:] > edges[:-1])
+            names = [(known[i],) for i in words.indices.to_numpy()[edges[heads]].tolist()]
+            absent = list({k for k in names if k not in self._index})
+            if absent:
+                self._add([k[0] for k in absent], absent)
+            word[edges[heads]] = [self._index[k] for k in names]
+        size = self._starts[word + 1] - self._starts[word]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        ids = self._ids[np.repeat(self._starts[word] - ends[:-1], size) + np.arange(ends[-1])].astype("<u4").tobytes()
+        at = (4 * ends[edges]).tolist()
+        out = [ids[a:b] for a, b in zip(at, at[1:])]
+        for i, t in whole.items():
+            out[i] = array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes()
         return out
 
-    def word_starts(self, text: str) -> list[tuple[int, int]]:
-        """(start, end) of the rule's words in ``text`` (special tokens aside)."""
-        return [span for _, span in self.tok.pre_tokenizer.pre_tokenize_str(text)]
-
     def decode(self, ids: bytes) -> str:
         """As the library's decode(ids, skip_special_tokens=False) of a
         byte-level vocabulary: the tokens' bytes, badly formed UTF-8 replaced."""
