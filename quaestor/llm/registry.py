@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from quaestor.llm import packing
+from quaestor.llm import bpe, language, licenses, minhash, packing, resharding
 
 QUERIES = {
+    "op1_bpe_chunks": bpe.query,
+    "op3_license_scan": licenses.query,
+    "op4_resharding": resharding.query,
+    "op7_minhash": minhash.query,
+    "op8_language_id": language.query,
     "op10_packing": packing.query,
 }
 
