@@ -141,7 +141,7 @@ def _encode_step(path: str, whole: bool):
                 texts, out = _texts(part["payload"]), []
                 alone = [i for i, s in enumerate(part["shared"]) if not s]
                 mine = [texts[i] for i in alone]
-                for x, y in batches_by_chars(mine, 16_000_000):
+                for x, y in batches_by_chars(mine, 8_000_000):
                     out += [_finished(enc, part["doc_id"][i], ids, whole)
                             for i, ids in zip(alone[x:y], enc.encode(mine[x:y]))]
                 for i, shared in enumerate(part["shared"]):

@@ -90,7 +90,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int, s
     for b in batches:
         doc_ids = b.column(0).to_pylist()
         texts = [t or "" for t in b.column(1).to_pylist()]
-        for lo, hi in batches_by_chars(texts, 16_000_000):
+        for lo, hi in batches_by_chars(texts, 8_000_000):
             for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
                 ids += end
                 total, start = len(ids) // 4, 0

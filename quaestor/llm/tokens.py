@@ -44,7 +44,7 @@ class PieceEncoder:
     at spaces and newlines, which never belong to a word or a special token.
     """
 
-    CACHED, MOST_IDS = 1_500_000, 16_000_000
+    CACHED, MOST_IDS = 800_000, 8_000_000
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
