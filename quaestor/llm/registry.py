@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quaestor.llm import bpe, language, licenses, minhash, packing, resharding
+from quaestor.llm import bpe, language, licenses, minhash, packing, quality, resharding
 
 QUERIES = {
     "op1_bpe_chunks": bpe.query,
+    "op2_quality_rules": quality.query,
     "op3_license_scan": licenses.query,
     "op4_resharding": resharding.query,
     "op7_minhash": minhash.query,
@@ -15,4 +16,6 @@ QUERIES = {
 
 #: DuckDB SQL where SQL can express the operator; the others are tested
 #: against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": quality.SQL,
+}
