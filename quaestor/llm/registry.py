@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quaestor.llm import bpe, language, licenses, minhash, packing, quality, resharding
+from quaestor.llm import bpe, language, licenses, minhash, neighbours, packing, quality, resharding
 
 QUERIES = {
     "op1_bpe_chunks": bpe.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_resharding": resharding.query,
     "op7_minhash": minhash.query,
     "op8_language_id": language.query,
+    "op9_multiprobe": neighbours.query,
     "op10_packing": packing.query,
 }
 
