@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quaestor.llm import bpe, html_text, language, licenses, minhash, neighbours, packing, quality, resharding
+from quaestor.llm import bpe, html_text, language, licenses, lines, minhash, neighbours, packing, quality, resharding
 
 QUERIES = {
     "op1_bpe_chunks": bpe.query,
     "op2_quality_rules": quality.query,
     "op3_license_scan": licenses.query,
     "op4_resharding": resharding.query,
+    "op5_line_dedup": lines.query,
     "op6_html_text": html_text.query,
     "op7_minhash": minhash.query,
     "op8_language_id": language.query,
