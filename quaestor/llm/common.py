@@ -22,6 +22,7 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of what is written now
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -203,12 +203,17 @@ def train(labelled: DataFrame, vocabulary: str | None = None, docs_per_language:
     return Model(languages, [pieces[i] for i in fit], kept / kept.sum(axis=0, keepdims=True))
 
 
-def _predict(model_of, key: int):
+def _model(sent, key: int) -> Model:
+    """The process's copy of the model, with the words it has scored so far."""
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = sent.value
+    return _MODELS[key]
+
+
+def _predict(sent, key: int):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[key] = model_of.value
-        model = _MODELS[key]
+        model = _model(sent, key)
         for b in batches:
             texts = b.column(b.num_columns - 1).to_pylist()
             for lo, hi in batches_by_chars([t or "" for t in texts]):
@@ -230,6 +235,23 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     return source.mapInArrow(_predict(sent, key), f"{fields}{', ' if fields else ''}lang_pred string, score double")
 
 
+def accepted_rows(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The documents with a language (not ``und``) whose score is at least
+    ``least``, with their own columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x vocabulary
+    key, at = zlib.crc32(model.probabilities.tobytes()), docs.columns.index(text_col)
+
+    def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(sent, key)
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            for lo, hi in batches_by_chars([t or "" for t in texts]):
+                said = model.predict(texts[lo:hi])
+                yield b.slice(lo, hi - lo).filter(pa.array([x != "und" and s >= least for x, s in said], pa.bool_()))
+
+    return docs.mapInArrow(accepted, docs.schema)
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Labelled documents that are not held out."""
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),

@@ -3,14 +3,19 @@
 1. Every document's distinct word shingles (64-bit hashes) give ``bands * rows``
    minima of universal hashes; each band's minima make one bucket.  Documents
    with equal sets are one class from here on.
-2. In a bucket, members are compared with heads only, and only across
-   components: first with the smallest member, then with about 8, 64, 512, ...
-   of them, until every bucket lies in one component or all members were heads.
-   No link between components is lost, and a cluster of near copies costs rows
-   in proportion to its size, not to its square.
+2. In a bucket, members are compared with its hub only, the member with the
+   largest buckets; twice more, those outside the hub's component with a hub of
+   their own.  That joins clusters of near copies in rows proportional to them.
 3. A pair goes on if its signatures agree often enough (six standard deviations
    below the threshold) and counts if intersection and union of its full sets do.
-4. Components by alternating large-star and small-star.
+4. What is left in a bucket with several components is settled exactly, without
+   its pairs: with c the hub and D(x) the symmetric difference of x and c, a
+   link of x and y allows |D(x)| + |D(y)| - 2 |D(x) & D(y)| differing shingles,
+   at most s (|x| + |y|) with s = (1 - t) / (1 + t).  If x isn't linked to c, x
+   and y must share entries of D: pairs meet under the first entries of D (what
+   c lacks before what x lacks, since additions are rare), in a prefix of s |x|
+   (1 + 1 / t) + 1, if the places leave room for the number needed.
+5. Components by alternating large-star and small-star.
 
 A pair at the threshold shares no bucket with a chance of (1 - t**rows)**bands:
 5e-8 at 0.8 and 5e-11 at 0.85 with 32 bands of 4.
@@ -139,6 +144,41 @@ def _linked(num: int, den: int):
     return linked
 
 
+_DIFFERENCE_DDL = "hub binary, entry long, node binary, component binary, at int, d int, n int, far boolean"
+
+
+def _differences(num: int, den: int):
+    """For every node and hub the first entries of their symmetric difference:
+    what the hub lacks, then what the node lacks, each in the hashes' order."""
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                hub, entry, node, component, at, d, n, far = [], [], [], [], [], [], [], []
+                for u, v, c, x, y in zip(*(part.column(i).to_pylist() for i in range(5))):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    own, lost = np.setdiff1d(x, y, True), np.setdiff1d(y, x, True)
+                    size, both = len(own) + len(lost), len(x) - len(own)
+                    most = min(size, (den - num) * len(x) // num + 1)
+                    hub += [v] * most
+                    entry.append(np.concatenate([own, lost])[:most].view(np.int64))
+                    node += [u] * most
+                    component += [c] * most
+                    at.append(np.arange(most))
+                    d += [size] * most
+                    n += [len(x)] * most
+                    far += [den * both < num * (len(x) + len(y) - both)] * most
+                flat = lambda a, t: pa.array(np.concatenate(a) if a else [], t)
+                yield pa.record_batch(
+                    [pa.array(hub, pa.binary()), flat(entry, pa.int64()), pa.array(node, pa.binary()),
+                     pa.array(component, pa.binary()), flat(at, pa.int32()), pa.array(d, pa.int32()),
+                     pa.array(n, pa.int32()), pa.array(far, pa.bool_())],
+                    names=["hub", "entry", "node", "component", "at", "d", "n", "far"])
+
+    return differences
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100), bands: int = BANDS,
                     rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document; links are
@@ -153,52 +193,70 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
     classes = staged(signed.where("node is not null").groupBy("node").agg(
         F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")))
     buckets = classes.select("node", F.explode("bands").alias("band"))
-    several = staged(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
-                     .where("n > 1"))
+    several = staged(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = staged(buckets.join(several.hint("merge"), "band"))
-    wanted = (members.select("node").distinct()
-              .join(classes.select("node", "doc_id").hint("merge"), "node").withColumnRenamed("doc_id", "wanted"))
+    nodes = staged(members.groupBy("node").agg(F.sum("n").alias("weight"))
+                   .join(classes.select("node", "signature", "doc_id").hint("merge"), "node"))
+    wanted = nodes.select(F.col("node").alias("node"), F.col("doc_id").alias("wanted"))
     sets = staged(source.join(wanted.hint("merge"), source.doc_id.eqNullSafe(F.col("wanted")))
                   .select("node", "text").mapInArrow(_full_sets(k), "node binary, shingles binary")
                   .dropDuplicates(["node"]))
-    signatures = classes.select("node", "signature")
 
     def with_both(pairs: DataFrame, values: DataFrame, col: str, a: str, b: str) -> DataFrame:
         for end, name in (("u", a), ("v", b)):
             pairs = pairs.join(values.select(F.col("node").alias(end), F.col(col).alias(name)).hint("merge"), end)
-        return pairs.select("u", "v", a, b)
+        return pairs
 
     def links(pairs: DataFrame) -> DataFrame:
-        close = with_both(pairs, signatures, "signature", "su", "sv").mapInArrow(_alike(need), "u binary, v binary")
+        close = with_both(pairs, nodes, "signature", "su", "sv").mapInArrow(_alike(need), "u binary, v binary")
         return with_both(close, sets, "shingles", "xu", "xv").mapInArrow(_linked(num, den), "u binary, v binary")
 
+    weighed = members.select("band", "node").join(nodes.select("node", "weight").hint("merge"), "node")
+    hubs = staged(weighed.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", "hub.node")
+                  .withColumnRenamed("node", "hub"))
+    stars = staged(weighed.join(hubs.hint("merge"), "band"))
     found = connected_components(links(
-        members.where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()))
-    heads = 8
-    while True:
-        at = staged(members.select("band", "node", "n").join(found.hint("merge"), "node", "left")
-                    .select("band", "node", "n", F.coalesce("component", "node").alias("component")))
-        open_bands = staged(at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                            .where("lo != hi").select("band"))
-        at = staged(at.join(open_bands.hint("merge"), "band"))
-        largest = at.agg(F.max("n")).first()[0]
-        if largest is None:
-            break
-        head = (at.where(F.expr(f"pmod(xxhash64(node, band), greatest(n div {heads}, 1)) = 0"))
-                .select("band", F.col("node").alias("head"), F.col("component").alias("other")))
-        pairs = (at.join(head.hint("merge"), "band").where("component != other")
-                 .select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct())
-        more = staged(links(pairs))
-        now = at.select("node", "component").distinct()
-        joined = connected_components(
-            with_both(more, now, "component", "cu", "cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        found = staged(found.unionByName(at.select("node", "component").distinct()).distinct()
-                       .join(joined.select(F.col("node").alias("component"), F.col("component").alias("next"))
-                             .hint("merge"), "component", "left")
-                       .select("node", F.coalesce("next", "component").alias("component")))
-        if heads >= largest:
-            break
-        heads *= 8
+        stars.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()))
+
+    def grown(more: DataFrame) -> DataFrame:
+        """``found`` and the links ``more`` (cu, cv) between its components."""
+        joined = connected_components(more.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        every = nodes.select("node").join(found.hint("merge"), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component"))
+        nxt = staged(joined.select(F.col("node").alias("component"), F.col("component").alias("next")))
+        return staged(every.join(nxt.hint("merge"), "component", "left")
+                      .select("node", F.coalesce("next", "component").alias("component")))
+
+    def still_open() -> DataFrame:
+        """Members of the buckets that hold several components."""
+        at = staged(stars.join(found.hint("merge"), "node", "left")
+                    .select("band", "node", "hub", "weight", F.coalesce("component", "node").alias("component")))
+        mixed = staged(at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                              F.max(F.expr("if(node = hub, component, null)")).alias("of_hub"))
+                       .where("lo != hi").select("band", "of_hub"))
+        return staged(at.join(mixed.hint("merge"), "band"))
+
+    for _ in range(2):
+        at = still_open()
+        other = staged(at.where("component != of_hub").groupBy("band")
+                       .agg(F.max(F.struct("weight", "node", "component")).alias("o"))
+                       .select("band", F.col("o.node").alias("v"), F.col("o.component").alias("cv")))
+        pairs = (at.join(other.hint("merge"), "band").where("component != cv")
+                 .select(F.col("node").alias("u"), "v", F.col("component").alias("cu"), "cv").distinct())
+        ends = staged(pairs)
+        found = grown(ends.join(links(ends.select("u", "v")).hint("merge"), ["u", "v"]))
+    at = still_open()
+    around = (at.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v"), "component").distinct())
+    entries = staged(with_both(around, sets, "shingles", "xu", "xv").select("u", "v", "component", "xu", "xv")
+                     .mapInArrow(_differences(num, den), _DIFFERENCE_DDL))
+    x = entries.select("hub", "entry", F.struct("node", "component", "at", "d", "n", "far").alias("x"))
+    y = entries.select(F.col("hub").alias("hub_y"), F.col("entry").alias("entry_y"),
+                       F.struct("node", "component", "at", "d", "n").alias("y"))
+    room = f"{den + num} * (x.d + y.d - 2 * least(x.d - x.at, y.d - y.at)) <= {den - num} * (x.n + y.n)"
+    pairs = staged(x.join(y, F.expr(f"hub = hub_y and entry = entry_y and x.far and x.component != y.component and {room}"))
+                   .select(F.col("x.node").alias("u"), F.col("y.node").alias("v"),
+                           F.col("x.component").alias("cu"), F.col("y.component").alias("cv")).distinct())
+    found = grown(pairs.join(links(pairs.select("u", "v")).hint("merge"), ["u", "v"]))
     placed = (signed.select("doc_id", "n_shingles", "node").join(found.hint("merge"), "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     smallest = staged(placed.where("component is not null").groupBy("component")
@@ -208,5 +266,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
+    """``docs`` with the smallest doc_id of each component of near duplicates;
+    rows that repeat a doc_id stay or go together."""
+    stay = (near_duplicates(docs, id_col=id_col, text_col=text_col, **rule).where("kept")
+            .select(F.col("doc_id").alias("_stays")).distinct())
+    return docs.join(stay.hint("merge"), docs[id_col].cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=(85, 100))
