@@ -137,7 +137,11 @@ def kept_rows(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame
     """The documents that no rule rejects, with their own columns."""
     # the rules see the text alone, so the columns of ``docs`` may have any names
     renamed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row"), F.col(text_col).alias("_q_in"))
-    return cascade(renamed, measured_order(docs, rules, text_col), "_q_in").where("not _q_rejected").select("_q_row.*")
+    told = cascade(renamed, measured_order(docs, rules, text_col), "_q_in")
+    # a filter would be pushed below the steps and repeat them; a row number
+    # that it needs as well holds it back
+    return (told.withColumn("_q_at", F.monotonically_increasing_id()).where("not _q_rejected and _q_at >= 0")
+            .select("_q_row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
