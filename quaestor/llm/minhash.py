@@ -4,12 +4,12 @@
    minima of universal hashes; each band's minima make one bucket.  Documents
    with equal sets are one class from here on.
 2. In a bucket, members are compared with its hub only, the member with the
-   largest buckets; twice more, those outside the hub's component with a hub of
+   largest buckets; once more, those outside the hub's component with a hub of
    their own.  That joins clusters of near copies in rows proportional to them.
 3. A pair goes on if its signatures agree often enough (six standard deviations
    below the threshold) and counts if intersection and union of its full sets do.
 4. What is left in a bucket with several components is settled exactly, without
-   its pairs: with c the hub and D(x) the symmetric difference of x and c, a
+   its pairs: with c the top hub of its hub's component and D(x) the symmetric difference of x and c, a
    link of x and y allows |D(x)| + |D(y)| - 2 |D(x) & D(y)| differing shingles,
    at most s (|x| + |y|) with s = (1 - t) / (1 + t).  If x isn't linked to c, x
    and y must share entries of D: pairs meet under the first entries of D (what
@@ -144,7 +144,7 @@ def _linked(num: int, den: int):
     return linked
 
 
-_DIFFERENCE_DDL = "hub binary, entry long, node binary, component binary, at int, d int, n int, far boolean"
+_DIFFERENCE_DDL = "hub binary, entry long, node binary, component binary, of_hub binary, at int, d int, n int, far boolean"
 
 
 def _differences(num: int, den: int):
@@ -155,8 +155,8 @@ def _differences(num: int, den: int):
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
-                hub, entry, node, component, at, d, n, far = [], [], [], [], [], [], [], []
-                for u, v, c, x, y in zip(*(part.column(i).to_pylist() for i in range(5))):
+                hub, entry, node, component, of_hub, at, d, n, far = [], [], [], [], [], [], [], [], []
+                for u, v, c, h, x, y in zip(*(part.column(i).to_pylist() for i in range(6))):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                     own, lost = np.setdiff1d(x, y, True), np.setdiff1d(y, x, True)
                     size, both = len(own) + len(lost), len(x) - len(own)
@@ -165,6 +165,7 @@ def _differences(num: int, den: int):
                     entry.append(np.concatenate([own, lost])[:most].view(np.int64))
                     node += [u] * most
                     component += [c] * most
+                    of_hub += [h] * most
                     at.append(np.arange(most))
                     d += [size] * most
                     n += [len(x)] * most
@@ -172,9 +173,9 @@ def _differences(num: int, den: int):
                 flat = lambda a, t: pa.array(np.concatenate(a) if a else [], t)
                 yield pa.record_batch(
                     [pa.array(hub, pa.binary()), flat(entry, pa.int64()), pa.array(node, pa.binary()),
-                     pa.array(component, pa.binary()), flat(at, pa.int32()), pa.array(d, pa.int32()),
+                     pa.array(component, pa.binary()), pa.array(of_hub, pa.binary()), flat(at, pa.int32()), pa.array(d, pa.int32()),
                      pa.array(n, pa.int32()), pa.array(far, pa.bool_())],
-                    names=["hub", "entry", "node", "component", "at", "d", "n", "far"])
+                    names=["hub", "entry", "node", "component", "of_hub", "at", "d", "n", "far"])
 
     return differences
 
@@ -236,18 +237,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
                        .where("lo != hi").select("band", "of_hub"))
         return staged(at.join(mixed.hint("merge"), "band"))
 
-    for _ in range(2):
-        at = still_open()
-        other = staged(at.where("component != of_hub").groupBy("band")
-                       .agg(F.max(F.struct("weight", "node", "component")).alias("o"))
-                       .select("band", F.col("o.node").alias("v"), F.col("o.component").alias("cv")))
-        pairs = (at.join(other.hint("merge"), "band").where("component != cv")
-                 .select(F.col("node").alias("u"), "v", F.col("component").alias("cu"), "cv").distinct())
-        ends = staged(pairs)
-        found = grown(ends.join(links(ends.select("u", "v")).hint("merge"), ["u", "v"]))
     at = still_open()
-    around = (at.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v"), "component").distinct())
-    entries = staged(with_both(around, sets, "shingles", "xu", "xv").select("u", "v", "component", "xu", "xv")
+    other = staged(at.where("component != of_hub").groupBy("band")
+                   .agg(F.max(F.struct("weight", "node", "component")).alias("o"))
+                   .select("band", F.col("o.node").alias("v"), F.col("o.component").alias("cv")))
+    ends = staged(at.join(other.hint("merge"), "band").where("component != cv")
+                  .select(F.col("node").alias("u"), "v", F.col("component").alias("cu"), "cv").distinct())
+    found = grown(ends.join(links(ends.select("u", "v")).hint("merge"), ["u", "v"]))
+    at = still_open()
+    hub_of = staged(found.join(nodes.select("node", "weight").hint("merge"), "node").groupBy("component")
+                    .agg(F.max(F.struct("weight", "node")).alias("top"))
+                    .select(F.col("component").alias("of_hub"), F.col("top.node").alias("v")))
+    around = (at.select("node", "component", "of_hub").join(hub_of.hint("merge"), "of_hub").where("node != v")
+              .select(F.col("node").alias("u"), "v", "component", "of_hub").distinct())
+    entries = staged(with_both(around, sets, "shingles", "xu", "xv").select("u", "v", "component", "of_hub", "xu", "xv")
                      .mapInArrow(_differences(num, den), _DIFFERENCE_DDL))
     x = entries.select("hub", "entry", F.struct("node", "component", "at", "d", "n", "far").alias("x"))
     y = entries.select(F.col("hub").alias("hub_y"), F.col("entry").alias("entry_y"),
@@ -256,7 +259,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
     pairs = staged(x.join(y, F.expr(f"hub = hub_y and entry = entry_y and x.far and x.component != y.component and {room}"))
                    .select(F.col("x.node").alias("u"), F.col("y.node").alias("v"),
                            F.col("x.component").alias("cu"), F.col("y.component").alias("cv")).distinct())
-    found = grown(pairs.join(links(pairs.select("u", "v")).hint("merge"), ["u", "v"]))
+    to_hub = entries.where("not far and component != of_hub").select(F.col("component").alias("cu"),
+                                                                     F.col("of_hub").alias("cv")).distinct()
+    found = grown(pairs.join(links(pairs.select("u", "v")).hint("merge"), ["u", "v"]).select("cu", "cv")
+                  .unionByName(to_hub))
     placed = (signed.select("doc_id", "n_shingles", "node").join(found.hint("merge"), "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     smallest = staged(placed.where("component is not null").groupBy("component")
