@@ -145,13 +145,13 @@ def rule_no_overlap(df: DataFrame, group_cols: Sequence[str], start: str, end: s
     ended (Q6, L26).  Compared with the running maximum of the earlier ends
     - the neighbour test of the rule, never every pair - and chunkable (e.g.
     by start year) so a hot group is not sorted in one task."""
-    from quaestor.operators.windows import running_agg
-    out = running_agg(df, group_cols, [F.col(start), F.col(id_col)], F.col(end), "max_prior_end", "max",
-                      inclusive=False, chunk=chunk)
-    bad = F.col("max_prior_end").isNotNull() & (F.col(start) < F.col("max_prior_end"))
+    from quaestor.operators.windows import prior_ends
+    out = prior_ends(df, group_cols, start, end, id_col, chunk)
+    open_before = F.coalesce(F.col("__open"), F.lit(0)) > 0
+    bad = open_before | (F.col("max_prior_end").isNotNull() & (F.col(start) <= F.col("max_prior_end")))
     if check_gaps:
         bad = bad | (F.col("max_prior_end").isNotNull() & (F.col(start) > F.date_add(F.col("max_prior_end"), 1)))
-    return out.where(bad)
+    return out.where(bad).drop("__open")
 
 
 def rule_timeliness(df: DataFrame, date_col: str, as_of, sla_days: int, where: str | Column | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 ``sequential_key`` numbers rows 1..n in a total order without funnelling
 the table through one task: rows are range-partitioned on the order
 columns, numbered inside each partition, and shifted by the running total of
-the partition sizes (a table with one row per partition).
+the partition sizes (a table with one row per partition).  The numbered rows
+are checkpointed before the sizes are taken.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaestor.functions.hashing import surrogate_hash
+from quaestor.session import checkpoint_dir
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -24,27 +26,29 @@ def bounded(df: DataFrame) -> DataFrame:
 
 
 def sequential_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "key",
-                   offset: int | Column = 0, method: str = "partitioned") -> DataFrame:
+                   offset: int | Column = 0) -> DataFrame:
     """Dense 1-based position in ``order_cols`` order plus ``offset``.
 
     ``order_cols`` must be unique for a deterministic result.  ``offset`` may
     be a Column from a one-row frame joined in beforehand (e.g. max key).
-    ``method='window'`` uses a single global window (only for tiny frames).
+
+    Rows are ranged and numbered once; a reliable checkpoint in the shared
+    folder holds them with the number of their range, so the range sizes and
+    the rows come from the same layout whatever is re-planned or recomputed.
     """
     off = F.lit(offset) if isinstance(offset, int) else offset
-    if method == "window":
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(key_col, (F.row_number().over(w) + off).cast("long"))
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__rn", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("__pid").cast("long"), 33) + 1))
+                          - F.shiftleft(F.col("__pid").cast("long"), 33) + 1)
+              .checkpoint())
     sizes = ranged.groupBy("__pid").agg(F.max("__rn").alias("__n"))
     starts = sizes.select(
         "__pid",
         F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__start"))
-    return (ranged.join(bounded(starts), "__pid")
+    return (ranged.join(bounded(starts), "__pid")  # one row a range
             .withColumn(key_col, (F.col("__start") + F.col("__rn") + off).cast("long"))
             .drop("__pid", "__rn", "__start"))
 

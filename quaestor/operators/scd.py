@@ -14,7 +14,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaestor.functions.hashing import change_hash
 from quaestor.operators.keys import attach_scalars, sequential_key
 
 OPEN_END = None  # valid_to of a current version is NULL (open)
@@ -30,7 +29,8 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
     * new natural key -> version 1, valid from as_of
     * tracked attributes changed -> old version closed (is_current 0,
       valid_to as_of) and a new version (version + 1) opened
-    * unchanged, or absent from the snapshot -> row kept as is
+    * unchanged (column by column, NULL equal to NULL), or absent from the
+      snapshot -> row kept as is
     * historical (closed) rows -> kept as is
     """
     keys = list(keys)
@@ -42,10 +42,9 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
     hist = current.where(F.col(is_current) != 1)
     cur = current.where(F.col(is_current) == 1)
 
-    c = cur.select(*keys, F.struct(*[F.col(x) for x in dim_cols]).alias("__c"),
-                   change_hash(*tracked).alias("__hc"))
-    i = incoming.select(*keys, F.struct(*[F.col(x) for x in attrs]).alias("__i"),
-                        change_hash(*tracked).alias("__hi"))
+    c = cur.select(*keys, F.struct(*[F.col(x) for x in dim_cols]).alias("__c"))
+    # one incoming row a key: of several, the largest by its attributes
+    i = incoming.groupBy(*keys).agg(F.max(F.struct(*[F.col(x) for x in attrs])).alias("__i"))
     j = c.join(i, keys, "full_outer")
 
     def row(kind: str):
@@ -73,7 +72,10 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tra
                         vals["__new"].alias("__new"))
 
     has_c, has_i = F.col("__c").isNotNull(), F.col("__i").isNotNull()
-    changed = has_c & has_i & (F.col("__hc") != F.col("__hi"))
+    same = F.lit(True)
+    for x in tracked:
+        same = same & F.col(f"__c.{x}").eqNullSafe(F.col(f"__i.{x}"))
+    changed = has_c & has_i & ~same
     emitted = (F.when(changed, F.array(row("expire"), row("new")))
                .when(has_c, F.array(row("keep")))
                .otherwise(F.array(row("new"))))

@@ -32,6 +32,14 @@ def _combine(fn: str, prior: Column, local: Column) -> Column:
     return F.least(prior, local)
 
 
+def _join_chunks(rows: DataFrame, prior: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Chunk prefixes back to their rows; NULL keys and chunks match too."""
+    p = prior.select(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)],
+                     *[c for c in prior.columns if c not in on])
+    cond = [F.col(c).eqNullSafe(F.col(f"__on{i}")) for i, c in enumerate(on)]
+    return rows.join(p, cond, "inner").drop(*[f"__on{i}" for i in range(len(on))])
+
+
 def running_agg(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence, value, out_col: str,
                 fn: str = "sum", inclusive: bool = True, chunk: Column | str | None = None) -> DataFrame:
     """Running SUM/MAX/MIN/COUNT of ``value`` per partition in ``order_cols``
@@ -53,7 +61,7 @@ def running_agg(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     totals = d.groupBy(*partition_cols, "__chunk").agg(agg("__v").alias("__tot"))
     wc = Window.partitionBy(*partition_cols).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     prior = totals.select(*partition_cols, "__chunk", agg("__tot").over(wc).alias("__prior"))
-    out = d.join(prior, [*partition_cols, "__chunk"], "inner")
+    out = _join_chunks(d, prior, [*partition_cols, "__chunk"])
     return (out.withColumn(out_col, _combine(fn, F.col("__prior"), F.col("__local")))
             .drop("__chunk", "__v", "__local", "__prior"))
 
@@ -79,7 +87,7 @@ def running_aggs(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     wc = Window.partitionBy(*partition_cols).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     prior = totals.select(*partition_cols, "__chunk", *[_AGG[specs[o][1]](f"__t{i}").over(wc).alias(f"__p{i}")
                                                         for i, o in enumerate(names)])
-    out = d.join(prior, [*partition_cols, "__chunk"], "inner")
+    out = _join_chunks(d, prior, [*partition_cols, "__chunk"])
     out = out.select("*", *[_combine(specs[o][1], F.col(f"__p{i}"), F.col(f"__l{i}")).alias(o) for i, o in enumerate(names)])
     return out.drop("__chunk", *[f"__{k}{i}" for i in range(len(names)) for k in ("v", "l", "p")])
 
@@ -204,13 +212,22 @@ def overlap_flags(df: DataFrame, group_cols: Sequence[str], start: str, end: str
                   chunk: Column | str | None = None, out_col: str = "overlaps_previous") -> DataFrame:
     """Interval overlap inside a group without pairs.
 
-    A row overlaps an earlier row (by start, id) iff its start is before the
-    running max of the earlier ends.  Linear; no self-join.
+    Both ends belong to an interval and a NULL end is open: a row overlaps an
+    earlier row (by start, id) iff its start is not after the running max of
+    the earlier ends, or one of them is open.  Linear; no self-join.
     """
-    out = running_agg(df, group_cols, [F.col(start), F.col(id_col)], F.col(end), "__max_prev_end", "max",
-                      inclusive=False, chunk=chunk)
-    return out.withColumn(out_col, F.when(F.col(start) < F.col("__max_prev_end"), 1).otherwise(0)) \
-              .withColumnRenamed("__max_prev_end", "max_prior_end")
+    out = prior_ends(df, group_cols, start, end, id_col, chunk)
+    return (out.withColumn(out_col, F.when((F.col(start) <= F.col("max_prior_end")) | (F.col("__open") > 0), 1)
+                           .otherwise(0)).drop("__open"))
+
+
+def prior_ends(df: DataFrame, group_cols: Sequence[str], start: str, end: str, id_col: str,
+               chunk: Column | str | None = None) -> DataFrame:
+    """``max_prior_end`` and the number of open intervals (``__open``) among the
+    earlier intervals of the group."""
+    return running_aggs(df, group_cols, [F.col(start), F.col(id_col)],
+                        {"max_prior_end": (F.col(end), "max"),
+                         "__open": (F.col(end).isNull().cast("int"), "sum")}, inclusive=False, chunk=chunk)
 
 
 def gaps_and_islands(df: DataFrame, keys: Sequence[str], period_index: str, cond: Column,

@@ -87,17 +87,21 @@ def segment_analysis(parties: DataFrame, ledger: DataFrame, as_of: str) -> DataF
 
 def unpaid_assessments(returns: DataFrame, allocations: DataFrame, as_of: str) -> DataFrame:
     """outstanding = assessed - allocated, days overdue at as_of, and the
-    collection classification by bands (priority, case type, enforcement)."""
-    from quaestor.functions.codes import band
+    collection classification (priority by amount or days, case type by amount,
+    enforcement by days)."""
     al = allocations.groupBy("return_id").agg(F.sum("allocated_amount").alias("allocated"))
     j = returns.join(al, "return_id", "left")
     out = j.select("return_id", "party_id", "tax_type_code", "due_date", money("assessed_amount").alias("assessed_amount"),
                    (money("assessed_amount") - F.coalesce(F.col("allocated"), F.lit(0))).cast(MONEY).alias("outstanding_amount"),
                    F.datediff(F.lit(as_of).cast("date"), "due_date").alias("days_overdue"))
     out = out.where((F.col("outstanding_amount") > 0) & (F.col("days_overdue") > 0))
-    return (out.withColumn("priority", band("outstanding_amount", [(10000, "LOW"), (100000, "MEDIUM"), (None, "HIGH")]))
-            .withColumn("case_type", band("days_overdue", [(90, "SOFT"), (365, "STANDARD"), (None, "LEGAL")]))
-            .withColumn("enforcement_level", band("days_overdue", [(30, 1), (180, 2), (None, 3)])))
+    amount, days = F.col("outstanding_amount"), F.col("days_overdue")
+    # Limits and labels of the collection rules.
+    return (out.withColumn("priority", F.when((amount > 50000) | (days > 180), "URGENT")
+                           .when((amount > 20000) | (days > 90), "HIGH").when(days > 30, "MEDIUM").otherwise("LOW"))
+            .withColumn("case_type", F.when(amount > 100000, "HIGH_VALUE").otherwise("STANDARD_COLLECTION"))
+            .withColumn("enforcement_level", F.when(days < 30, "NOTICE").when(days < 60, "DEMAND")
+                        .when(days < 120, "GARNISHMENT").otherwise("LEGAL_ACTION")))
 
 
 def overpayments(returns: DataFrame, payments: DataFrame) -> DataFrame:

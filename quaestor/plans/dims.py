@@ -55,7 +55,7 @@ def build_dim_tax_type(codes: DataFrame, code_col: str, categories: Mapping[str,
                    F.when(F.col("tax_type_code").isin(*progressive), F.lit("PROGRESSIVE")).otherwise(F.lit("FLAT"))
                    .alias("rate_type"),
                    map_lookup(F.col("tax_type_code"), frequencies, "ANNUAL").alias("filing_frequency"))
-    return sequential_key(out, ["tax_type_code"], "tax_type_key", method="window")
+    return sequential_key(out, ["tax_type_code"], "tax_type_key")
 
 
 def build_dim_geography(regions: DataFrame, nations: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def build_dim_country(spark, countries: Sequence[Mapping]) -> DataFrame:
              int(c.get("fiscal_year_offset", 0)), c.get("label_pattern", "{YEAR}"), int(c.get("is_eu_member", 0)))
             for c in countries]
     out = spark.createDataFrame(rows, schema)
-    return sequential_key(out, ["country_code"], "country_key", method="window")
+    return sequential_key(out, ["country_code"], "country_key")
 
 
 def build_dim_account_subtype(subtypes: DataFrame, countries: DataFrame, types: DataFrame) -> DataFrame:

@@ -145,8 +145,9 @@ def build_fact_risk_assessment(profiles: DataFrame, audits: DataFrame | None = N
     score = F.col("overall_risk_score")
     return out.select(
         "party_id", date_key("profile_date").alias("assessment_date_key"), score.alias("risk_score"),
-        band("audit_adjustment_history", [(0, 0), (10000, 20), (50000, 50), (None, 80)], 0).alias("audit_history_score"),
-        band("third_party_discrepancy_count", [(0, 0), (2, 30), (5, 60), (None, 90)], 0).alias("third_party_score"),
+        # Limits and scores of the risk rules; NULL scores lowest.
+        band("audit_adjustment_history", [(0, 15), (10000, 40), (50000, 60), (None, 80)], 15).alias("audit_history_score"),
+        band("third_party_discrepancy_count", [(0, 10), (2, 30), (5, 50), (None, 75)], 10).alias("third_party_score"),
         F.coalesce("audit_count", F.lit(0)).alias("audit_count"),
         ((score > AUDIT_CANDIDATE_SCORE) | (money("current_arrears_amount") > AUDIT_CANDIDATE_ARREARS)).cast("int")
         .alias("is_audit_candidate"),
@@ -206,16 +207,17 @@ def build_fact_audit(cases: DataFrame, findings: DataFrame) -> DataFrame:
 
 
 def build_fact_objection(objections: DataFrame) -> DataFrame:
-    """Outcome flags, resolution days, resolved amount."""
+    """Outcome flags (0 without an outcome), resolution days, resolved
+    amount (the adjusted amount, 0 when NULL)."""
     o = F.upper(F.col("decision_outcome_code"))
     return objections.select(
         "objection_case_id", "party_id", date_key("filing_date").alias("filing_date_key"),
         F.col("decision_date").isNotNull().cast("int").alias("is_resolved"),
-        (o == "UPHELD").cast("int").alias("is_upheld"), (o == "REDUCED").cast("int").alias("is_reduced"),
-        (o == "CANCELLED").cast("int").alias("is_cancelled"), F.col("appeal_filed").cast("int").alias("is_appealed"),
+        *[F.coalesce((o == x).cast("int"), F.lit(0)).alias(f"is_{x.lower()}") for x in ("UPHELD", "REDUCED", "CANCELLED")],
+        F.col("appeal_filed").cast("int").alias("is_appealed"),
         F.datediff("decision_date", "filing_date").alias("resolution_days"),
         money("amount_disputed").alias("amount_disputed"),
-        (money("amount_disputed") - F.coalesce(money("amount_adjusted"), F.lit(0))).alias("resolved_amount"))
+        F.coalesce(money("amount_adjusted"), F.lit(0).cast("decimal(19,2)")).alias("resolved_amount"))
 
 
 def build_fact_refund(refunds: DataFrame) -> DataFrame:

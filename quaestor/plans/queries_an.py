@@ -35,10 +35,10 @@ def _risk(t):
 # ---------------------------------------------------------------- I28 / H13
 @register("fact_risk_assessment", with_("filings", "ledger") + _RISK_SQL + f"""
 SELECT party_id, CAST(strftime(profile_date, '%Y%m%d') AS INTEGER) AS assessment_date_key, overall_risk_score AS risk_score,
-  CASE WHEN audit_adjustment_history <= 0 THEN 0 WHEN audit_adjustment_history <= 10000 THEN 20
-       WHEN audit_adjustment_history <= 50000 THEN 50 ELSE 80 END AS audit_history_score,
-  CASE WHEN third_party_discrepancy_count <= 0 THEN 0 WHEN third_party_discrepancy_count <= 2 THEN 30
-       WHEN third_party_discrepancy_count <= 5 THEN 60 ELSE 90 END AS third_party_score,
+  CASE WHEN audit_adjustment_history > 50000 THEN 80 WHEN audit_adjustment_history > 10000 THEN 60
+       WHEN audit_adjustment_history > 0 THEN 40 ELSE 15 END AS audit_history_score,
+  CASE WHEN third_party_discrepancy_count > 5 THEN 75 WHEN third_party_discrepancy_count > 2 THEN 50
+       WHEN third_party_discrepancy_count > 0 THEN 30 ELSE 10 END AS third_party_score,
   0 AS audit_count,
   CASE WHEN overall_risk_score > 60 OR current_arrears_amount > 50000 THEN 1 ELSE 0 END AS is_audit_candidate,
   CASE WHEN overall_risk_score >= 60 THEN 1 ELSE 0 END AS is_high_risk,
@@ -113,9 +113,12 @@ al AS (SELECT return_id, SUM(allocated_amount) AS allocated FROM alloc WHERE all
 o AS (SELECT r.return_id, r.party_id, r.tax_type_code, r.due_date, r.assessed_amount,
         CAST(r.assessed_amount - COALESCE(al.allocated, 0) AS DECIMAL(19,2)) AS outstanding_amount,
         date_diff('day', r.due_date, DATE '{_AS_OF}') AS days_overdue FROM returns r LEFT JOIN al USING (return_id))
-SELECT *, CASE WHEN outstanding_amount <= 10000 THEN 'LOW' WHEN outstanding_amount <= 100000 THEN 'MEDIUM' ELSE 'HIGH' END AS priority,
-  CASE WHEN days_overdue <= 90 THEN 'SOFT' WHEN days_overdue <= 365 THEN 'STANDARD' ELSE 'LEGAL' END AS case_type,
-  CASE WHEN days_overdue <= 30 THEN 1 WHEN days_overdue <= 180 THEN 2 ELSE 3 END AS enforcement_level
+SELECT *, CASE WHEN outstanding_amount > 50000 OR days_overdue > 180 THEN 'URGENT'
+               WHEN outstanding_amount > 20000 OR days_overdue > 90 THEN 'HIGH'
+               WHEN days_overdue > 30 THEN 'MEDIUM' ELSE 'LOW' END AS priority,
+  CASE WHEN outstanding_amount > 100000 THEN 'HIGH_VALUE' ELSE 'STANDARD_COLLECTION' END AS case_type,
+  CASE WHEN days_overdue < 30 THEN 'NOTICE' WHEN days_overdue < 60 THEN 'DEMAND'
+       WHEN days_overdue < 120 THEN 'GARNISHMENT' ELSE 'LEGAL_ACTION' END AS enforcement_level
 FROM o WHERE outstanding_amount > 0 AND days_overdue > 0""")
 def q_unpaid_assessments(spark, sf_dir):
     t = B.tables(spark, sf_dir)
@@ -280,7 +283,7 @@ def q_balance_percentile_by_segment(spark, sf_dir):
 x AS (SELECT party_id, tax_type_code, return_id, period_date AS start_date, CAST(period_date + 30 AS DATE) AS end_date FROM returns),
 y AS (SELECT *, MAX(end_date) OVER (PARTITION BY party_id, tax_type_code ORDER BY start_date, return_id
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_prior_end FROM x)
-SELECT *, CASE WHEN start_date < max_prior_end THEN 1 ELSE 0 END AS overlaps_previous FROM y""")
+SELECT *, CASE WHEN start_date <= max_prior_end THEN 1 ELSE 0 END AS overlaps_previous FROM y""")
 def q_overlapping_periods(spark, sf_dir):
     r = B.returns(B.tables(spark, sf_dir)).select("party_id", "tax_type_code", "return_id",
                                                   F.col("period_date").alias("start_date"),

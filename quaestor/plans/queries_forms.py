@@ -447,7 +447,7 @@ counts AS (
   UNION ALL SELECT 'BR_RET_002', 'return_lines', 'WARNING', (SELECT COUNT(*) FROM (SELECT 1 FROM return_lines GROUP BY return_id, line_number HAVING COUNT(*) > 1))
   UNION ALL SELECT 'BR_RET_003', 'returns', 'ERROR', (SELECT COUNT(*) FROM returns r WHERE party_id IS NOT NULL AND party_id NOT IN (SELECT party_id FROM party WHERE party_id IS NOT NULL))
   UNION ALL SELECT 'BR_RET_004', 'returns', 'WARNING', (SELECT COUNT(*) FROM returns r LEFT JOIN lt USING (return_id) WHERE ABS(r.assessed_amount - COALESCE(lt.s, 0)) > 0.01)
-  UNION ALL SELECT 'BR_RET_005', 'periods', 'WARNING', (SELECT COUNT(*) FROM per WHERE mpe IS NOT NULL AND start_date < mpe)
+  UNION ALL SELECT 'BR_RET_005', 'periods', 'WARNING', (SELECT COUNT(*) FROM per WHERE mpe IS NOT NULL AND start_date <= mpe)
   UNION ALL SELECT 'BR_RET_006', 'filings', 'WARNING', (SELECT COUNT(*) FROM filings WHERE is_filed = 0 AND date_diff('day', due_date, DATE '{_AS_OF}') > 90)
   UNION ALL SELECT 'BR_RET_007', 'returns', 'ERROR', (SELECT COUNT(*) FROM returns WHERE tax_type_code IS NOT NULL AND NOT regexp_matches(tax_type_code, '^(?:[1-5]-[A-Z ]+)$'))
   UNION ALL SELECT 'BR_RET_008', 'returns', 'WARNING', (SELECT COUNT(*) FROM returns r LEFT JOIN lt USING (return_id) WHERE COALESCE(lt.n, 0) < 1))

@@ -60,22 +60,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table, under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
-
-
 def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of parquet.
 

@@ -40,64 +40,10 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     return r.load()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_bytes: int = 1 << 20) -> DataFrame:
-    """Read ``<sf_dir>/<name>.parquet``.
-
-    A parquet file with a single row group is read by one task whatever its
-    size.  When such a source (>= ``spread_bytes``) yields fewer scan
-    partitions than the cluster has cores, it is spread round-robin so the
-    per-row work after the scan uses every core.  On a large data set the
-    scan already has many partitions and nothing changes.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_if_underpartitioned(read_parquet_cached_schema(spark, path), path, spread_bytes)
-
-
-_SCHEMAS: dict = {}
-
-
-def read_parquet_cached_schema(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` that infers the schema (footer read) once per
-    path and modification time, then passes it explicitly."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stamp = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
-    except Exception:  # noqa: BLE001 - no stamp: plain read
-        return spark.read.parquet(path)
-    key = (path, stamp)
-    if key not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
-
-
-_SPREAD: dict[tuple[str, int], bool] = {}
-
-
-def spread_if_underpartitioned(df: DataFrame, path: str, spread_bytes: int = 1 << 20) -> DataFrame:
-    """The decision depends only on the file layout, so it is taken once per
-    path and session (a stale decision can only cost speed, never change a
-    result)."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    key = (path, cores)
-    if key in _SPREAD:
-        return df.repartition(cores) if _SPREAD[key] else df
-    _SPREAD[key] = False
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    except Exception:  # noqa: BLE001 - size unknown: leave the scan alone
-        return df
-    if size < spread_bytes:
-        return df
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    _SPREAD[key] = True
-    return df.repartition(cores)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``<sf_dir>/<name>.parquet``; the file layout and
+    ``spark.sql.files.maxPartitionBytes`` decide the partitions."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scan_table(df: DataFrame, columns: Sequence[str] | None = None, where: str | None = None,

@@ -227,16 +227,24 @@ def running_summary_stream(spark: SparkSession, stream: DataFrame, keys: Sequenc
 
 def monthly_rollup_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], value: str, out_path: str,
                           checkpoint: str, watermark: str = "31 days", available_now: bool = True):
-    """Month-bucket sums appended once the watermark passes the month."""
+    """Sums by key and day with the day's calendar month, appended once
+    the watermark passes the day; ``monthly_totals`` adds them up.  State is
+    bounded by the watermark; no month is cut by a window of fixed length."""
     agg = (stream.withWatermark(ts_col, watermark)
-           .groupBy(F.window(ts_col, "30 days").alias("w"), *keys)
-           .agg(F.count(F.lit(1)).alias("row_count"), F.sum(value).alias("total")))
+           .groupBy(F.window(ts_col, "1 day").alias("w"), *keys)
+           .agg(F.count(F.lit(1)).alias("row_count"), F.sum(value).alias("total"))
+           .withColumn("month", F.trunc(F.col("w.start"), "month")))
     w = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
     return w.start()
 
 
+def monthly_totals(rollup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Calendar-month rows of what ``monthly_rollup_stream`` has appended."""
+    return rollup.groupBy("month", *keys).agg(F.sum("row_count").alias("row_count"), F.sum("total").alias("total"))
+
+
 def freshness_check(df: DataFrame, loaded_at_col: str, as_of, warn_hours: int = 24, error_hours: int = 48,
                     source_col: str | None = None) -> DataFrame:
     """Hours since the last load per source; WARN > 24 h, ERROR > 48 h."""

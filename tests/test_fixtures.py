@@ -41,7 +41,7 @@ def test_fact_audit_and_objection(spark):
                                 "decision_outcome_code string, appeal_filed int, amount_disputed double, amount_adjusted double")
     obj = obj.withColumn("filing_date", F.col("filing_date").cast("date")).withColumn("decision_date", F.col("decision_date").cast("date"))
     o = FCT.build_fact_objection(obj).first()
-    assert o.is_reduced == 1 and o.resolution_days == 30 and o.resolved_amount == Decimal("60.00")
+    assert o.is_reduced == 1 and o.resolution_days == 30 and o.resolved_amount == Decimal("40.00")
 
 
 def test_objection_candidates(spark):
@@ -125,7 +125,7 @@ def test_late_lookback_stream_dedupes(spark, tmp_path):
 
 
 def test_monthly_rollup_stream(spark):
-    from quaestor.streaming.incremental import monthly_rollup_stream
+    from quaestor.streaming.incremental import monthly_rollup_stream, monthly_totals
     src = f"{checkpoint_dir(spark)}/roll-src-{uuid.uuid4().hex[:8]}"
     rows = [("a", "2024-01-01 10:00:00", 1.0), ("a", "2024-01-02 10:00:00", 2.0), ("a", "2024-04-01 10:00:00", 5.0)]
     spark.createDataFrame(rows, "k string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
@@ -135,6 +135,8 @@ def test_monthly_rollup_stream(spark):
     out = spark.read.parquet(f"{src}-out")
     # only windows closed by the watermark are emitted (append mode)
     assert out.agg(F.sum("total")).first()[0] == 3.0
+    months = monthly_totals(out, ["k"]).collect()
+    assert [(str(r.month), r.row_count, r.total) for r in months] == [("2024-01-01", 2, 3.0)]
 
 
 def test_merge_on_read_equals_upsert(spark):

@@ -1,3 +1,4 @@
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import Window
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quaestor.operators import checks as CHK, dq as DQ, keys as K, ledger as LED, mapping as MAP, merge as MRG
 from quaestor.operators import scd as SCD, windows as WIN
+from quaestor.session import checkpoint_dir
 from quaestor.operators.hierarchy import walk_hierarchy, cycle_nodes
 
 
@@ -127,10 +129,14 @@ def test_percentile_rank_matches_window(spark):
 
 def test_overlap_and_islands(spark):
     df = spark.createDataFrame([(1, 1, "2024-01-01", "2024-01-10"), (1, 2, "2024-01-05", "2024-01-07"),
-                                (1, 3, "2024-01-10", "2024-01-12"), (2, 4, "2024-01-01", "2024-01-02")],
+                                (1, 3, "2024-01-10", "2024-01-12"), (2, 4, "2024-01-01", "2024-01-02"),
+                                (3, 5, "2024-01-01", None), (3, 6, "2024-03-01", "2024-03-02"),
+                                (None, 7, "2024-01-01", "2024-01-02"), (None, 8, "2024-01-02", "2024-01-03")],
                                "g int, id int, s string, e string")
     out = {r.id: r.overlaps_previous for r in WIN.overlap_flags(df, ["g"], "s", "e", "id").collect()}
-    assert out == {1: 0, 2: 1, 3: 0, 4: 0}
+    assert out == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 1, 7: 0, 8: 1}
+    chunked = WIN.overlap_flags(df, ["g"], "s", "e", "id", chunk=F.substring("s", 1, 7)).collect()
+    assert {r.id: r.overlaps_previous for r in chunked} == out
     m = spark.createDataFrame([(1, i, v) for i, v in enumerate([5, 6, 7, 1, 8, 9])], "k int, i int, v int")
     runs = WIN.gaps_and_islands(m, ["k"], "i", F.col("v") > 4, 2).orderBy("run_start").collect()
     assert [(r.run_start, r.run_end, r.run_length) for r in runs] == [(0, 2, 3), (4, 5, 2)]
@@ -228,3 +234,32 @@ def test_select_helpers(spark):
     df = spark.createDataFrame([(1,), (2,)], "k int")
     lab = {r.k: r.label for r in SEL.localized_value(df, tr, {"k": "key"}, "name", "mt").collect()}
     assert lab == {1: "Dħul", 2: "VAT"}
+
+
+def test_chunked_running_sum_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, "2024-01-01", 1), (None, "2024-01-01", 2), (None, None, 4)], "k int, d string, v int")
+    out = WIN.running_agg(df, ["k"], ["d"], "v", "s", chunk=F.substring("d", 1, 7)).collect()
+    assert sorted((r.v, r.s) for r in out) == [(1, 1), (2, 6), (4, 4)]
+
+
+def test_sequential_key_is_dense_with_wide_rows(spark):
+    wide = (spark.range(0, 150_000, 1, 40).select(F.col("id").alias("nk"), F.xxhash64("id").alias("h"))
+            .withColumn("payload", F.repeat(F.sha2(F.col("h").cast("string"), 256), 3)).orderBy("h"))
+    keyed = K.sequential_key(wide, ["nk"], "k", offset=5)
+    path = f"{checkpoint_dir(spark)}/keys-{uuid.uuid4().hex[:8]}"
+    keyed.write.parquet(path)
+    back = spark.read.parquet(path)
+    r = back.agg(F.count("*").alias("n"), F.countDistinct("k").alias("d"), F.min("k").alias("lo"), F.max("k").alias("hi"),
+                 F.sum((F.col("k") != F.col("nk") + 6).cast("int")).alias("bad")).first()
+    assert (r.n, r.d, r.lo, r.hi, r.bad) == (150_000, 150_000, 6, 150_005, 0)
+
+
+def test_scd2_sees_separators_and_nulls(spark):
+    from quaestor.operators.scd import initial_scd2, scd2_merge
+    cols = "nk int, a string, b string"
+    first = initial_scd2(spark.createDataFrame([(1, "a|b", "c"), (2, None, "x"), (3, "s", "t")], cols), ["nk"], "2024-01-01")
+    nxt = spark.createDataFrame([(1, "a", "b|c"), (2, "_null_", "x"), (3, "s", "t"), (3, "s", "t")], cols)
+    out = scd2_merge(first, nxt, ["nk"], ["a", "b"], "2024-02-01").collect()
+    assert sorted((r.nk, r.version_number, r.is_current) for r in out) == [
+        (1, 1, 0), (1, 2, 1), (2, 1, 0), (2, 2, 1), (3, 1, 1)]
+    assert len({r.surrogate_key for r in out}) == 5
