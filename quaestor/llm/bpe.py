@@ -10,11 +10,12 @@ start on the left to one on the right, wider and wider until its two halves
 agree exactly with what the chunks hold there.
 
 Passes: (1) chunk digests of every document; (2) count by digest (partial sums
-before the shuffle) and an owner for each that repeats; (3) one shuffle of the
-zstd-compressed texts to the chunks they share: documents without any are
-finished, owners encode, the others wait in a staged table; (4) the waiting
-ones meet their chunks' ids.  A chunk in a third of all documents is one row on
-one side of a sort-merge join whose other side Spark splits.
+before the shuffle) and an owner for each that repeats; (3) a scan that finishes
+documents without shared chunks and sets the others aside, zstd-compressed: a
+bitmap of fixed size, which errs only towards setting aside, tells them apart;
+(4) owners encode their chunks; (5) the documents set aside meet their chunks'
+ids.  A chunk in a third of all documents is one row on one side of a sort-merge
+join whose other side Spark splits.
 
 Cases: a null text counts as empty (no ids; the digests of nothing); repeated
 rows and null doc_ids each give their row; an empty table gives none.
@@ -78,11 +79,11 @@ def _key(doc_id, text: str) -> bytes:
     return hashlib.blake2b(f"{doc_id}\0{text}".encode(), digest_size=16).digest()
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """(doc_id, text) of about a million characters at a time."""
+def _rows(batches: Iterator[pa.RecordBatch], limit: int = 1_000_000) -> Iterator[list[tuple]]:
+    """(doc_id, text) of about ``limit`` characters at a time."""
     for b in batches:
         ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-        for lo, hi in batches_by_chars(texts):
+        for lo, hi in batches_by_chars(texts, limit):
             yield list(zip(ids[lo:hi], texts[lo:hi]))
 
 
@@ -97,17 +98,6 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["doc_key", "hashes"])
 
 
-def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    z = zstandard.ZstdCompressor(level=3)
-    for rows in _rows(batches):
-        yield pa.record_batch([pa.array([_key(*r) for r in rows], pa.binary()),
-                               pa.array([r[0] for r in rows], pa.int64()),
-                               pa.array([z.compress(r[1].encode()) for r in rows], pa.binary())],
-                              names=["doc_key", "doc_id", "payload"])
-
-
 def _texts(payloads: list[bytes]) -> list[str]:
     import zstandard
 
@@ -115,47 +105,63 @@ def _texts(payloads: list[bytes]) -> list[str]:
     return [z.decompress(p).decode() for p in payloads]
 
 
-_STEP = pa.schema([("kind", pa.string()), ("doc_key", pa.binary()), ("doc_id", pa.int64()), ("payload", pa.binary()),
-                   ("hash", pa.binary()), ("ids", pa.binary()), ("n_tokens", pa.int64()),
-                   ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.string())])
-_STEP_DDL = ("kind string, doc_key binary, doc_id long, payload binary, hash binary, ids binary, n_tokens long, "
-             "ids_sha256 string, decoded_sha256 string, decoded string")
+_STEP = pa.schema([("doc_key", pa.binary()), ("doc_id", pa.int64()), ("payload", pa.binary()), ("n_tokens", pa.int64()),
+                   ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary()),
+                   ("decoded", pa.string())])
+_STEP_DDL = ("doc_key binary, doc_id long, payload binary, n_tokens long, ids_sha256 string, decoded_sha256 string, "
+             "ids binary, decoded string")
+#: Bits of the bitmap of documents with shared chunks (8 MB), and of one row of it.
+_BITMAP, _ROW = 1 << 26, 1 << 15
+
+
+def _bit(key: bytes) -> int:
+    return int.from_bytes(key[:4], "big") % _BITMAP
 
 
 def _finished(enc: PieceEncoder, doc_id, ids: bytes, whole: bool) -> dict:
     decoded = enc.decode(ids)
-    return {"kind": "done", "doc_id": doc_id, "n_tokens": len(ids) // 4,
+    return {"doc_id": doc_id, "n_tokens": len(ids) // 4,
             "ids_sha256": hashlib.sha256(ids).hexdigest(),
             "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest(),
             "ids": ids if whole else None, "decoded": decoded if whole else None}
 
 
-def _encode_step(path: str, whole: bool):
-    """Finishes documents that share nothing; encodes owned chunks; passes on the rest."""
+def _whole_step(path: str, bitmap, whole: bool):
+    """Finishes documents that share nothing; the others' texts go on."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        enc, z, marked = loaded(path, "byte"), zstandard.ZstdCompressor(level=3), bitmap.value
+        for rows in _rows(batches, 8_000_000):
+            keys = [_key(*r) for r in rows]
+            aside = [bool(marked[_bit(k) // 8] >> _bit(k) % 8 & 1) for k in keys]
+            alone = [r for r, a in zip(rows, aside) if not a]
+            out = [_finished(enc, doc_id, ids, whole) for (doc_id, _), ids in zip(alone, enc.encode([t for _, t in alone]))]
+            out += [{"doc_key": k, "doc_id": r[0], "payload": z.compress(r[1].encode())}
+                    for k, r, a in zip(keys, rows, aside) if a]
+            yield pa.RecordBatch.from_pylist(out, schema=_STEP)
+
+    return step
+
+
+def _chunk_step(path: str):
+    """ids of the chunks that a document owns, each encoded by itself."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = loaded(path, "byte")
         for b in batches:
             for lo in range(0, b.num_rows, 4000):
                 part = b.slice(lo, 4000).to_pydict()
-                texts, out = _texts(part["payload"]), []
-                alone = [i for i, s in enumerate(part["shared"]) if not s]
-                mine = [texts[i] for i in alone]
-                for x, y in batches_by_chars(mine, 8_000_000):
-                    out += [_finished(enc, part["doc_id"][i], ids, whole)
-                            for i, ids in zip(alone[x:y], enc.encode(mine[x:y]))]
-                for i, shared in enumerate(part["shared"]):
-                    if not shared:
-                        continue
-                    out.append({"kind": "waits", "doc_key": part["doc_key"][i], "doc_id": part["doc_id"][i],
-                                "payload": part["payload"][i]})
-                    own = [s for s in shared if s["own"]]
-                    if own:
-                        starts = [0, *(ends := chunk_ends(texts[i]))]
-                        chunks = [texts[i][starts[s["pos"]]:ends[s["pos"]]] for s in own]
-                        out += [{"kind": "chunk", "hash": s["hash"], "ids": _narrow(ids)}
-                                for s, ids in zip(own, enc.encode(chunks))]
-                yield pa.RecordBatch.from_pylist(out, schema=_STEP)
+                hashes, chunks = [], []
+                for text, own in zip(_texts(part["payload"]), part["own"]):
+                    starts = [0, *(ends := chunk_ends(text))]
+                    for s in own:
+                        hashes.append(s["hash"])
+                        chunks.append(text[starts[s["pos"]]:ends[s["pos"]]])
+                yield pa.record_batch([pa.array(hashes, pa.binary()),
+                                       pa.array([_narrow(ids) for ids in enc.encode(chunks)], pa.binary())],
+                                      names=["hash", "ids"])
 
     return step
 
@@ -177,7 +183,7 @@ def _agreed_tail(enc: PieceEncoder, text: str, start: int, end: int, ids: bytes)
     if not cuts:
         cuts = [m.start() for m in _WORD_START.finditer(text, start, end) if m.start() > start]
     for p in reversed(cuts):
-        tail = enc.encode([text[p:end]])[0]
+        tail = enc.one(text[p:end])
         if ids.endswith(tail) and tail:
             return p, len(ids) - len(tail)
     return start, 0
@@ -188,7 +194,7 @@ def _agreed_head(enc: PieceEncoder, text: str, start: int, end: int, ids: bytes)
     what ``ids`` begin with, and its bytes; ``end`` and all if none."""
     for m in _WORD_START.finditer(text, start, end):
         if (r := m.start()) > start and r + 1 < end:
-            head = enc.encode([text[start:r]])[0]
+            head = enc.one(text[start:r])
             if ids.startswith(head):
                 return r, len(head)
     return end, len(ids)
@@ -204,7 +210,7 @@ def joined(enc: PieceEncoder, text: str, parts: list[tuple[int, int, bytes]]) ->
         p, keep = _agreed_tail(enc, text, start, end, ids)
         r, skip = _agreed_head(enc, text, nxt_start, nxt_end, nxt)
         out.append(ids[:keep])
-        middle = enc.encode([text[p:r]])[0]
+        middle = enc.one(text[p:r])
         if r < nxt_end:
             out.append(middle)
             start, ids = r, nxt[skip:]
@@ -215,26 +221,33 @@ def joined(enc: PieceEncoder, text: str, parts: list[tuple[int, int, bytes]]) ->
 
 
 def _join_step(path: str, whole: bool):
+    """Documents from their shared chunks' ids and the rest, encoded here."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = loaded(path, "byte")
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500).to_pydict()
-                out = []
-                for doc_id, text, chunks in zip(part["doc_id"], _texts(part["payload"]), part["chunks"]):
-                    known = {c["pos"]: c["ids"] for c in chunks}
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000).to_pydict()
+                texts, plans, rest = _texts(part["payload"]), [], []
+                for text, chunks in zip(texts, part["chunks"]):
+                    known = {c["pos"]: c["ids"] for c in chunks or ()}
                     ends = chunk_ends(text)
                     parts, start = [], 0
                     for pos, end in enumerate(ends):
                         if pos in known:
                             begin = ends[pos - 1] if pos else 0
                             if start < begin:
-                                parts.append((start, begin, enc.encode([text[start:begin]])[0]))
-                            parts.append((begin, end, _widen(known[pos])))
+                                parts.append((start, begin, None))
+                            parts.append((begin, end, known[pos]))
                             start = end
                     if start < len(text):
-                        parts.append((start, len(text), enc.encode([text[start:]])[0]))
-                    out.append(_finished(enc, doc_id, joined(enc, text, parts), whole))
+                        parts.append((start, len(text), None))
+                    rest += [text[x:y] for x, y, ids in parts if ids is None]
+                    plans.append(parts)
+                fresh = iter([ids for x, y in batches_by_chars(rest, 8_000_000) for ids in enc.encode(rest[x:y])])
+                out = [_finished(enc, doc_id, joined(enc, text, [
+                    (x, y, next(fresh) if ids is None else _widen(ids)) for x, y, ids in parts]), whole)
+                    for doc_id, text, parts in zip(part["doc_id"], texts, plans)]
                 yield pa.RecordBatch.from_pylist(out, schema=_STEP)
 
     return step
@@ -253,18 +266,23 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "
     info = staged(found.join(shared.hint("merge"), "hash")
                   .withColumn("own", (F.col("owner.doc_key") == F.col("doc_key")) & (F.col("owner.pos") == F.col("pos")))
                   .groupBy("doc_key").agg(F.collect_set(F.struct("pos", "hash", "own")).alias("shared")))
-    encoded = staged(source.mapInArrow(_squeezed, "doc_key binary, doc_id long, payload binary")
-                     .join(info.hint("merge"), "doc_key", "left")
-                     .select("doc_key", "doc_id", "payload", "shared")
-                     .mapInArrow(_encode_step(path, whole), _STEP_DDL))
-    chunks = encoded.where("kind = 'chunk'").select("hash", "ids")
+    bit = F.expr(f"cast(conv(hex(substring(doc_key, 1, 4)), 16, 10) as bigint) % {_BITMAP}") + 1
+    bits = bytearray(_BITMAP // 8)
+    for r in (info.groupBy(F.bitmap_bucket_number(bit).alias("at"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()):  # the bitmap, 8 MB
+        bits[(r["at"] - 1) * _ROW // 8:r["at"] * _ROW // 8] = r["bits"]
+    bitmap = docs.sparkSession.sparkContext.broadcast(bytes(bits))
+    seen = staged(source.mapInArrow(_whole_step(path, bitmap, whole), _STEP_DDL))
+    aside = seen.where("payload is not null").select("doc_key", "doc_id", "payload")
+    own = (info.select("doc_key", F.expr("filter(shared, s -> s.own)").alias("own")).where("size(own) > 0").hint("merge"))
+    chunks = staged(aside.join(own, "doc_key").select("payload", "own")
+                    .mapInArrow(_chunk_step(path), "hash binary, ids binary").dropDuplicates(["hash"]))
     wanted = (info.select("doc_key", F.explode("shared").alias("s")).select("doc_key", "s.pos", "s.hash")
               .join(chunks.hint("merge"), "hash")
               .groupBy("doc_key").agg(F.collect_list(F.struct("pos", "ids")).alias("chunks")))
-    waiting = (encoded.where("kind = 'waits'").select("doc_key", "doc_id", "payload")
-               .join(wanted.hint("merge"), "doc_key").select("doc_id", "payload", "chunks")
-               .mapInArrow(_join_step(path, whole), _STEP_DDL))
-    return encoded.where("kind = 'done'").unionByName(waiting).select(
+    rest = (aside.join(wanted.hint("merge"), "doc_key", "left").select("doc_id", "payload", "chunks")
+            .mapInArrow(_join_step(path, whole), _STEP_DDL))
+    return seen.where("payload is null").unionByName(rest).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * whole)
 
 

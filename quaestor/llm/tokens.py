@@ -128,9 +128,13 @@ class PieceEncoder:
         at = (4 * ends[edges]).tolist()
         out = [ids[a:b] for a, b in zip(at, at[1:])]
         for i, t in whole.items():
-            out[i] = array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes()
+            out[i] = self.one(t)
         return out
 
+    def one(self, text: str) -> bytes:
+        """ids of a text, straight from the library."""
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+
     def decode(self, ids: bytes) -> str:
         """As the library's decode(ids, skip_special_tokens=False) of a
         byte-level vocabulary: the tokens' bytes, badly formed UTF-8 replaced."""
