@@ -43,15 +43,15 @@ def _words(line: str) -> str:
     return rf"array_distinct(split({trimmed}, '[ \\t-\\r]+'))"
 
 
-def _rarity(texts: DataFrame) -> bytes:
-    """Count class (1 to 126) of each token bucket, one byte each."""
+def _rarity(texts: DataFrame) -> list[int]:
+    """Count class (1 to 126) of each token bucket."""
     rows = (texts.select(F.explode(F.expr(r"split(lower(text), '[ \\t-\\r]+')")).alias("w")).where("w != ''")
             .groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")).collect())  # at most BUCKETS rows
-    classes = bytearray(b"\x01" * BUCKETS)
+    classes = [1] * BUCKETS
     for r in rows:
         classes[r.bucket] = min(126, 1 + int(3 * math.log2(r.n + 1)))
-    return bytes(classes)
+    return classes
 
 
 def _need(n: str, num: int, den: int) -> str:
@@ -61,9 +61,9 @@ def _need(n: str, num: int, den: int) -> str:
 
 def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """Every line that takes part: its place, the key of its token set, size,
-    parity bits and prefix (32-bit token hashes, rare first)."""
-    classes = _rarity(docs).hex()
-    order = (f"(cast(ascii(cast(substring(X'{classes}', cast(h & {BUCKETS - 1} as int) + 1, 1) as string)) as bigint) << 56)"
+    32 parity bits and prefix (31-bit token hashes, rare first)."""
+    classes = ",".join(map(str, _rarity(docs)))
+    order = (f"shiftleft(cast(cast(split('{classes}', ',') as array<tinyint>)[cast(h & {BUCKETS - 1} as int)] as bigint), 56)"
              " | shiftrightunsigned(h, 8)")
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -73,18 +73,27 @@ def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
             .withColumn("tokens", F.expr(f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {order}))"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
                     F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
-                    F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
+                    F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 31 as int)))").alias("bits"),
                     F.expr(f"transform(slice(tokens, 1, cast(size(tokens) - {_need('size(tokens)', num, den)} + 1 as int)), "
-                           "t -> cast(t & 4294967295 as bigint))").alias("prefix")))
+                           "t -> cast(t & 2147483647 as int))").alias("prefix")))
 
 
-def _close(x: str, y: str, num: int, den: int) -> str:
-    """Length, positional and bitmap filters of two prefix entries."""
+def _entries(of: DataFrame, ids: str, prefix: str, side: str) -> DataFrame:
+    """One row per prefix token, narrow, with columns of one side of a join:
+    token and parity bits, class, size and place in the prefix."""
+    return (of.select(F.expr(ids).alias("c"), "n", "bits", F.posexplode(F.expr(prefix)).alias("at", "token"))
+            .select(F.expr("shiftleft(cast(token as bigint), 32) | bits").alias(f"k{side}"), F.col("c").alias(side),
+                    F.expr("shiftleft(cast(n as bigint), 32) | at").alias(f"p{side}")))
+
+
+def _close(num: int, den: int) -> str:
+    """Length, positional and bitmap filters of prefix entries x and y."""
+    n, at = {s: f"shiftright(p{s}, 32)" for s in "xy"}, {s: f"(p{s} & 4294967295)" for s in "xy"}
     # shared tokens of a pair of sizes a, b: at least num (a + b) / (num + den)
-    both = f"cast(ceil({num} * ({x}.n + {y}.n) / {num + den}) as int)"
-    return (f"{den} * least({x}.n, {y}.n) >= {num} * greatest({x}.n, {y}.n)"
-            f" and 1 + least({x}.n - {x}.at, {y}.n - {y}.at) - 1 >= {both}"
-            f" and bit_count({x}.bits ^ {y}.bits) <= {x}.n + {y}.n - 2 * {both}")
+    both = f"(({num} * ({n['x']} + {n['y']}) + {num + den - 1}) div {num + den})"
+    return (f"{den} * least({n['x']}, {n['y']}) >= {num} * greatest({n['x']}, {n['y']})"
+            f" and least({n['x']} - {at['x']}, {n['y']} - {at['y']}) >= {both}"
+            f" and bit_count((kx ^ ky) & 4294967295) <= {n['x']} + {n['y']} - 2 * {both}")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
@@ -108,40 +117,34 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
     """doc_id, text_hash, line_no of every line of ``docs`` (doc_id, text) that
     an earlier one resembles."""
     lines = staged(_lines(docs, num, den, min_tokens))
+    place = ["doc_id", "text_hash", "line_no"]
+    # ids in the order of places: ranges of them, and rows in order inside
     classes = staged(lines.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first"), F.first("n").alias("n"),
-        F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        .select("k1", "k2", "first.*", "n", "bits", "prefix").withColumn("id", F.monotonically_increasing_id()))
-    place = "struct(doc_id, text_hash, line_no)"
-
-    def entries(of: DataFrame, *more: str, most: str = "prefix") -> DataFrame:
-        return of.select("id", "n", "bits", *more, F.posexplode(F.expr(most)).alias("at", "token"))
-
-    few = entries(classes, "doc_id", "text_hash", "line_no", most=f"slice(prefix, 1, {_FIRST})")
-    heads = staged(few.groupBy("token").agg(F.count(F.lit(1)).alias("m"),
-                                            F.min(F.expr(f"struct({place} as place, id, n, bits, at)")).alias("y"))
-                   .where("m > 1").select("token", "y"))
-    near = (few.withColumn("x", F.struct("id", "n", "bits", "at")).select("token", "x")
-            .join(heads.hint("merge"), "token").where(F.expr(f"x.id != y.id and {_close('x', 'y', num, den)}"))
-            .select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct())
+        F.min(F.struct(*place)).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("prefix").alias("prefix"))
+        .select("k1", "k2", "first.*", "n", "bits", "prefix")
+        .repartitionByRange(*place).sortWithinPartitions(*place).withColumn("id", F.monotonically_increasing_id()))
+    close = _close(num, den)
+    few = [_entries(classes, "id", f"slice(prefix, 1, {_FIRST})", s) for s in "xy"]
+    heads = staged(few[1].groupBy(F.expr("shiftright(ky, 32)").alias("token"))
+                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "ky", "py")).alias("e"))
+                   .where("m > 1").select("token", "e.*"))
+    near = (few[0].join(heads.hint("merge"), F.expr(f"shiftright(kx, 32) = token and y < x and {close}"))
+            .select("x", "y").distinct())
     found = staged(_verified(near, classes, docs, num, den))
-    # the earlier of two classes is the one with the smaller place
-    known = staged(classes.select("id", "n", "bits", "prefix", F.expr(f"{place} as place"))
-                   .join(found.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left")
-                   .withColumn("gone", F.coalesce("gone", F.lit(False))))
-    all_ = entries(known, "gone")
-    x = all_.select("token", F.struct("id", "n", "bits", "at", "gone").alias("x"))
-    y = all_.select(F.col("token").alias("token_y"), F.struct("id", "n", "bits", "at").alias("y"))
-    met = (x.join(y, F.expr(f"token = token_y and not x.gone and x.id != y.id and {_close('x', 'y', num, den)}"))
-           .select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct())
-    places = [known.select(F.col("id").alias(c), F.col("place").alias(f"p{c}")).hint("merge") for c in ("x", "y")]
-    late = met.join(places[0], "x").join(places[1], "y").where("py < px").select("x", "y")
-    gone = staged(found.unionByName(_verified(late, classes, docs, num, den)).distinct())
-    told = (classes.select("id", "k1", "k2", F.expr(f"{place} as place"))
+    # what is settled keeps its entries for later lines to meet, under -1 - id
+    known = staged(classes.select("id", "n", "bits", "prefix")
+                   .join(found.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left"))
+    both = [_entries(known, "if(gone, -1 - id, id)", "prefix", s) for s in "xy"]
+    met = (both[0].join(both[1].hint("merge"), F.expr(
+        f"shiftright(kx, 32) = shiftright(ky, 32) and x >= 0 and if(y < 0, -1 - y, y) < x and {close}"))
+        .select("x", F.expr("if(y < 0, -1 - y, y) as y")).distinct())
+    gone = staged(found.unionByName(_verified(met, classes, docs, num, den)).distinct())
+    told = (classes.select("id", "k1", "k2", F.struct(*place).alias("place"))
             .join(gone.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left")
             .select("k1", "k2", "place", F.coalesce("gone", F.lit(False)).alias("gone")))
-    return (lines.select("k1", "k2", "doc_id", "text_hash", "line_no").join(staged(told).hint("merge"), ["k1", "k2"])
-            .where(F.expr(f"gone or not ({place} <=> place)")).select("doc_id", "text_hash", "line_no").distinct())
+    return (lines.select("k1", "k2", *place).join(staged(told).hint("merge"), ["k1", "k2"])
+            .where(F.expr(f"gone or not (struct({', '.join(place)}) <=> place)")).select(*place).distinct())
 
 
 def _by_document(docs: DataFrame, **rule) -> DataFrame:
