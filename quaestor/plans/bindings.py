@@ -105,8 +105,9 @@ def filings(t: Tables) -> DataFrame:
             .withColumn("days_late", F.when(filed, F.greatest(F.datediff("first_ship_date", "due_date"), F.lit(0)))))
 
 
-def payments(t: Tables) -> DataFrame:
-    """Payments (one per line) with the paying party resolved via the return.
+def timed_payments(t: Tables) -> DataFrame:
+    """Payments (one per line) with the paying party and the due date resolved
+    via the return.
 
     The test lineitem has no unique key: (order, line) repeats, and at
     sf0.001 even (order, line, part, supplier) does, so a payment is
@@ -114,13 +115,19 @@ def payments(t: Tables) -> DataFrame:
     scale, and a total order for the allocation scans."""
     lines = return_lines(t)
     r = t.orders.select(F.col("o_orderkey").alias("return_id"), F.col("o_custkey").alias("party_id"),
-                        F.col("o_orderpriority").alias("tax_type_code"))
+                        F.col("o_orderpriority").alias("tax_type_code"),
+                        F.date_add(F.last_day(F.col("o_orderdate").cast("date")), DUE_DAYS_AFTER_MONTH_END).alias("due_date"))
     return lines.join(r, "return_id").select(
         F.concat_ws("-", "return_id", "line_number", "part_id", "supplier_id",
                     F.date_format("ship_date", "yyyyMMdd")).alias("payment_id"),
         "return_id", "line_number", "party_id", "tax_type_code",
         F.col("ship_date").alias("payment_date"), F.col("payment_amount"),
-        F.col("charge_type_code"), F.col("line_status"))
+        F.col("charge_type_code"), F.col("line_status"), "due_date")
+
+
+def payments(t: Tables) -> DataFrame:
+    """Payments without the due date of their return."""
+    return timed_payments(t).drop("due_date")
 
 
 def ledger(t: Tables) -> DataFrame:

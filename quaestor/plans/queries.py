@@ -180,21 +180,22 @@ _SNAPS = """snaps AS (SELECT CAST(last_day(CAST(latest AS DATE) - to_months(k))
         range(0, 6) t(k))""".format(a=_AS_OF)
 
 
-@register("taxpayer_activity", with_("party", "filings", "payments", "ledger") + "," + _SNAPS + """,
+@register("taxpayer_activity", with_("party", "returns", "filings", "payments", "ledger") + "," + _SNAPS + """,
 grid AS (SELECT p.party_id, s.snapshot_date FROM party p, snaps s),
 f AS (SELECT g.party_id, g.snapshot_date, COUNT(x.return_id) AS filings_count, COALESCE(SUM(x.is_on_time), 0) AS on_time_filings,
              CAST(COALESCE(SUM(x.assessed_amount), 0) AS DECIMAL(38,2)) AS assessed_amount
       FROM grid g LEFT JOIN filings x ON x.party_id = g.party_id AND x.period_date <= g.snapshot_date GROUP BY 1, 2),
 p AS (SELECT g.party_id, g.snapshot_date, COUNT(x.payment_id) AS payments_count,
-             CAST(COALESCE(SUM(x.payment_amount), 0) AS DECIMAL(38,2)) AS paid_amount
-      FROM grid g LEFT JOIN payments x ON x.party_id = g.party_id AND x.payment_date <= g.snapshot_date GROUP BY 1, 2),
+             CAST(COALESCE(SUM(x.payment_amount), 0) AS DECIMAL(38,2)) AS paid_amount,
+             CAST(COALESCE(SUM(CASE WHEN x.payment_date <= x.due_date THEN x.payment_amount END), 0) AS DECIMAL(38,2)) AS on_time_paid_amount
+      FROM grid g LEFT JOIN (SELECT q.*, r.due_date FROM payments q JOIN returns r USING (return_id)) x ON x.party_id = g.party_id AND x.payment_date <= g.snapshot_date GROUP BY 1, 2),
 b AS (SELECT g.party_id, g.snapshot_date, CAST(COALESCE(SUM(x.amount), 0) AS DECIMAL(38,2)) AS balance_amount
       FROM grid g LEFT JOIN ledger x ON x.account_id = g.party_id AND x.txn_date <= g.snapshot_date GROUP BY 1, 2),
-m AS (SELECT f.*, p.payments_count, p.paid_amount, b.balance_amount,
-             """ + sql_pct("f.on_time_filings", "f.filings_count") + """ AS filing_rate,
-             LEAST(""" + sql_pct("p.paid_amount", "f.assessed_amount") + """, 100) AS payment_rate
+m AS (SELECT f.*, p.payments_count, p.paid_amount, p.on_time_paid_amount, b.balance_amount,
+             COALESCE(""" + sql_pct("f.on_time_filings", "f.filings_count") + """, 0) AS filing_rate,
+             COALESCE(""" + sql_pct("p.on_time_paid_amount", "p.paid_amount") + """, 0) AS payment_rate
       FROM f JOIN p USING (party_id, snapshot_date) JOIN b USING (party_id, snapshot_date))
-SELECT party_id, snapshot_date, filings_count, on_time_filings, assessed_amount, payments_count, paid_amount,
+SELECT party_id, snapshot_date, filings_count, on_time_filings, assessed_amount, payments_count, paid_amount, on_time_paid_amount,
        balance_amount, filing_rate, payment_rate,
        """ + sql_round("(CAST(COALESCE(filing_rate, 0) AS DOUBLE) + CAST(COALESCE(payment_rate, 0) AS DOUBLE)) / 2", 2) + """ AS overall_compliance,
        CASE WHEN """ + sql_round("(CAST(COALESCE(filing_rate, 0) AS DOUBLE) + CAST(COALESCE(payment_rate, 0) AS DOUBLE)) / 2", 2) + """ >= 80 THEN 1 ELSE 0 END AS is_compliant,
@@ -202,7 +203,7 @@ SELECT party_id, snapshot_date, filings_count, on_time_filings, assessed_amount,
 FROM m""")
 def q_taxpayer_activity(spark, sf_dir):
     t = B.tables(spark, sf_dir)
-    return SNAP.build_taxpayer_activity(B.party(t), B.filings(t), B.payments(t), B.ledger(t), _AS_OF)
+    return SNAP.build_taxpayer_activity(B.party(t), B.filings(t), B.timed_payments(t), B.ledger(t), _AS_OF)
 
 
 # ---------------------------------------------------------------- I30 account snapshot

@@ -44,11 +44,12 @@ def _bucketed(df: DataFrame, date_col: str, snaps: list[Column], aggs: Sequence[
 def build_taxpayer_activity(parties: DataFrame, filings: DataFrame, payments: DataFrame, ledger: DataFrame,
                             as_of: str, snapshots: int = 6, compliant_threshold: float = 80.0) -> DataFrame:
     """Party x month-end snapshot with cumulative filings, on-time filings,
-    assessed amount, payments, paid amount, balance as of the snapshot, filing
-    and payment rates, overall = mean of both, compliant >= threshold.
+    assessed amount, payments, paid amount, amount paid on time, balance as of
+    the snapshot, filing rate (filings on time), payment rate (amount paid on
+    time; both 0 without any), overall = mean of both, compliant >= threshold.
 
     filings: party_id, period_date, is_on_time, assessed_amount;
-    payments: party_id, payment_date, payment_amount;
+    payments: party_id, payment_date, due_date, payment_amount;
     ledger: account_id (= party_id), txn_date, amount.
     """
     snaps = month_end_snapshots(as_of, snapshots)
@@ -57,25 +58,26 @@ def build_taxpayer_activity(parties: DataFrame, filings: DataFrame, payments: Da
                                                    F.sum("is_on_time").alias("f_on_time"),
                                                    F.sum(money("assessed_amount")).alias("f_assessed")])
     p = _bucketed(payments, "payment_date", snaps, [F.count(F.lit(1)).alias("p_n"),
-                                                     F.sum(money("payment_amount")).alias("p_amount")])
+                                                     F.sum(money("payment_amount")).alias("p_amount"),
+                                                     F.sum(F.when(F.col("payment_date") <= F.col("due_date"),
+                                                                  money("payment_amount"))).alias("p_on_time")])
     led = _bucketed(ledger.withColumnRenamed("account_id", "party_id"), "txn_date", snaps,
                     [F.sum(money("amount")).alias("b_net")])
     g = grid.join(f, ["party_id", "snapshot_date"], "left").join(p, ["party_id", "snapshot_date"], "left") \
         .join(led, ["party_id", "snapshot_date"], "left")
     measures = (("f_n", "filings_count", "bigint"), ("f_on_time", "on_time_filings", "bigint"),
                 ("f_assessed", "assessed_amount", WIDE), ("p_n", "payments_count", "bigint"),
-                ("p_amount", "paid_amount", WIDE), ("b_net", "balance_amount", WIDE))
-    # all six cumulative measures in one window pass over the (few) snapshots of a party
+                ("p_amount", "paid_amount", WIDE), ("p_on_time", "on_time_paid_amount", WIDE), ("b_net", "balance_amount", WIDE))
+    # all cumulative measures in one window pass over the (few) snapshots of a party
     g = running_aggs(g, ["party_id"], [F.col("snapshot_date")],
                      {out: (F.coalesce(F.col(c), F.lit(0)), "sum") for c, out, _ in measures})
     for _, out, t in measures:
         g = g.withColumn(out, F.col(out).cast(t))
-    g = g.drop("f_n", "f_on_time", "f_assessed", "p_n", "p_amount", "b_net")
-    fr = pct("on_time_filings", "filings_count")
-    pr = F.least(pct("paid_amount", "assessed_amount"), F.lit(100).cast("decimal(18,2)"))
-    g = g.withColumn("filing_rate", fr).withColumn("payment_rate", pr)
-    overall = round_half_up((F.coalesce(F.col("filing_rate"), F.lit(0)).cast("double")
-                             + F.coalesce(F.col("payment_rate"), F.lit(0)).cast("double")) / 2, 2)
+    g = g.drop("f_n", "f_on_time", "f_assessed", "p_n", "p_amount", "p_on_time", "b_net")
+    zero = F.lit(0).cast("decimal(18,2)")
+    g = (g.withColumn("filing_rate", F.coalesce(pct("on_time_filings", "filings_count"), zero))
+         .withColumn("payment_rate", F.coalesce(pct("on_time_paid_amount", "paid_amount"), zero)))
+    overall = round_half_up((F.col("filing_rate").cast("double") + F.col("payment_rate").cast("double")) / 2, 2)
     return (g.withColumn("overall_compliance", overall)
             .withColumn("is_compliant", (F.col("overall_compliance") >= compliant_threshold).cast("int"))
             .withColumn("snapshot_date_key", date_key("snapshot_date")))
