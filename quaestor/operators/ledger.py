@@ -100,20 +100,22 @@ def allocation_summary(supply: DataFrame, allocations: DataFrame, keys: Sequence
 
 def installment_split(df: DataFrame, amount: str, n_col: str, share: float = 0.4,
                       out_amount: str = "installment_amount") -> DataFrame:
-    """Partial payments: each installment pays ``share`` of what remains, the
-    last one the remainder (E17).  Closed form: remaining before installment
-    i = A * (1 - share)^(i-1), rounded half-up to cents; the installment is
-    the difference of consecutive remainders, so the parts sum to A."""
-    out = df.withColumn("installment_no", F.explode(F.sequence(F.lit(1), F.col(n_col))))
-    a = money(F.col(amount))
-
-    def remaining(k):
-        return round_half_up(a.cast("double") * F.pow(F.lit(1.0 - share), k), 2, 19)
-
-    i = F.col("installment_no")
-    part = remaining(i - 1) - remaining(i)
-    last = remaining(i - 1)
-    return out.withColumn(out_amount, F.when(i == F.col(n_col), last).otherwise(part).cast(MONEY))
+    """Partial payments: each installment pays ``share`` of what remains,
+    rounded half-up to cents and taken off before the next; the last one pays
+    the remainder (E17), so the parts sum to the amount.  Decimal throughout."""
+    part_of = F.lit(str(share)).cast(DecimalType(9, 6))
+    start = F.struct(money(amount).alias("left"), F.array().cast("array<decimal(19,2)>").alias("parts"))
+
+    def pay(state, _):
+        part = F.round(state["left"] * part_of, 2).cast(MONEY)
+        return F.struct((state["left"] - part).cast(MONEY).alias("left"),
+                        F.array_append(state["parts"], part).alias("parts"))
+
+    n = F.col(n_col)
+    before_last = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+    paid = F.aggregate(before_last, start, pay, lambda s: F.array_append(s["parts"], s["left"]))
+    return (df.select("*", F.posexplode(paid).alias("installment_no", out_amount))
+            .withColumn("installment_no", F.col("installment_no") + 1))
 
 
 def installment_schedule(plans: DataFrame, total: str, n_col: str, start_col: str, months_between: int | str = 1,

@@ -244,12 +244,11 @@ def q_missing_account_periods(spark, sf_dir):
 
 # ---------------------------------------------------------------- E17 installment split
 @register("installment_split", with_("returns") + f""",
-x AS (SELECT return_id, assessed_amount, 3 AS n, CAST(unnest(range(1, 4)) AS INTEGER) AS installment_no FROM returns),
-y AS (SELECT *, {sql_round('CAST(assessed_amount AS DOUBLE) * pow(0.6, installment_no - 1)', 2, 19)} AS rem_before,
-             {sql_round('CAST(assessed_amount AS DOUBLE) * pow(0.6, installment_no)', 2, 19)} AS rem_after FROM x)
-SELECT return_id, assessed_amount, n, installment_no,
-  CAST(CASE WHEN installment_no = n THEN rem_before ELSE rem_before - rem_after END AS DECIMAL(19,2)) AS installment_amount
-FROM y""")
+a AS (SELECT return_id, assessed_amount, CAST(ROUND(assessed_amount * CAST(0.4 AS DECIMAL(9,6)), 2) AS DECIMAL(19,2)) AS p1 FROM returns),
+b AS (SELECT *, CAST(ROUND(CAST(assessed_amount - p1 AS DECIMAL(19,2)) * CAST(0.4 AS DECIMAL(9,6)), 2) AS DECIMAL(19,2)) AS p2 FROM a)
+SELECT return_id, assessed_amount, 3 AS n, i AS installment_no,
+  CAST(CASE i WHEN 1 THEN p1 WHEN 2 THEN p2 ELSE assessed_amount - p1 - p2 END AS DECIMAL(19,2)) AS installment_amount
+FROM b, (VALUES (1), (2), (3)) s(i)""")
 def q_installment_split(spark, sf_dir):
     from quaestor.operators.ledger import installment_split
     r = B.returns(B.tables(spark, sf_dir)).select("return_id", "assessed_amount", F.lit(3).alias("n"))

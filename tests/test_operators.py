@@ -110,6 +110,9 @@ def test_installments_sum_to_total(spark):
     p = LED.installment_split(plans, "total", "n").collect()
     assert sum(r.installment_amount for r in p) == Decimal("100.00")
     assert p[0].installment_amount == Decimal("40.00")
+    odd = LED.installment_split(plans.limit(1).withColumn("total", F.lit("100.01").cast("decimal(19,2)"))
+                                .withColumn("n", F.lit(3)), "total", "n").orderBy("installment_no").collect()
+    assert [str(r.installment_amount) for r in odd] == ["40.00", "24.00", "36.01"]
 
 
 def test_progressive_tax(spark):
