@@ -177,19 +177,20 @@ def shifted_join(cur: DataFrame, keys: Sequence[str], period_col: str, shift_mon
 
 
 def percentile_rank(df: DataFrame, partition_cols: Sequence[str], score: str, out_col: str = "percentile_rank",
-                    k: int = 2) -> DataFrame:
+                    k: int = 2, step: float = 100.0) -> DataFrame:
     """100 * percent_rank() of ``score`` per partition.
 
-    Ranks come from counts per distinct score (a bounded table for scores
-    like 0..100 with 2 decimals), so a snapshot holding every party is never
-    sorted in one task.  percent_rank = (#rows with smaller score) / (n - 1).
+    Ranks come from counts per distinct score, summed inside score ranges of
+    width ``step`` (a matter of speed only) plus the totals of the lower
+    ranges, so no task sorts a whole partition.
+    percent_rank = (#rows with smaller score) / (n - 1).
     """
     pc = list(partition_cols)
     cnt = df.groupBy(*pc, score).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(*pc).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    wt = Window.partitionBy(*pc)
-    ranks = cnt.select(*pc, score, F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__below"),
-                       F.sum("__n").over(wt).alias("__total"))
+    below = running_agg(cnt, pc, [score], "__n", "__below", inclusive=False,
+                        chunk=F.floor(F.col(score).cast("double") / step))
+    totals = df.groupBy(*pc).agg(F.count(F.lit(1)).alias("__total"))
+    ranks = _join_chunks(below.select(*pc, score, "__below"), totals, pc)
     out = df.join(ranks, [*pc, score], "left")
     v = F.when(F.col("__total") > 1, F.lit(100.0) * F.col("__below") / (F.col("__total") - 1)).otherwise(F.lit(0.0))
     return out.withColumn(out_col, round_half_up(v, k)).drop("__below", "__total")

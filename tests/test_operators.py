@@ -266,3 +266,12 @@ def test_scd2_sees_separators_and_nulls(spark):
     assert sorted((r.nk, r.version_number, r.is_current) for r in out) == [
         (1, 1, 0), (1, 2, 1), (2, 1, 0), (2, 2, 1), (3, 1, 1)]
     assert len({r.surrogate_key for r in out}) == 5
+
+
+def test_median_matches_percentile(spark):
+    from quaestor.operators import aggregates as AGG
+    df = (spark.range(0, 1001).select((F.col("id") % 4).alias("g"), (F.col("id") * 7919 % 1013 - 200.5).alias("v"))
+          .unionByName(spark.createDataFrame([(None, 2.0), (None, 5.0), (9, None)], "g long, v double")))
+    got = {r.g: r.m for r in AGG.median(df, ["g"], "v", "m", step=50).collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    assert got == want
