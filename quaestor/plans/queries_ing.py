@@ -332,7 +332,7 @@ def q_scheme_eligibility(spark, sf_dir):
 @register("stream_upsert_returns", with_("returns") + """
 SELECT return_id, party_id, tax_type_code, period_date, assessed_amount, status FROM returns""")
 def q_stream_upsert_returns(spark, sf_dir):
-    from quaestor.streaming.incremental import incremental_merge_on_read_stream, scratch
+    from quaestor.streaming.incremental import incremental_upsert_stream, scratch
     t = B.tables(spark, sf_dir)
     schema = t.orders.schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
@@ -340,11 +340,10 @@ def q_stream_upsert_returns(spark, sf_dir):
                    F.col("o_orderpriority").alias("tax_type_code"), F.col("o_orderdate").cast("date").alias("period_date"),
                    money("o_totalprice").alias("assessed_amount"), F.col("o_orderstatus").alias("status")))
     root = scratch(spark, f"stream-upsert-{uuid.uuid4().hex[:8]}")
-    q, table = incremental_merge_on_read_stream(spark, src, f"{root}/target", ["return_id"], ["period_date"],
-                                                checkpoint=f"{root}/ckpt")
+    q, versions = incremental_upsert_stream(spark, src, f"{root}/target", ["return_id"], ["period_date"],
+                                            checkpoint=f"{root}/ckpt")
     q.awaitTermination()
-    table.compact()
-    return table.read()
+    return spark.read.parquet(versions[-1])
 
 
 # ---------------------------------------------------------------- J03 streaming running summary
@@ -353,15 +352,14 @@ SELECT party_id, COUNT(*) AS state_count, SUM(event_value) AS state_sum, MAX(eve
   CAST(FLOOR(CAST(SUM(event_value) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0.0) * 100.0 + 0.5) / 100.0 AS DECIMAL(18,2)) AS state_avg
 FROM ev GROUP BY 1""")
 def q_stream_event_summary(spark, sf_dir):
-    from quaestor.streaming.incremental import running_summary_stream, scratch
+    from quaestor.streaming.incremental import read_summary, running_summary_stream, scratch
     t = B.tables(spark, sf_dir)
     src = (spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
            .select(F.col("user_id").alias("party_id"), money("value").alias("event_value")))
     root = scratch(spark, f"stream-summary-{uuid.uuid4().hex[:8]}")
-    q, table = running_summary_stream(spark, src, ["party_id"], "event_value", f"{root}/target",
-                                      checkpoint=f"{root}/ckpt")
+    q = running_summary_stream(spark, src, ["party_id"], "event_value", f"{root}/target", checkpoint=f"{root}/ckpt")
     q.awaitTermination()
-    return table.read()
+    return read_summary(spark, f"{root}/target", ["party_id"])
 
 
 # ---------------------------------------------------------------- J06 freshness

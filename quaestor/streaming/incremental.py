@@ -5,16 +5,12 @@ loaded, merged on key").  Here each load is a streaming query over a file
 source with a checkpoint in the shared ``spark.checkpoint.dir``:
 
 * J01 ``incremental_upsert_stream``: ``readStream`` -> ``foreachBatch``
-  keyed upsert into a versioned parquet target (new path per batch, pointer
-  file swapped), so a retried batch is idempotent.  This copy-on-write form
-  rewrites the target per batch; for very large targets
-  ``incremental_merge_on_read_stream`` appends each batch (cost = batch
-  size), resolves the latest row per key on read and compacts periodically.
+  keyed upsert (A08), each batch into a path of its own.
 * J02 ``late_lookback``: event-time watermark + ``dropDuplicatesWithinWatermark``.
 * J03 ``running_summary_stream``: per-key count/sum/max partial states
   written per micro-batch, merged on read (mergeable states, D15).
-* J04 ``monthly_rollup_stream``: month-bucket aggregate appended once the
-  watermark passes the month.
+* J04 ``monthly_rollup_stream``: daily sums appended once the watermark
+  passes the day, added up by calendar month on reading.
 * J05 daily flag refresh: ``plans.calendar.refresh_relative_flags``.
 * J06 ``freshness_check``: hours since the last load, banded OK/WARN/ERROR.
 
@@ -31,156 +27,34 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaestor.operators.aggregates import merge_states
+from quaestor.operators.aggregates import merge_states, partial_state
 from quaestor.operators.merge import latest_per_key, upsert
 from quaestor.session import checkpoint_dir
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-    line = reader.readLine()
-    reader.close()
-    return line
-
-
-class VersionedTable:
-    """A parquet table whose current version is named by a pointer file.
-
-    Every merge writes a new version directory and then swaps the pointer, so
-    a plan never reads and overwrites the same path, and a re-run batch (after
-    a failure) rewrites the same version name: idempotent per batch id."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    @property
-    def pointer(self) -> str:
-        return f"{self.root}/_CURRENT"
-
-    def current_path(self) -> str | None:
-        return _read_text(self.spark, self.pointer)
-
-    def read(self) -> DataFrame | None:
-        p = self.current_path()
-        return self.spark.read.parquet(p) if p else None
-
-    def commit(self, df: DataFrame, version: str) -> str:
-        path = f"{self.root}/v={version}"
-        df.write.mode("overwrite").parquet(path)
-        _write_text(self.spark, self.pointer, path)
-        return path
-
-
 def incremental_upsert_stream(spark: SparkSession, source: DataFrame, target_root: str, keys: Sequence[str],
-                              order_cols: Sequence[str] | None = None, name: str = "upsert",
-                              checkpoint: str | None = None, available_now: bool = True):
-    """Stream ``source`` (a streaming DataFrame) into a keyed target."""
-    table = VersionedTable(spark, target_root)
+                              order_cols: Sequence[str] | None = None, checkpoint: str | None = None,
+                              name: str = "upsert", available_now: bool = True):
+    """Keyed upsert (A08) of every micro-batch of ``source``.
+
+    Batch n merges into what batch n - 1 wrote and writes ``batch=n`` under
+    ``target_root``; no plan reads the path it writes, and a batch that is run
+    again writes the same rows.  Returns the query and the list of versions
+    written so far; the last one is the target."""
+    root, versions = target_root.rstrip("/"), []
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        cur = table.read()
-        merged = latest_per_key(batch, keys, order_cols) if cur is None else upsert(cur, batch, keys, order_cols)
-        table.commit(merged, f"{batch_id:08d}")
-
-    w = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(), table
-
-
-class MergeOnReadTable:
-    """Keyed table maintained by appends: ``<root>/changes/batch=<id>`` holds
-    each micro-batch (overwritten on a retry of the same batch id, so it is
-    idempotent), ``<root>/base/v=<n>`` a compacted version named by a pointer
-    file together with the last batch id it contains.
-
-    Writing a batch costs only the batch; reading resolves the latest row per
-    key over base + newer changes with a partially combined aggregate;
-    ``compact`` folds the changes into a new base version (a batch job run
-    outside the stream, e.g. nightly)."""
-
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], order_cols: Sequence[str] = ()):
-        self.spark, self.root, self.keys, self.order = spark, root.rstrip("/"), list(keys), list(order_cols)
-
-    @property
-    def pointer(self) -> str:
-        return f"{self.root}/_BASE"
-
-    def _base(self) -> tuple[str | None, int]:
-        txt = _read_text(self.spark, self.pointer)
-        if not txt:
-            return None, -1
-        path, last = txt.rsplit(" ", 1)
-        return path, int(last)
-
-    def append_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id).cast("long")) \
-            .write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id:010d}")
-
-    def _changes(self, after: int) -> DataFrame | None:
-        fs, p = _fs(self.spark, f"{self.root}/changes")
-        if not fs.exists(p):
-            return None
-        ch = self.spark.read.option("basePath", f"{self.root}/changes").parquet(f"{self.root}/changes")
-        return ch.drop("batch").where(F.col("_batch_id") > after)
-
-    def read(self) -> DataFrame | None:
-        base_path, last = self._base()
-        parts = []
-        if base_path:
-            parts.append(self.spark.read.parquet(base_path))
-        ch = self._changes(last)
-        if ch is not None:
-            parts.append(ch)
-        if not parts:
-            return None
-        allrows = parts[0]
-        for x in parts[1:]:
-            allrows = allrows.unionByName(x)
-        return latest_per_key(allrows, self.keys, ["_batch_id", *self.order]).drop("_batch_id")
-
-    def compact(self) -> str | None:
-        base_path, last = self._base()
-        merged_all = self.spark.read.parquet(base_path) if base_path else None
-        ch = self._changes(last)
-        if ch is None:
-            return base_path
-        top = ch.agg(F.max("_batch_id")).first()[0]  # one scalar: the newest batch folded in
-        parts = ([merged_all] if merged_all is not None else []) + [ch.where(F.col("_batch_id") <= top)]
-        allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        merged = latest_per_key(allrows, self.keys, ["_batch_id", *self.order])
-        path = f"{self.root}/base/v={top:010d}"
+        fresh = latest_per_key(batch, keys, order_cols)
+        merged = fresh if batch_id == 0 else upsert(
+            batch.sparkSession.read.parquet(f"{root}/batch={batch_id - 1}"), fresh, keys, order_cols)
+        path = f"{root}/batch={batch_id}"
         merged.write.mode("overwrite").parquet(path)
-        _write_text(self.spark, self.pointer, f"{path} {top}")
-        return path
-
+        versions.append(path)
 
-def incremental_merge_on_read_stream(spark: SparkSession, source: DataFrame, root: str, keys: Sequence[str],
-                                     order_cols: Sequence[str] = (), checkpoint: str | None = None,
-                                     name: str = "mor", available_now: bool = True):
-    """J01 for very large targets: each micro-batch costs only its own size."""
-    table = MergeOnReadTable(spark, root, keys, order_cols)
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
-    w = source.writeStream.foreachBatch(table.append_batch).option("checkpointLocation", ckpt)
+    w = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(), table
+    return w.start(), versions
 
 
 def late_lookback(stream: DataFrame, ts_col: str, keys: Sequence[str], lookback: str = "24 hours") -> DataFrame:
@@ -189,40 +63,25 @@ def late_lookback(stream: DataFrame, ts_col: str, keys: Sequence[str], lookback:
     return stream.withWatermark(ts_col, lookback).dropDuplicatesWithinWatermark(list(keys))
 
 
-class StateTable:
-    """Mergeable per-key states (count, sum, max) appended per micro-batch to
-    ``<root>/batch=<id>`` (overwritten on retry: idempotent); reading merges
-    all batches with one partially combined aggregate (D15)."""
-
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
-        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
-
-    def append(self, states: DataFrame, batch_id: int) -> None:
-        states.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id:010d}")
-
-    def read(self) -> DataFrame | None:
-        fs, p = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return None
-        s = self.spark.read.option("basePath", self.root).parquet(self.root).drop("batch")
-        return merge_states(s.select(*self.keys, "state_count", "state_sum", "state_max"), self.keys)
-
-
 def running_summary_stream(spark: SparkSession, stream: DataFrame, keys: Sequence[str], value: str,
-                           target_root: str, name: str = "summary", checkpoint: str | None = None,
+                           target_root: str, checkpoint: str | None = None, name: str = "summary",
                            available_now: bool = True):
-    """Per-key count/sum/max maintained as mergeable states; each
-    micro-batch writes only its own partial states."""
-    from quaestor.operators.aggregates import partial_state
-    table = StateTable(spark, target_root, keys)
+    """Per-key count/sum/max as mergeable states; each micro-batch writes
+    its own partial states to ``batch=n`` (again, if it is run again)."""
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        table.append(partial_state(batch, keys, value), batch_id)
+    def write_states(batch: DataFrame, batch_id: int) -> None:
+        partial_state(batch, keys, value).write.mode("overwrite").parquet(f"{target_root}/batch={batch_id}")
 
-    w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+    w = stream.writeStream.foreachBatch(write_states).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(), table
+    return w.start()
+
+
+def read_summary(spark: SparkSession, target_root: str, keys: Sequence[str]) -> DataFrame:
+    """The states of all batches, merged with one partial aggregate."""
+    s = spark.read.option("basePath", target_root).parquet(target_root)
+    return merge_states(s.select(*keys, "state_count", "state_sum", "state_max"), keys)
 
 
 def monthly_rollup_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], value: str, out_path: str,

@@ -139,25 +139,22 @@ def test_monthly_rollup_stream(spark):
     assert [(str(r.month), r.row_count, r.total) for r in months] == [("2024-01-01", 2, 3.0)]
 
 
-def test_merge_on_read_equals_upsert(spark):
-    from quaestor.operators.merge import upsert
-    from quaestor.streaming.incremental import MergeOnReadTable
-    root = f"{checkpoint_dir(spark)}/mor-{uuid.uuid4().hex[:8]}"
-    t = MergeOnReadTable(spark, root, ["k"], ["v"])
-    b0 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    b1 = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
-    b2 = spark.createDataFrame([(1, "e")], "k int, v string")
-    t.append_batch(b0, 0)
-    t.append_batch(b1, 1)
-    t.append_batch(b1, 1)  # retried batch: idempotent
-    want = upsert(upsert(b0, b1, ["k"]), b2, ["k"])
-    t.compact()
-    t.append_batch(b2, 2)
-    got = t.read()
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [(1, "e"), (2, "c"), (3, "d")]
-    t.compact()
-    assert sorted(map(tuple, t.read().collect())) == [(1, "e"), (2, "c"), (3, "d")]
-
+def test_upsert_stream_over_several_batches(spark):
+    from quaestor.streaming.incremental import incremental_upsert_stream
+    src = f"{checkpoint_dir(spark)}/up-src-{uuid.uuid4().hex[:8]}"
+    cols = "k int, ts int, v string"
+    spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], cols).coalesce(1).write.parquet(src)
+
+    def run():
+        stream = spark.readStream.schema(cols).parquet(src)
+        q, versions = incremental_upsert_stream(spark, stream, f"{src}-out", ["k"], ["ts"], checkpoint=f"{src}-ckpt")
+        q.awaitTermination()
+        return versions
+    assert len(run()) == 1
+    spark.createDataFrame([(2, 3, "c"), (2, 2, "late"), (3, 1, "d")], cols).coalesce(1).write.mode("append").parquet(src)
+    last = run()[-1]
+    assert sorted(map(tuple, spark.read.parquet(last).select("k", "v").collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert run() == []
 
 def test_writers_purge_and_registry(spark):
     from quaestor.operators import mapping as MAP
