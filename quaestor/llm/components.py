@@ -43,6 +43,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     its smallest node.  Loops and repeated edges do no harm; no edges, no rows."""
     now = staged(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not _is_stars(now):
-        now = staged(_small_star(_large_star(now)))
+        now = staged(_small_star(staged(_large_star(now))))
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

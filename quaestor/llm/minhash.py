@@ -3,18 +3,19 @@
 1. Every document's distinct word shingles (64-bit hashes) give ``bands * rows``
    minima of universal hashes; each band's minima make one bucket.  Documents
    with equal sets are one class from here on.
-2. In a bucket, members are compared with its hub only, the member with the
-   largest buckets; once more, those outside the hub's component with a hub of
-   their own.  That joins clusters of near copies in rows proportional to them.
+2. In a bucket, members are compared with its hub only, the earliest document
+   of the bucket.  That joins clusters of near copies in rows proportional to
+   them.
 3. A pair goes on if its signatures agree often enough (six standard deviations
    below the threshold) and counts if intersection and union of its full sets do.
 4. What is left in a bucket with several components is settled exactly, without
-   its pairs: with c the top hub of its hub's component and D(x) the symmetric difference of x and c, a
-   link of x and y allows |D(x)| + |D(y)| - 2 |D(x) & D(y)| differing shingles,
-   at most s (|x| + |y|) with s = (1 - t) / (1 + t).  If x isn't linked to c, x
-   and y must share entries of D: pairs meet under the first entries of D (what
-   c lacks before what x lacks, since additions are rare), in a prefix of s |x|
-   (1 + 1 / t) + 1, if the places leave room for the number needed.
+   its pairs: with c the earliest document of its hub's component and D(x) the
+   symmetric difference of x and c, a link of x and y allows |D(x)| + |D(y)| -
+   2 |D(x) & D(y)| differing shingles, at most s (|x| + |y|) with s = (1 - t) /
+   (1 + t).  If x isn't linked to c, x and y must share entries of D: pairs meet
+   under the first entries of D (what c lacks before what x lacks, since
+   additions are rare), in a prefix of s |x| (1 + 1 / t) + 1, if the places
+   leave room for the number needed.
 5. Components by alternating large-star and small-star.
 
 A pair at the threshold shares no bucket with a chance of (1 - t**rows)**bands:
@@ -77,10 +78,21 @@ def _set_key(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
 
-def _signatures(k: int, bands: int, rows: int):
+def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors (odd) and summands of ``n`` universal hashes."""
     rng = np.random.default_rng(20_240_229)
-    a = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    c = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+    return (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
+            rng.integers(0, 1 << 63, n, dtype=np.uint64))
+
+
+def _minima(sets: list[np.ndarray], a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Smallest value of each hash (columns) over each set (rows)."""
+    x, starts = np.concatenate(sets), np.cumsum([0, *(len(s) for s in sets[:-1])])
+    return np.stack([np.minimum.reduceat(x * ak + ck, starts) for ak, ck in zip(a, c)], axis=1)
+
+
+def _signatures(k: int, bands: int, rows: int):
+    a, c = _hashes(bands * rows)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -88,54 +100,54 @@ def _signatures(k: int, bands: int, rows: int):
             for lo, hi in batches_by_chars(texts):
                 sets = shingle_sets(texts[lo:hi], k)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                sig, band = [None] * len(sets), [[] for _ in sets]
+                band = [[] for _ in sets]
                 if full:
-                    x = np.concatenate([sets[i] for i in full])
-                    starts = np.cumsum([0, *(len(sets[i]) for i in full[:-1])])
-                    minima = np.stack([np.minimum.reduceat(x * ak + ck, starts) for ak, ck in zip(a, c)], axis=1)
-                    short = _mixed(minima).astype(np.uint8)
+                    minima = _minima([sets[i] for i in full], a, c)
                     keys = np.tile(np.arange(bands, dtype=np.uint64), (len(full), 1))
                     for r in range(rows):
                         keys = _mixed(keys + minima[:, r::rows])
-                    for i, one, ks in zip(full, short, keys.view(np.int64).tolist()):
-                        sig[i], band[i] = one.tobytes(), ks
+                    for i, ks in zip(full, keys.view(np.int64).tolist()):
+                        band[i] = ks
                 yield pa.record_batch([pa.array(ids[lo:hi], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                       pa.array([_set_key(s) for s in sets], pa.binary()), pa.array(sig, pa.binary()),
+                                       pa.array([_set_key(s) for s in sets], pa.binary()),
                                        pa.array(band, pa.list_(pa.int64()))],
-                                      names=["doc_id", "n_shingles", "node", "signature", "bands"])
+                                      names=["doc_id", "n_shingles", "node", "bands"])
 
     return sign
 
 
-def _full_sets(k: int):
+def _full_sets(k: int, n: int):
+    """Shingles and signature (a byte of each of ``n`` minima) of the documents
+    that stand for the nodes asked for."""
+    a, c = _hashes(n)
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for lo, hi in batches_by_chars(texts):
                 # a doc_id may stand on several texts: keep the one asked for
-                own = [(n, s) for n, s in zip(nodes[lo:hi], shingle_sets(texts[lo:hi], k)) if _set_key(s) == n]
-                yield pa.record_batch([pa.array([n for n, _ in own], pa.binary()),
-                                       pa.array([s.tobytes() for _, s in own], pa.binary())], names=["node", "shingles"])
+                own = [(x, s) for x, s in zip(nodes[lo:hi], shingle_sets(texts[lo:hi], k)) if _set_key(s) == x]
+                if own:
+                    short = _mixed(_minima([s for _, s in own], a, c)).astype(np.uint8)
+                    yield pa.record_batch([pa.array([x for x, _ in own], pa.binary()),
+                                           pa.array([x.tobytes() for x in short], pa.binary()),
+                                           pa.array([s.tobytes() for _, s in own], pa.binary())],
+                                          names=["node", "signature", "shingles"])
 
     return sets
 
 
-def _alike(need: float):
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            d = b.to_pydict()
-            keep = [int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum()) >= need
-                    for x, y in zip(d["su"], d["sv"])]
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return alike
-
+def _linked(need: float, num: int, den: int):
+    """Pairs whose signatures agree in ``need`` places and whose sets are similar."""
 
-def _linked(num: int, den: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for x, y in zip(b.column("xu"), b.column("xv")):
+            for p, q, x, y in zip(*(b.column(i) for i in range(2, 6))):
+                p, q = np.frombuffer(p.as_py(), np.uint8), np.frombuffer(q.as_py(), np.uint8)
+                if (p == q).sum() < need:
+                    keep.append(False)
+                    continue
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(den * both >= num * (len(x) + len(y) - both))
@@ -190,79 +202,56 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = staged(source.mapInArrow(
         _signatures(k, bands, rows),
-        "doc_id long, n_shingles long, node binary, signature binary, bands array<long>"))
-    classes = staged(signed.where("node is not null").groupBy("node").agg(
-        F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")))
-    buckets = classes.select("node", F.explode("bands").alias("band"))
-    several = staged(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = staged(buckets.join(several.hint("merge"), "band"))
-    nodes = staged(members.groupBy("node").agg(F.sum("n").alias("weight"))
-                   .join(classes.select("node", "signature", "doc_id").hint("merge"), "node"))
-    wanted = nodes.select(F.col("node").alias("node"), F.col("doc_id").alias("wanted"))
+        "doc_id long, n_shingles long, node binary, bands array<long>"))
+    classes = signed.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"),
+                                                                   F.min("doc_id").alias("doc_id"))
+    buckets = staged(classes.select("node", "doc_id", F.explode("bands").alias("band")))
+    several = staged(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "node")).alias("hub"))
+                     .where("n > 1").select("band", F.col("hub.node").alias("hub")))
+    stars = staged(buckets.join(several.hint("merge"), "band"))
+    nodes = staged(stars.select("node", "doc_id").distinct())
+    wanted = nodes.select("node", F.col("doc_id").alias("wanted"))
     sets = staged(source.join(wanted.hint("merge"), source.doc_id.eqNullSafe(F.col("wanted")))
-                  .select("node", "text").mapInArrow(_full_sets(k), "node binary, shingles binary")
+                  .select("node", "text").mapInArrow(_full_sets(k, bands * rows), "node binary, signature binary, shingles binary")
                   .dropDuplicates(["node"]))
 
-    def with_both(pairs: DataFrame, values: DataFrame, col: str, a: str, b: str) -> DataFrame:
-        for end, name in (("u", a), ("v", b)):
-            pairs = pairs.join(values.select(F.col("node").alias(end), F.col(col).alias(name)).hint("merge"), end)
+    def with_both(pairs: DataFrame, *cols: str) -> DataFrame:
+        """``pairs`` (u, v) with columns of both nodes, cu and cv for c."""
+        for end in ("u", "v"):
+            pairs = pairs.join(sets.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in cols])
+                               .hint("merge"), end)
         return pairs
 
     def links(pairs: DataFrame) -> DataFrame:
-        close = with_both(pairs, nodes, "signature", "su", "sv").mapInArrow(_alike(need), "u binary, v binary")
-        return with_both(close, sets, "shingles", "xu", "xv").mapInArrow(_linked(num, den), "u binary, v binary")
-
-    weighed = members.select("band", "node").join(nodes.select("node", "weight").hint("merge"), "node")
-    hubs = staged(weighed.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", "hub.node")
-                  .withColumnRenamed("node", "hub"))
-    stars = staged(weighed.join(hubs.hint("merge"), "band"))
-    found = connected_components(links(
-        stars.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()))
-
-    def grown(more: DataFrame) -> DataFrame:
-        """``found`` and the links ``more`` (cu, cv) between its components."""
-        joined = connected_components(more.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        every = nodes.select("node").join(found.hint("merge"), "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component"))
-        nxt = staged(joined.select(F.col("node").alias("component"), F.col("component").alias("next")))
-        return staged(every.join(nxt.hint("merge"), "component", "left")
-                      .select("node", F.coalesce("next", "component").alias("component")))
-
-    def still_open() -> DataFrame:
-        """Members of the buckets that hold several components."""
-        at = staged(stars.join(found.hint("merge"), "node", "left")
-                    .select("band", "node", "hub", "weight", F.coalesce("component", "node").alias("component")))
-        mixed = staged(at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                              F.max(F.expr("if(node = hub, component, null)")).alias("of_hub"))
-                       .where("lo != hi").select("band", "of_hub"))
-        return staged(at.join(mixed.hint("merge"), "band"))
-
-    at = still_open()
-    other = staged(at.where("component != of_hub").groupBy("band")
-                   .agg(F.max(F.struct("weight", "node", "component")).alias("o"))
-                   .select("band", F.col("o.node").alias("v"), F.col("o.component").alias("cv")))
-    ends = staged(at.join(other.hint("merge"), "band").where("component != cv")
-                  .select(F.col("node").alias("u"), "v", F.col("component").alias("cu"), "cv").distinct())
-    found = grown(ends.join(links(ends.select("u", "v")).hint("merge"), ["u", "v"]))
-    at = still_open()
-    hub_of = staged(found.join(nodes.select("node", "weight").hint("merge"), "node").groupBy("component")
-                    .agg(F.max(F.struct("weight", "node")).alias("top"))
-                    .select(F.col("component").alias("of_hub"), F.col("top.node").alias("v")))
-    around = (at.select("node", "component", "of_hub").join(hub_of.hint("merge"), "of_hub").where("node != v")
-              .select(F.col("node").alias("u"), "v", "component", "of_hub").distinct())
-    entries = staged(with_both(around, sets, "shingles", "xu", "xv").select("u", "v", "component", "of_hub", "xu", "xv")
+        return (with_both(pairs, "signature", "shingles")
+                .select("u", "v", "signature_u", "signature_v", "shingles_u", "shingles_v")
+                .mapInArrow(_linked(need, num, den), "u binary, v binary"))
+
+    edges = staged(links(stars.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()))
+    found = staged(connected_components(edges))
+    at = staged(stars.join(found.hint("merge"), "node", "left")
+                .select("band", "node", "doc_id", "hub", F.coalesce("component", "node").alias("component")))
+    mixed = staged(at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                          F.max(F.expr("if(node = hub, component, null)")).alias("of_hub"))
+                   .where("lo != hi").select("band", "of_hub"))
+    first = staged(at.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first"))
+                   .select(F.col("component").alias("of_hub"), F.col("first.node").alias("v")))
+    around = (at.join(mixed.hint("merge"), "band").select("node", "component", "of_hub").distinct()
+              .join(first.hint("merge"), "of_hub").where("node != v")
+              .select(F.col("node").alias("u"), "v", "component", "of_hub"))
+    entries = staged(with_both(around, "shingles").select("u", "v", "component", "of_hub", "shingles_u", "shingles_v")
                      .mapInArrow(_differences(num, den), _DIFFERENCE_DDL))
     x = entries.select("hub", "entry", F.struct("node", "component", "at", "d", "n", "far").alias("x"))
     y = entries.select(F.col("hub").alias("hub_y"), F.col("entry").alias("entry_y"),
                        F.struct("node", "component", "at", "d", "n").alias("y"))
     room = f"{den + num} * (x.d + y.d - 2 * least(x.d - x.at, y.d - y.at)) <= {den - num} * (x.n + y.n)"
-    pairs = staged(x.join(y, F.expr(f"hub = hub_y and entry = entry_y and x.far and x.component != y.component and {room}"))
-                   .select(F.col("x.node").alias("u"), F.col("y.node").alias("v"),
-                           F.col("x.component").alias("cu"), F.col("y.component").alias("cv")).distinct())
-    to_hub = entries.where("not far and component != of_hub").select(F.col("component").alias("cu"),
-                                                                     F.col("of_hub").alias("cv")).distinct()
-    found = grown(pairs.join(links(pairs.select("u", "v")).hint("merge"), ["u", "v"]).select("cu", "cv")
-                  .unionByName(to_hub))
+    pairs = (x.join(y, F.expr(f"hub = hub_y and entry = entry_y and x.far and x.component != y.component and {room}"))
+             .select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct())
+    to_hub = (entries.where("not far and component != of_hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+              .distinct())
+    late = staged(links(pairs).unionByName(to_hub))
+    if not late.isEmpty():
+        found = staged(connected_components(edges.unionByName(late)))
     placed = (signed.select("doc_id", "n_shingles", "node").join(found.hint("merge"), "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     smallest = staged(placed.where("component is not null").groupBy("component")
