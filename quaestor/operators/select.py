@@ -103,6 +103,11 @@ def ordered_output(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def cap_rows(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Keep the first n violations for a log (F04); default no cap."""
-    return df if n is None else df.limit(n)
+def cap_rows(df: DataFrame, n: int | None = None, order_by: Sequence[Column | str] = ()) -> DataFrame:
+    """The first ``n`` rows in an order (F04); all rows when ``n`` is None.  A
+    cap without an order would give arbitrary rows and is refused."""
+    if n is None:
+        return df
+    if not order_by:
+        raise ValueError("cap_rows needs an order")
+    return df.orderBy(*order_by).limit(n)

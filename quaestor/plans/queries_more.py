@@ -226,8 +226,7 @@ months AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', MIN(perio
 cand AS (SELECT r.party_id, r.tax_type_code, m.period_month FROM reg r JOIN months m ON m.period_month >= CAST(date_trunc('month', r.registration_date) AS DATE)),
 have AS (SELECT DISTINCT party_id, tax_type_code, CAST(date_trunc('month', period_date) AS DATE) AS period_month FROM returns)
 SELECT c.party_id, c.tax_type_code, c.period_month FROM cand c
-WHERE c.tax_type_code IN ('1-URGENT', '2-HIGH')
-  AND NOT EXISTS (SELECT 1 FROM have h WHERE h.party_id = c.party_id AND h.tax_type_code = c.tax_type_code AND h.period_month = c.period_month)""")
+WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.party_id = c.party_id AND h.tax_type_code = c.tax_type_code AND h.period_month = c.period_month)""")
 def q_missing_account_periods(spark, sf_dir):
     from quaestor.operators.keys import attach_scalars
     from quaestor.operators.ledger import open_account_periods
@@ -235,8 +234,7 @@ def q_missing_account_periods(spark, sf_dir):
     r = B.returns(t)
     hi = r.agg(F.trunc(F.max("period_date"), "month").alias("hi_month"))
     # monthly filers: every registered account has a period each month from registration on
-    accounts = attach_scalars(_registrations(t).where(F.col("tax_type_code").isin("1-URGENT", "2-HIGH")), hi) \
-        .withColumn("reg_month", F.trunc("registration_date", "month"))
+    accounts = attach_scalars(_registrations(t), hi).withColumn("reg_month", F.trunc("registration_date", "month"))
     existing = r.select("party_id", "tax_type_code", F.trunc("period_date", "month").alias("period_month"))
     return open_account_periods(accounts, "reg_month", "hi_month", existing,
                                 ["party_id", "tax_type_code", "period_month"])

@@ -57,6 +57,8 @@ def scan_table(df: DataFrame, columns: Sequence[str] | None = None, where: str |
     if order_by:
         out = out.orderBy(*order_by)
     if limit is not None:
+        if not order_by:
+            raise ValueError("a limit needs order_by")
         out = out.limit(limit)
     return out
 
