@@ -44,7 +44,8 @@ class PieceEncoder:
     at spaces and newlines, which never belong to a word or a special token.
     """
 
-    CACHED, MOST_IDS = 1_000_000, 8_000_000
+    #: Pieces kept by kind, and ids in all; about 250 bytes a piece.
+    CACHED, MOST_IDS = {"byte": 700_000, "word": 1_300_000}, 8_000_000
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -95,7 +96,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """ids of each text; call with some million characters at once."""
-        if len(self._index) > self.CACHED or self._used > self.MOST_IDS:
+        if len(self._index) > self.CACHED[self.kind] or self._used > self.MOST_IDS:
             self._forget()
         if self.kind == "word":
             whole = {}
