@@ -67,9 +67,8 @@ def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
              " | shiftrightunsigned(h, 8)")
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.expr(f"length(line) >= {2 * min_tokens - 1}"))
+            .where(F.expr(f"length(line) >= {2 * min_tokens - 1} and translate(line, {_BLANKS}, '') != ''"))
             .withColumn("words", F.expr(_words("line")))
-            .where(F.expr(f"size(words) >= {min_tokens}"))
             .withColumn("tokens", F.expr(f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {order}))"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
                     F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
@@ -116,7 +115,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, d
 def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 3) -> DataFrame:
     """doc_id, text_hash, line_no of every line of ``docs`` (doc_id, text) that
     an earlier one resembles."""
-    lines = staged(_lines(docs, num, den, min_tokens))
+    # short lines go after the write: a filter before it would cut words twice
+    lines = staged(_lines(docs, num, den, min_tokens)).where(F.col("n") >= min_tokens)
     place = ["doc_id", "text_hash", "line_no"]
     # ids in the order of places: ranges of them, and rows in order inside
     classes = staged(lines.groupBy("k1", "k2").agg(
