@@ -9,7 +9,7 @@
 3. A pair goes on if its signatures agree often enough (six standard deviations
    below the threshold) and counts if intersection and union of its full sets do.
 4. What is left in a bucket with several components is settled exactly, without
-   its pairs: with c the earliest document of its hub's component and D(x) the
+   its pairs: with c the earliest document of its largest component and D(x) the
    symmetric difference of x and c, a link of x and y allows |D(x)| + |D(y)| -
    2 |D(x) & D(y)| differing shingles, at most s (|x| + |y|) with s = (1 - t) /
    (1 + t).  If x isn't linked to c, x and y must share entries of D: pairs meet
@@ -230,15 +230,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
     edges = staged(links(stars.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()))
     found = staged(connected_components(edges))
     at = staged(stars.join(found.hint("merge"), "node", "left")
-                .select("band", "node", "doc_id", "hub", F.coalesce("component", "node").alias("component")))
+                .select("band", "node", "doc_id", F.coalesce("component", "node").alias("component")))
+    # the reference of a bucket: the earliest document of its largest component
+    info = staged(at.groupBy("component").agg(F.count(F.lit(1)).alias("size"),
+                                              F.min(F.struct("doc_id", "node")).alias("first")))
+    at = staged(at.join(info.hint("merge"), "component").select("band", "node", "component", "size", F.col("first.node").alias("v")))
     mixed = staged(at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.max(F.expr("if(node = hub, component, null)")).alias("of_hub"))
-                   .where("lo != hi").select("band", "of_hub"))
-    first = staged(at.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first"))
-                   .select(F.col("component").alias("of_hub"), F.col("first.node").alias("v")))
-    around = (at.join(mixed.hint("merge"), "band").select("node", "component", "of_hub").distinct()
-              .join(first.hint("merge"), "of_hub").where("node != v")
-              .select(F.col("node").alias("u"), "v", "component", "of_hub"))
+                                          F.max(F.struct("size", "component", "v")).alias("ref"))
+                   .where("lo != hi").select("band", F.col("ref.component").alias("of_hub"), F.col("ref.v").alias("ref")))
+    around = (at.join(mixed.hint("merge"), "band").where("node != ref")
+              .select(F.col("node").alias("u"), F.col("ref").alias("v"), "component", "of_hub").distinct())
     entries = staged(with_both(around, "shingles").select("u", "v", "component", "of_hub", "shingles_u", "shingles_v")
                      .mapInArrow(_differences(num, den), _DIFFERENCE_DDL))
     x = entries.select("hub", "entry", F.struct("node", "component", "at", "d", "n", "far").alias("x"))
