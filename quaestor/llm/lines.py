@@ -61,7 +61,7 @@ def _need(n: str, num: int, den: int) -> str:
 
 def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """Every line that takes part: its place, the key of its token set, size,
-    32 parity bits and prefix (31-bit token hashes, rare first)."""
+    64 parity bits and prefix (31-bit token hashes, rare first)."""
     classes = ",".join(map(str, _rarity(docs)))
     order = (f"shiftleft(cast(cast(split('{classes}', ',') as array<tinyint>)[cast(h & {BUCKETS - 1} as int)] as bigint), 56)"
              " | shiftrightunsigned(h, 8)")
@@ -72,16 +72,16 @@ def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
             .withColumn("tokens", F.expr(f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {order}))"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
                     F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
-                    F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 31 as int)))").alias("bits"),
+                    F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
                     F.expr(f"transform(slice(tokens, 1, cast(size(tokens) - {_need('size(tokens)', num, den)} + 1 as int)), "
                            "t -> cast(t & 2147483647 as int))").alias("prefix")))
 
 
 def _entries(of: DataFrame, ids: str, prefix: str, side: str) -> DataFrame:
     """One row per prefix token, narrow, with columns of one side of a join:
-    token and parity bits, class, size and place in the prefix."""
+    token, class, parity bits, size and place in the prefix."""
     return (of.select(F.expr(ids).alias("c"), "n", "bits", F.posexplode(F.expr(prefix)).alias("at", "token"))
-            .select(F.expr("shiftleft(cast(token as bigint), 32) | bits").alias(f"k{side}"), F.col("c").alias(side),
+            .select(F.col("token").alias(f"k{side}"), F.col("c").alias(side), F.col("bits").alias(f"b{side}"),
                     F.expr("shiftleft(cast(n as bigint), 32) | at").alias(f"p{side}")))
 
 
@@ -92,7 +92,7 @@ def _close(num: int, den: int) -> str:
     both = f"(({num} * ({n['x']} + {n['y']}) + {num + den - 1}) div {num + den})"
     return (f"{den} * least({n['x']}, {n['y']}) >= {num} * greatest({n['x']}, {n['y']})"
             f" and least({n['x']} - {at['x']}, {n['y']} - {at['y']}) >= {both}"
-            f" and bit_count((kx ^ ky) & 4294967295) <= {n['x']} + {n['y']} - 2 * {both}")
+            f" and bit_count(bx ^ by) <= {n['x']} + {n['y']} - 2 * {both}")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
@@ -126,10 +126,10 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
         .repartitionByRange(*place).sortWithinPartitions(*place).withColumn("id", F.monotonically_increasing_id()))
     close = _close(num, den)
     few = [_entries(classes, "id", f"slice(prefix, 1, {_FIRST})", s) for s in "xy"]
-    heads = staged(few[1].groupBy(F.expr("shiftright(ky, 32)").alias("token"))
-                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "ky", "py")).alias("e"))
+    heads = staged(few[1].groupBy(F.col("ky").alias("token"))
+                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "by", "py")).alias("e"))
                    .where("m > 1").select("token", "e.*"))
-    near = (few[0].join(heads.hint("merge"), F.expr(f"shiftright(kx, 32) = token and y < x and {close}"))
+    near = (few[0].join(heads.hint("merge"), F.expr(f"kx = token and y < x and {close}"))
             .select("x", "y").distinct())
     found = staged(_verified(near, classes, docs, num, den))
     # what is settled keeps its entries for later lines to meet, under -1 - id
@@ -137,7 +137,7 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
                    .join(found.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left"))
     both = [_entries(known, "if(gone, -1 - id, id)", "prefix", s) for s in "xy"]
     met = (both[0].join(both[1].hint("merge"), F.expr(
-        f"shiftright(kx, 32) = shiftright(ky, 32) and x >= 0 and if(y < 0, -1 - y, y) < x and {close}"))
+        f"kx = ky and x >= 0 and if(y < 0, -1 - y, y) < x and {close}"))
         .select("x", F.expr("if(y < 0, -1 - y, y) as y")).distinct())
     gone = staged(found.unionByName(_verified(met, classes, docs, num, den)).distinct())
     told = (classes.select("id", "k1", "k2", F.struct(*place).alias("place"))
