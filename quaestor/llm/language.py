@@ -8,6 +8,12 @@ probability in a language is the sum over all its segmentations into pieces
 once); a text's is the product over its words.  The language of the largest
 probability wins, and the score is its share among the learned languages.
 
+That share is near 1 for any text of some length, also for one in a language
+that was not learned.  So ``accepted_rows`` asks for more: the text's gain, its
+log probability in the winning language over that under a background where all
+pieces are equally likely, per character, which does not grow with the length.
+It must be at least ``least_gain`` of what the language's training texts gain.
+
 A piece has at most ``LONGEST_PIECE`` characters; a character outside the
 vocabulary has probability ``UNKNOWN`` in every language; words beyond
 ``LONGEST_WORD`` characters are scored in parts of that length.
@@ -51,11 +57,16 @@ class Model:
 
     CACHED = 200_000
 
-    def __init__(self, languages: list[str], pieces: list[str], probabilities: np.ndarray):
+    def __init__(self, languages: list[str], pieces: list[str], probabilities: np.ndarray,
+                 usual: np.ndarray | None = None):
+        """``usual``: gain of each language's training texts."""
         self.languages, self.probabilities = languages, probabilities
+        self.usual = np.zeros(len(languages)) if usual is None else usual
+        # the background is one column more than the languages
+        self._columns = np.hstack([probabilities, np.full((len(pieces), 1), 1 / max(len(pieces), 1))])
         self.hashes = np.array([self._hash(p) for p in pieces], np.uint64)
         self._index: dict[str, int] = {}
-        self._scores = np.zeros((0, len(languages)))
+        self._scores = np.zeros((0, len(languages) + 1))
         self._table = None
 
     @staticmethod
@@ -87,7 +98,7 @@ class Model:
                     at, n = (at + 1) % size, n + 1
                 self._probes = max(self._probes, n)
             self._keys, self._table = keys, rows
-            self._rows = np.vstack([self.probabilities, np.zeros((1, len(self.languages)))])
+            self._rows = np.vstack([self._columns, np.zeros((1, self._columns.shape[1]))])
         return self._table
 
     def _lookup(self, h: np.ndarray) -> np.ndarray:
@@ -100,8 +111,8 @@ class Model:
         return out
 
     def _words(self, words: list[str]) -> np.ndarray:
-        """Log probability of each word in each language."""
-        out = np.empty((len(words), len(self.languages)))
+        """Log probability of each word in each language and the background."""
+        out = np.empty((len(words), self._columns.shape[1]))
         lengths = np.array([len(w) for w in words])
         for n in np.unique(lengths).tolist():
             who = np.flatnonzero(lengths == n)
@@ -109,7 +120,7 @@ class Model:
                 part = who[lo:lo + 20_000]
                 codes = np.frombuffer("".join(words[i] for i in part.tolist()).encode("utf-32-le"), "<u4")
                 codes = codes.reshape(len(part), n).astype(np.uint64)
-                forward = [np.ones((len(part), len(self.languages)))]
+                forward = [np.ones((len(part), out.shape[1]))]
                 running: list[np.ndarray] = []  # hashes of the substrings that end here, shortest last
                 for end in range(n):
                     c = codes[:, end] + np.uint64(1)
@@ -145,16 +156,24 @@ class Model:
         self._scores = np.vstack([self._scores, rows, *[e[None] for e in extra]])
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        return [(lang, score) for lang, score, _ in self.judge(texts)]
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Language, score and gain (as a share of the language's usual one, or
+        as it is where that is not positive) of each text."""
         split = [(t or "").split() if _has_letter(t) else None for t in texts]
         self._learn(set().union(*[ws for ws in split if ws is not None]))
         out = []
         for words in split:
             if words is None or not self.languages:
-                out.append(("und", 0.0))
+                out.append(("und", 0.0, 0.0))
                 continue
-            total = self._scores[np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))].sum(axis=0)
-            share = np.exp(total - total.max())
-            out.append((self.languages[int(total.argmax())], float(share.max() / share.sum())))
+            *total, background = self._scores[np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            share, best = np.exp(np.array(total) - max(total)), int(np.argmax(total))
+            gain = (total[best] - background) / (len(words) + sum(map(len, words)))
+            out.append((self.languages[best], float(share.max() / share.sum()),
+                        float(gain / self.usual[best] if self.usual[best] > 0 else gain)))
         return out
 
 
@@ -200,7 +219,9 @@ def train(labelled: DataFrame, vocabulary: str | None = None, docs_per_language:
                   .groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()):
             counts[r.piece, languages.index(r.lang)] += r.n
     kept = counts[fit] + SMOOTHING
-    return Model(languages, [pieces[i] for i in fit], kept / kept.sum(axis=0, keepdims=True))
+    probabilities, lengths = kept / kept.sum(axis=0, keepdims=True), np.array([len(pieces[i]) for i in fit])
+    usual = (counts[fit] * np.log(probabilities * len(fit))).sum(axis=0) / np.maximum(lengths @ counts[fit], 1)
+    return Model(languages, [pieces[i] for i in fit], probabilities, usual)
 
 
 def _model(sent, key: int) -> Model:
@@ -235,9 +256,11 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     return source.mapInArrow(_predict(sent, key), f"{fields}{', ' if fields else ''}lang_pred string, score double")
 
 
-def accepted_rows(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+def accepted_rows(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text",
+                  least_gain: float = 0.5) -> DataFrame:
     """The documents with a language (not ``und``) whose score is at least
-    ``least``, with their own columns."""
+    ``least`` and whose gain is at least ``least_gain`` of the language's usual
+    one, with their own columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x vocabulary
     key, at = zlib.crc32(model.probabilities.tobytes()), docs.columns.index(text_col)
 
@@ -246,8 +269,9 @@ def accepted_rows(docs: DataFrame, model: Model, least: float = 0.5, text_col: s
         for b in batches:
             texts = b.column(at).to_pylist()
             for lo, hi in batches_by_chars([t or "" for t in texts]):
-                said = model.predict(texts[lo:hi])
-                yield b.slice(lo, hi - lo).filter(pa.array([x != "und" and s >= least for x, s in said], pa.bool_()))
+                said = model.judge(texts[lo:hi])
+                yield b.slice(lo, hi - lo).filter(
+                    pa.array([x != "und" and s >= least and g >= least_gain for x, s, g in said], pa.bool_()))
 
     return docs.mapInArrow(accepted, docs.schema)
 

@@ -250,6 +250,24 @@ def test_language_held_out_accuracy_and_odd_texts(spark):
     assert {r.lang_pred for r in language.identify(odd, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_accepted_rows_reject_languages_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 500")
+    model = language.train(language.training_rows(docs).where("lang <> 'de'"))
+    rng = random.Random(4)
+    planted = {
+        -1: "Все люди рождаются свободными и равными в своем достоинстве и правах и наделены разумом и совестью. " * 5,
+        -2: "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกัน " * 60,
+        -3: "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren, begiftigd met verstand en geweten. " * 5,
+        -4: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(90)),
+    }
+    held = docs.where(language.held_out("doc_id")).select("doc_id", "text", "lang")
+    rows = held.unionByName(spark.createDataFrame([(i, t, "none") for i, t in planted.items()], held.schema))
+    n, kept = [{r.lang: r["count"] for r in x.groupBy("lang").count().collect()}
+               for x in (rows, language.accepted_rows(rows, model))]
+    assert "none" not in kept and kept.get("de", 0) <= 0.1 * n["de"]
+    assert all(kept[k] >= 0.95 * n[k] for k in ("en", "es", "fr"))
+
+
 def test_word_probability_sums_all_segmentations():
     pieces = ["a", "b", "ab", "ba", "aba", "▁", "▁a"]
     p = np.array([[0.2], [0.1], [0.3], [0.05], [0.02], [0.1], [0.15]])
