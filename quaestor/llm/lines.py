@@ -3,12 +3,15 @@ r"""Line dedup: exact set-similarity join of lines, in DataFrame expressions onl
 A line's tokens are the distinct words between ASCII white space, lower-cased.
 A line is removed if an earlier line (by doc_id, then place) has a token set
 with Jaccard similarity of at least ``num / den``, itself included if that line
-was removed too.  Lines with fewer than ``min_tokens`` tokens stay.
+was removed too.  Lines with fewer than ``min_tokens`` tokens stay; the query
+and the pipeline pass ``EVERY_LINE``, so there none does.
 
 1. All tokens of the corpus are counted in ``2**14`` hash buckets (a bounded
    table); a token's order is its bucket's count class, then its hash: rare
    tokens first, the same order everywhere.
 2. Lines with equal token sets are one class, which its first line stands for.
+   That settles sets of up to three tokens at 0.8: with n tokens another set's
+   similarity is n / (n + 1) at most, so such classes make no pairs.
 3. Two sets as similar as that share one of their first n - need(n) + 1 tokens
    (prefix filter).  Pairs that meet must also have close sizes (length filter),
    enough tokens behind the meeting place (positional filter), and few differing
@@ -36,6 +39,8 @@ from quaestor.llm.common import staged, table
 BUCKETS = 1 << 14
 _BLANKS = r"' \t\n\u000B\u000C\r'"
 _FIRST = 4  # prefix tokens under which the first round looks
+#: Rule by which all lines with a word take part.
+EVERY_LINE = {"min_tokens": 1}
 
 
 def _words(line: str) -> str:
@@ -125,7 +130,9 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
         .select("k1", "k2", "first.*", "n", "bits", "prefix")
         .repartitionByRange(*place).sortWithinPartitions(*place).withColumn("id", F.monotonically_increasing_id()))
     close = _close(num, den)
-    few = [_entries(classes, "id", f"slice(prefix, 1, {_FIRST})", s) for s in "xy"]
+    # sets that another one can resemble
+    meet = classes.where(F.expr(f"{den - num} * n >= {num}"))
+    few = [_entries(meet, "id", f"slice(prefix, 1, {_FIRST})", s) for s in "xy"]
     heads = staged(few[1].groupBy(F.col("ky").alias("token"))
                    .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "by", "py")).alias("e"))
                    .where("m > 1").select("token", "e.*"))
@@ -133,7 +140,7 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
             .select("x", "y").distinct())
     found = staged(_verified(near, classes, docs, num, den))
     # what is settled keeps its entries for later lines to meet, under -1 - id
-    known = staged(classes.select("id", "n", "bits", "prefix")
+    known = staged(meet.select("id", "n", "bits", "prefix")
                    .join(found.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left"))
     both = [_entries(known, "if(gone, -1 - id, id)", "prefix", s) for s in "xy"]
     met = (both[0].join(both[1].hint("merge"), F.expr(
@@ -174,7 +181,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rul
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its number of lines, how many go, and their places."""
     docs = _source(table(spark, sf_dir, "documents"), "doc_id", "text")
-    gone = _by_document(docs)
+    gone = _by_document(docs, **EVERY_LINE)
     sizes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.expr(r"if(text = '', 0, size(split(text, '\n')))").cast("long").alias("n_lines"))
     return (sizes.join(gone.hint("merge"), sizes.doc_id.eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")

@@ -160,6 +160,25 @@ def test_removed_lines_equal_brute_force(spark):
     assert lines.dedup(docs.where("false")).count() == 0 and lines.dedup(docs).columns == docs.columns
 
 
+def test_query_and_pipeline_remove_copies_of_short_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 6))) for _ in range(6)) for _ in range(12)]
+    texts += ["Share\nRead more\n--", "share \nmore read\n\n--", "only\nRead"]
+    rows = [(i, n, frozenset(x.lower().split())) for i, t in enumerate(texts) for n, x in enumerate(t.split("\n"))]
+    gone = {r[:2] for k, r in enumerate(rows)
+            if r[2] and any(5 * len(r[2] & q[2]) >= 4 * len(r[2] | q[2]) for q in rows[:k])}
+    assert {(13, 0), (13, 1), (13, 3)} <= gone
+    docs = frame(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    told = lines.query(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, n) for r in told for n in r.removed} == gone
+    cut = {r.doc_id: r.text for r in corpus_pipeline.cut_repeated_lines(spark, docs, str(tmp_path)).collect()}
+    left = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in enumerate(texts)}
+    assert cut == {i: t for i, t in left.items() if t.strip()}
+
+
 def test_quality_metrics_equal_plain_python(spark, texts):
     more = ["the same three " * 30, "a a a a", "\n".join(["line one here", "line two", "line one here"]), "%%% $$ " * 60,
             "LOUD!! " * 80]
