@@ -14,9 +14,10 @@ log probability in the winning language over that under a background where all
 pieces are equally likely, per character, which does not grow with the length.
 It must be at least ``least_gain`` of what the language's training texts gain.
 
-A piece has at most ``LONGEST_PIECE`` characters; a character outside the
-vocabulary has probability ``UNKNOWN`` in every language; words beyond
-``LONGEST_WORD`` characters are scored in parts of that length.
+All normal pieces of the vocabulary count, and a word of any length is scored
+whole: what the last characters' sums have in common moves to a logarithm as
+they get small.  A character outside the vocabulary has probability ``UNKNOWN``
+in every language.
 
 Cases: a null text and one without a letter give ``und`` and score 0; equal
 probabilities go to the alphabetically first language; without any labelled
@@ -27,6 +28,7 @@ empty table gives none.
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from typing import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from quaestor.llm.common import batches_by_chars, table
 from quaestor.llm.tokens import public_path
 
-LONGEST_PIECE, LONGEST_WORD, UNKNOWN, SMOOTHING = 8, 32, 1e-7, 0.1
+UNKNOWN, SMOOTHING = 1e-7, 0.1
 #: Bound of the training sample: about so many labelled documents a language,
 #: of which so many characters each are read.
 TRAIN_DOCS, TRAIN_CHARS = 1000, 20_000
@@ -55,7 +57,8 @@ def held_out(doc_id):
 class Model:
     """Piece probabilities by language, and scores of texts."""
 
-    CACHED = 200_000
+    #: Words whose scores are kept, and characters that are looked up at once.
+    CACHED, AT_ONCE = 200_000, 150_000
 
     def __init__(self, languages: list[str], pieces: list[str], probabilities: np.ndarray,
                  usual: np.ndarray | None = None):
@@ -65,6 +68,7 @@ class Model:
         # the background is one column more than the languages
         self._columns = np.hstack([probabilities, np.full((len(pieces), 1), 1 / max(len(pieces), 1))])
         self.hashes = np.array([self._hash(p) for p in pieces], np.uint64)
+        self._longest = max(map(len, pieces), default=1)
         self._index: dict[str, int] = {}
         self._scores = np.zeros((0, len(languages) + 1))
         self._table = None
@@ -114,26 +118,51 @@ class Model:
         """Log probability of each word in each language and the background."""
         out = np.empty((len(words), self._columns.shape[1]))
         lengths = np.array([len(w) for w in words])
-        for n in np.unique(lengths).tolist():
-            who = np.flatnonzero(lengths == n)
-            for lo in range(0, len(who), 20_000):
-                part = who[lo:lo + 20_000]
-                codes = np.frombuffer("".join(words[i] for i in part.tolist()).encode("utf-32-le"), "<u4")
-                codes = codes.reshape(len(part), n).astype(np.uint64)
-                forward = [np.ones((len(part), out.shape[1]))]
-                running: list[np.ndarray] = []  # hashes of the substrings that end here, shortest last
-                for end in range(n):
-                    c = codes[:, end] + np.uint64(1)
-                    running = [h * _BASE + c for h in running[-(LONGEST_PIECE - 1):]] + [c]
-                    total = np.zeros_like(forward[0])
-                    for length, h in zip(range(len(running), 0, -1), running):
-                        row = self._lookup(h)
-                        p = self._rows[row]
-                        if length == 1:
-                            p = np.maximum(p, UNKNOWN)
-                        total += forward[end + 1 - length] * p
-                    forward.append(total)
-                out[part] = np.log(forward[-1])
+        # up to 32 characters by length, longer ones with others of up to twice theirs
+        groups = np.where(lengths <= 32, lengths, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        for group in np.unique(groups).tolist():
+            who = np.flatnonzero(groups == group)
+            at_once = max(1, self.AT_ONCE // group)
+            for lo in range(0, len(who), at_once):
+                part = who[lo:lo + at_once]
+                out[part] = self._forward([words[i] for i in part.tolist()], lengths[part])
+        return out
+
+    def _forward(self, words: list[str], lengths: np.ndarray) -> np.ndarray:
+        n, columns = int(lengths.max()), self._columns.shape[1]
+        codes = np.frombuffer("".join(w.ljust(n, "\0") for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = codes.reshape(len(words), n).astype(np.uint64) + np.uint64(1)
+        out, scale = np.empty((len(words), columns)), np.zeros((len(words), columns))
+        forward, step = deque([np.ones((len(words), columns))], self._longest), max(1, self.AT_ONCE // len(words))
+        for begin in range(0, n, step):
+            first = max(0, begin - self._longest + 1)
+            found = self._found(codes[:, first:begin + step])
+            for end in range(begin, min(begin + step, n)):
+                total = forward[-1] * np.maximum(self._rows[found[0][0][:, end - first]], UNKNOWN)
+                for length in range(2, min(len(found), end + 1) + 1):
+                    rows, matched = found[length - 1]
+                    at = end - first + 1 - length
+                    if matched[at]:
+                        total += forward[-length] * self._rows[rows[:, at]]
+                if total.min() < 1e-100:
+                    forward = deque([f / total for f in forward], self._longest)
+                    scale += np.log(total)
+                    total = np.ones_like(total)
+                forward.append(total)
+                done = lengths == end + 1
+                if done.any():
+                    out[done] = np.log(total[done]) + scale[done]
+        return out
+
+    def _found(self, codes: np.ndarray) -> list[tuple[np.ndarray, bytes]]:
+        """For each length, rows of the pieces that begin at each character, and
+        whether any does."""
+        self._slots()
+        h, out = np.zeros_like(codes), []
+        for length in range(1, min(self._longest, codes.shape[1]) + 1):
+            h = h[:, :codes.shape[1] - length + 1] * _BASE + codes[:, length - 1:]
+            rows = self._lookup(h)
+            out.append((rows, (rows != len(self.hashes)).any(axis=0).tobytes()))
         return out
 
     def _learn(self, words: set[str]) -> None:
@@ -143,17 +172,9 @@ class Model:
         if len(self._index) > self.CACHED:
             self._index, self._scores = {}, self._scores[:0]
             fresh = list(words)
-        short = [w for w in fresh if len(w) <= LONGEST_WORD]
-        rows = self._words([SPACE + w for w in short])
-        for w, i in zip(short, range(len(self._index), len(self._index) + len(short))):
+        for w, i in zip(fresh, range(len(self._index), len(self._index) + len(fresh))):
             self._index[w] = i
-        extra = []
-        for w in fresh:
-            if len(w) > LONGEST_WORD:
-                w = SPACE + w
-                extra.append(self._words([w[i:i + LONGEST_WORD] for i in range(0, len(w), LONGEST_WORD)]).sum(axis=0))
-                self._index[w[1:]] = len(self._index)
-        self._scores = np.vstack([self._scores, rows, *[e[None] for e in extra]])
+        self._scores = np.vstack([self._scores, self._words([SPACE + w for w in fresh])])
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of each text."""
@@ -210,7 +231,7 @@ def train(labelled: DataFrame, vocabulary: str | None = None, docs_per_language:
     languages = sorted(sizes)
     sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-    fit = [i for i, p in enumerate(pieces) if len(p) <= LONGEST_PIECE and not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
+    fit = [i for i, p in enumerate(pieces) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
     counts = np.zeros((len(pieces), len(languages)))
     if languages:
         share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, docs_per_language / sizes[k])))])

@@ -300,6 +300,38 @@ def test_word_probability_sums_all_segmentations():
         assert np.isclose(np.exp(model._words([w])[0, 0]), total(w))
 
 
+def test_long_pieces_and_long_words_count_whole():
+    import math
+
+    pieces = ["a", "b", "ab", "ba", "▁", "▁abbaabbaab", "bbbbbbbbbbbbbbbb"]
+    p = np.array([[0.2, 0.1], [0.1, 0.2], [0.3, 0.01], [0.05, 0.1], [0.1, 0.1], [0.15, 0.001], [0.001, 0.2]])
+    model = language.Model(["x", "y"], pieces, p)
+    rng = random.Random(8)
+    words = ["▁abbaabbaab", "▁" + "b" * 40, "▁abz", *("▁" + "".join(rng.choice("abbz") for _ in range(n)) for n in (33, 50, 3000))]
+    got = model._words(words)
+    for w, row in zip(words, got):
+        for k in (0, 1):
+            prob, logs = dict(zip(pieces, p[:, k])), [0.0]
+            for end in range(1, len(w) + 1):
+                terms = [logs[end - n] + math.log(prob[w[end - n:end]]) for n in range(1, min(end, 16) + 1) if w[end - n:end] in prob]
+                if w[end - 1] not in prob:
+                    terms.append(logs[end - 1] + math.log(language.UNKNOWN))
+                logs.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+            assert np.isclose(row[k], logs[-1], rtol=1e-9, atol=0)
+    model.AT_ONCE = 100  # a long word's lookups come in parts
+    assert np.allclose(model._words(words), got, rtol=1e-12, atol=0)
+
+
+def test_training_counts_all_pieces(spark):
+    docs = spark.createDataFrame([(1, "the government " * 40, "en"), (3, "die Information " * 40, "de")],
+                                 "doc_id long, text string, lang string")
+    model = language.train(docs)
+    at = {p: i for i, p in enumerate(model.hashes.tolist())}
+    for piece, best in (("▁government", 1), ("▁Information", 0)):
+        row = model.probabilities[at[model._hash(piece)]]
+        assert row.argmax() == best and row.max() > 100 * row.min()
+
+
 def test_html_text():
     page = html_text.visible_text(
         "<title>no</title><h1>Head <b>bold</b></h1>intro<p>one<p>two<br>three<ul><li>a<li>b<ul><li>c</ul></ul>"
