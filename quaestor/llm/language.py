@@ -27,6 +27,7 @@ empty table gives none.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from typing import Iterator
@@ -41,11 +42,12 @@ from quaestor.llm.tokens import public_path
 
 UNKNOWN, SMOOTHING = 1e-7, 0.1
 #: Bound of the training sample: about so many labelled documents a language,
-#: of which so many characters each are read.
-TRAIN_DOCS, TRAIN_CHARS = 1000, 20_000
+#: each read whole, in slices of about so many characters.
+TRAIN_DOCS, SLICE_CHARS = 1000, 20_000
 SPACE = "▁"  # the vocabulary's mark of a word's start
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 21
+_SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _MODELS: dict = {}
 
 
@@ -202,6 +204,15 @@ def _has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def _slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
+    """``text`` cut at single blanks, where no piece goes across."""
+    at = 0
+    while cut := _SINGLE_BLANK.search(text, at + size):
+        yield text[at:cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
 def _count_pieces(vocabulary: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -212,7 +223,7 @@ def _count_pieces(vocabulary: str):
         found: dict[str, Counter] = {}
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found.setdefault(lang, Counter()).update(sp.encode(text[:TRAIN_CHARS]))
+                found.setdefault(lang, Counter()).update(i for part in _slices(text) for i in sp.encode(part))
         rows = [(lang, piece, n) for lang, c in found.items() for piece, n in c.items()]
         yield pa.record_batch([pa.array([r[i] for r in rows], t)
                                for i, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["lang", "piece", "n"])

@@ -332,6 +332,21 @@ def test_training_counts_all_pieces(spark):
         assert row.argmax() == best and row.max() > 100 * row.min()
 
 
+def test_training_reads_whole_texts(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_path("piece_bpe_32k.model"))
+    text = "".join(prose(s, 400) + random.Random(s).choice(["  ", " ", "\n", "\t "]) for s in range(30)) + " zebra" * 500
+    assert len(text) > 2.5 * language.SLICE_CHARS
+    assert [i for part in language._slices(text, 700) for i in sp.encode(part)] == sp.encode(text)
+    model = language.train(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string"))
+    at = {p: i for i, p in enumerate(model.hashes.tolist())}
+    want = sum(n == sp.encode("zebra")[0] for n in sp.encode(text))
+    total = sum(not (sp.is_byte(n) or sp.is_control(n) or sp.is_unknown(n)) for n in sp.encode(text))
+    got = model.probabilities[at[model._hash(sp.id_to_piece(sp.encode("zebra")[0]))], 0]
+    assert want >= 500 and np.isclose(got, (want + 0.1) / (total + 0.1 * len(model.hashes)))
+
+
 def test_html_text():
     page = html_text.visible_text(
         "<title>no</title><h1>Head <b>bold</b></h1>intro<p>one<p>two<br>three<ul><li>a<li>b<ul><li>c</ul></ul>"
