@@ -4,7 +4,8 @@ A tree builder reads tags, text and comments, closes what HTML leaves open
 (a paragraph before a block, an item before the next, rows and cells), and
 drops stray end tags.  Rendering leaves out what is not shown (head, scripts,
 styles, templates, ``hidden``, ``display: none``, ``visibility: hidden``, closed
-dialogs) and emits all other text: blocks on lines of their own, paragraphs and
+dialogs, titles, descriptions, definitions, metadata and annotations of drawings
+and formulas) and emits all other text: blocks on lines of their own, paragraphs and
 headings with an empty line between, lists with marks and indents, preformatted
 text as it stands, and tables with their cells aligned in columns.
 
@@ -30,7 +31,7 @@ DEEPEST = 400
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-_UNSEEN = frozenset("head script style template title noscript iframe object audio video canvas svg math "
+_UNSEEN = frozenset("head script style template title noscript iframe object audio video canvas "
                     "datalist noembed noframes".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol optgroup option "
@@ -47,8 +48,12 @@ _CLOSES = {
     **{x: (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), ("table",))
        for x in ("thead", "tbody", "tfoot")},
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)"
+                    r"((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]*+))*+)>)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(?![\"'])([^\s>]+)))?")
+#: Inside drawings and formulas: what is not shown, and what begins a word.
+_ASIDE = frozenset("desc defs metadata annotation annotation-xml".split())
+_APART = frozenset("text mtr mtd".split())
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
@@ -113,7 +118,18 @@ def build_tree(html: str) -> Node:
                 if len(open_) == before:
                     break
         node = Node(tag, _attributes(m[3].rstrip("/") if m[3] else ""))
+        ended = m[3].endswith("/")
+        # a drawing's or formula's own tags have other rules
+        if (ended or tag in _ASIDE or tag in _APART) and tag not in ("svg", "math"):
+            around = next((x.tag for x in reversed(open_) if x.tag in ("svg", "math", "foreignobject")), "")
+            ended = ended and around in ("svg", "math")
+            if around and tag in _ASIDE:
+                node.attributes["hidden"] = ""
+            elif around and tag in _APART:
+                open_[-1].children.append(" ")
         open_[-1].children.append(node)
+        if ended:
+            continue
         if tag in _RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
             node.children.append(html[at:end.start()] if tag not in ("textarea", "title") else unescape(html[at:end.start()]))

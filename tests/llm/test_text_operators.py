@@ -360,6 +360,18 @@ def test_html_text():
     assert html_text.visible_text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_html_drawings_formulas_and_stray_quotes():
+    shown = html_text.visible_text
+    assert shown("<p>a <svg><title>no</title><desc>no</desc><defs/><rect/><g><text x=1>North</text><text>South "
+                 "<tspan>pole</tspan></text></g><style/><metadata>no</metadata></svg> b") == "a North South pole b"
+    assert shown("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation>"
+                 "</semantics></math> holds<p>next") == "so x=2 holds\n\nnext"
+    assert shown("<math/>after <desc>shown</desc><svg/> end") == "after shown end"
+    assert shown("<p><a title=it's>Visible one</a> and don't stop</p>") == "Visible one and don't stop"
+    assert shown("<p don't>one</p><p title='a>b' class = \"c>d\">two it's</p>") == "one\n\ntwo it's"
+    assert shown("<a href=x?y=\"z>three</a> \"four\"> <b title=a'hidden>five</b>") == "three \"four\"> five"
+
+
 def test_html_table_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, None)], "page_id long, url string, html string")
     assert sorted(map(tuple, html_text.extract(pages, ["page_id"]).collect())) == [(1, "a"), (1, "a"), (2, "")]
