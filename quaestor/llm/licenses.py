@@ -138,6 +138,9 @@ def _scan(rank: dict[bytes, int], prefix: frozenset[bytes], least: int, size: in
 
 def _plan(docs: DataFrame, templates, containment: float, block_words: int):
     """Global order of the templates' words and the prefix index on it."""
+    for label, text in templates:
+        if len(words_of(text)) > block_words // 2:
+            raise ValueError(f"a template of {label} has more words than half a block of {block_words}; give larger blocks")
     sets = [(label, set(words_of(text))) for label, text in templates]
     vocabulary = frozenset().union(*(s for _, s in sets))
     counts = (docs.select("text").mapInArrow(_count_words(vocabulary, block_words), "word string, n long")

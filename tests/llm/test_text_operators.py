@@ -222,6 +222,14 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, texts).where("false")).count() == 0
 
 
+def test_license_template_must_fit_half_a_block(spark):
+    body = " ".join(f"w{i}" for i in range(100))
+    docs = frame(spark, ["x " * 41 + body + " y" * 41])
+    with pytest.raises(ValueError):
+        licenses.scan(docs, [("long", body)])
+    assert licenses.scan(docs, [("long", body)], block_words=200).first().labels == "long"
+
+
 def test_resharding_moves_least_and_numbers_without_gaps(spark):
     rng = random.Random(2)
     texts = [None, ""] + ["ä" * rng.randrange(1, 400) for _ in range(3000)] + ["same"] * 1500
