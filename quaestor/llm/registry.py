@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quaestor.llm import bpe, html_text, language, licenses, lines, minhash, neighbours, packing, quality, resharding
+from quaestor.llm import (bpe, decontamination, html_text, language, licenses, lines, minhash, neighbours, packing, quality,
+                          resharding, trie, variants)
 
 QUERIES = {
     "op1_bpe_chunks": bpe.query,
@@ -15,10 +16,16 @@ QUERIES = {
     "op8_language_id": language.query,
     "op9_multiprobe": neighbours.query,
     "op10_packing": packing.query,
+    "op11_prefix_trie": trie.query,
+    "op12_decontamination": decontamination.query,
+    "op13_spelling_variants": variants.query,
 }
 
 #: DuckDB SQL where SQL can express the operator; the others are tested
 #: against brute force in tests/llm.
 ORACLE: dict[str, str] = {
     "op2_quality_rules": quality.SQL,
+    "op11_prefix_trie": trie.SQL,
+    "op12_decontamination": decontamination.SQL,
+    "op13_spelling_variants": variants.SQL,
 }
