@@ -55,6 +55,37 @@ def join_interval_membership(df: DataFrame, date_col: str, periods: DataFrame, s
         .drop("__ps", "__pe")
 
 
+def join_growing_intervals(df: DataFrame, date_col: str, periods: DataFrame, start: str, end: str, cols: Sequence[str],
+                           on: Sequence[str] = (), width: int | None = None) -> DataFrame:
+    """date BETWEEN start AND end against periods that grow with the data
+    (C09): both sides are cut into bins of ``width`` days (about the mean length
+    of a period by default) and joined on the bin and the columns ``on``, then
+    checked exactly.  One row per match, and one with NULLs for a row without.
+
+    Periods may overlap; a NULL end is open and reaches the last bin that
+    ``df`` has, a NULL start matches nothing.  A row has one bin, so there is
+    one shuffle of it, and Spark can split a bin that holds many rows.
+    """
+    p = periods.where(F.col(start).isNotNull()).select(*on, F.col(start).alias("__ps"), F.col(end).alias("__pe"), *cols)
+    last = df.agg(F.max(date_col).alias("d")).first().d
+    if last is None:  # no dates, no matches
+        return df.select("*", *[F.lit(None).cast(periods.schema[c].dataType).alias(c) for c in cols])
+    p = p.withColumn("__to", F.least(F.coalesce("__pe", F.lit(last)), F.lit(last))).where("__to >= __ps")
+    if width is None:
+        mean = p.agg(F.avg(F.datediff("__to", "__ps")).alias("w")).first().w
+        width = max(1, int(mean or 0) + 1)
+
+    def bin_of(c):
+        return F.floor(F.unix_date(c) / F.lit(width)).cast("long")
+
+    cut = p.withColumn("__bin", F.explode(F.sequence(bin_of(F.col("__ps")), bin_of(F.col("__to"))))).drop("__to")
+    cut = cut.withColumnsRenamed({c: f"__on{i}" for i, c in enumerate(on)}).hint("merge")
+    rows = df.withColumn("__row_bin", bin_of(F.col(date_col).cast("date")))
+    cond = [F.col("__row_bin") == F.col("__bin"), F.col(date_col) >= F.col("__ps"),
+            F.col("__pe").isNull() | (F.col(date_col) <= F.col("__pe")), *[F.col(c) == F.col(f"__on{i}") for i, c in enumerate(on)]]
+    return rows.join(cut, cond, "left").drop("__bin", "__row_bin", "__ps", "__pe", *[f"__on{i}" for i in range(len(on))])
+
+
 def join_semi(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """EXISTS (C12)."""
     return left.join(right, on, "left_semi")

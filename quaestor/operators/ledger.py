@@ -6,7 +6,8 @@ debts) is the intersection of two running sums per account: demand i covers
 [D_i - d_i, D_i), supply j covers [S_j - s_j, S_j) and receives
 max(0, min(ends) - max(starts)).  Overlapping pairs are found by a single
 ordered scan over the union of interval starts (no pairwise join), so the
-cost is linear in the rows of an account.
+cost is linear in the rows of an account.  Sums and scan run over range cuts
+(``ranges``), so a hot account is many tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quaestor.functions.numeric import MONEY, money, round_half_up
-from quaestor.operators.windows import running_agg, running_aggs
+from quaestor.operators.ranges import AT, PART, cut, filled, running_sums, written
+from quaestor.operators.windows import running_agg
 
 WIDE = DecimalType(38, 2)
 
@@ -32,59 +34,64 @@ def running_balance(ledger: DataFrame, account_cols: Sequence[str], order_cols:
     return out.withColumn(out_col, F.col(out_col).cast(WIDE))
 
 
-def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_id: str, demand_order: Sequence,
-             demand_amount: str, supply_id: str, supply_order: Sequence, supply_amount: str,
-             chunk_width: float | None = None, demand_chunk: Column | None = None,
+def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_id: str | Sequence[str], demand_order: Sequence,
+             demand_amount: str, supply_id: str | Sequence[str], supply_order: Sequence, supply_amount: str,
+             sequence_col: str | None = None, chunk_width: float | None = None, demand_chunk: Column | None = None,
              supply_chunk: Column | None = None) -> DataFrame:
-    """FIFO allocation of supply over demand per key.
+    """Allocation of supply over demand per key.
 
     Returns one row per (keys, demand_id, supply_id) with ``allocated_amount``
-    > 0.  ``demand_order`` sets the priority (e.g. charge-type rank, then
-    period); ``supply_order`` the order supplies are consumed.
-
-    Skew: ``demand_chunk`` / ``supply_chunk`` (coarse expressions monotonic in
-    the respective order, e.g. the month) and ``chunk_width`` (a money width
-    for the scan over positions) split a hot account over many tasks.
+    > 0.  ``demand_order`` sets the priority (e.g. charge rank, then oldest
+    period), ``supply_order`` the order supplies are consumed; the ids end both.
+    ``sequence_col`` numbers the allocations of a supply in priority order.
+
+    Each side is read once; both are cut into ranges of equal size for their
+    running sums, and so is the sequence of all interval starts, so a hot
+    account is spread over as many tasks as it has ranges.  (The chunk
+    parameters of earlier calls are accepted; ranges need none.)
     """
     keys = list(keys)
+    dids, sids = ([x] if isinstance(x, str) else list(x) for x in (demand_id, supply_id))
     # Positions are exact integer cents (long): running sums and struct
     # comparisons stay on compact longs instead of 38-digit decimals.
     cents = lambda c: (money(c) * 100).cast("long")
-    d = demand.select(*keys, F.col(demand_id).alias("__did"), *[F.col(c) if isinstance(c, str) else c for c in demand_order],
-                      cents(demand_amount).alias("__damt")).where(F.col("__damt") > 0)
-    s = supply.select(*keys, F.col(supply_id).alias("__sid"), *[F.col(c) if isinstance(c, str) else c for c in supply_order],
-                      cents(supply_amount).alias("__samt")).where(F.col("__samt") > 0)
-    if demand_chunk is not None:
-        d = d.withColumn("__dch", demand_chunk)
-    if supply_chunk is not None:
-        s = s.withColumn("__sch", supply_chunk)
-    d = running_agg(d, keys, [*[F.col(c) if isinstance(c, str) else c for c in demand_order], F.col("__did")],
-                    "__damt", "__dend", "sum", chunk="__dch" if demand_chunk is not None else None)
-    s = running_agg(s, keys, [*[F.col(c) if isinstance(c, str) else c for c in supply_order], F.col("__sid")],
-                    "__samt", "__send", "sum", chunk="__sch" if supply_chunk is not None else None)
-    d = d.select(*keys, F.struct((F.col("__dend") - F.col("__damt")).alias("p"), F.col("__did").alias("id"),
-                                 F.col("__dend").alias("e")).alias("__dv"))
-    s = s.select(*keys, F.struct((F.col("__send") - F.col("__samt")).alias("p"), F.col("__sid").alias("id"),
-                                 F.col("__send").alias("e")).alias("__sv"))
-    dv_t, sv_t = d.schema["__dv"].dataType, s.schema["__sv"].dataType
+
+    def side(df, kind, ids, order, amount, name):
+        order = [F.col(c) if isinstance(c, str) else c for c in order]
+        return df.select(*keys, F.lit(kind).alias("__kind"), cents(amount).alias("__amt"), F.struct(*ids).alias(name),
+                         *[c.alias(f"{name}_{i}") for i, c in enumerate(order)]).where(F.col("__amt") > 0)
+
+    both = side(demand, 0, dids, demand_order, demand_amount, "__d").unionByName(
+        side(supply, 1, sids, supply_order, supply_amount, "__s"), allowMissingColumns=True)
+    order = ["__kind", *[c for c in both.columns if c.startswith(("__d_", "__s_"))], "__d", "__s"]
+    ends = running_sums(cut(both, keys, order), [*keys, "__kind"], {"__end": "__amt"})
+
+    def interval(name):
+        return F.when(F.col(name).isNotNull(), F.struct((F.col("__end") - F.col("__amt")).alias("p"), F.col(name).alias("id"),
+                                                        F.col("__end").alias("e"))).alias(name)
+
     # One row per interval start; demand rows sort before supply rows at the same position.
-    pts = (d.select(*keys, F.col("__dv.p").alias("__pos"), F.lit(0).alias("__kind"), "__dv",
-                    F.lit(None).cast(sv_t).alias("__sv"))
-           .unionByName(s.select(*keys, F.col("__sv.p").alias("__pos"), F.lit(1).alias("__kind"),
-                                 F.lit(None).cast(dv_t).alias("__dv"), "__sv")))
-    chunk = F.floor(F.col("__pos") / F.lit(chunk_width * 100)) if chunk_width else None
-    order = [F.col("__pos"), F.col("__kind")]
-    # Forward fill: the demand and the supply interval current at each start
-    # (running max of structs ordered by their start position).
-    pts = running_aggs(pts, keys, order, {"__cd": ("__dv", "max"), "__cs": ("__sv", "max")}, chunk=chunk)
+    starts = ends.select(*keys, "__kind", (F.col("__end") - F.col("__amt")).alias("__pos"), interval("__d"), interval("__s"))
+    points = filled(cut(starts, keys, ["__pos", "__kind"]), keys, {"__cd": "__d", "__cs": "__s"})
     # Each overlapping (demand, supply) pair is current at exactly one start
     # row (the later of the two starts), so no de-duplication is needed.
-    amt = F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p"))
-    return (pts.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
-            .select(*keys, F.col("__cd.id").alias(demand_id), F.col("__cs.id").alias(supply_id), amt.alias("__c"))
-            .where(F.col("__c") > 0)
-            .select(*keys, demand_id, supply_id, (F.col("__c").cast("decimal(20,0)") / 100).cast(MONEY)
-                    .alias("allocated_amount")))
+    points = (points.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
+              .withColumn("__c", F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p")))
+              .where(F.col("__c") > 0).select(*keys, AT, PART, F.col("__cd.id").alias("__d"), F.col("__cs.id").alias("__s"), "__c"))
+    if sequence_col:  # a supply's allocations are neighbours in the order of positions
+        points = running_sums(written(points), [*keys, "__s"], {sequence_col: F.lit(1)})
+    return points.select(*keys, *[F.col("__d")[c].alias(c) for c in dids], *[F.col("__s")[c].alias(c) for c in sids],
+                         (F.col("__c").cast("decimal(20,0)") / 100).cast(MONEY).alias("allocated_amount"),
+                         *([F.col(sequence_col).cast("int").alias(sequence_col)] if sequence_col else []))
+
+
+def unpivot_charges(assessments: DataFrame, ranks: Sequence[tuple[str, str]], carry: Sequence[str]) -> DataFrame:
+    """One row per open charge of an assessment: ``carry`` columns,
+    charge_type_code, charge_rank (place in ``ranks``, pairs of code and amount
+    column, first paid first) and amount (E16 demand)."""
+    each = F.explode(F.array(*[F.struct(F.lit(code).alias("charge_type_code"), F.lit(i + 1).alias("charge_rank"),
+                                        money(c).alias("amount")) for i, (code, c) in enumerate(ranks)]))
+    return assessments.select(*carry, each.alias("__c")).select(*carry, "__c.*").where(F.col("amount") > 0)
 
 
 def allocation_summary(supply: DataFrame, allocations: DataFrame, keys: Sequence[str], supply_id: str,

@@ -102,6 +102,16 @@ def build_dim_registration(sources: Mapping[str, DataFrame]) -> DataFrame:
     return union_sources(sources, "registration_source")
 
 
+def build_registration_history(sources: Mapping[str, DataFrame], keys: Sequence[str],
+                               values: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Versions of a party's registration from sources (keys, valid_from,
+    valid_to and the columns ``values[name]``) whose validity overlaps, has gaps
+    and comes in any order; ``is_current`` marks the open version."""
+    from quaestor.operators.ranges import merge_timelines
+    out = merge_timelines(sources, keys, "valid_from", "valid_to", values)
+    return out.withColumn("is_current", F.col("valid_to").isNull().cast("int"))
+
+
 def build_dim_tax_scheme(schemes: DataFrame, countries: DataFrame, types: DataFrame, current: DataFrame | None,
                          as_of: str, tracked: Sequence[str]) -> DataFrame:
     """Resolve country and tax-type keys (C03, bounded dimensions,

@@ -413,7 +413,7 @@ def q_geography_closure(spark, sf_dir):
                                           F.concat(F.lit("R"), F.col("n_regionkey")).alias("parent")))
              .unionByName(t.customer.select(F.concat(F.lit("C"), F.col("c_custkey")).alias("id"),
                                             F.concat(F.lit("N"), F.col("c_nationkey")).alias("parent"))))
-    return walk_hierarchy(nodes, "id", "parent", max_depth=10)
+    return walk_hierarchy(nodes, "id", "parent")
 
 
 # ---------------------------------------------------------------- I11 geography dim

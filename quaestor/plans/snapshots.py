@@ -18,6 +18,7 @@ from pyspark.sql.types import DecimalType
 from quaestor.functions.codes import aging_bucket
 from quaestor.functions.dates import date_key
 from quaestor.functions.numeric import MONEY, money, pct, round_half_up
+from quaestor.operators.ranges import cut, running_sums
 from quaestor.operators.windows import running_agg, running_aggs
 
 WIDE = DecimalType(38, 2)
@@ -112,3 +113,59 @@ def monthly_rollup(facts: dict[str, DataFrame], keys: Sequence[str]) -> DataFram
         out = df if out is None else out.join(df, list(keys), "full_outer")
     measures = [c for c in out.columns if c not in keys]
     return out.fillna(0, measures)
+
+
+# Buckets of open items and the first day overdue of each.
+AGING_BUCKETS = [("current_amount", None), ("overdue_1_30_days", 1), ("overdue_31_60_days", 31), ("overdue_61_90_days", 61),
+                 ("overdue_91_180_days", 91), ("overdue_181_365_days", 181), ("overdue_over_365_days", 366)]
+
+
+def build_open_item_aging(items: DataFrame, allocations: DataFrame, as_of: str) -> DataFrame:
+    """Open items per account and month end by days overdue.
+
+    items: item_id, account_id, posted_date, due_date, amount (> 0);
+    allocations: item_id, paid_date, allocated_amount.  An item stands in one
+    bucket a day; it enters the first on its posting date and moves on at fixed
+    days after it is due.  A payment takes its amount out of the item from its
+    date on (not before the posting), so it is an item of its own with the sign
+    turned.  What enters or leaves a bucket is a signed event; events are summed
+    by month first and then run up per account over range cuts: no item meets
+    the months in which nothing happens to it.
+
+    A row per account and month (up to ``as_of``) in which an item is posted,
+    paid or moves on: the seven buckets, debit_balance (their sum by another
+    way: posted less paid), opening_balance and has_debit_balance.
+    """
+    posted = items.select("item_id", "account_id", "due_date", F.col("posted_date").alias("__from"), money("amount").alias("__amt"))
+    paid = (items.select("item_id", "account_id", "due_date", "posted_date")
+            .join(allocations.select("item_id", "paid_date", "allocated_amount"), "item_id")
+            .select("item_id", "account_id", "due_date", F.greatest("paid_date", "posted_date").alias("__from"),
+                    (-money("allocated_amount")).cast(MONEY).alias("__amt")))
+    signed = posted.unionByName(paid)
+    names = [n for n, _ in AGING_BUCKETS]
+    # the day on which each bucket begins for an item; the first has begun when the item comes
+    starts = [F.col("__from") if d is None else F.date_add("due_date", d) for _, d in AGING_BUCKETS]
+    moves = []
+    for i in range(len(names)):
+        enters = F.greatest(starts[i], F.col("__from"))
+        here = F.lit(True) if i + 1 == len(names) else starts[i + 1] > F.col("__from")  # not over before it comes
+        moves.append(F.when(here, F.struct(enters.alias("day"), F.lit(i).alias("into"))))
+    events = (signed.withColumn("__m", F.explode(F.array_compact(F.array(*moves))))
+              .where(F.col("__m.day") <= F.lit(as_of).cast("date")))
+    first = (F.col("__m.into") == 0) | (starts_of(starts, F.col("__m.into")) <= F.col("__from"))
+    by_month = events.groupBy("account_id", F.last_day("__m.day").alias("month_end")).agg(
+        *[F.sum(F.when(F.col("__m.into") == i, F.col("__amt"))
+                .when((F.col("__m.into") == i + 1) & ~first, -F.col("__amt")).otherwise(F.lit(0))).alias(f"__{n}")
+          for i, n in enumerate(names)],
+        F.sum(F.when(first, F.col("__amt")).otherwise(F.lit(0))).alias("__net"))
+    run = running_sums(cut(by_month, ["account_id"], ["month_end"]), ["account_id"],
+                       {**{n: f"__{n}" for n in names}, "debit_balance": "__net"})
+    return run.select("account_id", "month_end", date_key("month_end").alias("snapshot_date_key"),
+                      *[F.col(n).cast(WIDE).alias(n) for n in names], F.col("debit_balance").cast(WIDE).alias("debit_balance"),
+                      (F.col("debit_balance") - F.col("__net")).cast(WIDE).alias("opening_balance"),
+                      (F.col("debit_balance") > 0).cast("int").alias("has_debit_balance"))
+
+
+def starts_of(starts, i):
+    """The one of ``starts`` with number ``i``."""
+    return F.element_at(F.array(*starts), i + 1)
