@@ -99,3 +99,30 @@ def load_with_strategy(target: DataFrame, source: DataFrame, keys: Sequence[str]
     if s == "UPDATE":
         return update_existing(target, source, keys, order_cols)
     raise ValueError(strategy)
+
+
+def accumulate_milestones(rows: DataFrame, load: DataFrame, keys: Sequence[str], milestones: Sequence[str],
+                          loaded_at: str) -> DataFrame:
+    """Accumulating snapshot (I26): ``load`` fills the milestones of the rows
+    that are there and adds new ones.
+
+    A milestone keeps its earliest date and is never emptied by a load that
+    lacks it; every other column is that of the key's latest load that has a
+    value in it.  Both are commutative and associative, so loads may come in any
+    order and may come twice.  ``loaded_at`` (not NULL) of the result is kept
+    per column in ``__at`` for later loads, so pass results on as they are.
+    """
+    keys, milestones = list(keys), list(milestones)
+    others = [c for c in load.columns if c not in (*keys, *milestones, loaded_at, "__at")]
+
+    def dated(df: DataFrame) -> DataFrame:
+        if "__at" in df.columns:
+            return df
+        return df.withColumn("__at", F.struct(*[F.when(F.col(c).isNotNull(), F.col(loaded_at)).alias(c) for c in others]))
+
+    both = dated(rows).unionByName(dated(load))
+    # the latest load's value; of equal loads the greater
+    best = {c: F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("__at")[c].alias("at"), F.col(c).alias("v")))).alias(f"__{c}") for c in others}
+    out = both.groupBy(*keys).agg(*[F.min(m).alias(m) for m in milestones], F.max(loaded_at).alias(loaded_at), *best.values())
+    return out.select(*keys, *milestones, loaded_at, *[F.col(f"__{c}.v").alias(c) for c in others],
+                      F.struct(*[F.col(f"__{c}.at").alias(c) for c in others]).alias("__at"))

@@ -206,6 +206,47 @@ def build_fact_audit(cases: DataFrame, findings: DataFrame) -> DataFrame:
         F.col("taxpayer_agreed").cast("int").alias("is_agreed"), F.col("objection_filed").cast("int").alias("is_objected"))
 
 
+#: Date roles of an audit case, in the order of its life.
+AUDIT_MILESTONES = ["assignment_date", "notification_date", "planned_start_date", "actual_start_date", "planned_completion_date",
+                    "actual_completion_date"]
+# Selection method and final statuses.
+RISK_BASED, COMPLETED = "RISK_BASED", ("FINALIZED", "CLOSED")
+
+
+def build_fact_audit_snapshot(cases: DataFrame, findings: DataFrame) -> DataFrame:
+    """I26 in full: one row per audit case with its five date roles (the start
+    role falls back to the primary date, the report is issued on completion),
+    amounts, durations, periods covered and flags.
+
+    cases: as ``merge.accumulate_milestones`` gives them (audit_case_id,
+    party_id, tax_type_code, AUDIT_MILESTONES, audit_period_from/to,
+    case_status_code, selection_method_code, adjustment_amount, penalty_amount,
+    interest_amount, objection_filed); findings: audit_case_id."""
+    f = findings.groupBy("audit_case_id").agg(F.count(F.lit(1)).alias("findings_count"))
+    j = cases.join(f, "audit_case_id", "left")
+    primary = F.coalesce("actual_start_date", "assignment_date")
+    amount = lambda c: F.coalesce(money(c), F.lit(0).cast(MONEY)).cast(MONEY)
+    return j.select(
+        "audit_case_id", "party_id", "tax_type_code", date_key(primary).alias("date_key"),
+        date_key(primary).alias("start_date_key"),
+        date_key("planned_completion_date").alias("planned_completion_date_key"),
+        date_key("actual_completion_date").alias("actual_completion_date_key"),
+        date_key("actual_completion_date").alias("report_issue_date_key"),
+        F.col("assignment_date").alias("selection_date"), "notification_date",
+        amount("adjustment_amount").alias("assessed_amount"), amount("penalty_amount").alias("penalties_assessed"),
+        amount("interest_amount").alias("interest_assessed"),
+        (amount("adjustment_amount") + amount("penalty_amount") + amount("interest_amount")).cast(MONEY).alias("total_amount"),
+        F.lit(1).alias("audit_count"), F.coalesce("findings_count", F.lit(0)).cast("long").alias("findings_count"),
+        (F.year("audit_period_to") - F.year("audit_period_from") + 1).alias("tax_periods_covered"),
+        F.datediff("actual_completion_date", "actual_start_date").alias("duration_days"),
+        F.datediff("planned_completion_date", "planned_start_date").alias("planned_duration_days"),
+        F.coalesce((F.col("selection_method_code") == RISK_BASED).cast("int"), F.lit(0)).alias("is_risk_based"),
+        F.coalesce(F.col("case_status_code").isin(*COMPLETED).cast("int"), F.lit(0)).alias("is_completed"),
+        F.coalesce((F.col("adjustment_amount") > 0).cast("int"), F.lit(0)).alias("has_findings"),
+        F.coalesce(F.col("objection_filed").cast("int"), F.lit(0)).alias("is_appealed"),
+        F.col("case_status_code").alias("audit_status"))
+
+
 def build_fact_objection(objections: DataFrame) -> DataFrame:
     """Outcome flags (0 without an outcome), resolution days, resolved
     amount (the adjusted amount, 0 when NULL)."""

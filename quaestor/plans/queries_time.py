@@ -3,18 +3,26 @@ joins, growing periods, merged registration histories, deep hierarchies."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from quaestor.functions.numeric import money
 from quaestor.operators import hierarchy as H
 from quaestor.operators import joins as JN
 from quaestor.operators import ledger as LED
+from quaestor.operators import merge as MRG
 from quaestor.operators import ranges as RNG
+from quaestor.operators.keys import attach_scalars
 from quaestor.plans import bindings as B
-from quaestor.plans import snapshots as SNAP
 from quaestor.plans import dims as DIM
+from quaestor.plans import facts as FCT
+from quaestor.plans import snapshots as SNAP
 from quaestor.plans.catalog import register
 from quaestor.plans.queries import _ALLOC_SQL, _AS_OF, _INT, _PEN, _allocations
 from quaestor.plans.sqlbind import with_
+from quaestor.sources import scan as SCAN
+from quaestor.streaming import incremental as ST
 
 # Charges in the order in which a payment settles them.
 CHARGE_RANKS = [("INTEREST", "interest_amount"), ("PENALTY", "penalty_amount"), ("PRINCIPAL_TAX", "assessed_amount")]
@@ -189,3 +197,158 @@ def q_geography_flat(spark, sf_dir):
              .unionByName(t.customer.select(F.concat(F.lit("C"), F.col("c_custkey")).alias("id"),
                                             F.concat(F.lit("N"), F.col("c_nationkey")).alias("parent"), F.col("c_name").alias("name"))))
     return H.flatten_levels(H.walk_hierarchy(nodes, "id", "parent"), nodes, "id", "name", max_levels=3)
+
+
+# ---------------------------------------------------------------- I26 audits as an accumulating snapshot
+def _audit_loads(t):
+    """Three loads of audit cases (urgent returns): planned, begun, closed."""
+    r = B.filings(t).where("tax_type_code = '1-URGENT'")
+    none = lambda c: F.lit(None).cast(c)
+    cols = lambda df, at, **c: df.select(
+        F.col("return_id").alias("audit_case_id"), "party_id", "tax_type_code",
+        *[c.get(m, none("date")).alias(m) for m in FCT.AUDIT_MILESTONES], F.lit(at).alias("loaded_at"),
+        *[c.get(x, none(k)).alias(x) for x, k in (("audit_period_from", "date"), ("audit_period_to", "date"), ("case_status_code", "string"),
+                                                  ("selection_method_code", "string"), ("adjustment_amount", "decimal(19,2)"),
+                                                  ("penalty_amount", "decimal(19,2)"), ("interest_amount", "decimal(19,2)"),
+                                                  ("objection_filed", "boolean"))])
+    planned = cols(r, 1, assignment_date=F.col("period_date"), notification_date=F.date_add("period_date", 5),
+                   planned_start_date=F.date_add("period_date", 10), planned_completion_date=F.date_add("period_date", 40),
+                   audit_period_from=F.add_months("period_date", -24), audit_period_to=F.col("period_date"), case_status_code=F.lit("PLANNED"),
+                   selection_method_code=F.when(F.col("assessed_amount") > 200000, "RISK_BASED").otherwise("RANDOM"))
+    begun = cols(r.where("first_ship_date is not null"), 2, actual_start_date=F.col("first_ship_date"), case_status_code=F.lit("IN_PROGRESS"))
+    closed = cols(r.where("first_ship_date is not null and status = 'F'"), 3, actual_completion_date=F.col("last_ship_date"),
+                  case_status_code=F.lit("FINALIZED"),
+                  adjustment_amount=F.greatest(F.col("assessed_amount") - F.col("declared_amount"), F.lit(0)).cast("decimal(19,2)"),
+                  objection_filed=F.col("is_late") == 1)
+    return planned, begun, closed
+
+
+@register("fact_audit", with_("filings") + """,
+f AS (SELECT return_id, COUNT(*) AS n FROM return_lines WHERE charge_type_code = 'R' GROUP BY 1),
+c AS (SELECT *, first_ship_date IS NOT NULL AND status = 'F' AS closed,
+        CAST(CASE WHEN first_ship_date IS NOT NULL AND status = 'F' THEN GREATEST(assessed_amount - declared_amount, 0) ELSE 0 END AS DECIMAL(19,2)) AS adj
+      FROM filings WHERE tax_type_code = '1-URGENT')
+SELECT c.return_id AS audit_case_id, party_id, tax_type_code,
+  CAST(strftime(COALESCE(first_ship_date, period_date), '%Y%m%d') AS INTEGER) AS date_key,
+  CAST(strftime(COALESCE(first_ship_date, period_date), '%Y%m%d') AS INTEGER) AS start_date_key,
+  CAST(strftime(period_date + 40, '%Y%m%d') AS INTEGER) AS planned_completion_date_key,
+  CASE WHEN closed THEN CAST(strftime(last_ship_date, '%Y%m%d') AS INTEGER) END AS actual_completion_date_key,
+  CASE WHEN closed THEN CAST(strftime(last_ship_date, '%Y%m%d') AS INTEGER) END AS report_issue_date_key,
+  period_date AS selection_date, CAST(period_date + 5 AS DATE) AS notification_date, adj AS assessed_amount,
+  CAST(0 AS DECIMAL(19,2)) AS penalties_assessed, CAST(0 AS DECIMAL(19,2)) AS interest_assessed, adj AS total_amount, 1 AS audit_count,
+  COALESCE(f.n, 0) AS findings_count, 3 AS tax_periods_covered,
+  CASE WHEN closed THEN date_diff('day', first_ship_date, last_ship_date) END AS duration_days, 30 AS planned_duration_days,
+  CASE WHEN assessed_amount > 200000 THEN 1 ELSE 0 END AS is_risk_based, CASE WHEN closed THEN 1 ELSE 0 END AS is_completed,
+  CASE WHEN adj > 0 THEN 1 ELSE 0 END AS has_findings, CASE WHEN closed AND is_late = 1 THEN 1 ELSE 0 END AS is_appealed,
+  CASE WHEN closed THEN 'FINALIZED' WHEN first_ship_date IS NOT NULL THEN 'IN_PROGRESS' ELSE 'PLANNED' END AS audit_status
+FROM c LEFT JOIN f ON f.return_id = c.return_id""")
+def q_fact_audit(spark, sf_dir):
+    """Closing comes first, then planning, then field work: the order of loads
+    does not matter."""
+    t = B.tables(spark, sf_dir)
+    planned, begun, closed = _audit_loads(t)
+    keys = ["audit_case_id", "party_id", "tax_type_code"]
+    cases = MRG.accumulate_milestones(closed, planned, keys, FCT.AUDIT_MILESTONES, "loaded_at")
+    cases = MRG.accumulate_milestones(cases, begun, keys, FCT.AUDIT_MILESTONES, "loaded_at")
+    findings = B.return_lines(t).where("charge_type_code = 'R'").select(F.col("return_id").alias("audit_case_id"))
+    return FCT.build_fact_audit_snapshot(cases, findings)
+
+
+# ---------------------------------------------------------------- A05 profiles that merge over loads
+@register("profile_order_loads", """
+SELECT * FROM (""" + " UNION ALL ".join(f"""
+  SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, {lo} AS min_number, {hi} AS max_number,
+    MIN(CAST({c} AS VARCHAR)) AS min_text, MAX(CAST({c} AS VARCHAR)) AS max_text, 1 AS distinct_in_bound, {q} AS quantiles_in_bound FROM orders"""
+    for c, lo, hi, q in (("o_orderkey", "CAST(MIN(o_orderkey) AS DOUBLE)", "CAST(MAX(o_orderkey) AS DOUBLE)", 1),
+                         ("o_custkey", "CAST(MIN(o_custkey) AS DOUBLE)", "CAST(MAX(o_custkey) AS DOUBLE)", 1),
+                         ("o_orderstatus", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS INTEGER)"),
+                         ("o_orderpriority", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS INTEGER)"))) + ")")
+def q_profile_order_loads(spark, sf_dir):
+    """Profiles of the loads of each year, stored, merged on reading and held
+    against exact counts and ranks of the whole table."""
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    o = B.tables(spark, sf_dir).orders
+    early = F.year("o_orderdate") < 1998
+    stored = RNG.written(SCAN.profile_load(o.where(early), cols).unionByName(SCAN.profile_load(o.where(~early), cols)))
+    p = SCAN.read_profile(SCAN.merge_profiles(stored))
+    exact = SCAN.profile_table(o, cols).select("column_name", F.col("distinct_count").alias("exact"))
+    both = p.join(exact, "column_name")
+    quantiles = [("p25", 0.25), ("median", 0.5), ("p75", 0.75)]
+    wide = p.where("median is not null").groupBy().pivot("column_name", cols[:2]).agg(
+        *[F.first(q).alias(q) for q, _ in quantiles])  # one row
+    ranks = attach_scalars(o.select(*cols[:2]), wide).agg(*[
+        F.avg((F.col(c) <= F.col(f"{c}_{q}")).cast("double")).alias(f"{c}_{q}") for c in cols[:2] for q, _ in quantiles])
+    # half a rank wide: equal values share theirs
+    fits = lambda c: F.when(sum(((F.col(f"{c}_{q}") >= x - SCAN.RANK_ERROR) & (F.col(f"{c}_{q}") <= x + SCAN.RANK_ERROR)).cast("int")
+                                for q, x in quantiles) == len(quantiles), 1).otherwise(0)
+    told = ranks.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), fits(c).alias("quantiles_in_bound"))
+                                            for c in cols[:2]])).alias("r")).select("r.*")
+    return both.join(told, "column_name", "left").select(
+        "column_name", "row_count", "null_count", "min_number", "max_number", "min_text", "max_text",
+        (F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.col("exact") * SCAN.DISTINCT_ERROR + 1).cast("int").alias("distinct_in_bound"),
+        "quantiles_in_bound")
+
+
+# ---------------------------------------------------------------- J01, J02, J04 in several batches
+@register("stream_upsert_buckets", with_("returns") + """
+SELECT return_id, party_id, status, assessed_amount, 2 AS version FROM returns""")
+def q_stream_upsert_buckets(spark, sf_dir):
+    """First versions, then newer ones, then older ones that come late."""
+    root = ST.scratch(spark, f"stream-buckets-{uuid.uuid4().hex[:8]}")
+    r = B.returns(B.tables(spark, sf_dir)).select("return_id", "party_id", "status", "assessed_amount")
+    first = r.select("return_id", "party_id", F.lit("?").alias("status"), F.lit(0).cast("decimal(19,2)").alias("assessed_amount"),
+                     F.lit(1).alias("version"))
+    second = r.withColumn("version", F.lit(2))
+    loads = [first.where("return_id % 3 > 0").unionByName(second.where("return_id % 3 = 0")), second.where("return_id % 3 > 0"),
+             first.where("return_id % 2 = 0")]
+    for i, load in enumerate(loads):
+        load.write.parquet(f"{root}/in/load{i}")
+        stream = ST.file_stream(spark, f"{root}/in/*", second.schema)
+        ST.bucketed_upsert_stream(spark, stream, f"{root}/target", ["return_id"], ["version"], buckets=16,
+                                  checkpoint=f"{root}/ckpt").awaitTermination()
+    return ST.read_buckets(spark, f"{root}/target")
+
+
+def _event_loads(spark, sf_dir, root):
+    """Events in the order of time in three loads: the second repeats the last
+    12 hours of the first, the third brings rows of weeks ago under new ids."""
+    e = B.tables(spark, sf_dir).events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", money("value").alias("amount"))
+    cuts = ["1970-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    at = lambda c: F.lit(c).cast("timestamp")
+    parts = [e.where((F.col("ts") >= at(a)) & (F.col("ts") < at(b))) for a, b in zip(cuts, cuts[1:])]
+    again = parts[0].where(F.col("ts") >= at(cuts[1]) - F.expr("interval 12 hours"))
+    late = parts[0].where(F.col("ts") < at("2024-01-06")).withColumn("event_id", F.col("event_id") + 10**12)
+    return e.schema, [parts[0], parts[1].unionByName(again), parts[2].unionByName(late)]
+
+
+@register("stream_events_once", """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_type, CAST(value AS DECIMAL(19,2)) AS amount FROM events""")
+def q_stream_events_once(spark, sf_dir):
+    """Each load is a run of its own that goes on from the checkpoint."""
+    root = ST.scratch(spark, f"stream-once-{uuid.uuid4().hex[:8]}")
+    schema, loads = _event_loads(spark, sf_dir, root)
+    for i, load in enumerate(loads):
+        load.write.parquet(f"{root}/in/load{i}")
+        ST.deduplicated_stream(ST.file_stream(spark, f"{root}/in/*", schema), "ts", ["event_id"], f"{root}/out", f"{root}/ckpt",
+                               "24 hours").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_monthly_totals", """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type, COUNT(*) AS row_count, SUM(CAST(value AS DECIMAL(19,2))) AS total
+FROM events GROUP BY 1, 2""")
+def q_stream_monthly_totals(spark, sf_dir):
+    """J04 over the loads without repeated rows; a day is told when the
+    watermark has passed it, so a mark two months later ends the last one."""
+    root = ST.scratch(spark, f"stream-months-{uuid.uuid4().hex[:8]}")
+    schema, loads = _event_loads(spark, sf_dir, root)
+    loads[1] = loads[1].where(F.col("ts") >= F.lit("2024-01-11").cast("timestamp"))
+    end = loads[2].agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("long").alias("event_id"),
+                                                       (F.col("ts") + F.expr("interval 60 days")).alias("ts"),
+                                                       F.lit("end").alias("event_type"), F.lit(0).cast("decimal(19,2)").alias("amount"))
+    for i, load in enumerate([*loads, end]):
+        load.write.parquet(f"{root}/in/load{i}")
+        stream = ST.file_stream(spark, f"{root}/in/*", schema)
+        ST.monthly_rollup_stream(stream, "ts", ["event_type"], "amount", f"{root}/out", f"{root}/ckpt", watermark="2 days").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return ST.monthly_totals(out, ["event_type"])

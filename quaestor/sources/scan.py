@@ -114,3 +114,57 @@ def profile_table(df: DataFrame, columns: Iterable[str] | None = None, exact: bo
                      F.col("__rows").cast("bigint").alias("row_count"))
             for i, c in enumerate(cols)]
     return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
+#: Bounds of the sketches: relative error of distinct counts (three standard
+#: errors at 2**12 registers) and error of a quantile's rank.
+DISTINCT_ERROR, RANK_ERROR = 0.05, 0.03
+
+
+def profile_load(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Mergeable profile of one load (A05): a row per column with counts, ends
+    and two sketches, one of the distinct values and, for numbers and dates, one
+    of the quantiles (dates as days since 1970).  One pass, one row a column;
+    store it beside the load."""
+    cols = list(columns) if columns is not None else df.columns
+    types = dict(df.dtypes)
+
+    def number(c):
+        if types[c] == "date":
+            return F.unix_date(c).cast("double")
+        if types[c].startswith(("timestamp",)):
+            return F.unix_seconds(F.col(c).cast("timestamp")).cast("double")
+        numeric = types[c].startswith(("decimal", "tinyint", "smallint", "int", "bigint", "float", "double"))
+        return F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        text, value = F.col(c).cast("string"), number(c)
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.hll_sketch_agg(text, 12).alias(f"d{i}"),
+                 F.kll_sketch_agg_double(value).alias(f"q{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"),
+                 F.min(text).alias(f"first{i}"), F.max(text).alias(f"last{i}"), F.max(F.length(text)).alias(f"len{i}")]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), F.col("__rows").alias("row_count"),
+                     F.col(f"n{i}").alias("null_count"), F.col(f"lo{i}").alias("min_number"), F.col(f"hi{i}").alias("max_number"),
+                     F.col(f"first{i}").alias("min_text"), F.col(f"last{i}").alias("max_text"), F.col(f"len{i}").alias("max_length"),
+                     F.col(f"d{i}").alias("distinct_sketch"), F.col(f"q{i}").alias("quantile_sketch"))
+            for i, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """Profiles of any loads as one (rows of ``profile_load`` or of this)."""
+    return profiles.groupBy("column_name", "data_type").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"), F.min("min_number").alias("min_number"),
+        F.max("max_number").alias("max_number"), F.min("min_text").alias("min_text"), F.max("max_text").alias("max_text"),
+        F.max("max_length").alias("max_length"), F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
+        F.kll_merge_agg_double("quantile_sketch").alias("quantile_sketch"))
+
+
+def read_profile(merged: DataFrame) -> DataFrame:
+    """Estimates of a profile: distinct_estimate within DISTINCT_ERROR, p25,
+    median and p75 within RANK_ERROR of their rank (NULL for text)."""
+    some = F.col("min_number").isNotNull()
+    at = lambda q: F.when(some, F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(q)))
+    return merged.select("column_name", "data_type", "row_count", "null_count", "min_number", "max_number", "min_text", "max_text",
+                         "max_length", F.hll_sketch_estimate("distinct_sketch").alias("distinct_estimate"),
+                         at(0.25).alias("p25"), at(0.5).alias("median"), at(0.75).alias("p75"))

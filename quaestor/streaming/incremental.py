@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quaestor.operators.aggregates import merge_states, partial_state
 from quaestor.operators.merge import latest_per_key, upsert
+from quaestor.operators.ranges import written
 from quaestor.session import checkpoint_dir
 
 
@@ -57,6 +58,57 @@ def incremental_upsert_stream(spark: SparkSession, source: DataFrame, target_roo
     return w.start(), versions
 
 
+def bucketed_upsert_stream(spark: SparkSession, source: DataFrame, target: str, keys: Sequence[str], order_cols: Sequence[str],
+                           buckets: int = 64, checkpoint: str | None = None, name: str = "bucketed", available_now: bool = True):
+    """J01 for a large target: the target lies in ``buckets`` folders by the hash
+    of the key, and a micro-batch rewrites only those its keys fall into
+    (dynamic partition overwrite); the files of all others stay as they are.
+
+    Of a key the row with the greatest ``order_cols`` stays, whichever came
+    first, so rows that come late change nothing newer, and a batch that runs
+    again after a failure, wherever that was, gives the same rows.  The merged
+    rows are written to the shared folder before the target is touched.
+    ``read_buckets`` reads the target; its cost and a batch's grow with the
+    buckets touched, so choose ``buckets`` for some 100 MB each.
+    """
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
+    keys = list(keys)
+
+    def write(df: DataFrame, mode: str) -> None:
+        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(target)
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        fresh = written(latest_per_key(batch, keys, order_cols)
+                        .withColumn("bucket", F.expr(f"cast(pmod(xxhash64({', '.join(keys)}), {buckets}) as int)")))
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        write(fresh.where("false"), "append")  # the folder is there from now on
+        old = batch.sparkSession.read.schema(fresh.schema).parquet(target).where(F.col("bucket").isin(touched))
+        merged = written(latest_per_key(old.unionByName(fresh), keys, order_cols))
+        write(merged.hint("rebalance", "bucket"), "overwrite")
+
+    w = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def read_buckets(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of what ``bucketed_upsert_stream`` has written."""
+    return spark.read.parquet(target).drop("bucket")
+
+
+def deduplicated_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], out_path: str, checkpoint: str,
+                        lookback: str = "24 hours", available_now: bool = True):
+    """J02 as a running query: rows at most ``lookback`` late pass once per key,
+    later ones are dropped; appended to ``out_path``.  Started again with the
+    same ``checkpoint``, it goes on with the keys and the watermark it had."""
+    w = (late_lookback(stream, ts_col, keys, lookback).writeStream.outputMode("append").format("parquet")
+         .option("path", out_path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
+    return w.start()
+
+
 def late_lookback(stream: DataFrame, ts_col: str, keys: Sequence[str], lookback: str = "24 hours") -> DataFrame:
     """Tolerate rows up to ``lookback`` late; duplicates of a key inside
     the watermark are dropped (state is bounded by the lookback)."""
