@@ -6,8 +6,8 @@ debts) is the intersection of two running sums per account: demand i covers
 [D_i - d_i, D_i), supply j covers [S_j - s_j, S_j) and receives
 max(0, min(ends) - max(starts)).  Overlapping pairs are found by a single
 ordered scan over the union of interval starts (no pairwise join), so the
-cost is linear in the rows of an account.  Sums and scan run over range cuts
-(``ranges``), so a hot account is many tasks.
+cost is linear in the rows of an account.  Where an account is hot, sums and
+scan run over range cuts (``ranges``), so it is many tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -37,7 +37,7 @@ def running_balance(ledger: DataFrame, account_cols: Sequence[str], order_cols:
 def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_id: str | Sequence[str], demand_order: Sequence,
              demand_amount: str, supply_id: str | Sequence[str], supply_order: Sequence, supply_amount: str,
              sequence_col: str | None = None, chunk_width: float | None = None, demand_chunk: Column | None = None,
-             supply_chunk: Column | None = None) -> DataFrame:
+             supply_chunk: Column | None = None, hot_rows: int = 1_000_000) -> DataFrame:
     """Allocation of supply over demand per key.
 
     Returns one row per (keys, demand_id, supply_id) with ``allocated_amount``
@@ -45,10 +45,11 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     period), ``supply_order`` the order supplies are consumed; the ids end both.
     ``sequence_col`` numbers the allocations of a supply in priority order.
 
-    Each side is read once; both are cut into ranges of equal size for their
-    running sums, and so is the sequence of all interval starts, so a hot
-    account is spread over as many tasks as it has ranges.  (The chunk
-    parameters of earlier calls are accepted; ranges need none.)
+    Each side is read once.  While no account has more than ``hot_rows`` rows,
+    sums and scan are windows over one shuffle by account; else both are cut
+    into ranges of equal size (``ranges``), so a hot account is spread over as
+    many tasks as it has ranges.  The result is the same.  (The chunk parameters
+    of earlier calls are accepted; neither form needs them.)
     """
     keys = list(keys)
     dids, sids = ([x] if isinstance(x, str) else list(x) for x in (demand_id, supply_id))
@@ -64,22 +65,36 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     both = side(demand, 0, dids, demand_order, demand_amount, "__d").unionByName(
         side(supply, 1, sids, supply_order, supply_amount, "__s"), allowMissingColumns=True)
     order = ["__kind", *[c for c in both.columns if c.startswith(("__d_", "__s_"))], "__d", "__s"]
-    ends = running_sums(cut(both, keys, order), [*keys, "__kind"], {"__end": "__amt"})
+    both = written(both)  # the sources are read once, whatever looks at their rows again
+    largest = both.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    hot = largest > hot_rows
 
     def interval(name):
         return F.when(F.col(name).isNotNull(), F.struct((F.col("__end") - F.col("__amt")).alias("p"), F.col(name).alias("id"),
                                                         F.col("__end").alias("e"))).alias(name)
 
+    if hot:
+        ends = running_sums(cut(both, keys, order), [*keys, "__kind"], {"__end": "__amt"})
+    else:  # an account fits a task: one shuffle serves the sums and the scan
+        so_far = Window.partitionBy(*keys, "__kind").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        ends = both.repartition(*keys).withColumn("__end", F.sum("__amt").over(so_far))
     # One row per interval start; demand rows sort before supply rows at the same position.
     starts = ends.select(*keys, "__kind", (F.col("__end") - F.col("__amt")).alias("__pos"), interval("__d"), interval("__s"))
-    points = filled(cut(starts, keys, ["__pos", "__kind"]), keys, {"__cd": "__d", "__cs": "__s"})
+    if hot:
+        points = filled(cut(starts, keys, ["__pos", "__kind"]), keys, {"__cd": "__d", "__cs": "__s"})
+    else:
+        upto = Window.partitionBy(*keys).orderBy("__pos", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+        points = starts.select("*", *[F.last(c, ignorenulls=True).over(upto).alias(n) for n, c in (("__cd", "__d"), ("__cs", "__s"))],
+                               F.lit(0).alias(PART), F.row_number().over(upto).alias(AT))
     # Each overlapping (demand, supply) pair is current at exactly one start
     # row (the later of the two starts), so no de-duplication is needed.
     points = (points.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
               .withColumn("__c", F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p")))
               .where(F.col("__c") > 0).select(*keys, AT, PART, F.col("__cd.id").alias("__d"), F.col("__cs.id").alias("__s"), "__c"))
-    if sequence_col:  # a supply's allocations are neighbours in the order of positions
+    if sequence_col and hot:  # a supply's allocations are neighbours in the order of positions
         points = running_sums(written(points), [*keys, "__s"], {sequence_col: F.lit(1)})
+    elif sequence_col:
+        points = points.withColumn(sequence_col, F.row_number().over(Window.partitionBy(*keys, "__s").orderBy(AT)))
     return points.select(*keys, *[F.col("__d")[c].alias(c) for c in dids], *[F.col("__s")[c].alias(c) for c in sids],
                          (F.col("__c").cast("decimal(20,0)") / 100).cast(MONEY).alias("allocated_amount"),
                          *([F.col(sequence_col).cast("int").alias(sequence_col)] if sequence_col else []))

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaestor.functions.dates import date_key
 from quaestor.functions.numeric import money, MONEY
 from quaestor.sources.scan import table
 
@@ -119,7 +120,7 @@ def timed_payments(t: Tables) -> DataFrame:
                         F.date_add(F.last_day(F.col("o_orderdate").cast("date")), DUE_DAYS_AFTER_MONTH_END).alias("due_date"))
     return lines.join(r, "return_id").select(
         F.concat_ws("-", "return_id", "line_number", "part_id", "supplier_id",
-                    F.date_format("ship_date", "yyyyMMdd")).alias("payment_id"),
+                    date_key("ship_date").cast("string")).alias("payment_id"),
         "return_id", "line_number", "party_id", "tax_type_code",
         F.col("ship_date").alias("payment_date"), F.col("payment_amount"),
         F.col("charge_type_code"), F.col("line_status"), "due_date")

@@ -107,7 +107,8 @@ def test_registration_history_equals_day_by_day(ranged):
                 assert [a[f"{x}_code"] for x in data] != [b[f"{x}_code"] for x in data]
 
 
-def test_priority_allocation_with_a_hot_party(ranged):
+@pytest.mark.parametrize("hot_rows", [10, 1000])
+def test_priority_allocation_with_a_hot_party(ranged, hot_rows):
     rng = random.Random(9)
     liabilities = [(rng.choice([1, 7, 7, 7]), i, DAY + dt.timedelta(rng.randrange(90)), rng.randrange(0, 50), rng.randrange(0, 30), rng.randrange(1, 400))
                    for i in range(80)]
@@ -115,7 +116,8 @@ def test_priority_allocation_with_a_hot_party(ranged):
     ranks = [("INTEREST", "i"), ("PENALTY", "p"), ("PRINCIPAL_TAX", "t")]
     charges = LED.unpivot_charges(ranged.createDataFrame(liabilities, "party int, a int, due date, i int, p int, t int"), ranks, ["party", "a", "due"])
     out = LED.allocate(charges, ranged.createDataFrame(payments, "party int, pid string, day date, amt int"), ["party"],
-                       ["a", "charge_type_code"], ["charge_rank", "due", "a"], "amount", "pid", ["day"], "amt", sequence_col="seq")
+                       ["a", "charge_type_code"], ["charge_rank", "due", "a"], "amount", "pid", ["day"], "amt", sequence_col="seq",
+                       hot_rows=hot_rows)
     got = sorted((r.party, r.pid, r.seq, r.a, r.charge_type_code, float(r.allocated_amount)) for r in out.collect())
     want = []
     for party in (1, 7, 9):
