@@ -125,7 +125,7 @@ def reshard(rows: DataFrame, old_shard, n_old: int, capacity_of) -> DataFrame:
     ``slot``.  ``old_shard``: a column from 0 to n_old - 1; ``capacity_of``: the
     new shards' capacities, given the total size."""
     spark = rows.sparkSession
-    spread = F.xxhash64("doc_id", "text_crc32", "size") + F.monotonically_increasing_id()
+    spread = F.xxhash64("doc_id", "text_crc32", "size", F.monotonically_increasing_id())
     here = staged(rows.withColumn("old_shard", old_shard.cast("int")).withColumn("spread", spread))
     n = here.count()
     per_shard = min(max(LEAST_BLOCKS, -(-n // (n_old * ROWS_PER_BLOCK))), MOST_BLOCKS // n_old)
