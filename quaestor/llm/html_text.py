@@ -11,13 +11,16 @@ text as it stands, and tables with their cells aligned in columns.
 
 Cases: null and empty pages give an empty text; text outside of any tag is
 shown; unfinished tags and comments at the end are dropped like a browser
-does; nesting beyond ``DEEPEST`` goes on at that depth; repeated rows each give
-their row; an empty table gives none.
+does; elements nest as deep as they stand; a head that is not closed ends where
+anything but head content begins; repeated rows each give their row; an empty
+table gives none; a kept column called ``text`` is an error.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from html import unescape
 from typing import Iterator
 
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 
 from quaestor.llm.common import table
 
-DEEPEST = 400
+#: Fixed values of the HTML standard: what a head may hold, largest spans.
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
@@ -54,7 +59,7 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(?![
 #: Inside drawings and formulas: what is not shown, and what begins a word.
 _ASIDE = frozenset("desc defs metadata annotation annotation-xml".split())
 _APART = frozenset("text mtr mtd".split())
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDING = {("display", "none"), ("visibility", "hidden"), ("visibility", "collapse")}
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -74,12 +79,17 @@ def _attributes(source: str) -> dict[str, str]:
 def build_tree(html: str) -> Node:
     root = Node("#page", {})
     open_: list[Node] = [root]
+    here: Counter = Counter()  # open elements by tag
 
     def close(tags, stops=()) -> None:
         """Closes up to the nearest open element of ``tags``, unless one of
         ``stops`` stands before it."""
+        if not any(here[t] for t in tags):
+            return
         for depth in range(len(open_) - 1, 0, -1):
             if open_[depth].tag in tags:
+                for x in open_[depth:]:
+                    here[x.tag] -= 1
                 del open_[depth:]
                 return
             if open_[depth].tag in stops:
@@ -92,10 +102,15 @@ def build_tree(html: str) -> Node:
             tail = html[at:]
             # a tag that never ends takes the rest with it
             cut = re.search(r"<[a-zA-Z/!?]", tail)
+            if open_[-1].tag == "head":
+                close(("head",))
             open_[-1].children.append(unescape(tail[:cut.start()] if cut else tail))
             break
         if m.start() > at:
-            open_[-1].children.append(unescape(html[at:m.start()]))
+            text = unescape(html[at:m.start()])
+            if open_[-1].tag == "head" and not text.isspace():
+                close(("head",))
+            open_[-1].children.append(text)
         at = m.end()
         if not m[2]:
             continue
@@ -103,11 +118,13 @@ def build_tree(html: str) -> Node:
         if m[1]:
             if tag == "br":
                 open_[-1].children.append(Node("br", {}))
-            elif tag == "p" and not any(x.tag == "p" for x in open_):
+            elif tag == "p" and not here["p"]:
                 open_[-1].children.append(Node("p", {}))
             else:
                 close((tag,), () if tag == "table" else ("table",) if tag not in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else ())
             continue
+        if open_[-1].tag == "head" and tag not in _IN_HEAD:
+            close(("head",))
         if tag in _ENDS_P:
             close(("p",), ("table", "td", "th", "button", "object", "caption"))
         if tag in _CLOSES:
@@ -121,7 +138,8 @@ def build_tree(html: str) -> Node:
         ended = m[3].endswith("/")
         # a drawing's or formula's own tags have other rules
         if (ended or tag in _ASIDE or tag in _APART) and tag not in ("svg", "math"):
-            around = next((x.tag for x in reversed(open_) if x.tag in ("svg", "math", "foreignobject")), "")
+            inside = here["svg"] or here["math"]
+            around = next((x.tag for x in reversed(open_) if x.tag in ("svg", "math", "foreignobject")), "") if inside else ""
             ended = ended and around in ("svg", "math")
             if around and tag in _ASIDE:
                 node.attributes["hidden"] = ""
@@ -134,8 +152,11 @@ def build_tree(html: str) -> Node:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
             node.children.append(html[at:end.start()] if tag not in ("textarea", "title") else unescape(html[at:end.start()]))
             at = end.end()
-        elif tag not in _VOID and len(open_) < DEEPEST:
+        elif tag not in _VOID:
             open_.append(node)
+            here[tag] += 1
+            if tag == "table" and here[tag] > 100:  # a table is laid out inside its cell
+                sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 6 * here[tag]))
     return root
 
 
@@ -143,7 +164,18 @@ def _shown(node: Node) -> bool:
     a = node.attributes
     if node.tag in _UNSEEN or "hidden" in a or node.tag == "dialog" and "open" not in a:
         return False
-    return not ("style" in a and _HIDING.search(a["style"]))
+    if "style" not in a:
+        return True
+    said = {}  # the last declaration of a property holds
+    for d in re.sub(r"/\*.*?(?:\*/|\Z)", " ", a["style"], flags=re.S).split(";"):
+        name, _, value = d.partition(":")
+        said[name.strip().lower()] = value.lower().replace("!important", "").strip()
+    return not any(said.get(name) == value for name, value in _HIDING)
+
+
+def _span(text: str, most: int) -> int:
+    n = int(text) if text.isdecimal() and text.isascii() else 1
+    return min(n, most)
 
 
 class _Page:
@@ -190,10 +222,10 @@ class _Page:
 
 def _table_lines(node: Node) -> list[str]:
     """Rows of the table, every column as wide as its widest cell."""
-    rows, captions, todo = [], [], [c for c in reversed(node.children)]
-    stray = []
+    rows, captions, todo = [], [], [(c, 0) for c in reversed(node.children)]
+    stray, groups = [], 0
     while todo:
-        c = todo.pop()
+        c, group = todo.pop()
         if isinstance(c, str):
             if not c.isspace():
                 stray.append(_BLANK.sub(" ", c).strip())
@@ -201,38 +233,48 @@ def _table_lines(node: Node) -> list[str]:
         if not _shown(c):
             continue
         if c.tag in ("thead", "tbody", "tfoot"):
-            todo.extend(reversed(c.children))
+            groups += 1
+            todo.extend((x, groups) for x in reversed(c.children))
         elif c.tag == "tr":
             cells = []
             for d in c.children:
                 if isinstance(d, str):
                     if not d.isspace():
-                        cells.append((_BLANK.sub(" ", d).strip(), 1))
+                        cells.append((_BLANK.sub(" ", d).strip(), 1, 1))
                 elif _shown(d):
-                    span = d.attributes.get("colspan", "1")
-                    cells.append((" ".join(x.strip() for x in render(d) if x.strip()),
-                                  min(int(span), 50) if span.isdecimal() and int(span) else 1))
-            rows.append(cells)
+                    text = " ".join(x.strip() for x in render(d) if x.strip())
+                    down = _span(d.attributes.get("rowspan", "1"), MOST_ROWS)
+                    cells.append((text, max(1, _span(d.attributes.get("colspan", "1"), MOST_COLUMNS)), down or MOST_ROWS))
+            rows.append((group, cells))
         elif c.tag == "caption":
             captions += render(c)
         elif c.tag not in ("col", "colgroup"):
             stray += render(c)
-    widths: list[int] = []
-    for cells in rows:
-        at = 0
-        for text, span in cells:
-            widths += [0] * (at + span - len(widths))
-            if span == 1:
-                widths[at] = max(widths[at], len(text))
+    placed, widths, below, now = [], [], {}, None
+    for group, cells in rows:
+        if group != now:  # no cell reaches over its group
+            below, now = {}, group
+        line, at, begun = [], 0, {}
+        for text, span, down in cells:
+            while at in below:
+                at += 1
+            line.append((at, text, span))
+            begun.update((x, down) for x in range(at, at + span))
             at += span
+            widths += [0] * (at - len(widths))
+            if span == 1:
+                widths[at - 1] = max(widths[at - 1], len(text))
+        below = {x: n - 1 for x, n in {**below, **begun}.items() if n > 1}
+        placed.append(line)
     out = [x for x in captions + stray if x]
-    for cells in rows:
-        line, at = [], 0
-        for text, span in cells:
-            line.append(text.ljust(sum(widths[at:at + span]) + 3 * (span - 1)))
-            at += span
-        if any(t for t, _ in cells):
-            out.append(" | ".join(line).rstrip())
+    for line in placed:
+        parts, upto = [], 0
+        for at, text, span in line:
+            parts += [" " * w for w in widths[upto:at]]  # columns that a cell above holds
+            parts.append(text.ljust(sum(widths[at:at + span]) + 3 * (span - 1)))
+            upto = at + span
+        if any(t for _, t, _ in line):
+            out.append(" | ".join(parts).rstrip())
     return out
 
 
@@ -336,6 +378,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """The columns ``keep`` of every page, and its visible ``text``."""
+    if "text" in keep:
+        raise ValueError("a kept column has the name of the result: text")
     source = pages.select(*keep, F.col(html_col).cast("string").alias("__html"))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
     return source.mapInArrow(_extract, f"{fields}text string")

@@ -384,3 +384,81 @@ def test_html_table_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, None)], "page_id long, url string, html string")
     assert sorted(map(tuple, html_text.extract(pages, ["page_id"]).collect())) == [(1, "a"), (1, "a"), (2, "")]
     assert html_text.extract(pages.where("false"), ["page_id"]).count() == 0
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><body><p>Visible", "Visible"), ("<head><meta charset=utf-8><p>Visible two", "Visible two"),
+    ("<head><style>x</style>bare text", "bare text"), ("<head><script>a</script> <link rel=x></head>one<p>two", "one\n\ntwo"),
+    ("<html><body>a", "a"), ("<ul><li>a<li>b</ul>", "- a\n- b"), ("<dl><dt>a<dd>b<dt>c</dl>", "a\n  b\nc"),
+    ("<p>a<div>b</div>", "a\n\nb"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a | b\nc"),
+    ("<table><thead><tr><th>h<tbody><tr><td>x<tfoot><tr><td>f</table>", "h\nx\nf"),
+    ("<select><option>a<option>b</select>", "a\nb")])
+def test_html_with_tags_left_out(page, text):
+    assert html_text.visible_text(page) == text
+
+
+def test_html_spans_stay_aligned():
+    shown = html_text.visible_text
+    assert shown("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>") == "A | B\n  | C\nD | E"
+    assert shown("<table><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D</table>") == "A | B\n  | C\nD"
+    wide = shown("<table><tr><td colspan=70>A<td>Z<tr>" + "<td>b" * 70 + "<td>Y</table>").split("\n")
+    assert wide[0].index("Z") == wide[1].index("Y")
+
+
+def test_html_hidden_stays_hidden_at_any_depth():
+    shown = html_text.visible_text
+    for deep in (390, 405, 5000):
+        assert shown("<div>" * deep + "<div hidden>SECRET</div>open" + "</div>" * deep + "after") == "open\nafter"
+        assert shown("<span>" * deep + "<ul><li>x<li>y</ul>" + "</span>" * deep + "<p>after") == "- x\n- y\n\nafter"
+    assert shown("<table><tr><td>" * 3000 + "<b style='display:none'>SECRET</b>in") == "in"
+    assert shown("<div>" * 100_000 + "x").strip() == "x"
+
+
+def test_html_style_is_read_by_declaration():
+    shown = html_text.visible_text
+    assert shown("<b style='--x-display:none'>a</b><b style='content: \"display:none\"'>b</b>") == "ab"
+    assert shown("<b style='color:red; DISPLAY : None !important'>a</b><b style='visibility:collapse'>b</b>c") == "c"
+    assert shown("<b style='display:none;display:inline'>a</b><b style='/* x */display:none'>b</b>") == "a"
+
+
+def test_html_words_of_given_pages_equal_a_plain_parser():
+    import pyarrow.parquet as pq
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        """Text outside of elements that are not shown, in order."""
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.open = [], []
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            style = (a.get("style") or "").replace(" ", "")
+            hides = tag in html_text._UNSEEN or "hidden" in a or "display:none" in style or "visibility:hidden" in style
+            if tag not in html_text._VOID:
+                self.open.append((tag, hides))
+
+        def handle_endtag(self, tag):
+            if any(t == tag for t, _ in self.open):
+                while self.open.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not any(h for _, h in self.open):
+                self.out.append(data)
+
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()
+    for row in pages:
+        p = Plain()
+        p.feed(row["html"] or "")
+        p.close()
+        assert re.findall(r"[^\W\d_]{2,}", html_text.visible_text(row["html"])) == re.findall(r"[^\W\d_]{2,}", " ".join(p.out)), row["page_id"]
+
+
+def test_resharding_hash_does_not_overflow(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).repartition(40)
+    # places near the largest id: an addition would overflow for half of the hashes
+    got = resharding.reshard(resharding.sized(rows), F.pmod("doc_id", F.lit(2)), 2, resharding.equal_capacities(3))
+    assert got.count() == 20_000
+    h = spark.range(1000).select(F.xxhash64(F.col("id"), F.lit(2**63 - 1)).alias("h"))
+    assert h.where("h is null").isEmpty()
