@@ -135,7 +135,7 @@ def share_of_total(df: DataFrame, parent_keys: Sequence[str], amount: str, out_c
     """amount / SUM(amount) per parent as a percentage (E06).  The parent total
     is an aggregate (partially combined) joined back on the parent key."""
     tot = df.groupBy(*parent_keys).agg(F.sum(money(amount)).alias("__tot"))
-    out = df.join(tot, list(parent_keys), "left")
+    out = _join_chunks(df, tot, list(parent_keys))  # rows without a parent key share a total too
     v = F.lit(100.0) * F.col(amount).cast("double") / F.nullif(F.col("__tot").cast("double"), F.lit(0.0))
     return out.withColumn(out_col, round_half_up(v, k)).drop("__tot")
 
@@ -145,7 +145,7 @@ def flag_primary(df: DataFrame, parent_keys: Sequence[str], amount: str, tiebrea
     """is_primary = 1 on the highest amount per parent, ties by smallest tiebreak."""
     pk = list(parent_keys)
     best = df.groupBy(*pk).agg(F.max(F.struct(F.col(amount), *[(-F.col(t)).alias(t) for t in tiebreak])).alias("__b"))
-    out = df.join(best, pk, "left")
+    out = _join_chunks(df, best, pk)  # rows without a parent key have a primary too
     is_best = (F.col(amount) == F.col(f"__b.{amount}"))
     for t in tiebreak:
         is_best = is_best & (-F.col(t) == F.col(f"__b.{t}"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaestor.functions.dates import year_quarter_key
+from quaestor.operators.aggregates import median
 from quaestor.functions.numeric import MONEY, count_if, money, pct, safe_ratio, avg_money
 
 
@@ -237,12 +238,14 @@ def customs_analytics(declarations: DataFrame) -> DataFrame:
     mode = code_label("transport_mode", {"1": "SEA", "2": "RAIL", "3": "ROAD", "4": "AIR", "5": "POST"}, "OTHER")
     d = declarations.withColumn("transport", mode).withColumn(
         "origin_country", F.coalesce("origin_country", "dispatch_country"))
-    return (d.groupBy("flow", "transport").agg(
+    g = (d.groupBy("flow", "transport").agg(
         F.count(F.lit(1)).alias("declarations"), F.sum(money("customs_value")).alias("customs_value"),
         F.sum(money("duty_amount")).alias("duty_revenue"),
-        F.percentile(F.col("customs_value").cast("double"), F.lit(0.5)).alias("median_value"),
         F.count_if(F.col("preference_code").isNotNull()).alias("__pref"))
         .withColumn("preference_rate", pct("__pref", "declarations")).drop("__pref"))
+    # the median by counts of values: no task sorts a whole flow
+    mid = median(d, ["flow", "transport"], "customs_value", "median_value").withColumnsRenamed({"flow": "__f", "transport": "__t"})
+    return g.join(mid, F.col("flow").eqNullSafe(F.col("__f")) & F.col("transport").eqNullSafe(F.col("__t"))).drop("__f", "__t")
 
 
 def tax_scheme_views(schemes: DataFrame, as_of: str) -> DataFrame:

@@ -39,4 +39,4 @@ def sql_pct(num: str, den: str, k: int = 2) -> str:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from quaestor.plans import queries, queries_wh, queries_an, queries_ing, queries_forms, queries_more, queries_ops, queries_time  # noqa: F401
+    from quaestor.plans import queries, queries_wh, queries_an, queries_ing, queries_forms, queries_more, queries_ops, queries_time, queries_facts  # noqa: F401

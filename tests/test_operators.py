@@ -275,3 +275,19 @@ def test_median_matches_percentile(spark):
     got = {r.g: r.m for r in AGG.median(df, ["g"], "v", "m", step=50).collect()}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
     assert got == want
+
+
+def test_rows_without_a_parent_have_shares_and_a_primary(spark):
+    from quaestor.operators import windows as WIN
+    df = spark.createDataFrame([(1, 30.0, 1), (1, 10.0, 2), (None, 5.0, 3), (None, 15.0, 4)], "p int, amount double, t int")
+    out = WIN.flag_primary(WIN.share_of_total(df, ["p"], "amount"), ["p"], "amount", ["t"])
+    assert sorted((r.t, float(r.share_pct), r.is_primary) for r in out.collect()) == [(1, 75.0, 1), (2, 25.0, 0), (3, 25.0, 0), (4, 75.0, 1)]
+
+
+def test_customs_median_with_unknown_transport(spark):
+    from quaestor.plans import analytics as M
+    rows = [("IN", "1", v, 1.0, None, None, "DE") for v in (1.0, 2.0, 9.0)] + [(None, None, 4.0, 1.0, "P", "CN", None)]
+    df = spark.createDataFrame(rows, "flow string, transport_mode string, customs_value double, duty_amount double, preference_code string, "
+                                     "origin_country string, dispatch_country string")
+    got = {(r.flow, r.transport): (r.declarations, r.median_value, float(r.preference_rate)) for r in M.customs_analytics(df).collect()}
+    assert got == {("IN", "SEA"): (3, 2.0, 0.0), (None, "OTHER"): (1, 4.0, 100.0)}
