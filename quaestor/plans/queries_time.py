@@ -13,7 +13,6 @@ from quaestor.operators import joins as JN
 from quaestor.operators import ledger as LED
 from quaestor.operators import merge as MRG
 from quaestor.operators import ranges as RNG
-from quaestor.operators.keys import attach_scalars
 from quaestor.plans import bindings as B
 from quaestor.plans import dims as DIM
 from quaestor.plans import facts as FCT
@@ -274,10 +273,8 @@ def q_profile_order_loads(spark, sf_dir):
     exact = SCAN.profile_table(o, cols).select("column_name", F.col("distinct_count").alias("exact"))
     both = p.join(exact, "column_name")
     quantiles = [("p25", 0.25), ("median", 0.5), ("p75", 0.75)]
-    wide = p.where("median is not null").groupBy().pivot("column_name", cols[:2]).agg(
-        *[F.first(q).alias(q) for q, _ in quantiles])  # one row
-    ranks = attach_scalars(o.select(*cols[:2]), wide).agg(*[
-        F.avg((F.col(c) <= F.col(f"{c}_{q}")).cast("double")).alias(f"{c}_{q}") for c in cols[:2] for q, _ in quantiles])
+    at = {r.column_name: r for r in p.where("median is not null").select("column_name", "p25", "median", "p75").collect()}  # a row a column
+    ranks = o.agg(*[F.avg((F.col(c) <= F.lit(at[c][q])).cast("double")).alias(f"{c}_{q}") for c in cols[:2] for q, _ in quantiles])
     # half a rank wide: equal values share theirs
     fits = lambda c: F.when(sum(((F.col(f"{c}_{q}") >= x - SCAN.RANK_ERROR) & (F.col(f"{c}_{q}") <= x + SCAN.RANK_ERROR)).cast("int")
                                 for q, x in quantiles) == len(quantiles), 1).otherwise(0)

@@ -13,7 +13,8 @@ from conftest import SF01
 BOUNDED_NLJ = {"bridge_party_identifier", "compliance_event_analytics", "current_tax_periods", "current_taxpayers",
                "dim_date", "incremental_orders_lookback", "returns_by_fiscal_year", "scd2_checks", "scd2_party_merge",
                "tax_periods", "warehouse_validation", "urgent_returns_current_party", "dim_tax_period",
-               "missing_account_periods", "ledger_postings"}
+               "missing_account_periods", "ledger_postings",
+               "first_return_day_after_due"}
 
 
 def plan_text(df, mode="simple"):
