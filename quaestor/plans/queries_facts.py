@@ -8,10 +8,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from quaestor.functions.codes import code_label
+from quaestor.functions.dates import date_key, year_month_key
 from quaestor.functions.numeric import money
 from quaestor.operators import aggregates as AGG
 from quaestor.operators import checks as CHK
 from quaestor.operators import joins as JN
+from quaestor.operators import keys as KEYS
 from quaestor.operators import ranges as RNG
 from quaestor.operators import scd as SCD
 from quaestor.operators import select as SEL
@@ -19,8 +21,9 @@ from quaestor.operators import windows as WIN
 from quaestor.plans import analytics as M
 from quaestor.plans import bindings as B
 from quaestor.plans import facts as FCT
+from quaestor.plans import snapshots as SNAP
 from quaestor.plans.catalog import register, sql_pct, sql_ratio
-from quaestor.plans.queries import _AS_OF
+from quaestor.plans.queries import _AS_OF, _SNAPS
 from quaestor.plans.sqlbind import with_
 from quaestor.sources import sinks as SINK
 from quaestor.streaming.incremental import scratch
@@ -297,3 +300,86 @@ def q_staged_and_appended_returns(spark, sf_dir):
     kept = SINK.purge_staging(spark.read.parquet(f"{root}/fact"), "period_date", "1997-12-31", 364)
     SINK.full_refresh(kept, f"{root}/target")
     return spark.read.parquet(f"{root}/target")
+
+
+# ---------------------------------------------------------------- I29 cases, amounts by kind and risk of a taxpayer
+def _grid_join(name, source, date, cols):
+    """A measure set per party and snapshot, by comparing every fact with every snapshot."""
+    return (f"{name} AS (SELECT g.party_id, g.snapshot_date, {cols} FROM grid g LEFT JOIN ({source}) x "
+            f"ON x.party_id = g.party_id AND x.{date} <= g.snapshot_date GROUP BY 1, 2)")
+
+
+_KIND = "CASE WHEN status = 'F' THEN 'SELF' WHEN status = 'P' THEN 'AUDIT' ELSE 'AMENDED' END"
+_RATING = "CASE WHEN assessed_amount > 250000 THEN 'HIGH' WHEN assessed_amount > 100000 THEN 'MEDIUM' ELSE 'LOW' END"
+
+
+@register("taxpayer_cases", with_("party", "returns", "filings", "payments", "ledger") + "," + _SNAPS + ",\n" + ",\n".join([
+    "grid AS (SELECT p.party_id, s.snapshot_date FROM party p, snaps s)",
+    _grid_join("a", f"SELECT *, {_KIND} AS kind FROM returns", "period_date",
+               "COUNT(x.return_id) AS total_assessments, COALESCE(SUM(x.assessed_amount), 0) AS assessed_amount, "
+               "COALESCE(SUM(CASE WHEN kind = 'SELF' THEN x.assessed_amount END), 0) AS self_assessed_amount, "
+               "COALESCE(SUM(CASE WHEN kind = 'AUDIT' THEN x.assessed_amount END), 0) AS admin_assessed_amount"),
+    _grid_join("u", "SELECT * FROM returns WHERE tax_type_code = '1-URGENT'", "period_date",
+               "COUNT(x.return_id) AS audit_cases_count, COALESCE(SUM(CASE WHEN x.status <> 'F' THEN 1 END), 0) AS active"),
+    _grid_join("c", "SELECT p.*, r.status FROM payments p JOIN returns r USING (return_id) WHERE r.status = 'O'", "payment_date",
+               "COUNT(x.payment_id) AS collection_actions_count, COALESCE(SUM(CASE WHEN x.charge_type_code = 'R' THEN 1 END), 0) AS active"),
+    _grid_join("o", "SELECT * FROM filings WHERE is_late = 1", "filing_date", "COALESCE(SUM(CASE WHEN x.status = 'O' THEN 1 END), 0) AS active"),
+    _grid_join("b", "SELECT account_id AS party_id, txn_date, amount FROM ledger", "txn_date", "CAST(COALESCE(SUM(x.amount), 0) AS DECIMAL(38,2)) AS bal"),
+    f"k AS (SELECT party_id, arg_max({_RATING}, {{'d': period_date, 'r': return_id}}) AS rating FROM returns GROUP BY 1)"]) + """
+SELECT party_id, snapshot_date, CAST(strftime(snapshot_date, '%Y%m%d') AS INTEGER) AS snapshot_date_key, total_assessments, audit_cases_count,
+  collection_actions_count, CAST(assessed_amount AS DECIMAL(38,2)) AS assessed_amount, CAST(self_assessed_amount AS DECIMAL(38,2)) AS self_assessed_amount,
+  CAST(admin_assessed_amount AS DECIMAL(38,2)) AS admin_assessed_amount, bal AS outstanding_balance, GREATEST(bal, 0) AS arrears_amount,
+  GREATEST(-bal, 0) AS credit_balance, CASE WHEN u.active > 0 THEN 1 ELSE 0 END AS has_active_audit,
+  CASE WHEN c.active > 0 THEN 1 ELSE 0 END AS has_active_collection, CASE WHEN o.active > 0 THEN 1 ELSE 0 END AS has_active_objection,
+  COALESCE(rating, 'UNKNOWN') AS current_risk_rating
+FROM a JOIN u USING (party_id, snapshot_date) JOIN c USING (party_id, snapshot_date) JOIN o USING (party_id, snapshot_date)
+  JOIN b USING (party_id, snapshot_date) LEFT JOIN k USING (party_id)""")
+def q_taxpayer_cases(spark, sf_dir):
+    t = B.tables(spark, sf_dir)
+    r, p = B.returns(t), B.payments(t)
+    kind = F.when(F.col("status") == "F", "SELF").when(F.col("status") == "P", "AUDIT").otherwise("AMENDED")
+    assessed = r.select("party_id", F.col("period_date").alias("assessment_date"), "assessed_amount", kind.alias("assessment_type_code"))
+    audits = r.where("tax_type_code = '1-URGENT'").select("party_id", F.col("period_date").alias("selection_date"),
+                                                          (F.col("status") != "F").cast("int").alias("is_active"))
+    open_ = r.where("status = 'O'").select("return_id")
+    collections = p.join(open_, "return_id", "left_semi").select("party_id", F.col("payment_date").alias("action_date"),
+                                                                 (F.col("charge_type_code") == "R").cast("int").alias("is_active"))
+    objections = B.filings(t).where("is_late = 1").select("party_id", "filing_date", (F.col("status") == "O").cast("int").alias("is_active"))
+    risks = r.select("party_id", F.col("period_date").alias("assessment_date"), F.col("return_id").alias("tiebreak"), F.expr(_RATING).alias("risk_rating"))
+    return SNAP.build_taxpayer_cases(B.party(t), _AS_OF, assessed, audits, collections, objections, risks,
+                                     B.ledger(t).withColumnRenamed("account_id", "party_id"))
+
+
+# ---------------------------------------------------------------- C03, C04, I21 dimension keys and measures of assessments
+@register("assessment_keys_and_measures", with_("filings", "party") + """,
+pk AS (SELECT party_id, CAST(ROW_NUMBER() OVER (ORDER BY party_id) AS BIGINT) AS party_key FROM party),
+tk AS (SELECT tax_type_code, CAST(ROW_NUMBER() OVER (ORDER BY tax_type_code) AS BIGINT) AS tax_type_key FROM (SELECT DISTINCT tax_type_code FROM returns)),
+mk AS (SELECT ym, CAST(ROW_NUMBER() OVER (ORDER BY ym) AS BIGINT) AS tax_period_key FROM (
+  SELECT DISTINCT CAST(year(period_date) * 100 + month(period_date) AS INTEGER) AS ym FROM returns WHERE tax_type_code <> '5-LOW'))
+SELECT return_id, party_key, tax_type_key, COALESCE(tax_period_key, 0) AS tax_period_key,
+  """ + _KEY("period_date") + """ AS assessment_date_key, """ + _KEY("COALESCE(filing_date, period_date)") + """ AS filing_date_key, assessed_amount AS assessed_tax_amount,
+  CAST(CASE WHEN assessed_amount > 0 THEN assessed_amount * 10 ELSE 0 END AS DECIMAL(19,2)) AS tax_base_amount,
+  CAST(NULLIF(declared_amount, 0) AS DECIMAL(19,2)) AS declared_tax_amount, date_diff('day', filing_date, last_ship_date) AS processing_days
+FROM filings f JOIN pk USING (party_id) JOIN tk USING (tax_type_code)
+LEFT JOIN mk ON mk.ym = CAST(year(period_date) * 100 + month(period_date) AS INTEGER)""")
+def q_assessment_keys_and_measures(spark, sf_dir):
+    """Rows without a party or type are dropped, an unknown period is key 0, a
+    return that was not filed has the assessment's date in that role."""
+    t = B.tables(spark, sf_dir)
+    r = B.returns(t)
+    ym = year_month_key("period_date")
+    parties = KEYS.sequential_key(B.party(t).select("party_id"), ["party_id"], "party_key")
+    types = KEYS.sequential_key(r.select("tax_type_code").distinct(), ["tax_type_code"], "tax_type_key")
+    months = KEYS.sequential_key(r.where("tax_type_code != '5-LOW'").select(ym.alias("ym")).distinct(), ["ym"], "tax_period_key")
+    f = B.filings(t).withColumn("ym", ym)
+    f = KEYS.resolve_dimension_key(f, parties, {"party_id": "party_id"}, "party_key")
+    f = KEYS.resolve_dimension_key(f, types, {"tax_type_code": "tax_type_code"}, "tax_type_key")
+    f = KEYS.resolve_dimension_key(f, months, {"ym": "ym"}, "tax_period_key", on_missing="unknown", unknown_key=0)
+    f = f.withColumn("assessment_date_key", date_key("period_date")).withColumn("filing_date_key", date_key("filing_date"))
+    f = KEYS.resolve_optional_key(f, "filing_date_key", "assessment_date_key")
+    assessed = F.col("assessed_amount")
+    return f.select("return_id", "party_key", "tax_type_key", F.col("tax_period_key").cast("long").alias("tax_period_key"), "assessment_date_key", "filing_date_key",
+                    assessed.alias("assessed_tax_amount"),
+                    F.when(assessed > 0, assessed * FCT.TAX_BASE_MULTIPLIER).otherwise(F.lit(0)).cast("decimal(19,2)").alias("tax_base_amount"),
+                    F.nullif(F.col("declared_amount"), F.lit(0)).cast("decimal(19,2)").alias("declared_tax_amount"),
+                    F.datediff("last_ship_date", "filing_date").alias("processing_days"))

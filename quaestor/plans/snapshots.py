@@ -84,6 +84,51 @@ def build_taxpayer_activity(parties: DataFrame, filings: DataFrame, payments: Da
             .withColumn("snapshot_date_key", date_key("snapshot_date")))
 
 
+def build_taxpayer_cases(parties: DataFrame, as_of: str, assessments: DataFrame, audits: DataFrame, collections: DataFrame,
+                         objections: DataFrame, risks: DataFrame, balances: DataFrame, snapshots: int = 6) -> DataFrame:
+    """I29, the measures beside filings and payments: party x month-end with
+    what stood on or before it.
+
+    assessments: party_id, assessment_date, assessed_amount, assessment_type_code
+    (SELF; ADMINISTRATIVE and AUDIT are the authority's own); audits: party_id,
+    selection_date, is_active; collections: party_id, action_date, is_active;
+    objections: party_id, filing_date, is_active (each 0/1); balances: party_id,
+    txn_date, amount (debits +); risks: party_id, assessment_date, risk_rating
+    and tiebreak (the latest rating of a party holds for all its snapshots,
+    UNKNOWN without one).  Facts are summed per party and snapshot first, so a
+    party costs its few snapshots whatever number of facts it has."""
+    snaps = month_end_snapshots(as_of, snapshots)
+    grid = parties.select("party_id").withColumn("snapshot_date", F.explode(F.array(*snaps)))
+    amount = money("assessed_amount")
+    kind = F.col("assessment_type_code")
+    parts = [
+        (assessments, "assessment_date", {"total_assessments": F.count(F.lit(1)), "assessed_amount": F.sum(amount),
+                                          "self_assessed_amount": F.sum(F.when(kind == "SELF", amount)),
+                                          "admin_assessed_amount": F.sum(F.when(kind.isin("ADMINISTRATIVE", "AUDIT"), amount))}),
+        (audits, "selection_date", {"audit_cases_count": F.count(F.lit(1)), "__audits": F.sum("is_active")}),
+        (collections, "action_date", {"collection_actions_count": F.count(F.lit(1)), "__collections": F.sum("is_active")}),
+        (objections, "filing_date", {"__objections": F.sum("is_active")}),
+        (balances, "txn_date", {"outstanding_balance": F.sum(money("amount"))})]
+    names: list[str] = []
+    for df, date, measures in parts:
+        names += measures
+        grid = grid.join(_bucketed(df, date, snaps, [v.alias(f"__in_{n}") for n, v in measures.items()]), ["party_id", "snapshot_date"], "left")
+    run = running_aggs(grid, ["party_id"], [F.col("snapshot_date")],
+                       {n: (F.coalesce(F.col(f"__in_{n}"), F.lit(0)), "sum") for n in names})
+    rating = risks.groupBy("party_id").agg(F.max_by("risk_rating", F.struct("assessment_date", "tiebreak")).alias("current_risk_rating"))
+    out = run.join(rating, "party_id", "left")
+    counts = [c for c in names if c.endswith("count") or c.startswith("total_")]
+    sums = [c for c in names if c.endswith("amount")]
+    balance = F.col("outstanding_balance").cast(WIDE)
+    zero = F.lit(0).cast(WIDE)
+    return out.select("party_id", "snapshot_date", date_key("snapshot_date").alias("snapshot_date_key"),
+                      *[F.col(c).cast("long").alias(c) for c in counts], *[F.col(c).cast(WIDE).alias(c) for c in sums],
+                      balance.alias("outstanding_balance"), F.greatest(balance, zero).alias("arrears_amount"),
+                      F.greatest((-balance).cast(WIDE), zero).alias("credit_balance"),
+                      *[(F.col(f"__{x}s") > 0).cast("int").alias(f"has_active_{x}") for x in ("audit", "collection", "objection")],
+                      F.coalesce("current_risk_rating", F.lit("UNKNOWN")).alias("current_risk_rating"))
+
+
 def build_account_snapshot(ledger: DataFrame, as_of: str, amount: str = "amount") -> DataFrame:
     """Per account and month: opening, activity by transaction type,
     closing, and aging of the positive debits still open at month end (debits
