@@ -126,7 +126,12 @@ def cascade(docs: DataFrame, rules, text_col: str = "text", first=()) -> DataFra
 
 
 def metrics(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
-    """Base columns of every document, base_failed, and kept by the cascade."""
+    """Base columns of every document, base_failed, and kept by the cascade;
+    they take the place of columns of ``docs`` that have their names."""
+    mine = {*STEPS, "_q_text", "_q_rejected", "base_failed", "kept"}
+    if text_col.lower() in mine:
+        raise ValueError(f"the text column has the name of a result: {text_col}")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in mine])
     order = measured_order(docs, rules, text_col)
     return (cascade(docs, order, text_col, (*_REPEATS, "word_chars", "n_symbols", "_q_lines", "n_dup_lines"))
             .withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))

@@ -462,3 +462,15 @@ def test_resharding_hash_does_not_overflow(spark):
     assert got.count() == 20_000
     h = spark.range(1000).select(F.xxhash64(F.col("id"), F.lit(2**63 - 1)).alias("h"))
     assert h.where("h is null").isEmpty()
+
+
+def test_quality_of_documents_with_columns_named_like_results(spark):
+    texts = ["one two three " * 30, "alpha beta gamma delta " * 3, None]
+    plain = frame(spark, texts)
+    clash = plain.select("*", F.lit(7).alias("n_words"), F.lit("x").alias("word_chars"), F.lit(True).alias("kept"), F.lit(1).alias("_q_lines"),
+                         F.lit(1).alias("N_Symbols"))
+    want = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.kept) for r in quality.metrics(plain).collect()}
+    assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.kept) for r in quality.metrics(clash).collect()} == want
+    assert quality.kept_rows(clash).columns == clash.columns
+    with pytest.raises(ValueError):
+        quality.metrics(plain.select("doc_id", F.col("text").alias("kept")), text_col="kept")
