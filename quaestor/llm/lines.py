@@ -3,10 +3,10 @@ r"""Line dedup: exact set-similarity join of lines, in DataFrame expressions onl
 A line's tokens are the distinct words between ASCII white space, lower-cased.
 A line is removed if an earlier line (by doc_id, then place) has a token set
 with Jaccard similarity of at least ``num / den``, itself included if that line
-was removed too.  Lines with fewer than ``min_tokens`` tokens stay; the query
-and the pipeline pass ``EVERY_LINE``, so there none does.
+was removed too.  All lines with a word take part, unless ``min_tokens`` asks
+for more of them.
 
-1. All tokens of the corpus are counted in ``2**14`` hash buckets (a bounded
+1. All tokens of the corpus are counted in ``2**15`` hash buckets (a bounded
    table); a token's order is its bucket's count class, then its hash: rare
    tokens first, the same order everywhere.
 2. Lines with equal token sets are one class, which its first line stands for.
@@ -15,12 +15,14 @@ and the pipeline pass ``EVERY_LINE``, so there none does.
 3. Two sets as similar as that share one of their first n - need(n) + 1 tokens
    (prefix filter).  Pairs that meet must also have close sizes (length filter),
    enough tokens behind the meeting place (positional filter), and few differing
-   bits in a parity bitmap of their tokens (the bits that differ are no more
+   bits in a parity bitmap of 128 bits of their tokens (the bits that differ are no more
    than the tokens that do).
 4. First every class meets only the earliest class under its rarest tokens; that
    resolves clusters of near copies in rows proportional to their size.  The
    classes that are left meet all earlier ones under all prefix tokens.
-5. Pairs are verified on the words themselves.
+5. Pairs are verified on the words themselves.  Places wanted and classes settled
+   go to all executors while they are few (counted first); else both sides of
+   the join are shuffled.
 
 Cases: null and empty texts have no lines to remove; lines without a word stay;
 rows that repeat doc_id and text are one document to the rules and each give
@@ -36,26 +38,34 @@ from pyspark.sql import functions as F
 
 from quaestor.llm.common import staged, table
 
-BUCKETS = 1 << 14
-_BLANKS = r"' \t\n\u000B\u000C\r'"
+BUCKETS = 1 << 15
+#: Rows up to which one side of a join is sent to all executors (some 30 bytes a row).
+SMALL = 200_000
 _FIRST = 4  # prefix tokens under which the first round looks
 #: Rule by which all lines with a word take part.
 EVERY_LINE = {"min_tokens": 1}
 
 
+def _spaced(line: str) -> str:
+    """``line`` in lower case with blanks for all white space: a split at one
+    character needs no pattern matcher."""
+    blanks = r"'[\\t\\x0B\\f\\r]'"
+    return f"lower(if({line} rlike {blanks}, regexp_replace({line}, {blanks}, ' '), {line}))"
+
+
 def _words(line: str) -> str:
-    trimmed = f"trim(BOTH {_BLANKS} FROM lower({line}))"
-    return rf"array_distinct(split({trimmed}, '[ \\t-\\r]+'))"
+    return f"array_remove(array_distinct(split({_spaced(line)}, ' ')), '')"
 
 
 def _rarity(texts: DataFrame) -> list[int]:
     """Count class (1 to 126) of each token bucket."""
-    rows = (texts.select(F.explode(F.expr(r"split(lower(text), '[ \\t-\\r]+')")).alias("w")).where("w != ''")
+    rows = (texts.select(F.explode(F.split("text", "\n")).alias("line"))
+            .select(F.explode(F.expr(f"split({_spaced('line')}, ' ')")).alias("w")).where("w != ''")
             .groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n")).collect())  # at most BUCKETS rows
+            .agg(F.count(F.lit(1)).alias("n")).toArrow())  # at most BUCKETS rows
     classes = [1] * BUCKETS
-    for r in rows:
-        classes[r.bucket] = min(126, 1 + int(3 * math.log2(r.n + 1)))
+    for bucket, n in zip(rows["bucket"].to_pylist(), rows["n"].to_pylist()):
+        classes[bucket] = min(126, 1 + int(3 * math.log2(n + 1)))
     return classes
 
 
@@ -66,18 +76,22 @@ def _need(n: str, num: int, den: int) -> str:
 
 def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """Every line that takes part: its place, the key of its token set, size,
-    64 parity bits and prefix (31-bit token hashes, rare first)."""
-    classes = ",".join(map(str, _rarity(docs)))
-    order = (f"shiftleft(cast(cast(split('{classes}', ',') as array<tinyint>)[cast(h & {BUCKETS - 1} as int)] as bigint), 56)"
-             " | shiftrightunsigned(h, 8)")
+    128 parity bits and prefix (31-bit token hashes, rare first)."""
+    classes = ",".join(str(c << 56) for c in _rarity(docs))
+    order = f"cast(split('{classes}', ',') as array<bigint>)[cast(h & {BUCKETS - 1} as int)] | shiftrightunsigned(h, 8)"
+    # tokens with an odd number set bits of the second half
+    parity = "aggregate(tokens, 0L, (b, t) -> b ^ shiftleft({}, cast(shiftright(t, 1) & 63 as int)))"
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.expr(f"length(line) >= {2 * min_tokens - 1} and translate(line, {_BLANKS}, '') != ''"))
-            .withColumn("words", F.expr(_words("line")))
-            .withColumn("tokens", F.expr(f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {order}))"))
+            .where(F.expr(f"length(line) >= {2 * min_tokens - 1}"))
+            # words are hashed first: the functions on arrays of numbers are the fast ones
+            .withColumn("hashes", F.expr(f"transform(split({_spaced('line')}, ' '), w -> xxhash64(w))"))
+            .withColumn("hashes", F.expr("array_remove(array_distinct(hashes), xxhash64(''))"))
+            .withColumn("tokens", F.expr(f"transform(hashes, h -> {order})"))
+            .withColumn("tokens", F.sort_array("tokens"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
                     F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
-                    F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
+                    F.expr(parity.format("t & 1 ^ 1")).alias("b0"), F.expr(parity.format("t & 1")).alias("b1"),
                     F.expr(f"transform(slice(tokens, 1, cast(size(tokens) - {_need('size(tokens)', num, den)} + 1 as int)), "
                            "t -> cast(t & 2147483647 as int))").alias("prefix")))
 
@@ -85,9 +99,9 @@ def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
 def _entries(of: DataFrame, ids: str, prefix: str, side: str) -> DataFrame:
     """One row per prefix token, narrow, with columns of one side of a join:
     token, class, parity bits, size and place in the prefix."""
-    return (of.select(F.expr(ids).alias("c"), "n", "bits", F.posexplode(F.expr(prefix)).alias("at", "token"))
-            .select(F.col("token").alias(f"k{side}"), F.col("c").alias(side), F.col("bits").alias(f"b{side}"),
-                    F.expr("shiftleft(cast(n as bigint), 32) | at").alias(f"p{side}")))
+    return (of.select(F.expr(ids).alias("c"), "n", "b0", "b1", F.posexplode(F.expr(prefix)).alias("at", "token"))
+            .select(F.col("token").alias(f"k{side}"), F.col("c").alias(side), F.col("b0").alias(f"b{side}"),
+                    F.col("b1").alias(f"d{side}"), F.expr("shiftleft(cast(n as bigint), 32) | at").alias(f"p{side}")))
 
 
 def _close(num: int, den: int) -> str:
@@ -97,27 +111,32 @@ def _close(num: int, den: int) -> str:
     both = f"(({num} * ({n['x']} + {n['y']}) + {num + den - 1}) div {num + den})"
     return (f"{den} * least({n['x']}, {n['y']}) >= {num} * greatest({n['x']}, {n['y']})"
             f" and least({n['x']} - {at['x']}, {n['y']} - {at['y']}) >= {both}"
-            f" and bit_count(bx ^ by) <= {n['x']} + {n['y']} - 2 * {both}")
+            f" and bit_count(bx ^ by) + bit_count(dx ^ dy) <= {n['x']} + {n['y']} - 2 * {both}")
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """A staged frame that a join sends to all executors if it is small."""
+    return df.hint("broadcast" if df.count() <= SMALL else "merge")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """The later class of each of ``pairs`` (x, y) whose words are similar."""
     pairs = staged(pairs)
-    spots = (pairs.select(F.col("x").alias("id")).union(pairs.select(F.col("y").alias("id"))).distinct()
-             .join(classes.select("id", "doc_id", "text_hash", "line_no").hint("merge"), "id"))
-    wanted = spots.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
+    spots = pairs.select(F.col("x").alias("id")).union(pairs.select(F.col("y").alias("id"))).distinct()
+    wanted = staged(classes.select("id", "doc_id", "text_hash", "line_no").join(spots.hint("merge"), "id")
+                    .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted")))
     here = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
-    words = staged(here.join(wanted.hint("merge"), here.d.eqNullSafe(F.col("doc_id")) & (here.h == F.col("text_hash")))
+    words = staged(here.join(_sent(wanted), here.d.eqNullSafe(F.col("doc_id")) & (here.h == F.col("text_hash")))
                    .select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-                   .select("w.id", F.expr(_words("element_at(lines, w.line_no + 1)")).alias("words"))
-                   .dropDuplicates(["id"]))
+                   .select("w.id", F.expr("element_at(lines, w.line_no + 1)").alias("line"))
+                   .dropDuplicates(["id"]).select("id", F.expr(_words("line")).alias("words")))
     wx, wy = [words.select(F.col("id").alias(c), F.col("words").alias(f"w{c}")).hint("merge") for c in ("x", "y")]
     common = "size(array_intersect(wx, wy))"
     return (pairs.join(wx, "x").join(wy, "y")
             .where(F.expr(f"{den} * {common} >= {num} * (size(wx) + size(wy) - {common})")).select("x").distinct())
 
 
-def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 3) -> DataFrame:
+def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
     """doc_id, text_hash, line_no of every line of ``docs`` (doc_id, text) that
     an earlier one resembles."""
     # short lines go after the write: a filter before it would cut words twice
@@ -125,32 +144,34 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
     place = ["doc_id", "text_hash", "line_no"]
     # ids in the order of places: ranges of them, and rows in order inside
     classes = staged(lines.groupBy("k1", "k2").agg(
-        F.min(F.struct(*place)).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-        F.first("prefix").alias("prefix"))
-        .select("k1", "k2", "first.*", "n", "bits", "prefix")
+        F.min(F.struct(*place)).alias("first"), F.first("n").alias("n"), F.first("b0").alias("b0"), F.first("b1").alias("b1"),
+        F.first("prefix").alias("prefix"),
+        F.count(F.lit(1)).alias("copies"))
+        .select("k1", "k2", "first.*", "n", "b0", "b1", "prefix", "copies")
         .repartitionByRange(*place).sortWithinPartitions(*place).withColumn("id", F.monotonically_increasing_id()))
     close = _close(num, den)
     # sets that another one can resemble
     meet = classes.where(F.expr(f"{den - num} * n >= {num}"))
     few = [_entries(meet, "id", f"slice(prefix, 1, {_FIRST})", s) for s in "xy"]
     heads = staged(few[1].groupBy(F.col("ky").alias("token"))
-                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "by", "py")).alias("e"))
+                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("y", "by", "dy", "py")).alias("e"))
                    .where("m > 1").select("token", "e.*"))
     near = (few[0].join(heads.hint("merge"), F.expr(f"kx = token and y < x and {close}"))
             .select("x", "y").distinct())
     found = staged(_verified(near, classes, docs, num, den))
-    # what is settled keeps its entries for later lines to meet, under -1 - id
-    known = staged(meet.select("id", "n", "bits", "prefix")
-                   .join(found.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left"))
+    # what is settled keeps its entries for later lines to meet, under -1 - id;
+    # both sides are the same entries, shuffled once
+    known = (meet.select("id", "n", "b0", "b1", "prefix")
+             .join(_sent(found.select(F.col("x").alias("id"), F.lit(True).alias("gone"))), "id", "left"))
     both = [_entries(known, "if(gone, -1 - id, id)", "prefix", s) for s in "xy"]
     met = (both[0].join(both[1].hint("merge"), F.expr(
-        f"kx = ky and x >= 0 and if(y < 0, -1 - y, y) < x and {close}"))
+        f"kx = ky and if(x < 0 or x <= if(y < 0, -1 - y, y), false, {close})"))
         .select("x", F.expr("if(y < 0, -1 - y, y) as y")).distinct())
     gone = staged(found.unionByName(_verified(met, classes, docs, num, den)).distinct())
-    told = (classes.select("id", "k1", "k2", F.struct(*place).alias("place"))
-            .join(gone.select(F.col("x").alias("id"), F.lit(True).alias("gone")).hint("merge"), "id", "left")
-            .select("k1", "k2", "place", F.coalesce("gone", F.lit(False)).alias("gone")))
-    return (lines.select("k1", "k2", *place).join(staged(told).hint("merge"), ["k1", "k2"])
+    told = staged(classes.select("id", "k1", "k2", "copies", F.struct(*place).alias("place"))
+                  .join(_sent(gone.select(F.col("x").alias("id"), F.lit(True).alias("gone"))), "id", "left")
+                  .where("gone or copies > 1").select("k1", "k2", "place", F.coalesce("gone", F.lit(False)).alias("gone")))
+    return (lines.select("k1", "k2", *place).join(_sent(told), ["k1", "k2"])
             .where(F.expr(f"gone or not (struct({', '.join(place)}) <=> place)")).select(*place).distinct())
 
 

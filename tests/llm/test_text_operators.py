@@ -133,7 +133,8 @@ def test_components_of_paths_and_hubs(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def test_removed_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("least", [1, 3])
+def test_removed_lines_equal_brute_force(spark, least):
     rng = random.Random(9)
     base = [" ".join(rng.sample([f"w{i}" for i in range(60)] + ["the", "of"], rng.randrange(3, 25))) for _ in range(30)]
 
@@ -146,13 +147,14 @@ def test_removed_lines_equal_brute_force(spark):
              for _ in range(40)] + [None, "", "one two\none two", "\n\n", texts_line := "a b c d\n\ta  b c D "]
     rows = [(i, n, frozenset(re.findall(r"[^\x20\x09-\x0D]+", x.lower())))
             for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n"))]
-    rows = [r for r in rows if len(r[2]) >= 3]
+    rows = [r for r in rows if len(r[2]) >= least]
+    rule = {} if least == 1 else {"min_tokens": least}  # every line with a word by default
     gone = {r[:2] for k, r in enumerate(rows)
             if any(5 * len(r[2] & q[2]) >= 4 * len(r[2] | q[2]) for q in rows[:k])}
     docs = frame(spark, texts)
-    got = {(r.doc_id, r.line_no) for r in lines.removed_lines(lines._source(docs, "doc_id", "text")).collect()}
+    got = {(r.doc_id, r.line_no) for r in lines.removed_lines(lines._source(docs, "doc_id", "text"), **rule).collect()}
     assert got == gone and texts_line
-    cut = {r.doc_id: r for r in lines.dedup(docs).collect()}
+    cut = {r.doc_id: r for r in lines.dedup(docs, **rule).collect()}
     assert len(cut) == len(texts) and cut[40].text is None
     for i, t in enumerate(texts):
         if t is not None:
