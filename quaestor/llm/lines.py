@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quaestor.llm.common import staged, table
 
 BUCKETS = 1 << 15
-#: Rows up to which one side of a join is sent to all executors (some 30 bytes a row).
+#: Entries (some 30 bytes each) up to which one side of a join is sent to all executors.
 SMALL = 200_000
 _FIRST = 4  # prefix tokens under which the first round looks
 #: Rule by which all lines with a word take part.
@@ -114,9 +114,10 @@ def _close(num: int, den: int) -> str:
             f" and bit_count(bx ^ by) + bit_count(dx ^ dy) <= {n['x']} + {n['y']} - 2 * {both}")
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """A staged frame that a join sends to all executors if it is small."""
-    return df.hint("broadcast" if df.count() <= SMALL else "merge")
+def _sent(df: DataFrame, items: str = "1") -> DataFrame:
+    """A staged frame that a join sends to all executors if it is small;
+    ``items``: entries in a row, each of fixed width."""
+    return df.hint("broadcast" if (df.agg(F.sum(F.expr(items))).first()[0] or 0) <= SMALL else "merge")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
@@ -126,7 +127,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, d
     wanted = staged(classes.select("id", "doc_id", "text_hash", "line_no").join(spots.hint("merge"), "id")
                     .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted")))
     here = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
-    words = staged(here.join(_sent(wanted), here.d.eqNullSafe(F.col("doc_id")) & (here.h == F.col("text_hash")))
+    words = staged(here.join(_sent(wanted, "size(wanted)"), here.d.eqNullSafe(F.col("doc_id")) & (here.h == F.col("text_hash")))
                    .select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
                    .select("w.id", F.expr("element_at(lines, w.line_no + 1)").alias("line"))
                    .dropDuplicates(["id"]).select("id", F.expr(_words("line")).alias("words")))
