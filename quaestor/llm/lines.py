@@ -16,7 +16,7 @@ for more of them.
    (prefix filter).  Pairs that meet must also have close sizes (length filter),
    enough tokens behind the meeting place (positional filter), and few differing
    bits in a parity bitmap of 128 bits of their tokens (the bits that differ are no more
-   than the tokens that do).
+   than the tokens that do).  The last join meets tokens within bands of sizes only.
 4. First every class meets only the earliest class under its rarest tokens; that
    resolves clusters of near copies in rows proportional to their size.  The
    classes that are left meet all earlier ones under all prefix tokens.
@@ -59,9 +59,9 @@ def _words(line: str) -> str:
 
 def _rarity(texts: DataFrame) -> list[int]:
     """Count class (1 to 126) of each token bucket."""
-    rows = (texts.select(F.explode(F.split("text", "\n")).alias("line"))
-            .select(F.explode(F.expr(f"split({_spaced('line')}, ' ')")).alias("w")).where("w != ''")
-            .groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("bucket"))
+    rows = (texts.select(F.expr(r"replace(text, '\n', ' ')").alias("text"))
+            .select(F.explode(F.expr(f"split({_spaced('text')}, ' ')")).alias("w")).where("w != ''")
+            .groupBy(F.expr(f"hash(w) & {BUCKETS - 1}").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")).toArrow())  # at most BUCKETS rows
     classes = [1] * BUCKETS
     for bucket, n in zip(rows["bucket"].to_pylist(), rows["n"].to_pylist()):
@@ -78,35 +78,49 @@ def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """Every line that takes part: its place, the key of its token set, size,
     128 parity bits and prefix (31-bit token hashes, rare first)."""
     classes = ",".join(str(c << 56) for c in _rarity(docs))
-    order = f"cast(split('{classes}', ',') as array<bigint>)[cast(h & {BUCKETS - 1} as int)] | shiftrightunsigned(h, 8)"
-    # tokens with an odd number set bits of the second half
-    parity = "aggregate(tokens, 0L, (b, t) -> b ^ shiftleft({}, cast(shiftright(t, 1) & 63 as int)))"
+    order = f"cast(split('{classes}', ',') as array<bigint>)[hash(w) & {BUCKETS - 1}] | shiftrightunsigned(xxhash64(w), 8)"
+    # a shift takes the last six bits of an integer; hashes below and above a zero put in set bits of either half
+    parity = "aggregate(slice(hashes, {}), 0L, (b, h) -> b ^ shiftleft(1L, h))"
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
             .where(F.expr(f"length(line) >= {2 * min_tokens - 1}"))
-            # words are hashed first: the functions on arrays of numbers are the fast ones
-            .withColumn("hashes", F.expr(f"transform(split({_spaced('line')}, ' '), w -> xxhash64(w))"))
-            .withColumn("hashes", F.expr("array_remove(array_distinct(hashes), xxhash64(''))"))
-            .withColumn("tokens", F.expr(f"transform(hashes, h -> {order})"))
-            .withColumn("tokens", F.sort_array("tokens"))
+            .withColumn("words", F.expr(_words("line")))
+            .withColumn("tokens", F.expr(f"sort_array(transform(words, w -> {order}))"))
+            .withColumn("hashes", F.expr("sort_array(concat(transform(words, w -> hash(w)), array(0)))"))
+            .withColumn("zero", F.expr("cast(array_position(hashes, 0) as int)"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
                     F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
-                    F.expr(parity.format("t & 1 ^ 1")).alias("b0"), F.expr(parity.format("t & 1")).alias("b1"),
+                    F.expr(parity.format("1, zero - 1")).alias("b0"),
+                    F.expr(parity.format("zero + 1, size(hashes)")).alias("b1"),
                     F.expr(f"transform(slice(tokens, 1, cast(size(tokens) - {_need('size(tokens)', num, den)} + 1 as int)), "
                            "t -> cast(t & 2147483647 as int))").alias("prefix")))
 
 
-def _entries(of: DataFrame, ids: str, prefix: str, side: str) -> DataFrame:
-    """One row per prefix token, narrow, with columns of one side of a join:
-    token, class, parity bits, size and place in the prefix."""
-    return (of.select(F.expr(ids).alias("c"), "n", "b0", "b1", F.posexplode(F.expr(prefix)).alias("at", "token"))
-            .select(F.col("token").alias(f"k{side}"), F.col("c").alias(side), F.col("b0").alias(f"b{side}"),
-                    F.col("b1").alias(f"d{side}"), F.expr("shiftleft(cast(n as bigint), 32) | at").alias(f"p{side}")))
+def _entries(of: DataFrame, ids: str, prefix: str, side: str, key: str = "token", down: str = "0") -> DataFrame:
+    """One row per prefix token, narrow, with columns of one side of a join: key,
+    class, parity bits, size and place in the prefix, and ``down`` as a bit between these."""
+    return (of.select("*", F.expr(ids).alias("c"), F.posexplode(F.expr(prefix)).alias("at", "token"))
+            .select(F.expr(key).alias(f"k{side}"), F.col("c").alias(side), F.col("b0").alias(f"b{side}"),
+                    F.col("b1").alias(f"d{side}"),
+                    F.expr(f"shiftleft(cast(n as bigint), 32) | shiftleft(cast({down} as bigint), 31) | at").alias(f"p{side}")))
+
+
+def _banded(of: DataFrame, num: int, den: int) -> DataFrame:
+    """``of`` with a band of its size; sizes of one band differ by (den / num)**3 at
+    most.  A class whose smallest partner lies in the band below has a second row
+    there (``down`` is 1), so that all partners have a band in common."""
+    width = 3 * math.log(den / num) or 1.0
+
+    def band(n: str) -> str:
+        return f"cast(floor(ln({n}) / {width!r}) as int)"
+    below = f"{band(_need('n', num, den))} < {band('n')}"
+    return (of.withColumn("down", F.expr(f"explode(if({below}, array(0, 1), array(0)))"))
+            .withColumn("band", F.expr(f"{band('n')} - down")))
 
 
 def _close(num: int, den: int) -> str:
     """Length, positional and bitmap filters of prefix entries x and y."""
-    n, at = {s: f"shiftright(p{s}, 32)" for s in "xy"}, {s: f"(p{s} & 4294967295)" for s in "xy"}
+    n, at = {s: f"shiftright(p{s}, 32)" for s in "xy"}, {s: f"(p{s} & 2147483647)" for s in "xy"}
     # shared tokens of a pair of sizes a, b: at least num (a + b) / (num + den)
     both = f"(({num} * ({n['x']} + {n['y']}) + {num + den - 1}) div {num + den})"
     return (f"{den} * least({n['x']}, {n['y']}) >= {num} * greatest({n['x']}, {n['y']})"
@@ -164,10 +178,14 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
     # both sides are the same entries, shuffled once
     known = (meet.select("id", "n", "b0", "b1", "prefix")
              .join(_sent(found.select(F.col("x").alias("id"), F.lit(True).alias("gone"))), "id", "left"))
-    both = [_entries(known, "if(gone, -1 - id, id)", "prefix", s) for s in "xy"]
+    both = [_entries(_banded(known, num, den), "if(gone, -1 - id, id)", "prefix", s,
+                     "shiftleft(cast(token as bigint), 16) | band", "down") for s in "xy"]
+    ids = {s: f"if({s} < 0, -1 - {s}, {s})" for s in "xy"}
+    # x in its own band; of two in one band x is the later, of two bands either is
+    first = f"if((py & 2147483648) = 0 or {ids['x']} > {ids['y']}, x < 0 or x <= {ids['y']}, y < 0)"
     met = (both[0].join(both[1].hint("merge"), F.expr(
-        f"kx = ky and if(x < 0 or x <= if(y < 0, -1 - y, y), false, {close})"))
-        .select("x", F.expr("if(y < 0, -1 - y, y) as y")).distinct())
+        f"kx = ky and if((px & 2147483648) != 0 or {first}, false, {close})"))
+        .select(F.expr(f"greatest({ids['x']}, {ids['y']})").alias("x"), F.expr(f"least({ids['x']}, {ids['y']})").alias("y")).distinct())
     gone = staged(found.unionByName(_verified(met, classes, docs, num, den)).distinct())
     told = staged(classes.select("id", "k1", "k2", "copies", F.struct(*place).alias("place"))
                   .join(_sent(gone.select(F.col("x").alias("id"), F.lit(True).alias("gone"))), "id", "left")
