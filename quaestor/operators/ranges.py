@@ -36,6 +36,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def largest_key(rows: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the key that has most."""
+    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """``df`` with range number ``__part`` and place ``__at`` (both grow with
     keys and order).  ``order`` must make the rows of a key distinct where later
@@ -111,7 +116,7 @@ def join_as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date
 
 
 def merge_timelines(sources: Mapping[str, DataFrame], keys: Sequence[str], start: str, end: str,
-                    values: Mapping[str, Sequence[str]], tiebreak: Sequence[str] = ()) -> DataFrame:
+                    values: Mapping[str, Sequence[str]], tiebreak: Sequence[str] = (), hot_rows: int = 1_000_000) -> DataFrame:
     """One history of versions from several histories of the same keys.
 
     sources: name -> frame with keys, ``start``, ``end`` (last valid day, NULL =
@@ -121,6 +126,8 @@ def merge_timelines(sources: Mapping[str, DataFrame], keys: Sequence[str], start
     timeline is cut at every start and the day after every end, records are
     carried forward over the cuts, and neighbours that say the same are one
     version.  Days on which no source has a valid record belong to no version.
+    While no key has more than ``hot_rows`` starts and ends, all this is windows
+    over one shuffle by key; else days and states are cut into ranges.
 
     Returns keys, version_no, valid_from, valid_to (NULL = open), the value
     columns, and has_<source> 0/1.  Records with a NULL start take no part, nor
@@ -132,28 +139,39 @@ def merge_timelines(sources: Mapping[str, DataFrame], keys: Sequence[str], start
         s = sources[name].where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
         record = F.struct(F.col(start).alias("s"), F.array(*[F.col(c).cast("string") for c in tiebreak]).alias("t"),
                           F.struct(*values[name]).alias("v"), F.col(end).alias("e"))
-        told = s.select(*keys, F.col(start).alias("__date"), record.alias(f"__r_{name}"))
-        # the latest of equal starts; the marks of all ends
-        parts.append(told.groupBy(*keys, "__date").agg(F.max(f"__r_{name}").alias(f"__r_{name}")))
-        parts.append(s.where(F.col(end).isNotNull()).select(*keys, F.date_add(end, 1).alias("__date")).distinct())
+        parts.append(s.select(*keys, F.col(start).alias("__date"), record.alias(f"__r_{name}")))
+        parts.append(s.where(F.col(end).isNotNull()).select(*keys, F.date_add(end, 1).alias("__date")))  # the marks of all ends
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
-    # one row a day on which anything starts or ends
+    rows = written(rows)  # the sources are read once, whatever looks at their rows again
+    hot = largest_key(rows, keys) > hot_rows
+    if not hot:
+        rows = rows.repartition(*keys)
+    # one row a day on which anything starts or ends; the latest of equal starts
     days = rows.groupBy(*keys, "__date").agg(*[F.max(f"__r_{n}").alias(f"__r_{n}") for n in names])
-    at = filled(cut(days, keys, ["__date"]), keys, {f"__s_{n}": f"__r_{n}" for n in names})
     now = [F.when(F.col(f"__s_{n}.e").isNull() | (F.col(f"__s_{n}.e") >= F.col("__date")), F.col(f"__s_{n}.v")).alias(n) for n in names]
+    some = reduce(or_, [F.col("__state")[n].isNotNull() for n in names])
+    shown = lambda df: df.select(
+        *keys, F.col("version_no").cast("int").alias("version_no"), F.col("__date").alias("valid_from"), "valid_to",
+        *[F.col("__state")[n][c].alias(c) for n in names for c in values[n]],
+        *[F.col("__state")[n].isNotNull().cast("int").alias(f"has_{n}") for n in names])
+    if not hot:  # a key fits a task: one shuffle serves all steps
+        by_date = Window.partitionBy(*keys).orderBy("__date")
+        upto = by_date.rowsBetween(Window.unboundedPreceding, 0)
+        at = days.select(*keys, "__date", *[F.last(f"__r_{n}", ignorenulls=True).over(upto).alias(f"__s_{n}") for n in names])
+        moved = at.select(*keys, "__date", F.struct(*now).alias("__state")).withColumn("__before", F.lag("__state").over(by_date))
+        changes = moved.where("__before is null or not (__state <=> __before)").drop("__before")
+        return shown(changes.select("*", F.sum(some.cast("int")).over(upto).alias("version_no"),
+                                    F.date_sub(F.lead("__date").over(by_date), 1).alias("valid_to")).where(some))
+    at = filled(cut(days, keys, ["__date"]), keys, {f"__s_{n}": f"__r_{n}" for n in names})
     state = written(at.select(*keys, "__date", AT, PART, F.struct(*now).alias("__state")))
     moved = filled(state, keys, {"__before": "__state"}, inclusive=False)
     changes = moved.where("__before is null or not (__state <=> __before)")
-    some = reduce(or_, [F.col("__state")[n].isNotNull() for n in names])
     # gaps are changes too, but no versions
     numbered = written(running_sums(changes, keys, {"__n": F.lit(1), "version_no": some.cast("int")})
                        .select(*keys, "__date", "__state", "__n", "version_no"))
     after = numbered.select(*[F.col(k).alias(f"__a{i}") for i, k in enumerate(keys)], (F.col("__n") - 1).alias("__an"),
                             F.date_sub("__date", 1).alias("valid_to"))
     on = [F.col(k).eqNullSafe(F.col(f"__a{i}")) for i, k in enumerate(keys)] + [F.col("__n") == F.col("__an")]
-    return numbered.where(some).join(after, on, "left").select(
-        *keys, F.col("version_no").cast("int").alias("version_no"), F.col("__date").alias("valid_from"), "valid_to",
-        *[F.col("__state")[n][c].alias(c) for n in names for c in values[n]],
-        *[F.col("__state")[n].isNotNull().cast("int").alias(f"has_{n}") for n in names])
+    return shown(numbered.where(some).join(after, on, "left"))
