@@ -276,10 +276,15 @@ def open_account_periods(accounts: DataFrame, start_col: str, end_col: str, exis
                          key_cols: Sequence[str], period_col: str = "period_month",
                          step: str = "INTERVAL 1 MONTH") -> DataFrame:
     """I39 for a continuous calendar: each account's periods from its start to
-    ``end_col`` by ``explode(sequence)`` (linear in the output, no join), minus
-    the account-periods that already exist (anti join)."""
+    ``end_col`` minus those that already exist.  An account meets the array of
+    its periods (as long as the calendar at most) and makes the missing ones
+    there by ``explode``: only accounts and existing periods are shuffled."""
     keys = list(key_cols)
     acct_keys = [k for k in keys if k != period_col]
-    cand = accounts.select(*acct_keys, F.explode(F.sequence(F.col(start_col), F.col(end_col), F.expr(step)))
-                           .alias(period_col))
-    return cand.join(existing.select(*keys), keys, "left_anti")
+    whole = F.sequence(F.col(start_col), F.col(end_col), F.expr(step))
+    of = accounts.select(whole.alias("__all")).schema["__all"].dataType.elementType
+    have = (existing.select(*acct_keys, F.col(period_col).cast(of).alias("__have")).where(F.col("__have").isNotNull()).distinct()
+            .groupBy(*acct_keys).agg(F.collect_list("__have").alias("__have")))
+    missing = F.when(F.col("__have").isNull(), F.col("__all")).otherwise(F.array_except("__all", "__have"))
+    return (accounts.select(*acct_keys, whole.alias("__all")).join(have, acct_keys, "left")
+            .select(*acct_keys, F.explode(missing).alias(period_col)))
