@@ -18,7 +18,7 @@ from quaestor.plans import dims as DIM
 from quaestor.plans import facts as FCT
 from quaestor.plans import snapshots as SNAP
 from quaestor.plans.catalog import register
-from quaestor.plans.queries import _ALLOC_SQL, _AS_OF, _INT, _PEN, _allocations
+from quaestor.plans.queries import _ALLOC_SQL, _AS_OF, _INT, _PEN, dated_allocations
 from quaestor.plans.sqlbind import with_
 from quaestor.sources import scan as SCAN
 from quaestor.streaming import incremental as ST
@@ -90,8 +90,7 @@ def q_account_aging_snapshot(spark, sf_dir):
     items = B.returns(t).where(F.col("assessed_amount") > 0).select(
         F.col("return_id").alias("item_id"), F.col("party_id").alias("account_id"), F.col("period_date").alias("posted_date"), "due_date",
         F.col("assessed_amount").alias("amount"))
-    alloc = (_allocations(t).join(B.payments(t).select("payment_id", F.col("payment_date").alias("paid_date")), "payment_id")
-             .select(F.col("return_id").alias("item_id"), "paid_date", "allocated_amount"))
+    alloc = dated_allocations(t).select(F.col("return_id").alias("item_id"), F.col("payment_date").alias("paid_date"), "allocated_amount")
     return SNAP.build_open_item_aging(items, alloc, _AS_OF)
 
 

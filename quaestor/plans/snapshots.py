@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quaestor.functions.codes import aging_bucket
 from quaestor.functions.dates import date_key
 from quaestor.functions.numeric import MONEY, money, pct, round_half_up
-from quaestor.operators.ranges import cut, running_sums
+from quaestor.operators.ranges import cut, largest_key, running_sums, written
 from quaestor.operators.windows import running_agg, running_aggs
 
 WIDE = DecimalType(38, 2)
@@ -165,7 +165,7 @@ AGING_BUCKETS = [("current_amount", None), ("overdue_1_30_days", 1), ("overdue_3
                  ("overdue_91_180_days", 91), ("overdue_181_365_days", 181), ("overdue_over_365_days", 366)]
 
 
-def build_open_item_aging(items: DataFrame, allocations: DataFrame, as_of: str) -> DataFrame:
+def build_open_item_aging(items: DataFrame, allocations: DataFrame, as_of: str, hot_rows: int = 1_000_000) -> DataFrame:
     """Open items per account and month end by days overdue.
 
     items: item_id, account_id, posted_date, due_date, amount (> 0);
@@ -174,19 +174,26 @@ def build_open_item_aging(items: DataFrame, allocations: DataFrame, as_of: str)
     days after it is due.  A payment takes its amount out of the item from its
     date on (not before the posting), so it is an item of its own with the sign
     turned.  What enters or leaves a bucket is a signed event; events are summed
-    by month first and then run up per account over range cuts: no item meets
-    the months in which nothing happens to it.
+    by month first and then run up per account: no item meets the months in which
+    nothing happens to it.  While no account has more than ``hot_rows`` postings
+    and payments, events are made and summed behind one shuffle by account; else
+    events are shuffled by month and run up over range cuts.  Amounts are exact
+    cents (long), as in ``allocate``.
 
     A row per account and month (up to ``as_of``) in which an item is posted,
     paid or moves on: the seven buckets, debit_balance (their sum by another
     way: posted less paid), opening_balance and has_debit_balance.
     """
-    posted = items.select("item_id", "account_id", "due_date", F.col("posted_date").alias("__from"), money("amount").alias("__amt"))
+    cents = lambda c: (money(c) * 100).cast("long")
+    posted = items.select("item_id", "account_id", "due_date", F.col("posted_date").alias("__from"), cents("amount").alias("__amt"))
     paid = (items.select("item_id", "account_id", "due_date", "posted_date")
             .join(allocations.select("item_id", "paid_date", "allocated_amount"), "item_id")
             .select("item_id", "account_id", "due_date", F.greatest("paid_date", "posted_date").alias("__from"),
-                    (-money("allocated_amount")).cast(MONEY).alias("__amt")))
-    signed = posted.unionByName(paid)
+                    (-cents("allocated_amount")).alias("__amt")))
+    signed = written(posted.unionByName(paid).select("account_id", "due_date", "__from", "__amt"))
+    hot = largest_key(signed, ["account_id"]) > hot_rows
+    if not hot:
+        signed = signed.repartition("account_id")
     names = [n for n, _ in AGING_BUCKETS]
     # the day on which each bucket begins for an item; the first has begun when the item comes
     starts = [F.col("__from") if d is None else F.date_add("due_date", d) for _, d in AGING_BUCKETS]
@@ -203,11 +210,16 @@ def build_open_item_aging(items: DataFrame, allocations: DataFrame, as_of: str)
                 .when((F.col("__m.into") == i + 1) & ~first, -F.col("__amt")).otherwise(F.lit(0))).alias(f"__{n}")
           for i, n in enumerate(names)],
         F.sum(F.when(first, F.col("__amt")).otherwise(F.lit(0))).alias("__net"))
-    run = running_sums(cut(by_month, ["account_id"], ["month_end"]), ["account_id"],
-                       {**{n: f"__{n}" for n in names}, "debit_balance": "__net"})
+    sums = {**{n: f"__{n}" for n in names}, "debit_balance": "__net"}
+    if hot:
+        run = running_sums(cut(by_month, ["account_id"], ["month_end"]), ["account_id"], sums)
+    else:
+        upto = Window.partitionBy("account_id").orderBy("month_end").rowsBetween(Window.unboundedPreceding, 0)
+        run = by_month.select("*", *[F.coalesce(F.sum(v).over(upto), F.lit(0)).alias(n) for n, v in sums.items()])
+    wide = lambda c: (c.cast("decimal(20,0)") / 100).cast(WIDE)
     return run.select("account_id", "month_end", date_key("month_end").alias("snapshot_date_key"),
-                      *[F.col(n).cast(WIDE).alias(n) for n in names], F.col("debit_balance").cast(WIDE).alias("debit_balance"),
-                      (F.col("debit_balance") - F.col("__net")).cast(WIDE).alias("opening_balance"),
+                      *[wide(F.col(n)).alias(n) for n in names], wide(F.col("debit_balance")).alias("debit_balance"),
+                      wide(F.col("debit_balance") - F.col("__net")).alias("opening_balance"),
                       (F.col("debit_balance") > 0).cast("int").alias("has_debit_balance"))
 
 
