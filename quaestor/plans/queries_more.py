@@ -254,7 +254,7 @@ def q_installment_split(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- I37 ledger postings
-from quaestor.plans.queries import _ALLOC_SQL, _allocations, _PEN, _INT  # noqa: E402
+from quaestor.plans.queries import _ALLOC_SQL, dated_allocations, _PEN, _INT  # noqa: E402
 
 
 @register("ledger_postings", with_("filings", "payments") + "," + _ALLOC_SQL.strip().replace("FROM returns", "FROM filings") + f""",
@@ -273,7 +273,7 @@ def q_ledger_postings(spark, sf_dir):
     from quaestor.plans import facts as FCT
     t = B.tables(spark, sf_dir)
     a = FCT.build_fact_assessment(B.filings(t)).join(B.returns(t).select("return_id", "period_date"), "return_id")
-    alloc = _allocations(t).join(B.payments(t).select("payment_id", "payment_date"), "payment_id").select(
+    alloc = dated_allocations(t).select(
         F.concat_ws("/", "payment_id", F.col("return_id").cast("string")).alias("allocation_id"),
         F.col("party_id").alias("account_id"), F.col("payment_date").alias("txn_date"),
         F.lit("PRINCIPAL").alias("charge_type_code"), "allocated_amount")
