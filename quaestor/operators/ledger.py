@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quaestor.functions.numeric import MONEY, money, round_half_up
-from quaestor.operators.ranges import AT, PART, cut, filled, running_sums, written
+from quaestor.operators.ranges import AT, PART, cut, filled, largest_key, running_sums, written
 from quaestor.operators.windows import running_agg
 
 WIDE = DecimalType(38, 2)
@@ -37,7 +37,8 @@ def running_balance(ledger: DataFrame, account_cols: Sequence[str], order_cols:
 def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_id: str | Sequence[str], demand_order: Sequence,
              demand_amount: str, supply_id: str | Sequence[str], supply_order: Sequence, supply_amount: str,
              sequence_col: str | None = None, chunk_width: float | None = None, demand_chunk: Column | None = None,
-             supply_chunk: Column | None = None, hot_rows: int = 1_000_000) -> DataFrame:
+             supply_chunk: Column | None = None, hot_rows: int = 1_000_000, keep_supply: bool = False,
+             stored: bool = False) -> DataFrame:
     """Allocation of supply over demand per key.
 
     Returns one row per (keys, demand_id, supply_id) with ``allocated_amount``
@@ -50,6 +51,10 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     into ranges of equal size (``ranges``), so a hot account is spread over as
     many tasks as it has ranges.  The result is the same.  (The chunk parameters
     of earlier calls are accepted; neither form needs them.)
+
+    With ``keep_supply`` each supply has one row more where its first cent meets
+    no demand: demand ids NULL, amount 0.  ``stored`` says that both sides are
+    cheap to read again, so they are not written first.
     """
     keys = list(keys)
     dids, sids = ([x] if isinstance(x, str) else list(x) for x in (demand_id, supply_id))
@@ -65,9 +70,9 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
     both = side(demand, 0, dids, demand_order, demand_amount, "__d").unionByName(
         side(supply, 1, sids, supply_order, supply_amount, "__s"), allowMissingColumns=True)
     order = ["__kind", *[c for c in both.columns if c.startswith(("__d_", "__s_"))], "__d", "__s"]
-    both = written(both)  # the sources are read once, whatever looks at their rows again
-    largest = both.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    hot = largest > hot_rows
+    if not stored:
+        both = written(both)  # the sources are read once, whatever looks at their rows again
+    hot = largest_key(both, keys) > hot_rows
 
     def interval(name):
         return F.when(F.col(name).isNotNull(), F.struct((F.col("__end") - F.col("__amt")).alias("p"), F.col(name).alias("id"),
@@ -88,9 +93,11 @@ def allocate(demand: DataFrame, supply: DataFrame, keys: Sequence[str], demand_i
                                F.lit(0).alias(PART), F.row_number().over(upto).alias(AT))
     # Each overlapping (demand, supply) pair is current at exactly one start
     # row (the later of the two starts), so no de-duplication is needed.
-    points = (points.where(F.col("__cd").isNotNull() & F.col("__cs").isNotNull())
-              .withColumn("__c", F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p")))
-              .where(F.col("__c") > 0).select(*keys, AT, PART, F.col("__cd.id").alias("__d"), F.col("__cs.id").alias("__s"), "__c"))
+    shared = F.least(F.col("__cd.e"), F.col("__cs.e")) - F.greatest(F.col("__cd.p"), F.col("__cs.p"))
+    meets = F.col("__cd").isNotNull() & F.col("__cs").isNotNull() & (shared > 0)
+    points = (points.withColumn("__c", F.when(meets, shared).otherwise(F.lit(0)))
+              .where((F.col("__c") > 0) | (F.col("__kind") == 1) if keep_supply else F.col("__c") > 0)
+              .select(*keys, AT, PART, F.when(F.col("__c") > 0, F.col("__cd.id")).alias("__d"), F.col("__cs.id").alias("__s"), "__c"))
     if sequence_col and hot:  # a supply's allocations are neighbours in the order of positions
         points = running_sums(written(points), [*keys, "__s"], {sequence_col: F.lit(1)})
     elif sequence_col:

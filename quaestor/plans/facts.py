@@ -84,7 +84,19 @@ def build_fact_payment(payments: DataFrame, allocations: DataFrame, method_col:
     allocations: payment_id, allocated_amount."""
     a = allocations.groupBy("payment_id").agg(F.count(F.lit(1)).alias("allocation_count"),
                                               F.sum("allocated_amount").alias("allocated_amount"))
-    out = payments.join(a, "payment_id", "left")
+    return _payment_measures(payments.join(a, "payment_id", "left"), method_col)
+
+
+def settled_payments(allocations: DataFrame, method_col: str | None = None) -> DataFrame:
+    """The same from allocations that keep their supply (``allocate``) and carry
+    the payment's columns: no join.  For payments of which each has its own id."""
+    carried = ["payment_id", "party_id", "payment_date", "payment_amount", *([method_col] if method_col else [])]
+    out = allocations.groupBy("party_id", *[c for c in carried if c != "party_id"]).agg(
+        F.count_if(F.col("allocated_amount") > 0).alias("allocation_count"), F.sum("allocated_amount").alias("allocated_amount"))
+    return _payment_measures(out, method_col)
+
+
+def _payment_measures(out: DataFrame, method_col: str | None) -> DataFrame:
     alloc = F.coalesce(F.col("allocated_amount"), F.lit(0)).cast(MONEY)
     cnt = F.coalesce(F.col("allocation_count"), F.lit(0))
     method = F.col(method_col) if method_col else F.lit(None).cast("string")
