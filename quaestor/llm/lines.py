@@ -41,32 +41,35 @@ from quaestor.llm.common import staged, table
 BUCKETS = 1 << 15
 #: Entries (some 30 bytes each) up to which one side of a join is sent to all executors.
 SMALL = 200_000
+#: White space other than blanks and line ends, as SQL writes it.
+_WHITE = (r"\t", r"\u000B", r"\u000C", r"\r")
 _FIRST = 4  # prefix tokens under which the first round looks
 #: Rule by which all lines with a word take part.
 EVERY_LINE = {"min_tokens": 1}
 
 
-def _spaced(line: str) -> str:
-    """``line`` in lower case with blanks for all white space: a split at one
-    character needs no pattern matcher."""
-    blanks = r"'[\\t\\x0B\\f\\r]'"
-    return f"lower(if({line} rlike {blanks}, regexp_replace({line}, {blanks}, ' '), {line}))"
+def _blank(text: str) -> str:
+    """``text`` with blanks for all white space but line ends.  Looking for single
+    characters needs no pattern matcher; few texts have one."""
+    odd = " or ".join(f"contains({text}, '{c}')" for c in _WHITE)
+    return f"if({odd}, translate({text}, '{''.join(_WHITE)}', '{' ' * len(_WHITE)}'), {text})"
 
 
 def _words(line: str) -> str:
-    return f"array_remove(array_distinct(split({_spaced(line)}, ' ')), '')"
+    return f"array_remove(array_distinct(split(lower({_blank(line)}), ' ')), '')"
 
 
-def _rarity(texts: DataFrame) -> list[int]:
-    """Count class (1 to 126) of each token bucket."""
-    rows = (texts.select(F.expr(r"replace(text, '\n', ' ')").alias("text"))
-            .select(F.explode(F.expr(f"split({_spaced('text')}, ' ')")).alias("w")).where("w != ''")
-            .groupBy(F.expr(f"hash(w) & {BUCKETS - 1}").alias("bucket"))
+def _rarity(texts: DataFrame) -> tuple[list[int], int]:
+    """Count class (1 to 126) of each token bucket, and the class of the middle token."""
+    rows = (texts.select(F.expr(_blank("text")).alias("text"))
+            .select(F.explode(F.expr(r"split(lower(replace(text, '\n', ' ')), ' ')")).alias("w")).where("w != ''")
+            .groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")).toArrow())  # at most BUCKETS rows
-    classes = [1] * BUCKETS
+    classes, tokens = [1] * BUCKETS, [0] * 127
     for bucket, n in zip(rows["bucket"].to_pylist(), rows["n"].to_pylist()):
         classes[bucket] = min(126, 1 + int(3 * math.log2(n + 1)))
-    return classes
+        tokens[classes[bucket]] += n
+    return classes, next((c for c in range(127) if 2 * sum(tokens[:c + 1]) > sum(tokens)), 1)
 
 
 def _need(n: str, num: int, den: int) -> str:
@@ -76,46 +79,58 @@ def _need(n: str, num: int, den: int) -> str:
 
 def _lines(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """Every line that takes part: its place, the key of its token set, size,
-    128 parity bits and prefix (31-bit token hashes, rare first)."""
-    classes = ",".join(str(c << 56) for c in _rarity(docs))
-    order = f"cast(split('{classes}', ',') as array<bigint>)[hash(w) & {BUCKETS - 1}] | shiftrightunsigned(xxhash64(w), 8)"
-    # a shift takes the last six bits of an integer; hashes below and above a zero put in set bits of either half
-    parity = "aggregate(slice(hashes, {}), 0L, (b, h) -> b ^ shiftleft(1L, h))"
+    128 parity bits and prefix (31-bit token hashes, rare first); and for each
+    row of ``docs`` one without a size, at the place behind its last line."""
+    rarity, middle = _rarity(docs)
+    # what stands between two blanks is in every set once, among the tokens of the middle
+    # class: it parts rare from frequent tokens, which have 64 parity bits each
+    gap = docs.sparkSession.sql("SELECT xxhash64('')").first()[0]
+    rarity[gap & (BUCKETS - 1)] = middle
+    gap_token = f"{middle << 56 | (gap & (1 << 64) - 1) >> 8}L"
+    classes = f"cast(split('{','.join(str(c << 56) for c in rarity)}', ',') as array<bigint>)"
+    # never null, which lets Spark sort and compare plain longs
+    order = f"coalesce({classes}[h & {BUCKETS - 1}], 0L) | shiftrightunsigned(h, 8)"
+    hashes = f"array_union(transform(split(lower(line), ' '), w -> xxhash64(w)), array({gap}L))"
+    bits = f"cast(split('{','.join(str((1 << i) - (1 << 64 if i == 63 else 0)) for i in range(64))}', ',') as array<bigint>)"
+    parity = f"aggregate(slice(tokens, {{}}), 0L, (b, t) -> b ^ {bits}[t & 63])"
+    short = f"size(tokens) - 1 - ({_need('(size(tokens) - 1)', num, den)}) + 1"
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.expr(f"length(line) >= {2 * min_tokens - 1}"))
-            .withColumn("words", F.expr(_words("line")))
-            .withColumn("tokens", F.expr(f"sort_array(transform(words, w -> {order}))"))
-            .withColumn("hashes", F.expr("sort_array(concat(transform(words, w -> hash(w)), array(0)))"))
-            .withColumn("zero", F.expr("cast(array_position(hashes, 0) as int)"))
+                        F.posexplode(F.concat(F.split(F.expr(_blank("text")), "\n"), F.expr("array(cast(null as string))"))).alias("line_no", "line"))
+            .where(F.expr(f"line is null or length(line) >= {2 * min_tokens - 1}"))
+            .withColumn("tokens", F.expr(f"sort_array(transform({hashes}, h -> {order}))"))
+            .withColumn("gap", F.expr(f"cast(array_position(tokens, {gap_token}) as int)"))
             .select("doc_id", "text_hash", "line_no", F.xxhash64("tokens").alias("k1"),
-                    F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("size(tokens)").alias("n"),
-                    F.expr(parity.format("1, zero - 1")).alias("b0"),
-                    F.expr(parity.format("zero + 1, size(hashes)")).alias("b1"),
-                    F.expr(f"transform(slice(tokens, 1, cast(size(tokens) - {_need('size(tokens)', num, den)} + 1 as int)), "
+                    F.xxhash64(F.lit(7), "tokens").alias("k2"), F.expr("if(line is null, null, size(tokens) - 1)").alias("n"),
+                    F.expr(parity.format("1, gap - 1")).alias("b0"),
+                    F.expr(parity.format("gap + 1, size(tokens)")).alias("b1"),
+                    F.expr(f"transform(slice(array_remove(slice(tokens, 1, cast({short} + 1 as int)), {gap_token}), 1, cast({short} as int)), "
                            "t -> cast(t & 2147483647 as int))").alias("prefix")))
 
 
-def _entries(of: DataFrame, ids: str, prefix: str, side: str, key: str = "token", down: str = "0") -> DataFrame:
+def _entries(of: DataFrame, ids: str, prefix: str, side: str, key: str = "token", up: str = "0") -> DataFrame:
     """One row per prefix token, narrow, with columns of one side of a join: key,
-    class, parity bits, size and place in the prefix, and ``down`` as a bit between these."""
+    class, parity bits, size and place in the prefix, and ``up`` as a bit between these."""
     return (of.select("*", F.expr(ids).alias("c"), F.posexplode(F.expr(prefix)).alias("at", "token"))
             .select(F.expr(key).alias(f"k{side}"), F.col("c").alias(side), F.col("b0").alias(f"b{side}"),
                     F.col("b1").alias(f"d{side}"),
-                    F.expr(f"shiftleft(cast(n as bigint), 32) | shiftleft(cast({down} as bigint), 31) | at").alias(f"p{side}")))
+                    F.expr(f"shiftleft(cast(n as bigint), 32) | shiftleft(cast({up} as bigint), 31) | at").alias(f"p{side}")))
 
 
 def _banded(of: DataFrame, num: int, den: int) -> DataFrame:
     """``of`` with a band of its size; sizes of one band differ by (den / num)**3 at
-    most.  A class whose smallest partner lies in the band below has a second row
-    there (``down`` is 1), so that all partners have a band in common."""
+    most.  A class whose largest partner lies in the band above has a second row
+    there (``up`` is 1), so that all partners have the larger one's band in common.
+    Of the smaller one a shorter prefix will do: it shares num / (num + den) of both
+    sizes, of twice its own at least."""
     width = 3 * math.log(den / num) or 1.0
 
     def band(n: str) -> str:
         return f"cast(floor(ln({n}) / {width!r}) as int)"
-    below = f"{band(_need('n', num, den))} < {band('n')}"
-    return (of.withColumn("down", F.expr(f"explode(if({below}, array(0, 1), array(0)))"))
-            .withColumn("band", F.expr(f"{band('n')} - down")))
+    above = f"{band(f'({den} * n div {num})')} > {band('n')}"
+    return (of.withColumn("up", F.expr(f"explode(if({above}, array(0, 1), array(0)))"))
+            .withColumn("band", F.expr(f"{band('n')} + up"))
+            .withColumn("prefix", F.expr(f"if(up = 0, prefix, slice(prefix, 1, cast(n - ({2 * num} * n + {num + den - 1}) "
+                                         f"div {num + den} + 1 as int)))")))
 
 
 def _close(num: int, den: int) -> str:
@@ -154,8 +169,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, d
 def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
     """doc_id, text_hash, line_no of every line of ``docs`` (doc_id, text) that
     an earlier one resembles."""
+    return _removed(docs, staged(_lines(docs, num, den, min_tokens)), num, den, min_tokens)
+
+
+def _removed(docs: DataFrame, cut: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
+    """``removed_lines`` of what ``_lines`` cut."""
     # short lines go after the write: a filter before it would cut words twice
-    lines = staged(_lines(docs, num, den, min_tokens)).where(F.col("n") >= min_tokens)
+    lines = cut.where(F.col("n") >= min_tokens)
     place = ["doc_id", "text_hash", "line_no"]
     # ids in the order of places: ranges of them, and rows in order inside
     classes = staged(lines.groupBy("k1", "k2").agg(
@@ -179,12 +199,13 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
     known = (meet.select("id", "n", "b0", "b1", "prefix")
              .join(_sent(found.select(F.col("x").alias("id"), F.lit(True).alias("gone"))), "id", "left"))
     both = [_entries(_banded(known, num, den), "if(gone, -1 - id, id)", "prefix", s,
-                     "shiftleft(cast(token as bigint), 16) | band", "down") for s in "xy"]
+                     "shiftleft(cast(token as bigint), 16) | band", "up") for s in "xy"]
     ids = {s: f"if({s} < 0, -1 - {s}, {s})" for s in "xy"}
-    # x in its own band; of two in one band x is the later, of two bands either is
-    first = f"if((py & 2147483648) = 0 or {ids['x']} > {ids['y']}, x < 0 or x <= {ids['y']}, y < 0)"
+    # x is the larger one, in its own band, y in that or from the band below; the later one is not settled
+    larger = (f"(py & 2147483648) != 0 or shiftright(px, 32) > shiftright(py, 32)"
+              f" or shiftright(px, 32) = shiftright(py, 32) and {ids['x']} > {ids['y']}")
     met = (both[0].join(both[1].hint("merge"), F.expr(
-        f"kx = ky and if((px & 2147483648) != 0 or {first}, false, {close})"))
+        f"kx = ky and if((px & 2147483648) = 0 and if({ids['x']} > {ids['y']}, x, y) >= 0 and ({larger}), {close}, false)"))
         .select(F.expr(f"greatest({ids['x']}, {ids['y']})").alias("x"), F.expr(f"least({ids['x']}, {ids['y']})").alias("y")).distinct())
     gone = staged(found.unionByName(_verified(met, classes, docs, num, den)).distinct())
     told = staged(classes.select("id", "k1", "k2", "copies", F.struct(*place).alias("place"))
@@ -194,9 +215,9 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int =
             .where(F.expr(f"gone or not (struct({', '.join(place)}) <=> place)")).select(*place).distinct())
 
 
-def _by_document(docs: DataFrame, **rule) -> DataFrame:
+def _by_document(removed: DataFrame) -> DataFrame:
     """doc_id, text_hash and the sorted places of the lines that go."""
-    return (removed_lines(docs, **rule).groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
+    return (removed.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
             .agg(F.sort_array(F.collect_list("line_no")).alias("removed")))
 
 
@@ -207,7 +228,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """``docs`` with the lines that go cut out of the text (null stays null)."""
-    gone = _by_document(_source(docs, id_col, text_col), **rule)
+    gone = _by_document(removed_lines(_source(docs, id_col, text_col), **rule))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     joined = rows.join(gone.hint("merge"), rows.doc_id.eqNullSafe(F.col("d"))
@@ -221,9 +242,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rul
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its number of lines, how many go, and their places."""
     docs = _source(table(spark, sf_dir, "documents"), "doc_id", "text")
-    gone = _by_document(docs, **EVERY_LINE)
-    sizes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        F.expr(r"if(text = '', 0, size(split(text, '\n')))").cast("long").alias("n_lines"))
+    cut = staged(_lines(docs, 4, 5, **EVERY_LINE))
+    gone = _by_document(_removed(docs, cut, **EVERY_LINE))
+    # an empty text is cut into one empty line, and has none
+    sizes = cut.where("n is null").select("doc_id", "text_hash", F.when(F.col("text_hash") == F.xxhash64(F.lit("")), 0)
+                                          .otherwise(F.col("line_no")).cast("long").alias("n_lines"))
     return (sizes.join(gone.hint("merge"), sizes.doc_id.eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
             .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("removed", F.expr("array()")).cast("array<int>").alias("removed")))

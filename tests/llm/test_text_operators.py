@@ -164,6 +164,38 @@ def test_removed_lines_equal_brute_force(spark, least, monkeypatch):
     assert lines.dedup(docs.where("false")).count() == 0 and lines.dedup(docs).columns == docs.columns
 
 
+def test_removed_lines_of_sizes_in_all_bands(spark):
+    rng = random.Random(5)
+    texts, space = [], [" ", "  ", "\t", " \x0b", "\f", "\r"]
+    for n in (*range(1, 24), 30, 31, 47, 60, 61, 120, 240):
+        words = [f"b{n % 5}x{i}" for i in range(n)]
+        for m in {n, n * 4 // 5, -(-4 * n // 5), n * 5 // 4, -(-5 * n // 4)}:
+            part = (words + [f"c{n}y{i}" for i in range(m)])[:m]
+            rng.shuffle(part)
+            texts.append(rng.choice(["", " "]) + "".join(w.upper() + rng.choice(space) for w in part))
+    rng.shuffle(texts)
+    sets = [frozenset(re.findall(r"[^\x20\x09-\x0D]+", t.lower())) for t in texts]
+    gone = {(k, 0) for k, a in enumerate(sets) if a and any(5 * len(a & b) >= 4 * len(a | b) for b in sets[:k])}
+    docs = lines._source(frame(spark, texts), "doc_id", "text")
+    assert {(r.doc_id, r.line_no) for r in lines.removed_lines(docs).collect()} == gone
+    # parity bits: no more of them differ than tokens do
+    by = {r.doc_id: r for r in lines._lines(docs, 4, 5, 1).where('n is not null').collect()}
+    for (i, a), (j, b) in zip(enumerate(sets), list(enumerate(sets))[1:]):
+        if i in by and j in by:
+            assert by[i].n == len(a)
+            assert sum(bin((by[i][c] ^ by[j][c]) % 2**64).count("1") for c in ("b0", "b1")) <= len(a ^ b)
+
+
+def test_second_rows_of_a_band_are_fewer(spark):
+    # only the smaller one of a pair goes to another band, with the 1/9 of its tokens that it needs there
+    sets = spark.range(4, 400).selectExpr("cast(id as int) n", "sequence(1, cast(id - (4 * id + 4) div 5 + 1 as int)) prefix")
+    rows = lines._banded(sets, 4, 5).selectExpr("n", "band", "size(prefix) p").collect()
+    own = {n: min(r.band for r in rows if r.n == n) for n in range(4, 400)}
+    assert all(r.p == r.n - -(-4 * r.n // 5) + 1 for r in rows if r.band == own[r.n])
+    more = [r for r in rows if r.band != own[r.n]]
+    assert more and all(r.p == r.n - -(-8 * r.n // 9) + 1 for r in more)
+
+
 def test_query_and_pipeline_remove_copies_of_short_lines(spark, tmp_path):
     import corpus_pipeline
 
